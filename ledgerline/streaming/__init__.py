@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is full-refresh batch: every job rebuilds its tables from the
+sources, and no operator keeps state across runs, handles late data or reads
+an unbounded input.  There is therefore no Structured Streaming query to
+offer here; incremental loads would be a new feature, not a re-expression.
+"""
