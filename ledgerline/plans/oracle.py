@@ -126,12 +126,111 @@ rpt_product_performance AS (
 )"""
 
 
-def with_models(body: str, reports: bool = False) -> str:
-    """``body`` prefixed by the model CTEs (and the report CTEs)."""
+def with_models(body: str, reports: bool = False, extra: str = "") -> str:
+    """``body`` prefixed by the model CTEs (and report / extra CTEs)."""
     ctes = MODEL_CTES + ("," + REPORT_CTES if reports else "")
+    if extra:
+        ctes += "," + extra
     return f"WITH {ctes}\n{body}"
 
 
+def tier_case(col: str, bounds, labels) -> str:
+    """Right-closed CASE bucketing, as a SQL expression."""
+    arms = []
+    for lo, hi, label in zip(bounds[:-1], bounds[1:], labels):
+        cond = f"{col} > {int(lo)}"
+        if hi != float("inf"):
+            cond += f" AND {col} <= {int(hi)}"
+        arms.append(f"WHEN {cond} THEN '{label}'")
+    return "CASE " + " ".join(arms) + " END"
+
+
+def tier_counts_sql(bounds, labels) -> str:
+    values = ", ".join(f"({i}, '{label}')" for i, label in enumerate(labels))
+    extra = f"""
+tiers(tier_order, spend_tier) AS (VALUES {values}),
+tiered AS (SELECT {tier_case('total_spend', bounds, labels)} AS spend_tier
+           FROM rpt_customer_summary),
+tier_n AS (SELECT spend_tier, count(*) AS n FROM tiered
+           WHERE spend_tier IS NOT NULL GROUP BY spend_tier),
+tier_total AS (SELECT count(spend_tier) AS total FROM tiered)"""
+    body = """
+SELECT t.tier_order, t.spend_tier, coalesce(n.n, 0)::BIGINT AS customers,
+       CASE WHEN tt.total > 0
+            THEN coalesce(n.n, 0)::DOUBLE * 100 / tt.total::DOUBLE END AS share_pct
+FROM tiers t LEFT JOIN tier_n n ON t.spend_tier = n.spend_tier, tier_total tt"""
+    return with_models(body, True, extra)
+
+
+RAW_CTE = {"customers": "raw_customers", "products": "raw_products", "orders": "raw_orders"}
+
+
+def _src(table: str) -> str:
+    return RAW_CTE.get(table, table)
+
+
+def _check(check: str, table: str, column: str, count_sql: str) -> str:
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, "
+            f"'{column}' AS column_name, ({count_sql})::BIGINT AS failing_rows")
+
+
+def dq_not_null_sql() -> str:
+    from ledgerline.operators.quality import NOT_NULL_DECLARED, RAW_KEYS
+
+    parts = [
+        _check("not_null", t, c, f"SELECT count(*) FROM {_src(t)} WHERE {c} IS NULL")
+        for t, c in RAW_KEYS + NOT_NULL_DECLARED
+    ]
+    return with_models("\nUNION ALL\n".join(parts), True)
+
+
+def dq_unique_sql() -> str:
+    from ledgerline.operators.quality import UNIQUE_DECLARED
+
+    parts = [
+        _check("unique", t, c,
+               f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
+               f"GROUP BY {c} HAVING count(*) > 1)")
+        for t, c in UNIQUE_DECLARED
+    ]
+    return with_models("\nUNION ALL\n".join(parts), True)
+
+
+def dq_positive_sql() -> str:
+    from ledgerline.operators.quality import POSITIVE_DECLARED
+
+    parts = []
+    for t, c, null_fails in POSITIVE_DECLARED:
+        cond = f"{c} <= 0 OR {c} IS NULL" if null_fails else f"{c} <= 0"
+        name = "positive_not_null" if null_fails else "positive"
+        parts.append(_check(name, t, c, f"SELECT count(*) FROM {_src(t)} WHERE {cond}"))
+    return with_models("\nUNION ALL\n".join(parts), True)
+
+
+def dq_orphans_sql() -> str:
+    parts = [
+        _check(f"orphan:{dim}", "stg_orders", key,
+               f"SELECT count(*) FROM stg_orders o WHERE o.{key} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM {dim} d WHERE d.{key} = o.{key})")
+        for dim, key in (("stg_customers", "customer_id"), ("stg_products", "product_id"))
+    ]
+    parts.append(_check("fk_not_null", "orders_enriched", "customer_id|product_id",
+                        "SELECT count(*) FROM orders_enriched "
+                        "WHERE customer_id IS NULL OR product_id IS NULL"))
+    return with_models("\nUNION ALL\n".join(parts), True)
+
+
+def dq_row_counts_sql() -> str:
+    from ledgerline.operators.quality import MIN_ROWS
+
+    parts = [
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {n}::BIGINT AS min_rows, "
+        f"count(*) >= {n} AS passed FROM {t}"
+        for t, n in MIN_ROWS.items()
+    ]
+    return with_models("\nUNION ALL\n".join(parts), True)
+
+
 ORACLE: dict[str, str] = {
     "stg_customers": with_models("SELECT * FROM stg_customers"),
     "stg_orders": with_models("SELECT * FROM stg_orders"),
@@ -141,4 +240,64 @@ ORACLE: dict[str, str] = {
     "rpt_revenue_by_category": with_models("SELECT * FROM rpt_revenue_by_category", True),
     "rpt_customer_summary": with_models("SELECT * FROM rpt_customer_summary", True),
     "rpt_product_performance": with_models("SELECT * FROM rpt_product_performance", True),
+    "source_profile": with_models("""
+SELECT count(*) AS total_orders,
+       count(DISTINCT customer_id) AS unique_customers,
+       count(DISTINCT product_id) AS unique_products,
+       min(order_date) AS earliest_order,
+       max(order_date) AS latest_order
+FROM stg_orders"""),
+    "table_counts": with_models("""
+SELECT 'customers' AS table_name, count(*) AS row_count FROM stg_customers
+UNION ALL SELECT 'products', count(*) FROM stg_products
+UNION ALL SELECT 'orders', count(*) FROM stg_orders"""),
+    "monthly_trend": with_models("""
+SELECT year, month,
+       year::VARCHAR || '-' || lpad(month::VARCHAR, 2, '0') AS period,
+       sum(num_orders)::BIGINT AS total_orders,
+       sum(total_revenue)::decimal(18,2) AS total_revenue
+FROM rpt_revenue_by_country
+GROUP BY year, month""", True),
+    "country_totals": with_models("""
+SELECT country,
+       sum(total_revenue)::decimal(18,2) AS total_revenue,
+       sum(num_orders)::BIGINT AS total_orders
+FROM rpt_revenue_by_country
+GROUP BY country""", True),
+    "top_customers": with_models("""
+SELECT * FROM rpt_customer_summary
+ORDER BY total_spend DESC NULLS LAST, customer_id
+LIMIT 10""", True),
+    "category_share": with_models("""
+SELECT category, total_revenue,
+       total_revenue::DOUBLE * 100
+         / (SELECT sum(total_revenue) FROM rpt_revenue_by_category)::DOUBLE
+         AS revenue_share_pct
+FROM rpt_revenue_by_category""", True),
+    "product_ranking": with_models("""
+SELECT product_id, product_name, units_sold, total_revenue, num_orders
+FROM rpt_product_performance
+ORDER BY total_revenue DESC, product_id""", True),
+    "orders_preview": with_models("""
+SELECT * FROM orders_enriched ORDER BY order_id, product_id, quantity LIMIT 15"""),
 }
+
+
+def _register_parametrised() -> None:
+    from ledgerline.functions import SPEND_TIER_BOUNDS, SPEND_TIER_LABELS
+    from ledgerline.plans.queries import WIDE_TIER_BOUNDS, WIDE_TIER_LABELS
+
+    ORACLE["customer_tiers"] = with_models(f"""
+SELECT customer_id, customer_name, total_orders, total_spend,
+       {tier_case('total_spend', SPEND_TIER_BOUNDS, SPEND_TIER_LABELS)} AS spend_tier
+FROM rpt_customer_summary""", True)
+    ORACLE["tier_counts"] = tier_counts_sql(SPEND_TIER_BOUNDS, SPEND_TIER_LABELS)
+    ORACLE["tier_counts_wide"] = tier_counts_sql(WIDE_TIER_BOUNDS, WIDE_TIER_LABELS)
+    ORACLE["dq_not_null"] = dq_not_null_sql()
+    ORACLE["dq_unique"] = dq_unique_sql()
+    ORACLE["dq_positive"] = dq_positive_sql()
+    ORACLE["dq_orphans"] = dq_orphans_sql()
+    ORACLE["dq_row_counts"] = dq_row_counts_sql()
+
+
+_register_parametrised()

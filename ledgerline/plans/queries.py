@@ -38,3 +38,126 @@ QUERIES: dict[str, Query] = {
         "rpt_product_performance",
     )
 }
+
+
+# --- analytics datasets (notebook layer) -----------------------------------
+
+from ledgerline.operators import analytics, quality  # noqa: E402
+from ledgerline.sources import testdata  # noqa: E402
+
+
+def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-row profile of the staged orders."""
+    return analytics.source_profile(testdata_models(spark, sf_dir)["stg_orders"])
+
+
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled row counts of the three staged source tables."""
+    m = testdata_models(spark, sf_dir)
+    return analytics.table_counts({
+        "customers": m["stg_customers"],
+        "products": m["stg_products"],
+        "orders": m["stg_orders"],
+    })
+
+
+def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A15 + P10 over the country report."""
+    return analytics.monthly_trend(testdata_models(spark, sf_dir)["rpt_revenue_by_country"])
+
+
+def country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 over the country report."""
+    return analytics.country_totals(testdata_models(spark, sf_dir)["rpt_revenue_by_country"])
+
+
+def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 customers by spend."""
+    return analytics.top_customers(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+
+
+def customer_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P11 with the reference bins."""
+    return analytics.customer_tiers(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+
+
+def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17 + W1 with the reference bins."""
+    return analytics.tier_counts(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+
+
+# A second bin set scaled to this data's spend range, so that several tiers
+# are populated (every test customer spends above the reference's top bin).
+WIDE_TIER_BOUNDS = (0, 500_000, 1_000_000, 2_000_000, float("inf"))
+WIDE_TIER_LABELS = ("< 500k", "500k - 1M", "1M - 2M", "2M+")
+
+
+def tier_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17 + W1 with bins scaled to the test data's spend."""
+    return analytics.tier_counts(testdata_models(spark, sf_dir)["rpt_customer_summary"],
+                                 WIDE_TIER_BOUNDS, WIDE_TIER_LABELS)
+
+
+def category_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category share of total revenue."""
+    return analytics.category_share(testdata_models(spark, sf_dir)["rpt_revenue_by_category"])
+
+
+def product_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by revenue, highest first."""
+    return analytics.product_ranking(testdata_models(spark, sf_dir)["rpt_product_performance"])
+
+
+def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 15 fact rows by order id."""
+    return analytics.preview(testdata_models(spark, sf_dir)["orders_enriched"])
+
+
+# --- data quality ------------------------------------------------------------
+
+
+def _models_and_raw(spark: SparkSession, sf_dir: str):
+    raw = testdata.raw_tables(spark, sf_dir)
+    from ledgerline.plans.models import model_graph
+
+    return model_graph(raw), raw
+
+
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 + Q3: the declared not-null tests plus raw primary keys."""
+    m, raw = _models_and_raw(spark, sf_dir)
+    return quality.declared_not_null(m, raw)
+
+
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: the declared unique tests."""
+    m, _ = _models_and_raw(spark, sf_dir)
+    return quality.declared_unique(m)
+
+
+def dq_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 + Q5: positive prices, line totals, spend and revenue."""
+    m, raw = _models_and_raw(spark, sf_dir)
+    return quality.declared_positive(m, raw)
+
+
+def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 + J5: unknown customers/products and NULL keys in the mart."""
+    m, _ = _models_and_raw(spark, sf_dir)
+    return quality.referential(m)
+
+
+def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8: model row counts against the declared minimums."""
+    m, _ = _models_and_raw(spark, sf_dir)
+    return quality.row_counts(m)
+
+
+QUERIES.update({
+    f.__name__: f
+    for f in (
+        source_profile, table_counts, monthly_trend, country_totals, top_customers,
+        customer_tiers, tier_counts, tier_counts_wide, category_share, product_ranking,
+        orders_preview, dq_not_null, dq_unique, dq_positive, dq_orphans, dq_row_counts,
+    )
+})
