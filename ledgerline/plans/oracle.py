@@ -301,3 +301,46 @@ FROM rpt_customer_summary""", True)
 
 
 _register_parametrised()
+
+
+SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")
+PUBLISHED = ("orders_enriched", "rpt_revenue_by_country", "rpt_revenue_by_category",
+             "rpt_customer_summary", "rpt_product_performance")
+
+ORACLE["parquet_roundtrip"] = ORACLE["orders_enriched"]
+ORACLE["csv_roundtrip"] = ORACLE["stg_products"]
+ORACLE["publish_roundtrip"] = ORACLE["rpt_customer_summary"]
+ORACLE["read_as_of"] = ORACLE["rpt_revenue_by_country"]
+ORACLE["extract_report"] = "\nUNION ALL\n".join(
+    f"SELECT 'dbo' AS schema_name, '{t}' AS table_name, count(*) AS row_count, "
+    f"'ok' AS status FROM {t}"
+    for t in SOURCE_TABLES
+)
+ORACLE["file_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
+    f"count(*)::INTEGER AS column_count, "
+    f"string_agg(column_name, ', ' ORDER BY column_name) AS columns "
+    f"FROM (DESCRIBE SELECT * FROM {t})"
+    for t in SOURCE_TABLES
+)
+ORACLE["publish_report"] = with_models("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, 1::BIGINT AS snapshot_id, count(*) AS written_rows, "
+    f"count(*) AS verified_rows, 'ok' AS status FROM {t}"
+    for t in PUBLISHED
+), True)
+ORACLE["snapshot_history"] = with_models("""
+SELECT 'rpt_revenue_by_category' AS table_name, s.snapshot_id, s.parent_id,
+       'overwrite' AS operation, n.n AS added_records, n.n AS total_records
+FROM (VALUES (1::BIGINT, NULL::BIGINT), (2::BIGINT, 1::BIGINT)) s(snapshot_id, parent_id),
+     (SELECT count(*) AS n FROM rpt_revenue_by_category) n""", True)
+ORACLE["schema_report"] = with_models("""
+SELECT 'orders_enriched' AS table_name,
+       (row_number() OVER ())::INTEGER AS position,
+       column_name,
+       CASE WHEN column_type = 'INTEGER' THEN 'int'
+            WHEN column_type = 'BIGINT' THEN 'bigint'
+            WHEN column_type = 'VARCHAR' THEN 'string'
+            WHEN column_type = 'DATE' THEN 'date'
+            ELSE lower(replace(column_type, ' ', '')) END AS data_type,
+       "null" = 'YES' AS nullable
+FROM (DESCRIBE SELECT * FROM orders_enriched)""")

@@ -26,6 +26,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
