@@ -137,17 +137,12 @@ def tier_counts(
 def with_share_of_total(df: DataFrame, value: str, out: str) -> DataFrame:
     """``value`` as a percentage of its column total.
 
-    The total is a one-row aggregate, joined back by broadcast on a constant
-    key: one row is the proven size bound, and no task ever holds more than
-    its own partition of ``df``.
+    The total is an uncorrelated scalar subquery: Spark runs it once and
+    hands the single value to every task, so there is no join and no task
+    ever holds more than its own partition of ``df``.
     """
-    total = df.agg(F.sum(value).alias("_total")).withColumn("_k", F.lit(0))
-    return (
-        df.withColumn("_k", F.lit(0))
-        .join(F.broadcast(total), "_k", "inner")
-        .withColumn(out, share_pct(value, "_total"))
-        .drop("_k", "_total")
-    )
+    total = df.agg(F.sum(value)).scalar()
+    return df.withColumn(out, share_pct(value, total))
 
 
 def category_share(rpt_revenue_by_category: DataFrame) -> DataFrame:

@@ -1,0 +1,81 @@
+"""Analytics datasets on the seed, plus tier bounds and shares."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from conftest import plan_text
+
+from ledgerline.functions import bucket
+from ledgerline.operators import analytics
+
+Q = Decimal
+
+
+def test_monthly_trend(seed_models):
+    m, _ = seed_models
+    df = analytics.monthly_trend_sorted(analytics.monthly_trend(m["rpt_revenue_by_country"]))
+    got = [(r.period, r.total_orders, r.total_revenue) for r in df.collect()]
+    # Monthly orders and revenue of the seed.
+    assert got == [("2024-01", 4, Q("379.95")), ("2024-02", 6, Q("439.90")),
+                   ("2024-03", 8, Q("859.84"))]
+
+
+def test_country_totals(seed_models):
+    m, _ = seed_models
+    df = analytics.country_totals_sorted(analytics.country_totals(m["rpt_revenue_by_country"]))
+    got = [(r.country, r.total_revenue, r.total_orders) for r in df.collect()]
+    # Revenue and orders per country.
+    assert got == [("DE", Q("609.90"), 4), ("UK", Q("529.90"), 7), ("US", Q("349.92"), 5),
+                   ("FR", Q("189.97"), 2)]
+
+
+def test_tier_counts_keep_empty_tiers(seed_models):
+    m, _ = seed_models
+    got = [(r.spend_tier, r.customers, r.share_pct)
+           for r in analytics.tier_counts(m["rpt_customer_summary"]).orderBy("tier_order").collect()]
+    assert got == [("< 500", 8, 100.0), ("500 - 2k", 0, 0.0), ("2k - 5k", 0, 0.0), ("5k+", 0, 0.0)]
+
+
+def test_top_customers_and_profile(seed_models):
+    m, _ = seed_models
+    top = analytics.top_customers(m["rpt_customer_summary"], 3).collect()
+    assert [r.customer_id for r in top] == [8, 1, 2]
+    prof = analytics.source_profile(m["stg_orders"]).collect()[0]
+    assert (prof.total_orders, prof.unique_customers, prof.unique_products) == (18, 8, 8)
+    assert prof.earliest_order == dt.date(2024, 1, 10)
+    assert prof.latest_order == dt.date(2024, 3, 22)
+
+
+def test_table_counts(seed_models):
+    m, raw = seed_models
+    got = {r.table_name: r.row_count for r in analytics.table_counts(raw).collect()}
+    assert got == {"customers": 8, "products": 8, "orders": 18}
+
+
+def test_bucket_bounds(spark):
+    vals = [(0.0,), (1.0,), (500.0,), (500.01,), (2000.0,), (5000.0,), (9999.0,), (None,)]
+    df = spark.createDataFrame(vals, "v double")
+    got = [r[0] for r in df.select(bucket("v")).collect()]
+    assert got == [None, "< 500", "< 500", "500 - 2k", "500 - 2k", "2k - 5k", "5k+", None]
+
+
+def test_category_share_sums_to_100(seed_models):
+    m, _ = seed_models
+    df = analytics.category_share(m["rpt_revenue_by_category"])
+    shares = {r.category: r.revenue_share_pct for r in df.collect()}
+    assert abs(sum(shares.values()) - 100.0) < 1e-9
+    assert abs(shares["Electronics"] - 709.93 * 100 / 1679.69) < 1e-9
+    plan = plan_text(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_preview_and_ranking(seed_models):
+    m, _ = seed_models
+    prev = analytics.preview(m["orders_enriched"], 3).collect()
+    assert [r.order_id for r in prev] == [1001, 1002, 1003]
+    rank = analytics.product_ranking(m["rpt_product_performance"]).collect()
+    assert [r.product_id for r in rank][:3] == [105, 102, 101]
+    spend = analytics.customers_by_spend(m["rpt_customer_summary"]).collect()
+    assert spend[0].customer_name == "Eve Davis"

@@ -1,0 +1,129 @@
+"""Golden values of every model on the 8/8/18 seed, cell by cell."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from ledgerline.operators import reports
+from ledgerline.operators.marts import ENRICHED_COLUMNS
+
+Q = Decimal
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_staging_types_and_cleaning(spark, seed_models):
+    m, _ = seed_models
+    assert dict(m["stg_customers"].dtypes) == {
+        "customer_id": "int", "customer_name": "string", "email": "string",
+        "country": "string", "signup_date": "date"}
+    assert dict(m["stg_products"].dtypes)["unit_price"] == "decimal(10,2)"
+    assert dict(m["stg_orders"].dtypes) == {
+        "order_id": "int", "customer_id": "int", "product_id": "int", "quantity": "int",
+        "order_date": "date", "status": "string"}
+    assert m["stg_orders"].count() == 18
+
+
+def test_orders_enriched(seed_models):
+    m, _ = seed_models
+    e = m["orders_enriched"]
+    assert e.columns == list(ENRICHED_COLUMNS)
+    got = dict((r[0], (r[1], r[2])) for r in rows(e, "order_id", "line_total", "days_since_signup"))
+    # line_total and days_since_signup per order.
+    expected = {
+        1001: ("79.99", 360), 1002: ("119.98", 326), 1003: ("129.99", 365),
+        1004: ("49.99", 316), 1005: ("89.97", 302), 1006: ("39.98", 259),
+        1007: ("39.99", 355), 1008: ("159.98", 241), 1009: ("49.99", 205),
+        1010: ("59.99", 352), 1011: ("259.98", 200), 1012: ("79.96", 415),
+        1013: ("49.99", 293), 1014: ("79.98", 342), 1015: ("29.99", 271),
+        1016: ("79.99", 232), 1017: ("179.97", 219), 1018: ("99.98", 396),
+    }
+    assert got == {k: (Q(a), b) for k, (a, b) in expected.items()}
+    assert sum(v[0] for v in got.values()) == Q("1679.69")
+    types = dict(e.dtypes)
+    assert types["line_total"] == "decimal(10,2)"
+    assert types["days_since_signup"] == "bigint"
+    assert types["order_month"] == "int" and types["order_year"] == "int"
+
+
+def test_revenue_by_country(seed_models):
+    m, _ = seed_models
+    df = m["rpt_revenue_by_country"]
+    # Fixed values: (country, year, month, orders, units, revenue, avg order value).
+    expected = [
+        ("UK", 2024, 1, 3, 3, "259.97", "86.66"),
+        ("US", 2024, 1, 1, 2, "119.98", "119.98"),
+        ("DE", 2024, 2, 1, 3, "89.97", "89.97"),
+        ("FR", 2024, 2, 1, 2, "159.98", "159.98"),
+        ("UK", 2024, 2, 2, 2, "109.98", "54.99"),
+        ("US", 2024, 2, 2, 3, "79.97", "39.99"),
+        ("DE", 2024, 3, 3, 7, "519.93", "173.31"),
+        ("FR", 2024, 3, 1, 1, "29.99", "29.99"),
+        ("UK", 2024, 3, 2, 5, "159.95", "79.97"),  # the double-division tie
+        ("US", 2024, 3, 2, 3, "149.97", "74.99"),
+    ]
+    got = [tuple(r) for r in reports.ordered("rpt_revenue_by_country", df).collect()]
+    assert got == [(c, y, mo, n, u, Q(r), Q(a)) for c, y, mo, n, u, r, a in expected]
+    assert dict(df.dtypes)["units_sold"] == "bigint"
+    assert dict(df.dtypes)["total_revenue"] == "decimal(12,2)"
+    assert dict(df.dtypes)["avg_order_value"] == "decimal(10,2)"
+
+
+def test_revenue_by_category(seed_models):
+    m, _ = seed_models
+    df = reports.ordered("rpt_revenue_by_category", m["rpt_revenue_by_category"])
+    # Fixed values: (category, orders, units, revenue, aov, avg price, products).
+    expected = [
+        ("Electronics", 5, 7, "709.93", "141.99", "99.99", 2),
+        ("Footwear", 3, 6, "359.94", "119.98", "59.99", 1),
+        ("Sports", 4, 10, "239.90", "59.98", "24.99", 2),
+        ("Accessories", 2, 3, "149.97", "74.99", "49.99", 1),
+        ("Home Office", 2, 3, "119.97", "59.99", "39.99", 1),
+        ("Kitchen", 2, 2, "99.98", "49.99", "49.99", 1),
+    ]
+    got = [tuple(r) for r in df.collect()]
+    assert got == [(c, n, u, Q(r), Q(a), Q(p), k) for c, n, u, r, a, p, k in expected]
+
+
+def test_customer_summary(seed_models):
+    m, _ = seed_models
+    df = m["rpt_customer_summary"]
+    D = dt.date.fromisoformat
+    # Fixed values: (id, orders, units, spend, aov, first, last, days).
+    expected = [
+        (8, 2, 5, "439.95", "219.98", "2024-03-01", "2024-03-20", 19),
+        (1, 3, 6, "289.94", "96.65", "2024-01-10", "2024-03-05", 55),
+        (2, 3, 5, "259.95", "86.65", "2024-01-12", "2024-03-22", 70),
+        (6, 2, 3, "189.97", "94.99", "2024-02-14", "2024-03-15", 30),
+        (4, 2, 5, "169.95", "84.98", "2024-02-01", "2024-03-12", 40),
+        (7, 2, 2, "129.98", "64.99", "2024-02-20", "2024-03-18", 27),
+        (3, 2, 2, "109.98", "54.99", "2024-01-20", "2024-02-25", 36),
+        (5, 2, 3, "89.97", "44.99", "2024-02-05", "2024-03-10", 34),
+    ]
+    got = [(r.customer_id, r.total_orders, r.total_units, r.total_spend, r.avg_order_value,
+            r.first_order_date, r.last_order_date, r.days_as_customer)
+           for r in reports.ordered("rpt_customer_summary", df).collect()]
+    assert got == [(i, n, u, Q(s), Q(a), D(f), D(la), d) for i, n, u, s, a, f, la, d in expected]
+
+
+def test_product_performance(seed_models):
+    m, _ = seed_models
+    df = m["rpt_product_performance"]
+    # Fixed values: (id, orders, units, revenue, aov, stock, original stock).
+    expected = [
+        (105, 2, 3, "389.97", "194.99", 60, 63),
+        (102, 3, 6, "359.94", "119.98", 200, 206),
+        (101, 3, 4, "319.96", "106.65", 150, 154),
+        (108, 2, 3, "149.97", "74.99", 90, 93),
+        (107, 2, 3, "119.97", "59.99", 120, 123),
+        (104, 2, 4, "119.96", "59.98", 300, 304),
+        (106, 2, 6, "119.94", "59.97", 500, 506),
+        (103, 2, 2, "99.98", "49.99", 80, 82),
+    ]
+    got = [(r.product_id, r.num_orders, r.units_sold, r.total_revenue, r.avg_order_value,
+            r.stock_remaining, r.original_stock_estimate)
+           for r in reports.ordered("rpt_product_performance", df).collect()]
+    assert got == [(i, n, u, Q(r), Q(a), s, o) for i, n, u, r, a, s, o in expected]
