@@ -23,12 +23,25 @@ REVENUE_TYPE = "decimal(12,2)"
 AVG_PRECISION = 10
 
 
-def _revenue(revenue_type: str):
-    return F.sum("line_total").cast(revenue_type)
-
-
-def _avg_order_value():
-    return ratio_as_decimal(F.sum("line_total"), F.countDistinct("order_id"), AVG_PRECISION, 2)
+def _sales_aggs() -> list:
+    """The shared base aggregates, each computed once per group."""
+    return [
+        F.countDistinct("order_id").alias("_orders"),
+        F.sum("quantity").alias("_units"),
+        F.sum("line_total").alias("_revenue"),
+    ]
+
+
+def _sales_cols(revenue_type: str, orders: str, units: str, revenue: str,
+                units_type: str = "int") -> list:
+    """Derived report columns from :func:`_sales_aggs`."""
+    return [
+        F.col("_orders").alias(orders),
+        F.col("_units").cast(units_type).alias(units),
+        F.col("_revenue").cast(revenue_type).alias(revenue),
+        ratio_as_decimal(F.col("_revenue"), F.col("_orders"), AVG_PRECISION, 2)
+        .alias("avg_order_value"),
+    ]
 
 
 def rpt_revenue_by_country(enriched: DataFrame, revenue_type: str = REVENUE_TYPE) -> DataFrame:
@@ -42,14 +55,9 @@ def rpt_revenue_by_country(enriched: DataFrame, revenue_type: str = REVENUE_TYPE
             F.col("order_year").alias("year"),
             F.col("order_month").alias("month"),
         )
-        .agg(
-            F.countDistinct("order_id").alias("num_orders"),
-            F.sum("quantity").cast("bigint").alias("units_sold"),
-            _revenue(revenue_type).alias("total_revenue"),
-            _avg_order_value().alias("avg_order_value"),
-        )
-        .select("country", "year", "month", "num_orders", "units_sold",
-                "total_revenue", "avg_order_value")
+        .agg(*_sales_aggs())
+        .select("country", "year", "month",
+                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue", "bigint"))
     )
 
 
@@ -59,26 +67,28 @@ def rpt_revenue_by_category(enriched: DataFrame, revenue_type: str = REVENUE_TYP
     ``avg_unit_price`` averages the price over fact rows (weighted by line),
     not over products.
     """
-    return enriched.groupBy("category").agg(
-        F.countDistinct("order_id").alias("num_orders"),
-        F.sum("quantity").cast("int").alias("units_sold"),
-        _revenue(revenue_type).alias("total_revenue"),
-        _avg_order_value().alias("avg_order_value"),
-        decimal_avg("unit_price", 2, AVG_PRECISION).alias("avg_unit_price"),
-        F.countDistinct("product_id").alias("num_products"),
+    return (
+        enriched.groupBy("category")
+        .agg(*_sales_aggs(),
+             decimal_avg("unit_price", 2, AVG_PRECISION).alias("avg_unit_price"),
+             F.countDistinct("product_id").alias("num_products"))
+        .select("category",
+                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue"),
+                "avg_unit_price", "num_products")
     )
 
 
 def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE) -> DataFrame:
     """A3: lifetime metrics per customer (only customers with orders)."""
-    return enriched.groupBy("customer_id", "customer_name", "email", "country").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("quantity").cast("int").alias("total_units"),
-        _revenue(revenue_type).alias("total_spend"),
-        _avg_order_value().alias("avg_order_value"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        day_diff(F.min("order_date"), F.max("order_date")).alias("days_as_customer"),
+    return (
+        enriched.groupBy("customer_id", "customer_name", "email", "country")
+        .agg(*_sales_aggs(),
+             F.min("order_date").alias("first_order_date"),
+             F.max("order_date").alias("last_order_date"))
+        .select("customer_id", "customer_name", "email", "country",
+                *_sales_cols(revenue_type, "total_orders", "total_units", "total_spend"),
+                "first_order_date", "last_order_date",
+                day_diff("first_order_date", "last_order_date").alias("days_as_customer"))
     )
 
 
@@ -90,11 +100,11 @@ def rpt_product_performance(
     The aggregate runs first, so the join sees one row per sold product
     rather than one per order line.
     """
-    sales = enriched.groupBy("product_id", "product_name", "category", "unit_price").agg(
-        F.countDistinct("order_id").alias("num_orders"),
-        F.sum("quantity").cast("int").alias("units_sold"),
-        _revenue(revenue_type).alias("total_revenue"),
-        _avg_order_value().alias("avg_order_value"),
+    sales = (
+        enriched.groupBy("product_id", "product_name", "category", "unit_price")
+        .agg(*_sales_aggs())
+        .select("product_id", "product_name", "category", "unit_price",
+                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue"))
     )
     stock = stg_products.select("product_id", F.col("stock_qty").alias("stock_remaining"))
     return sales.join(stock, "product_id", "inner").select(

@@ -16,13 +16,20 @@ from ledgerline.operators import marts, reports, staging
 from ledgerline.sources import testdata
 
 
-def model_graph(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All models keyed by name, built from the three raw tables."""
-    staged = staging.stage_all(raw)
+def model_graph(raw: dict[str, DataFrame], id_type: str = staging.ID_TYPE,
+                revenue_type: str = reports.REVENUE_TYPE) -> dict[str, DataFrame]:
+    """All models keyed by name, built from the three raw tables.
+
+    ``id_type`` and ``revenue_type`` default to the contract (``int`` keys,
+    ``decimal(12,2)`` sums).  Both fail loudly on overflow under ANSI mode;
+    a deployment whose keys pass 2^31 or whose group totals pass 10^10 widens
+    them (``bigint``, ``decimal(18,2)``) rather than truncating.
+    """
+    staged = staging.stage_all(raw, id_type)
     enriched = marts.build_mart(staged)
     out = dict(staged)
     out["orders_enriched"] = enriched
-    out.update(reports.build_reports(enriched, staged["stg_products"]))
+    out.update(reports.build_reports(enriched, staged["stg_products"], revenue_type))
     return out
 
 
