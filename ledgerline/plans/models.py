@@ -2,37 +2,107 @@
 
     raw (sources) -> staged (views) -> orders_enriched (mart) -> 4 reports
 
-:func:`model_graph` returns every model lazily.  Nothing runs until an action;
-Catalyst then optimizes each requested model as one plan.  To share the
-mart between several reports, materialise it (see ``plans.jobs``) instead of
+:class:`ModelGraph` builds each model lazily, on first access, from the
+models it depends on; nothing runs until an action, and Catalyst then
+optimizes each requested model as one plan.  To share the mart between
+several reports at run time, materialise it (see ``plans.jobs``) instead of
 recomputing it per report.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import marts, reports, staging
 from ledgerline.sources import testdata
 
+MODEL_NAMES = (
+    "stg_customers",
+    "stg_orders",
+    "stg_products",
+    "orders_enriched",
+    "rpt_revenue_by_country",
+    "rpt_revenue_by_category",
+    "rpt_customer_summary",
+    "rpt_product_performance",
+)
+
 
-def model_graph(raw: dict[str, DataFrame], id_type: str = staging.ID_TYPE,
-                revenue_type: str = reports.REVENUE_TYPE) -> dict[str, DataFrame]:
-    """All models keyed by name, built from the three raw tables.
+class ModelGraph(Mapping[str, DataFrame]):
+    """All models keyed by name, built on demand from the three raw tables.
 
     ``id_type`` and ``revenue_type`` default to the contract (``int`` keys,
     ``decimal(12,2)`` sums).  Both fail loudly on overflow under ANSI mode;
     a deployment whose keys pass 2^31 or whose group totals pass 10^10 widens
     them (``bigint``, ``decimal(18,2)``) rather than truncating.
     """
-    staged = staging.stage_all(raw, id_type)
-    enriched = marts.build_mart(staged)
-    out = dict(staged)
-    out["orders_enriched"] = enriched
-    out.update(reports.build_reports(enriched, staged["stg_products"], revenue_type))
-    return out
+
+    def __init__(self, raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
+                 revenue_type: str = reports.REVENUE_TYPE):
+        self.raw = raw
+        self.id_type = id_type
+        self.revenue_type = revenue_type
+        self._built: dict[str, DataFrame] = {}
+
+    def _build(self, name: str) -> DataFrame:
+        if name == "stg_customers":
+            return staging.stg_customers(self.raw["customers"], self.id_type)
+        if name == "stg_orders":
+            return staging.stg_orders(self.raw["orders"], self.id_type)
+        if name == "stg_products":
+            return staging.stg_products(self.raw["products"], self.id_type)
+        if name == "orders_enriched":
+            return marts.orders_enriched(self["stg_orders"], self["stg_customers"],
+                                         self["stg_products"])
+        e, rt = self["orders_enriched"], self.revenue_type
+        if name == "rpt_revenue_by_country":
+            return reports.rpt_revenue_by_country(e, rt)
+        if name == "rpt_revenue_by_category":
+            return reports.rpt_revenue_by_category(e, rt)
+        if name == "rpt_customer_summary":
+            return reports.rpt_customer_summary(e, rt)
+        if name == "rpt_product_performance":
+            return reports.rpt_product_performance(e, self["stg_products"], rt)
+        raise KeyError(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in MODEL_NAMES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODEL_NAMES)
+
+    def __len__(self) -> int:
+        return len(MODEL_NAMES)
+
+
+def model_graph(raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
+                revenue_type: str = reports.REVENUE_TYPE) -> ModelGraph:
+    """:class:`ModelGraph` over the three raw tables."""
+    return ModelGraph(raw, id_type, revenue_type)
+
+
+_GRAPHS: dict[tuple[str, str], tuple[dict[str, DataFrame], ModelGraph]] = {}
+
+
+def testdata_graph(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], ModelGraph]:
+    """Raw tables and model graph over the test tables in ``sf_dir``.
+
+    The lazy plan objects are reused within one application (they hold no
+    data); every action still scans the full tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GRAPHS:
+        raw = testdata.raw_tables(spark, sf_dir)
+        _GRAPHS[key] = (raw, model_graph(raw))
+    return _GRAPHS[key]
 
 
-def testdata_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def testdata_models(spark: SparkSession, sf_dir: str) -> ModelGraph:
     """:func:`model_graph` over the test tables in ``sf_dir``."""
-    return model_graph(testdata.raw_tables(spark, sf_dir))
+    return testdata_graph(spark, sf_dir)[1]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans.models import testdata_models
+from ledgerline.plans.models import testdata_graph, testdata_models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +43,6 @@ QUERIES: dict[str, Query] = {
 # --- analytics datasets (notebook layer) -----------------------------------
 
 from ledgerline.operators import analytics, quality  # noqa: E402
-from ledgerline.sources import testdata  # noqa: E402
 
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,10 +116,8 @@ def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _models_and_raw(spark: SparkSession, sf_dir: str):
-    raw = testdata.raw_tables(spark, sf_dir)
-    from ledgerline.plans.models import model_graph
-
-    return model_graph(raw), raw
+    raw, models = testdata_graph(spark, sf_dir)
+    return models, raw
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:

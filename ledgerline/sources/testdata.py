@@ -25,14 +25,55 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: suffix that turns a customer name into an e-mail address.
 EMAIL_DOMAIN = "@Example.com"
 
 
+# Declared schemas of the test tables this module reads: a read with a
+# schema skips the footer-inference job Spark otherwise runs per table.
+TEST_SCHEMAS: dict[str, str] = {
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+               "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+    "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                 "c_mktsegment string"),
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+# The key each table is joined on first; used to spread under-split scans.
+JOIN_KEYS = {
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "customer": "c_custkey",
+    "part": "p_partkey",
+}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition a scan that has fewer partitions than the cluster has cores.
+
+    A table stored as a few large row groups is read by a few tasks, and
+    every operator up to the first shuffle would run at that parallelism.
+    On the join key, the extra exchange is the one the join needs anyway.
+    Inputs made of many files (any large deployment) are returned as is.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table by name (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, JOIN_KEYS.get(name)) if name in JOIN_KEYS else df
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
