@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
-    from ledgerline.session import build_session, shared_dir
+    from ledgerline.session import build_session, input_bytes, shared_dir, size_shuffle_partitions
     from ledgerline.sinks.lakehouse import SnapshotStore
 
     spark = build_session(args.master)
@@ -58,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
             report = jobs.extract(spark, _source(spark, args), parquet_dir, args.tables)
             report.show(truncate=False)
             jobs.raise_on_extract_failure(report)
+        if args.step in ("build", "test", "publish", "all"):
+            size_shuffle_partitions(spark, input_bytes(spark, parquet_dir))
         if args.step in ("build", "all"):
             jobs.build_models(spark, _raw(spark, parquet_dir), models_dir,
                               os.path.join(root, "output", "orders_enriched.parquet"))

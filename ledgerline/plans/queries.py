@@ -11,7 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.operators import analytics, quality
 from ledgerline.plans.models import testdata_graph, testdata_models
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.files import write_csv, write_parquet
+from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sources.files import ParquetDirSource, read_csv, read_parquet
+from ledgerline.sources.files import file_profile as _file_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,8 +48,6 @@ QUERIES: dict[str, Query] = {
 
 # --- analytics datasets (notebook layer) -----------------------------------
 
-from ledgerline.operators import analytics, quality  # noqa: E402
-
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-row profile of the staged orders."""
@@ -162,11 +166,6 @@ QUERIES.update({
 
 # --- sinks, versioned publish, extraction ----------------------------------------
 
-from ledgerline.session import fresh_dir  # noqa: E402
-from ledgerline.sinks.files import write_csv, write_parquet  # noqa: E402
-from ledgerline.sinks.lakehouse import SnapshotStore  # noqa: E402
-from ledgerline.sources.files import ParquetDirSource, file_profile as _file_profile  # noqa: E402
-from ledgerline.sources.files import read_csv, read_parquet  # noqa: E402
 
 # Test tables the extraction and profile queries copy (those the models use).
 SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")

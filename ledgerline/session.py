@@ -77,3 +77,32 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder under :func:`shared_dir` for one run."""
     return shared_dir(spark, "runs", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total bytes stored under ``paths`` (one summary call per path)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, stored_bytes: int,
+                            bytes_per_partition: int = 64 * 1024 * 1024,
+                            maximum: int = 100_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the input.
+
+    About one partition per ``bytes_per_partition`` of stored (compressed)
+    input, never fewer than twice the cores and at most ``maximum``.  AQE
+    then coalesces partitions that turn out small and splits skewed ones,
+    so the number only has to be large enough that no partition spills.
+    """
+    floor = 2 * spark.sparkContext.defaultParallelism
+    n = min(maximum, max(floor, -(-stored_bytes // bytes_per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
