@@ -214,6 +214,25 @@ def row_counts(models: Mapping[str, DataFrame], min_rows: Mapping[str, int] = MI
     return union_all(parts)
 
 
+def counts_match(left: Mapping[str, DataFrame], right: Mapping[str, DataFrame]) -> DataFrame:
+    """Q11: per table, the row counts in two stores and whether they agree.
+
+    Both sides are labelled one-row counts (``UNION ALL``), joined on the
+    table name; a table missing from one side counts as a mismatch.
+    """
+    def labelled(tables, col):
+        return union_all(
+            df.agg(F.count(F.lit(1)).alias(col)).select(F.lit(n).alias("table_name"), col)
+            for n, df in tables.items()
+        )
+
+    joined = labelled(left, "left_rows").join(labelled(right, "right_rows"), "table_name", "full")
+    return joined.select(
+        "table_name", "left_rows", "right_rows",
+        F.coalesce(F.col("left_rows") == F.col("right_rows"), F.lit(False)).alias("matched"),
+    )
+
+
 def required_columns(df: DataFrame, table: str, required: Sequence[str]) -> list[str]:
     """Q9: required columns missing from ``df`` (extra columns allowed)."""
     have = set(df.columns)

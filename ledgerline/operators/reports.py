@@ -121,8 +121,9 @@ def rpt_product_performance(
     )
 
 
-# Display orders of the reports (O2, O3): (column, descending) pairs.
+# Display orders of the mart and reports (O1-O3): (column, descending) pairs.
 REPORT_ORDER: dict[str, list[tuple[str, bool]]] = {
+    "orders_enriched": [("order_id", False)],
     "rpt_revenue_by_country": [("year", False), ("month", False), ("country", False)],
     "rpt_revenue_by_category": [("total_revenue", True)],
     "rpt_customer_summary": [("total_spend", True)],

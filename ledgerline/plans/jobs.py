@@ -6,7 +6,7 @@ E2     ``build_models``: staging views -> materialised mart -> four reports
 E3     ``run_data_tests``: the quality suite, raising on any failure
 E4     ``publish``: versioned tables with verification and a per-table report
 E5     ``analytics``: the notebook datasets from the published tables
-E6     ``run_all``: E1 -> E2 -> E3 -> E4
+E6     ``run_all``: E1 -> E2 -> E3 -> E4, then Q11 (built vs published counts)
 =====  =========================================================================
 
 Each job is a function over DataFrames; tables are written to paths under
@@ -175,6 +175,12 @@ def run_all(spark: SparkSession, source: TableSource, root: str,
     models = build_models(spark, raw, os.path.join(root, "models"),
                           os.path.join(root, "output", "orders_enriched.parquet"))
     tests = run_data_tests(models, raw, allow)
-    published = publish(spark, models, os.path.join(root, "warehouse"))
+    warehouse = os.path.join(root, "warehouse")
+    published = publish(spark, models, warehouse)
+    store = SnapshotStore(spark, warehouse)
+    stores = quality.counts_match({t: models[t] for t in PUBLISHED_TABLES},
+                                  {t: store.read(t) for t in PUBLISHED_TABLES})
+    if stores.where(~F.col("matched")).limit(1).count():
+        raise RuntimeError("published row counts differ from the built tables")
     return {"extract_report": report, "data_tests": tests, "publish_report": published,
-            **models}
+            "store_counts": stores, **models}

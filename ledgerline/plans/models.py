@@ -81,6 +81,18 @@ class ModelGraph(Mapping[str, DataFrame]):
         return len(MODEL_NAMES)
 
 
+def register_views(models: Mapping[str, DataFrame], names=None) -> list[str]:
+    """K3: expose models as temporary views for SQL users (default: all).
+
+    Views stay lazy: ``spark.sql("select ... from stg_orders")`` is planned
+    together with the view's definition, like any DataFrame.
+    """
+    names = list(models) if names is None else list(names)
+    for name in names:
+        models[name].createOrReplaceTempView(name)
+    return names
+
+
 def model_graph(raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
                 revenue_type: str = reports.REVENUE_TYPE) -> ModelGraph:
     """:class:`ModelGraph` over the three raw tables."""

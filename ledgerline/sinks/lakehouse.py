@@ -31,7 +31,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("snapshot_id", T.LongType(), False),
     T.StructField("parent_id", T.LongType(), True),
-    T.StructField("committed_at", T.TimestampType(), False),
+    T.StructField("timestamp_ms", T.LongType(), False),
     T.StructField("operation", T.StringType(), False),
     T.StructField("added_records", T.LongType(), False),
     T.StructField("total_records", T.LongType(), False),
@@ -47,6 +47,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _millis(t: dt.datetime) -> int:
+    """Epoch milliseconds of ``t`` (naive values are taken as UTC)."""
+    if t.tzinfo is None:
+        t = t.replace(tzinfo=dt.timezone.utc)
+    return int(t.timestamp() * 1000)
+
+
 class PublishMismatch(RuntimeError):
     """The re-read row count differs from the rows written."""
 
@@ -101,11 +108,12 @@ class SnapshotStore:
         verified = self.spark.read.parquet(path).count()
         if verified != written:
             raise PublishMismatch(f"{table}: wrote {written} rows, read back {verified}")
+        now = dt.datetime.now(dt.timezone.utc)
         commit = {
             "table_name": table,
             "snapshot_id": snap,
             "parent_id": parent,
-            "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            "timestamp_ms": int(now.timestamp() * 1000),
             "operation": "overwrite",
             "added_records": written,
             "total_records": verified,
@@ -114,7 +122,7 @@ class SnapshotStore:
         }
         (self.spark.createDataFrame([commit], LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(self.log_path))
-        return commit
+        return {**commit, "committed_at": now}
 
     def publish_all(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """K9: publish several tables; one report row per table.
@@ -141,7 +149,7 @@ class SnapshotStore:
         if snapshot_id is not None:
             log = log.where(F.col("snapshot_id") == snapshot_id)
         if as_of is not None:
-            log = log.where(F.col("committed_at") <= F.lit(as_of))
+            log = log.where(F.col("timestamp_ms") <= F.lit(_millis(as_of)))
         row = log.agg(F.max("snapshot_id")).collect()[0][0]
         if row is None:
             raise LookupError(f"no snapshot of {self.namespace}.{table} matches")
@@ -171,9 +179,11 @@ class SnapshotStore:
         log = self.log()
         if table is not None:
             log = log.where(F.col("table_name") == table)
-        return log.select("table_name", "snapshot_id", "parent_id", "committed_at",
-                          "operation", "added_records", "total_records").orderBy(
-            "table_name", "snapshot_id")
+        return log.select(
+            "table_name", "snapshot_id", "parent_id",
+            F.timestamp_millis("timestamp_ms").alias("committed_at"),
+            "operation", "added_records", "total_records",
+        ).orderBy("table_name", "snapshot_id")
 
     def schema(self, table: str, snapshot_id: int | None = None) -> DataFrame:
         """M2: (position, name, type, nullable) of a committed version."""

@@ -92,3 +92,33 @@ def test_publish_all_reports_each_table(spark, seed_models):
            for r in store.publish_all({"orders_enriched": m["orders_enriched"],
                                        "rpt_customer_summary": m["rpt_customer_summary"]}).collect()}
     assert rep == {"orders_enriched": (18, 18, "ok"), "rpt_customer_summary": (8, 8, "ok")}
+
+
+def test_history_times_come_from_epoch_millis(spark):
+    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    c = store.publish("t", spark.createDataFrame([(1,)], "id int"))
+    row = store.history("t").collect()[0]
+    assert dict(store.history("t").dtypes)["committed_at"] == "timestamp"
+    got = row.committed_at.replace(tzinfo=dt.timezone.utc) if row.committed_at.tzinfo is None \
+        else row.committed_at
+    assert abs((got - c["committed_at"]).total_seconds()) < 1.0
+
+
+def test_counts_match_between_stores(spark):
+    from ledgerline.operators.quality import counts_match
+
+    a = {"x": spark.range(3), "y": spark.range(2)}
+    b = {"x": spark.range(3), "y": spark.range(5), "z": spark.range(1)}
+    got = {r.table_name: (r.left_rows, r.right_rows, r.matched)
+           for r in counts_match(a, b).collect()}
+    assert got == {"x": (3, 3, True), "y": (2, 5, False), "z": (None, 1, False)}
+
+
+def test_models_as_sql_views(spark, seed_models):
+    from ledgerline.plans.models import register_views
+
+    m, _ = seed_models
+    register_views(m, ["rpt_revenue_by_category"])
+    got = spark.sql("SELECT category, total_revenue FROM rpt_revenue_by_category "
+                    "ORDER BY total_revenue DESC LIMIT 1").collect()[0]
+    assert got.category == "Electronics"
