@@ -6,8 +6,9 @@ Layout under ``root``::
     <namespace>/_snapshots/part-*.parquet                the commit log
 
 A publish writes the new version's folder with Spark's ordinary Parquet
-writer, re-reads it to verify the row count, and only then appends one row to
-the commit log.  The log row *is* the commit: readers resolve versions through
+writer, re-reads it to verify the row count, and only then appends its row to
+the commit log (one append for all tables of a multi-table publish, so they
+become visible together).  The log row *is* the commit: readers resolve versions through
 the log, so a write that failed half-way is never visible, and earlier
 versions stay readable (time travel) because nothing is ever deleted.
 
@@ -84,59 +85,81 @@ class SnapshotStore:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
 
+    def _latest_all(self) -> dict[str, tuple[int, int]]:
+        """Newest (snapshot_id, total_records) of every table: one small job."""
+        log = self.log()
+        newest = log.groupBy("table_name").agg(F.max("snapshot_id").alias("snapshot_id"))
+        rows = log.join(newest, ["table_name", "snapshot_id"]).select(
+            "table_name", "snapshot_id", "total_records").collect()
+        return {r[0]: (r[1], r[2]) for r in rows}
+
     def _latest(self, table: str) -> tuple[int, int] | None:
         """(snapshot_id, total_records) of the newest version, if any."""
-        row = (self.log().where(F.col("table_name") == table)
-               .orderBy(F.col("snapshot_id").desc()).select("snapshot_id", "total_records")
-               .limit(1).collect())
-        return (row[0][0], row[0][1]) if row else None
+        return self._latest_all().get(table)
 
-    # -- write (K6-K8) -------------------------------------------------------------
-    def publish(self, table: str, df: DataFrame) -> dict:
-        """Write ``df`` as the next version of ``table`` and commit it.
-
-        Every version replaces the table's content (operation ``overwrite``);
-        older versions stay readable.  Returns the commit row as a dict;
-        raises :class:`PublishMismatch` if the re-read count differs from the
-        rows written (nothing is committed then).
-        """
-        latest = self._latest(table)
-        parent = latest[0] if latest else None
+    # -- write (K6-K9) -------------------------------------------------------------
+    def _write_version(self, table: str, df: DataFrame, parent: int | None) -> dict:
+        """Write and verify the next version's files; returns its commit row."""
         snap = (parent or 0) + 1
         path = self.snapshot_path(table, snap)
         written = write_parquet(df, path)
         verified = self.spark.read.parquet(path).count()
         if verified != written:
             raise PublishMismatch(f"{table}: wrote {written} rows, read back {verified}")
-        now = dt.datetime.now(dt.timezone.utc)
-        commit = {
+        return {
             "table_name": table,
             "snapshot_id": snap,
             "parent_id": parent,
-            "timestamp_ms": int(now.timestamp() * 1000),
+            "timestamp_ms": 0,
             "operation": "overwrite",
             "added_records": written,
             "total_records": verified,
             "column_count": len(df.columns),
             "schema_json": df.schema.json(),
         }
-        (self.spark.createDataFrame([commit], LOG_SCHEMA)
+
+    def _commit(self, commits: list[dict]) -> dt.datetime:
+        """Append the commit rows in one write: they become visible together."""
+        now = dt.datetime.now(dt.timezone.utc)
+        ms = int(now.timestamp() * 1000)
+        rows = [{**c, "timestamp_ms": ms} for c in commits]
+        (self.spark.createDataFrame(rows, LOG_SCHEMA)
          .coalesce(1).write.mode("append").parquet(self.log_path))
-        return {**commit, "committed_at": now}
+        return now
+
+    def publish(self, table: str, df: DataFrame) -> dict:
+        """Write ``df`` as the next version of ``table`` and commit it.
+
+        Every version replaces the table's content (operation ``overwrite``);
+        older versions stay readable.  Returns the commit row as a dict;
+        raises :class:`PublishMismatch` if the re-read count differs from the
+        rows written (nothing is committed then).
+        """
+        latest = self._latest(table)
+        commit = self._write_version(table, df, latest[0] if latest else None)
+        now = self._commit([commit])
+        return {**commit, "timestamp_ms": int(now.timestamp() * 1000), "committed_at": now}
 
     def publish_all(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """K9: publish several tables; one report row per table.
 
-        A table that fails is reported with status ``failed`` and the others
-        still run; :func:`raise_on_failure` turns the report into an error.
+        Every table is written and verified, then all that succeeded are
+        committed together by one log append.  A table that fails is reported
+        with status ``failed`` and the others still run;
+        :func:`raise_on_failure` turns the report into an error.
         """
-        rows = []
+        latest = self._latest_all()
+        commits, rows = [], []
         for name, df in tables.items():
             try:
-                c = self.publish(name, df)
+                parent = latest[name][0] if name in latest else None
+                c = self._write_version(name, df, parent)
+                commits.append(c)
                 rows.append((name, c["snapshot_id"], c["added_records"], c["total_records"], "ok"))
             except Exception as exc:  # noqa: BLE001 - reported per table
                 rows.append((name, None, None, None, f"failed: {type(exc).__name__}"))
+        if commits:
+            self._commit(commits)
         return self.spark.createDataFrame(
             rows, "table_name string, snapshot_id bigint, written_rows bigint, "
                   "verified_rows bigint, status string")

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import input_bytes
+
 # Fixed value: suffix that turns a customer name into an e-mail address.
 EMAIL_DOMAIN = "@Example.com"
 
@@ -55,14 +57,22 @@ JOIN_KEYS = {
 }
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition a scan that has fewer partitions than the cluster has cores.
+# Below this stored size a single scan task is cheaper than an extra shuffle
+# (small tables end up broadcast anyway).
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
+def spread(df: DataFrame, key: str | None, stored_bytes: int) -> DataFrame:
+    """Hash-repartition a large scan that has fewer partitions than cores.
 
     A table stored as a few large row groups is read by a few tasks, and
     every operator up to the first shuffle would run at that parallelism.
     On the join key, the extra exchange is the one the join needs anyway.
-    Inputs made of many files (any large deployment) are returned as is.
+    Inputs made of many files (any large deployment) and small tables are
+    returned as they are.
     """
+    if stored_bytes < SPREAD_MIN_BYTES:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
@@ -71,9 +81,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table by name (``<sf_dir>/<name>.parquet``)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
     reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
-    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df, JOIN_KEYS.get(name)) if name in JOIN_KEYS else df
+    df = reader.parquet(path)
+    if name not in JOIN_KEYS:
+        return df
+    return spread(df, JOIN_KEYS[name], input_bytes(spark, path))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
