@@ -41,6 +41,23 @@ COLUMNS_SQL: dict[str, str] = {
     ),
 }
 
+# Single-column primary key of one table, with its type.
+PRIMARY_KEY_SQL: dict[str, str] = {
+    "sqlserver": (
+        "SELECT k.COLUMN_NAME, c.DATA_TYPE "
+        "FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS t "
+        "JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE k "
+        "  ON t.CONSTRAINT_NAME = k.CONSTRAINT_NAME AND t.TABLE_SCHEMA = k.TABLE_SCHEMA "
+        "JOIN INFORMATION_SCHEMA.COLUMNS c "
+        "  ON c.TABLE_SCHEMA = k.TABLE_SCHEMA AND c.TABLE_NAME = k.TABLE_NAME "
+        "  AND c.COLUMN_NAME = k.COLUMN_NAME "
+        "WHERE t.CONSTRAINT_TYPE = 'PRIMARY KEY' "
+        "AND t.TABLE_SCHEMA = '{schema}' AND t.TABLE_NAME = '{table}'"
+    ),
+}
+NUMERIC_KEY_TYPES = frozenset({"bigint", "int", "integer", "smallint", "tinyint",
+                               "numeric", "decimal"})
+
 # Source column type -> Spark type.  Exact decimals stay decimal
 # (money keeps four places); time-of-day becomes a string because Parquet
 # time columns are not readable by Spark by default.
@@ -139,7 +156,8 @@ class JdbcSource:
     options: dict[str, str]
     dialect: str = "sqlserver"
     fetchsize: int = 100_000
-    num_partitions: int = 16
+    rows_per_partition: int = 1_000_000
+    max_partitions: int = 512
     partition_columns: dict[str, str] = field(default_factory=dict)
 
     def _reader(self):
@@ -168,6 +186,28 @@ class JdbcSource:
         rows = self.query(sql.format(schema=schema, table=table)).collect()
         return {r[0]: spark_type(r[1], r[2], r[3]) for r in rows}
 
+    def partition_column(self, schema: str, table: str) -> str | None:
+        """The column to split reads on: configured, else a numeric one-column key.
+
+        Tables without one are read by a single task.
+        """
+        key = self.partition_columns.get(f"{schema}.{table}") or self.partition_columns.get(table)
+        if key or self.dialect not in PRIMARY_KEY_SQL:
+            return key
+        rows = self.query(PRIMARY_KEY_SQL[self.dialect].format(schema=schema, table=table)).collect()
+        if len(rows) == 1 and str(rows[0][1]).lower() in NUMERIC_KEY_TYPES:
+            return rows[0][0]
+        return None
+
+    def partitions_for(self, lo: int, hi: int) -> int:
+        """Number of key ranges: about ``rows_per_partition`` keys each.
+
+        Bounded by ``max_partitions``, which is also the number of concurrent
+        connections the database sees.
+        """
+        span = int(hi) - int(lo) + 1
+        return max(1, min(self.max_partitions, -(-span // self.rows_per_partition)))
+
     def read(self, schema: str, table: str) -> DataFrame:
         """The whole table, range-partitioned when a key is known.
 
@@ -177,13 +217,13 @@ class JdbcSource:
         """
         name = f"{schema}.{table}"
         reader = self._reader().option("dbtable", name)
-        key = self.partition_columns.get(name) or self.partition_columns.get(table)
+        key = self.partition_column(schema, table)
         if key:
             lo, hi = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {name}").first()
             if lo is not None and hi is not None and hi > lo:
                 reader = (reader.option("partitionColumn", key)
                           .option("lowerBound", str(lo)).option("upperBound", str(hi))
-                          .option("numPartitions", str(self.num_partitions)))
+                          .option("numPartitions", str(self.partitions_for(lo, hi))))
         return reader.load()
 
 

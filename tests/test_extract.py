@@ -95,3 +95,14 @@ def test_run_all_end_to_end(spark, seed_models):
 
     ds = jobs.analytics_datasets(SnapshotStore(spark, os.path.join(root, "warehouse")))
     assert [r.period for r in ds["monthly_trend"].collect()] == ["2024-01", "2024-02", "2024-03"]
+
+
+def test_jdbc_partition_count_follows_key_range(spark):
+    from ledgerline.sources.jdbc import JdbcSource
+
+    src = JdbcSource(spark, {}, rows_per_partition=1000, max_partitions=64,
+                     partition_columns={"dbo.orders": "order_id"})
+    assert src.partition_column("dbo", "orders") == "order_id"
+    assert src.partitions_for(1, 1000) == 1
+    assert src.partitions_for(1, 10_001) == 11
+    assert src.partitions_for(0, 10**12) == 64
