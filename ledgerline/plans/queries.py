@@ -46,7 +46,26 @@ QUERIES: dict[str, Query] = {
 }
 
 
-# --- analytics datasets (notebook layer) -----------------------------------
+_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """E2 once per application and input: staged views plus written tables.
+
+    Like building the models before testing or publishing them, the mart's
+    joins run once; the checks and the publish then scan the written mart
+    and reports (under the shared folder) instead of recomputing them.
+    """
+    from ledgerline.plans.jobs import build_models
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        raw, _ = testdata_graph(spark, sf_dir)
+        _BUILT[key] = build_models(spark, raw, fresh_dir(spark, "models"))
+    return _BUILT[key]
+
+
+# --- analytics datasets (notebook layer, reading the built tables) -------------
 
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,27 +85,27 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A15 + P10 over the country report."""
-    return analytics.monthly_trend(testdata_models(spark, sf_dir)["rpt_revenue_by_country"])
+    return analytics.monthly_trend(built_models(spark, sf_dir)["rpt_revenue_by_country"])
 
 
 def country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A16 over the country report."""
-    return analytics.country_totals(testdata_models(spark, sf_dir)["rpt_revenue_by_country"])
+    return analytics.country_totals(built_models(spark, sf_dir)["rpt_revenue_by_country"])
 
 
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 customers by spend."""
-    return analytics.top_customers(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+    return analytics.top_customers(built_models(spark, sf_dir)["rpt_customer_summary"])
 
 
 def customer_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11 with the reference bins."""
-    return analytics.customer_tiers(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+    return analytics.customer_tiers(built_models(spark, sf_dir)["rpt_customer_summary"])
 
 
 def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A17 + W1 with the reference bins."""
-    return analytics.tier_counts(testdata_models(spark, sf_dir)["rpt_customer_summary"])
+    return analytics.tier_counts(built_models(spark, sf_dir)["rpt_customer_summary"])
 
 
 # A second bin set scaled to this data's spend range, so that several tiers
@@ -97,47 +116,28 @@ WIDE_TIER_LABELS = ("< 500k", "500k - 1M", "1M - 2M", "2M+")
 
 def tier_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A17 + W1 with bins scaled to the test data's spend."""
-    return analytics.tier_counts(testdata_models(spark, sf_dir)["rpt_customer_summary"],
+    return analytics.tier_counts(built_models(spark, sf_dir)["rpt_customer_summary"],
                                  WIDE_TIER_BOUNDS, WIDE_TIER_LABELS)
 
 
 def category_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category share of total revenue."""
-    return analytics.category_share(testdata_models(spark, sf_dir)["rpt_revenue_by_category"])
+    return analytics.category_share(built_models(spark, sf_dir)["rpt_revenue_by_category"])
 
 
 def product_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products by revenue, highest first."""
-    return analytics.product_ranking(testdata_models(spark, sf_dir)["rpt_product_performance"])
+    return analytics.product_ranking(built_models(spark, sf_dir)["rpt_product_performance"])
 
 
 def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 15 fact rows by order id."""
-    return analytics.preview(testdata_models(spark, sf_dir)["orders_enriched"])
+    return analytics.preview(built_models(spark, sf_dir)["orders_enriched"])
 
 
 # --- data quality (on the built models, as a test step runs after a build) ------
 
 
-_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
-def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """E2 once per application and input: staged views plus written tables.
-
-    Like building the models before testing or publishing them, the mart's
-    joins run once; the checks and the publish then scan the written mart
-    and reports (under the shared folder) instead of recomputing them.
-    """
-    from ledgerline.plans.jobs import build_models
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BUILT:
-        raw, _ = testdata_graph(spark, sf_dir)
-        _BUILT[key] = build_models(spark, raw, fresh_dir(spark, "models"))
-    return _BUILT[key]
-
-
 def _models_and_raw(spark: SparkSession, sf_dir: str):
     raw, _ = testdata_graph(spark, sf_dir)
     return built_models(spark, sf_dir), raw
@@ -234,7 +234,7 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 + S11: the customer report published, then scanned from its newest version."""
     store = _store(spark)
-    store.publish("rpt_customer_summary", testdata_models(spark, sf_dir)["rpt_customer_summary"])
+    store.publish("rpt_customer_summary", built_models(spark, sf_dir)["rpt_customer_summary"])
     return store.read("rpt_customer_summary")
 
 
