@@ -1,0 +1,38 @@
+"""The command line runs extract -> build -> test -> publish on the seed."""
+
+from __future__ import annotations
+
+import os
+
+from seed import raw_seed
+
+from ledgerline.plans import cli
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.files import write_parquet
+from ledgerline.sinks.lakehouse import SnapshotStore
+
+
+def test_cli_all_then_republish(spark, monkeypatch):
+    src = fresh_dir(spark, "cli-src")
+    for name, df in raw_seed(spark).items():
+        write_parquet(df, os.path.join(src, f"{name}.parquet"))
+    root = fresh_dir(spark, "cli-run")
+    # keep the shared test session alive: the CLI stops the session it built
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert cli.main(["all", "--source-dir", src, "--root", root]) == 0
+    assert cli.main(["publish", "--root", root, "--tables", "rpt_customer_summary"]) == 0
+    store = SnapshotStore(spark, os.path.join(root, "warehouse"))
+    hist = [(r.table_name, r.snapshot_id) for r in store.history().collect()]
+    assert ("rpt_customer_summary", 2) in hist and ("orders_enriched", 1) in hist
+    assert store.read("rpt_customer_summary").count() == 8
+
+
+def test_cli_fails_on_data_test_failure(spark, monkeypatch):
+    from seed import CUSTOMERS
+
+    src = fresh_dir(spark, "cli-src")
+    raw = raw_seed(spark, customers=CUSTOMERS + [CUSTOMERS[0]])  # duplicate key
+    for name, df in raw.items():
+        write_parquet(df, os.path.join(src, f"{name}.parquet"))
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert cli.main(["all", "--source-dir", src, "--root", fresh_dir(spark, "cli-run")]) == 1
