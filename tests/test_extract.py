@@ -106,3 +106,41 @@ def test_jdbc_partition_count_follows_key_range(spark):
     assert src.partitions_for(1, 1000) == 1
     assert src.partitions_for(1, 10_001) == 11
     assert src.partitions_for(0, 10**12) == 64
+
+
+class TwoSchemaSource:
+    """Two schemas that both hold an ``orders`` table, plus typed columns."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def list_tables(self):
+        return [("dbo", "orders"), ("sales", "orders"), ("dbo", "typed")]
+
+    def read(self, schema, table):
+        if table == "typed":
+            return self.spark.createDataFrame(
+                [("1", "12.50", "2024-01-02", "2024-01-02 03:04:05", "1", "7")],
+                "a string, b string, c string, d string, e string, f string")
+        n = 2 if schema == "dbo" else 3
+        return self.spark.range(n).withColumnRenamed("id", "order_id")
+
+    def column_types(self, schema, table):
+        if table != "typed":
+            return {}
+        src = {"a": ("int", None, None), "b": ("decimal", 10, 2), "c": ("date", None, None),
+               "d": ("datetime2", None, None), "e": ("bit", None, None),
+               "f": ("tinyint", None, None)}
+        return {k: spark_type(*v) for k, v in src.items()}
+
+
+def test_same_named_tables_do_not_overwrite(spark):
+    out = fresh_dir(spark, "out")
+    rep = {(r.schema_name, r.table_name): r.row_count
+           for r in jobs.extract(spark, TwoSchemaSource(spark), out).collect()}
+    assert rep == {("dbo", "orders"): 2, ("sales", "orders"): 3, ("dbo", "typed"): 1}
+    assert spark.read.parquet(os.path.join(out, "dbo", "orders.parquet")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "sales", "orders.parquet")).count() == 3
+    typed = spark.read.parquet(os.path.join(out, "typed.parquet"))
+    assert dict(typed.dtypes) == {"a": "int", "b": "decimal(10,2)", "c": "date",
+                                  "d": "timestamp_ntz", "e": "boolean", "f": "smallint"}
