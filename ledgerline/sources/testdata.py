@@ -48,12 +48,14 @@ TEST_SCHEMAS: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
 
-# The key each table is joined on first; used to spread under-split scans.
-JOIN_KEYS = {
-    "lineitem": "l_orderkey",
-    "orders": "o_orderkey",
-    "customer": "c_custkey",
-    "part": "p_partkey",
+# Row keys used to spread under-split scans: (near-)unique per row, so no
+# single value -- e.g. one order holding a third of all lines -- can pile up
+# in one partition.
+SPREAD_KEYS: dict[str, tuple[str, ...]] = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "orders": ("o_orderkey",),
+    "customer": ("c_custkey",),
+    "part": ("p_partkey",),
 }
 
 
@@ -62,21 +64,21 @@ JOIN_KEYS = {
 SPREAD_MIN_BYTES = 8 * 1024 * 1024
 
 
-def spread(df: DataFrame, key: str | None, stored_bytes: int) -> DataFrame:
+def spread(df: DataFrame, keys: tuple[str, ...], stored_bytes: int) -> DataFrame:
     """Hash-repartition a large scan that has fewer partitions than cores.
 
     A table stored as a few large row groups is read by a few tasks, and
     every operator up to the first shuffle would run at that parallelism.
-    On the join key, the extra exchange is the one the join needs anyway.
-    Inputs made of many files (any large deployment) and small tables are
-    returned as they are.
+    Hashing on the row key spreads rows evenly without the local sort a
+    round-robin repartition needs.  Inputs made of many files (any large
+    deployment) and small tables are returned as they are.
     """
     if stored_bytes < SPREAD_MIN_BYTES:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(target, *keys)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,9 +86,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
     df = reader.parquet(path)
-    if name not in JOIN_KEYS:
+    if name not in SPREAD_KEYS:
         return df
-    return spread(df, JOIN_KEYS[name], input_bytes(spark, path))
+    return spread(df, SPREAD_KEYS[name], input_bytes(spark, path))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
