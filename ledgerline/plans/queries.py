@@ -191,9 +191,9 @@ SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 + K5 + S8: the mart written as Snappy Parquet and read back."""
+    """K1 + K5 + S8: the built mart exported as Snappy Parquet and read back."""
     path = fresh_dir(spark, "parquet") + "/orders_enriched.parquet"
-    write_parquet(testdata_models(spark, sf_dir)["orders_enriched"], path)
+    write_parquet(built_models(spark, sf_dir)["orders_enriched"], path)
     return read_parquet(spark, path)
 
 
@@ -241,7 +241,7 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: two publishes of one table give two snapshots (times left out)."""
     store = _store(spark)
-    df = testdata_models(spark, sf_dir)["rpt_revenue_by_category"]
+    df = built_models(spark, sf_dir)["rpt_revenue_by_category"]
     store.publish("rpt_revenue_by_category", df)
     store.publish("rpt_revenue_by_category", df)
     return store.history("rpt_revenue_by_category").drop("committed_at")
@@ -250,7 +250,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: after two publishes, read the version current at the first commit."""
     store = _store(spark)
-    m = testdata_models(spark, sf_dir)
+    m = built_models(spark, sf_dir)
     first = store.publish("rpt_revenue_by_country", m["rpt_revenue_by_country"])
     store.publish("rpt_revenue_by_country", m["rpt_revenue_by_country"])
     return store.read("rpt_revenue_by_country", as_of=first["committed_at"])
@@ -259,7 +259,7 @@ def read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: column positions, names, types and nullability of the published mart."""
     store = _store(spark)
-    store.publish("orders_enriched", testdata_models(spark, sf_dir)["orders_enriched"])
+    store.publish("orders_enriched", built_models(spark, sf_dir)["orders_enriched"])
     return store.schema("orders_enriched")
 
 
