@@ -70,9 +70,12 @@ class ParquetDirSource:
         self.schema_name = schema_name
 
     def list_tables(self) -> list[tuple[str, str]]:
-        names = sorted(
-            f[: -len(".parquet")] for f in os.listdir(self.root) if f.endswith(".parquet")
-        )
+        """Every ``*.parquet`` entry of the folder, on any Hadoop file system."""
+        sc = self.spark.sparkContext
+        pattern = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, "*.parquet"))
+        fs = pattern.getFileSystem(sc._jsc.hadoopConfiguration())
+        found = fs.globStatus(pattern) or []
+        names = sorted(st.getPath().getName()[: -len(".parquet")] for st in found)
         return [(self.schema_name, n) for n in names]
 
     def read(self, schema: str, table: str) -> DataFrame:
