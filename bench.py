@@ -53,18 +53,21 @@ def main() -> None:
     run(QUERIES["table_counts"](spark, sf_dir))  # warm-up, not timed
 
     times: dict[str, float] = {}
-    for name in HEADLINE:
-        t0 = time.perf_counter()
-        run(QUERIES[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
+    errors: dict[str, str] = {}
 
-    t0 = time.perf_counter()
-    jobs.build_models(spark, testdata.raw_tables(spark, sf_dir), fresh_dir(spark, "bench"))
-    times["build_models"] = round(time.perf_counter() - t0, 3)
+    def timed(name: str, action) -> None:
+        t0 = time.perf_counter()
+        try:
+            action()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - recorded, the rest still run
+            errors[name] = f"{type(exc).__name__}: {exc}"[:300]
 
-    t0 = time.perf_counter()
-    QUERIES["publish_report"](spark, sf_dir).collect()
-    times["publish_report"] = round(time.perf_counter() - t0, 3)
+    for name in HEADLINE:
+        timed(name, lambda name=name: run(QUERIES[name](spark, sf_dir)))
+    timed("build_models", lambda: jobs.build_models(
+        spark, testdata.raw_tables(spark, sf_dir), fresh_dir(spark, "bench")))
+    timed("publish_report", lambda: QUERIES["publish_report"](spark, sf_dir).collect())
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({
@@ -76,6 +79,7 @@ def main() -> None:
         "cpus": cpus,
         "spark": spark.version,
         "machine": platform.machine(),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
