@@ -7,9 +7,9 @@ as raw rows.  ``count(distinct order_id)`` is planned by Catalyst as a
 two-level aggregate keyed first on ``(group, order_id)``, which spreads even
 the hottest group across all shuffle partitions.
 
-Widths follow the contract (sums decimal(12,2), averages decimal(10,2));
-``revenue_type`` lets a larger deployment widen the sum instead of failing on
-overflow.
+Widths follow the contract (sums decimal(12,2), unit sums int, averages
+decimal(10,2)); ``revenue_type`` and ``units_type`` let a larger deployment
+widen them instead of failing on overflow (ANSI mode raises, never wraps).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import day_diff, decimal_avg, ratio_as_decimal
 
 REVENUE_TYPE = "decimal(12,2)"
+UNITS_TYPE = "int"
 AVG_PRECISION = 10
 
 
@@ -61,7 +62,8 @@ def rpt_revenue_by_country(enriched: DataFrame, revenue_type: str = REVENUE_TYPE
     )
 
 
-def rpt_revenue_by_category(enriched: DataFrame, revenue_type: str = REVENUE_TYPE) -> DataFrame:
+def rpt_revenue_by_category(enriched: DataFrame, revenue_type: str = REVENUE_TYPE,
+                            units_type: str = UNITS_TYPE) -> DataFrame:
     """A2: revenue per product category, with two distinct counts.
 
     ``avg_unit_price`` averages the price over fact rows (weighted by line),
@@ -73,12 +75,14 @@ def rpt_revenue_by_category(enriched: DataFrame, revenue_type: str = REVENUE_TYP
              decimal_avg("unit_price", 2, AVG_PRECISION).alias("avg_unit_price"),
              F.countDistinct("product_id").alias("num_products"))
         .select("category",
-                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue"),
+                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue",
+                             units_type),
                 "avg_unit_price", "num_products")
     )
 
 
-def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE) -> DataFrame:
+def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE,
+                         units_type: str = UNITS_TYPE) -> DataFrame:
     """A3: lifetime metrics per customer (only customers with orders)."""
     return (
         enriched.groupBy("customer_id", "customer_name", "email", "country")
@@ -86,14 +90,16 @@ def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE)
              F.min("order_date").alias("first_order_date"),
              F.max("order_date").alias("last_order_date"))
         .select("customer_id", "customer_name", "email", "country",
-                *_sales_cols(revenue_type, "total_orders", "total_units", "total_spend"),
+                *_sales_cols(revenue_type, "total_orders", "total_units", "total_spend",
+                             units_type),
                 "first_order_date", "last_order_date",
                 day_diff("first_order_date", "last_order_date").alias("days_as_customer"))
     )
 
 
 def rpt_product_performance(
-    enriched: DataFrame, stg_products: DataFrame, revenue_type: str = REVENUE_TYPE
+    enriched: DataFrame, stg_products: DataFrame, revenue_type: str = REVENUE_TYPE,
+    units_type: str = UNITS_TYPE,
 ) -> DataFrame:
     """A4 + J4: sales per product joined back to the product's stock level.
 
@@ -104,7 +110,8 @@ def rpt_product_performance(
         enriched.groupBy("product_id", "product_name", "category", "unit_price")
         .agg(*_sales_aggs())
         .select("product_id", "product_name", "category", "unit_price",
-                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue"))
+                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue",
+                             units_type))
     )
     stock = stg_products.select("product_id", F.col("stock_qty").alias("stock_remaining"))
     return sales.join(stock, "product_id", "inner").select(
@@ -117,7 +124,8 @@ def rpt_product_performance(
         "total_revenue",
         "avg_order_value",
         "stock_remaining",
-        (F.col("stock_remaining") + F.col("units_sold")).cast("int").alias("original_stock_estimate"),
+        (F.col("stock_remaining") + F.col("units_sold")).cast(units_type)
+        .alias("original_stock_estimate"),
     )
 
 
@@ -132,13 +140,15 @@ REPORT_ORDER: dict[str, list[tuple[str, bool]]] = {
 
 
 def build_reports(enriched: DataFrame, stg_products: DataFrame,
-                  revenue_type: str = REVENUE_TYPE) -> dict[str, DataFrame]:
+                  revenue_type: str = REVENUE_TYPE,
+                  units_type: str = UNITS_TYPE) -> dict[str, DataFrame]:
     """All four reports from one enriched fact."""
     return {
         "rpt_revenue_by_country": rpt_revenue_by_country(enriched, revenue_type),
-        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, revenue_type),
-        "rpt_customer_summary": rpt_customer_summary(enriched, revenue_type),
-        "rpt_product_performance": rpt_product_performance(enriched, stg_products, revenue_type),
+        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, revenue_type, units_type),
+        "rpt_customer_summary": rpt_customer_summary(enriched, revenue_type, units_type),
+        "rpt_product_performance": rpt_product_performance(enriched, stg_products,
+                                                           revenue_type, units_type),
     }
 
 

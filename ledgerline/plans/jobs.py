@@ -98,15 +98,17 @@ def raise_on_extract_failure(report: DataFrame) -> None:
 
 
 def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
-                 export_path: str | None = None) -> dict[str, DataFrame]:
+                 export_path: str | None = None, id_type: str = staging.ID_TYPE,
+                 revenue_type: str = reports.REVENUE_TYPE,
+                 units_type: str = reports.UNITS_TYPE) -> dict[str, DataFrame]:
     """Staging views, the materialised mart, then the four reports.
 
     The mart is written once (K4) and re-read, so the four reports scan
     Parquet instead of re-running the three-way join; ``export_path`` adds
     the external Parquet copy (K5).  Returns every model, each reading its
-    written table.
+    written table.  The width arguments are those of ``ModelGraph``.
     """
-    staged = staging.stage_all(raw)
+    staged = staging.stage_all(raw, id_type)
     mart_path = os.path.join(out_dir, "orders_enriched")
     write_parquet(marts.build_mart(staged), mart_path)
     mart = spark.read.parquet(mart_path)
@@ -114,7 +116,8 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
         write_parquet(mart, export_path)
     out: dict[str, DataFrame] = dict(staged)
     out["orders_enriched"] = mart
-    for name, df in reports.build_reports(mart, staged["stg_products"]).items():
+    for name, df in reports.build_reports(mart, staged["stg_products"], revenue_type,
+                                          units_type).items():
         path = os.path.join(out_dir, name)
         write_parquet(df, path)
         out[name] = spark.read.parquet(path)

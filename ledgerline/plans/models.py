@@ -33,17 +33,20 @@ MODEL_NAMES = (
 class ModelGraph(Mapping[str, DataFrame]):
     """All models keyed by name, built on demand from the three raw tables.
 
-    ``id_type`` and ``revenue_type`` default to the contract (``int`` keys,
-    ``decimal(12,2)`` sums).  Both fail loudly on overflow under ANSI mode;
-    a deployment whose keys pass 2^31 or whose group totals pass 10^10 widens
-    them (``bigint``, ``decimal(18,2)``) rather than truncating.
+    ``id_type``, ``revenue_type`` and ``units_type`` default to the contract
+    (``int`` keys, ``decimal(12,2)`` sums, ``int`` unit totals).  All fail
+    loudly on overflow under ANSI mode; a deployment whose keys pass 2^31 or
+    whose group totals pass 10^10 widens them (``bigint``, ``decimal(18,2)``)
+    rather than truncating.
     """
 
     def __init__(self, raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
-                 revenue_type: str = reports.REVENUE_TYPE):
+                 revenue_type: str = reports.REVENUE_TYPE,
+                 units_type: str = reports.UNITS_TYPE):
         self.raw = raw
         self.id_type = id_type
         self.revenue_type = revenue_type
+        self.units_type = units_type
         self._built: dict[str, DataFrame] = {}
 
     def _build(self, name: str) -> DataFrame:
@@ -56,15 +59,15 @@ class ModelGraph(Mapping[str, DataFrame]):
         if name == "orders_enriched":
             return marts.orders_enriched(self["stg_orders"], self["stg_customers"],
                                          self["stg_products"])
-        e, rt = self["orders_enriched"], self.revenue_type
+        e, rt, ut = self["orders_enriched"], self.revenue_type, self.units_type
         if name == "rpt_revenue_by_country":
             return reports.rpt_revenue_by_country(e, rt)
         if name == "rpt_revenue_by_category":
-            return reports.rpt_revenue_by_category(e, rt)
+            return reports.rpt_revenue_by_category(e, rt, ut)
         if name == "rpt_customer_summary":
-            return reports.rpt_customer_summary(e, rt)
+            return reports.rpt_customer_summary(e, rt, ut)
         if name == "rpt_product_performance":
-            return reports.rpt_product_performance(e, self["stg_products"], rt)
+            return reports.rpt_product_performance(e, self["stg_products"], rt, ut)
         raise KeyError(name)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -94,9 +97,10 @@ def register_views(models: Mapping[str, DataFrame], names=None) -> list[str]:
 
 
 def model_graph(raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
-                revenue_type: str = reports.REVENUE_TYPE) -> ModelGraph:
+                revenue_type: str = reports.REVENUE_TYPE,
+                units_type: str = reports.UNITS_TYPE) -> ModelGraph:
     """:class:`ModelGraph` over the three raw tables."""
-    return ModelGraph(raw, id_type, revenue_type)
+    return ModelGraph(raw, id_type, revenue_type, units_type)
 
 
 _GRAPHS: dict[tuple[str, str], tuple[dict[str, DataFrame], ModelGraph]] = {}

@@ -70,3 +70,15 @@ def test_fractional_raw_quantity_rounds_like_the_contract(spark):
                                 "quantity double, order_date timestamp_ntz, status string")
     r = stg_orders(raw).collect()[0]
     assert (r.order_id, r.quantity, r.order_date, r.status) == (1, 2, dt.date(2024, 1, 1), "p")
+
+
+def test_widths_can_be_widened(spark):
+    m = model_graph(raw_seed(spark), id_type="bigint", revenue_type="decimal(18,2)",
+                    units_type="bigint")
+    types = dict(m["rpt_customer_summary"].dtypes)
+    assert (types["customer_id"], types["total_spend"], types["total_units"]) == (
+        "bigint", "decimal(18,2)", "bigint")
+    assert dict(m["rpt_product_performance"].dtypes)["original_stock_estimate"] == "bigint"
+    base = {r.customer_id: r.total_spend for r in model_graph(raw_seed(spark))
+            ["rpt_customer_summary"].collect()}
+    assert {r.customer_id: r.total_spend for r in m["rpt_customer_summary"].collect()} == base
