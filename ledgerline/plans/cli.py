@@ -28,9 +28,10 @@ def _source(spark, args):
     return JdbcSource(spark, connection_from_env(), fetchsize=args.chunk_size)
 
 
-def _raw(spark, parquet_dir):
-    return {t: spark.read.parquet(os.path.join(parquet_dir, f"{t}.parquet"))
-            for t in ("customers", "products", "orders")}
+def _raw(spark, folder, fmt="parquet"):
+    from ledgerline.sources.files import raw_tables
+
+    return raw_tables(spark, folder, fmt)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -42,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tables", nargs="+", help="tables to extract or publish")
     p.add_argument("--chunk-size", type=int, default=100_000, help="JDBC fetch size")
     p.add_argument("--master", help="Spark master for local runs")
+    p.add_argument("--raw-dir", help="read raw tables for build/test from here "
+                                     "(default: the extracted Parquet folder)")
+    p.add_argument("--format", choices=["parquet", "csv"], default="parquet",
+                   help="format of the raw tables in --raw-dir")
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
@@ -51,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master)
     root = args.root or shared_dir(spark, "ledgerline")
     parquet_dir = os.path.join(root, "parquet")
+    raw_dir, raw_fmt = (args.raw_dir, args.format) if args.raw_dir else (parquet_dir, "parquet")
     models_dir = os.path.join(root, "models")
     warehouse = os.path.join(root, "warehouse")
     try:
@@ -59,14 +65,14 @@ def main(argv: list[str] | None = None) -> int:
             report.show(truncate=False)
             jobs.raise_on_extract_failure(report)
         if args.step in ("build", "test", "publish", "all"):
-            size_shuffle_partitions(spark, input_bytes(spark, parquet_dir))
+            size_shuffle_partitions(spark, input_bytes(spark, raw_dir))
         if args.step in ("build", "all"):
-            jobs.build_models(spark, _raw(spark, parquet_dir), models_dir,
+            jobs.build_models(spark, _raw(spark, raw_dir, raw_fmt), models_dir,
                               os.path.join(root, "output", "orders_enriched.parquet"))
         if args.step in ("test", "all"):
             from ledgerline.operators.staging import stage_all
 
-            raw = _raw(spark, parquet_dir)
+            raw = _raw(spark, raw_dir, raw_fmt)
             models = {**stage_all(raw),
                       **{t: spark.read.parquet(os.path.join(models_dir, t))
                          for t in jobs.PUBLISHED_TABLES}}

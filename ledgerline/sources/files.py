@@ -56,6 +56,25 @@ def file_profile(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     return out
 
 
+def raw_tables(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The three raw tables from ``<folder>/<name>.<fmt>`` with declared schemas.
+
+    Parquet is the primary format; CSV (with a header row) is the fallback.
+    """
+    from ledgerline.sources.schemas import RAW_SCHEMAS
+
+    out = {}
+    for name, schema in RAW_SCHEMAS.items():
+        path = os.path.join(folder, f"{name}.{fmt}")
+        if fmt == "parquet":
+            out[name] = read_parquet(spark, path, schema)
+        elif fmt == "csv":
+            out[name] = read_csv(spark, path, schema)
+        else:
+            raise ValueError(f"unsupported raw format {fmt!r}")
+    return out
+
+
 class ParquetDirSource:
     """A folder of ``<table>.parquet`` files seen as one database schema.
 

@@ -36,3 +36,20 @@ def test_cli_fails_on_data_test_failure(spark, monkeypatch):
         write_parquet(df, os.path.join(src, f"{name}.parquet"))
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     assert cli.main(["all", "--source-dir", src, "--root", fresh_dir(spark, "cli-run")]) == 1
+
+
+def test_build_and_test_from_csv(spark, monkeypatch):
+    from ledgerline.sinks.files import write_csv
+    from ledgerline.sources.files import raw_tables
+
+    src = fresh_dir(spark, "cli-csv")
+    for name, df in raw_seed(spark).items():
+        write_csv(df, os.path.join(src, f"{name}.csv"))
+    raw = raw_tables(spark, src, "csv")
+    assert dict(raw["products"].dtypes)["unit_price"] == "decimal(10,2)"
+    assert raw["orders"].count() == 18
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    root = fresh_dir(spark, "cli-run")
+    assert cli.main(["build", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
+    assert cli.main(["test", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
+    assert spark.read.parquet(os.path.join(root, "models", "rpt_customer_summary")).count() == 8
