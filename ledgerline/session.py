@@ -10,7 +10,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the jobs rely on.  AQE re-plans joins at run time (broadcast when a
 # side is measured small, split skewed partitions), coalesces small shuffle
@@ -92,6 +93,38 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+# Parquet is compressed and columnar; a table held as a broadcast hash
+# relation takes several times its stored size.  This factor turns the
+# stored size into the bound that is checked against the threshold.
+BROADCAST_EXPANSION = 8
+
+
+def broadcast_if_small(df: DataFrame, stored_bytes: int, limit: int | None = None) -> DataFrame:
+    """Hint a broadcast of ``df`` only when its size is known to be small.
+
+    ``stored_bytes`` is the size of the files behind ``df`` (its upper bound
+    in rows and columns); the hint is given when ``stored_bytes *
+    BROADCAST_EXPANSION`` is within ``limit`` (default: the session's
+    ``spark.sql.autoBroadcastJoinThreshold``; -1 disables hints).  Otherwise
+    the frame is returned as it is and the optimizer chooses the join from
+    its statistics, falling back to a sort-merge join with skew splitting.
+    """
+    if limit is None:
+        limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    if limit < 0 or stored_bytes * BROADCAST_EXPANSION > limit:
+        return df
+    return F.broadcast(df)
+
+
+def _bytes(text: str) -> int:
+    """``10485760`` / ``10m`` / ``10MB`` -> bytes."""
+    t = text.strip().lower().removesuffix("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in scale:
+        return int(float(t[:-1]) * scale[t[-1]])
+    return int(t)
+
+
 def size_shuffle_partitions(spark: SparkSession, stored_bytes: int,
                             bytes_per_partition: int = 64 * 1024 * 1024,
                             maximum: int = 100_000) -> int:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.session import input_bytes
+from ledgerline.session import broadcast_if_small, input_bytes
 
 # Fixed value: suffix that turns a customer name into an e-mail address.
 EMAIL_DOMAIN = "@Example.com"
@@ -48,15 +48,9 @@ TEST_SCHEMAS: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
 
-# Row keys used to spread under-split scans: (near-)unique per row, so no
-# single value -- e.g. one order holding a third of all lines -- can pile up
-# in one partition.
-SPREAD_KEYS: dict[str, tuple[str, ...]] = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-    "orders": ("o_orderkey",),
-    "customer": ("c_custkey",),
-    "part": ("p_partkey",),
-}
+# Tables whose scan is spread over all cores when it arrives in too few
+# partitions (see :func:`spread`).
+SPREAD_TABLES = ("lineitem", "orders", "customer", "part")
 
 
 # Below this stored size a single scan task is cheaper than an extra shuffle
@@ -64,21 +58,24 @@ SPREAD_KEYS: dict[str, tuple[str, ...]] = {
 SPREAD_MIN_BYTES = 8 * 1024 * 1024
 
 
-def spread(df: DataFrame, keys: tuple[str, ...], stored_bytes: int) -> DataFrame:
-    """Hash-repartition a large scan that has fewer partitions than cores.
+def spread(df: DataFrame, stored_bytes: int) -> DataFrame:
+    """Round-robin repartition a large scan that has fewer partitions than cores.
 
     A table stored as a few large row groups is read by a few tasks, and
     every operator up to the first shuffle would run at that parallelism.
-    Hashing on the row key spreads rows evenly without the local sort a
-    round-robin repartition needs.  Inputs made of many files (any large
-    deployment) and small tables are returned as they are.
+    Round-robin deals rows out evenly whatever their values, so neither a
+    hot key nor a large group of identical rows can fill one partition (a
+    hash on any columns would send all copies of a row to the same place);
+    Spark sorts each input partition first, so a retried task re-creates
+    the same partitions.  Inputs made of many files (any large deployment)
+    and small tables are returned as they are.
     """
     if stored_bytes < SPREAD_MIN_BYTES:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(target)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,9 +83,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = os.path.join(sf_dir, f"{name}.parquet")
     reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
     df = reader.parquet(path)
-    if name not in SPREAD_KEYS:
+    if name not in SPREAD_TABLES:
         return df
-    return spread(df, SPREAD_KEYS[name], input_bytes(spark, path))
+    return spread(df, input_bytes(spark, path))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,12 +113,15 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with country (nation name) and signup date (first order).
 
-    ``nation`` has 25 rows by the benchmark's definition, so it is broadcast
-    by hint; the first-order dates are a partial+final aggregate whose output
+    ``nation`` (25 rows by the benchmark's definition) is broadcast by hint
+    only after its stored size is checked against the broadcast threshold;
+    the first-order dates are a partial+final aggregate whose output
     is already partitioned by customer key for the join that follows.
     """
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
+    nation = broadcast_if_small(
+        table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
+        input_bytes(spark, os.path.join(sf_dir, "nation.parquet")),
     )
     first_order = (
         table(spark, sf_dir, "orders")
@@ -135,7 +135,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_nationkey",
     )
     return (
-        customers.join(F.broadcast(nation), "c_nationkey", "left")
+        customers.join(nation, "c_nationkey", "left")
         .join(first_order, "customer_id", "left")
         .select("customer_id", "customer_name", "email", "country", "signup_date")
     )
