@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import analytics, marts, quality, reports, staging
 from ledgerline.sinks.files import write_parquet
+from ledgerline.session import run_concurrently
 from ledgerline.sinks.lakehouse import SnapshotStore, raise_on_failure
 from ledgerline.sources.jdbc import conform, resolve_tables
 
@@ -104,7 +105,8 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
     """Staging views, the materialised mart, then the four reports.
 
     The mart is written once (K4) and re-read, so the four reports scan
-    Parquet instead of re-running the three-way join; ``export_path`` adds
+    Parquet instead of re-running the three-way join; the four report
+    writes are independent and are submitted together; ``export_path`` adds
     the external Parquet copy (K5).  Returns every model, each reading its
     written table.  The width arguments are those of ``ModelGraph``.
     """
@@ -116,11 +118,15 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
         write_parquet(mart, export_path)
     out: dict[str, DataFrame] = dict(staged)
     out["orders_enriched"] = mart
-    for name, df in reports.build_reports(mart, staged["stg_products"], revenue_type,
-                                          units_type).items():
-        path = os.path.join(out_dir, name)
-        write_parquet(df, path)
-        out[name] = spark.read.parquet(path)
+    built = reports.build_reports(mart, staged["stg_products"], revenue_type, units_type)
+    paths = {name: os.path.join(out_dir, name) for name in built}
+    written = run_concurrently(
+        {name: (lambda df=df, path=paths[name]: write_parquet(df, path))
+         for name, df in built.items()})
+    for name, result in written.items():
+        if isinstance(result, BaseException):
+            raise result
+        out[name] = spark.read.parquet(paths[name])
     return out
 
 

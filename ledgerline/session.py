@@ -9,10 +9,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # Settings the jobs rely on.  AQE re-plans joins at run time (broadcast when a
 # side is measured small, split skewed partitions), coalesces small shuffle
 # partitions, and the session time zone is pinned so dates never shift.
@@ -139,3 +144,26 @@ def size_shuffle_partitions(spark: SparkSession, stored_bytes: int,
     n = min(maximum, max(floor, -(-stored_bytes // bytes_per_partition)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+def run_concurrently(tasks: Mapping[str, Callable[[], T]],
+                     max_workers: int = 4) -> dict[str, T | BaseException]:
+    """Run independent Spark actions from a few driver threads at once.
+
+    Each task is an action writing to its own target (one report, one table
+    version).  Submitted together, their stages share the executors: one
+    job's short final stage no longer leaves the cluster idle while the
+    next job waits to start.  Returns each task's result, or the exception
+    it raised, by name; the caller decides what a failure means.
+    """
+    out: dict[str, T | BaseException] = {}
+    if not tasks:
+        return out
+    with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(tasks)))) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        for name, fut in futures.items():
+            try:
+                out[name] = fut.result()
+            except Exception as exc:  # noqa: BLE001 - returned to the caller
+                out[name] = exc
+    return out

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.session import run_concurrently
 from ledgerline.sinks.files import write_parquet
 
 LOG_SCHEMA = T.StructType([
@@ -143,21 +144,24 @@ class SnapshotStore:
     def publish_all(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """K9: publish several tables; one report row per table.
 
-        Every table is written and verified, then all that succeeded are
+        Every table is written and verified (the writes go to different
+        folders and are submitted together), then all that succeeded are
         committed together by one log append.  A table that fails is reported
         with status ``failed`` and the others still run;
         :func:`raise_on_failure` turns the report into an error.
         """
         latest = self._latest_all()
+        results = run_concurrently({
+            name: (lambda name=name, df=df: self._write_version(
+                name, df, latest[name][0] if name in latest else None))
+            for name, df in tables.items()})
         commits, rows = [], []
-        for name, df in tables.items():
-            try:
-                parent = latest[name][0] if name in latest else None
-                c = self._write_version(name, df, parent)
-                commits.append(c)
-                rows.append((name, c["snapshot_id"], c["added_records"], c["total_records"], "ok"))
-            except Exception as exc:  # noqa: BLE001 - reported per table
-                rows.append((name, None, None, None, f"failed: {type(exc).__name__}"))
+        for name, c in results.items():
+            if isinstance(c, BaseException):
+                rows.append((name, None, None, None, f"failed: {type(c).__name__}"))
+                continue
+            commits.append(c)
+            rows.append((name, c["snapshot_id"], c["added_records"], c["total_records"], "ok"))
         if commits:
             self._commit(commits)
         return self.spark.createDataFrame(

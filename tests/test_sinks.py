@@ -122,3 +122,19 @@ def test_models_as_sql_views(spark, seed_models):
     got = spark.sql("SELECT category, total_revenue FROM rpt_revenue_by_category "
                     "ORDER BY total_revenue DESC LIMIT 1").collect()[0]
     assert got.category == "Electronics"
+
+
+def test_concurrent_actions_return_results_and_errors_by_name(spark):
+    from ledgerline.session import run_concurrently
+
+    def boom():
+        raise ValueError("no such table")
+
+    out = run_concurrently({
+        "a": lambda: spark.range(1000).count(),
+        "b": lambda: spark.range(10).where("id % 2 = 0").count(),
+        "c": boom,
+    })
+    assert out["a"] == 1000 and out["b"] == 5
+    assert isinstance(out["c"], ValueError)
+    assert run_concurrently({}) == {}
