@@ -278,6 +278,8 @@ FROM rpt_revenue_by_category""", True),
 SELECT product_id, product_name, units_sold, total_revenue, num_orders
 FROM rpt_product_performance
 ORDER BY total_revenue DESC, product_id""", True),
+    "customers_by_spend": with_models("""
+SELECT customer_name, total_spend FROM rpt_customer_summary""", True),
     "orders_preview": with_models("""
 SELECT * FROM orders_enriched ORDER BY order_id, product_id, quantity LIMIT 15"""),
 }
@@ -328,6 +330,12 @@ ORACLE["publish_report"] = with_models("\nUNION ALL\n".join(
     f"count(*) AS verified_rows, 'ok' AS status FROM {t}"
     for t in PUBLISHED
 ), True)
+ORACLE["published_tables"] = with_models("\nUNION ALL\n".join(
+    f"SELECT 'default' AS namespace, '{t}' AS table_name, 1::BIGINT AS snapshot_id, "
+    f"(SELECT count(*) FROM {t}) AS total_records, "
+    f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {t}))::INTEGER AS column_count"
+    for t in PUBLISHED
+), True)
 ORACLE["snapshot_history"] = with_models("""
 SELECT 'rpt_revenue_by_category' AS table_name, s.snapshot_id, s.parent_id,
        'overwrite' AS operation, n.n AS added_records, n.n AS total_records

@@ -130,6 +130,11 @@ def product_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.product_ranking(built_models(spark, sf_dir)["rpt_product_performance"])
 
 
+def customers_by_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by spend, lowest first (the bar chart's data)."""
+    return analytics.customers_by_spend(built_models(spark, sf_dir)["rpt_customer_summary"])
+
+
 def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First 15 fact rows by order id."""
     return analytics.preview(built_models(spark, sf_dir)["orders_enriched"])
@@ -178,7 +183,8 @@ QUERIES.update({
     for f in (
         source_profile, table_counts, monthly_trend, country_totals, top_customers,
         customer_tiers, tier_counts, tier_counts_wide, category_share, product_ranking,
-        orders_preview, dq_not_null, dq_unique, dq_positive, dq_orphans, dq_row_counts,
+        customers_by_spend, orders_preview, dq_not_null, dq_unique, dq_positive,
+        dq_orphans, dq_row_counts,
     )
 })
 
@@ -238,6 +244,16 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("rpt_customer_summary")
 
 
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the namespace's tables after publishing the five built tables."""
+    from ledgerline.plans.jobs import PUBLISHED_TABLES
+
+    store = _store(spark)
+    models = built_models(spark, sf_dir)
+    store.publish_all({t: models[t] for t in PUBLISHED_TABLES})
+    return store.tables()
+
+
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: two publishes of one table give two snapshots (times left out)."""
     store = _store(spark)
@@ -267,6 +283,6 @@ QUERIES.update({
     f.__name__: f
     for f in (
         parquet_roundtrip, csv_roundtrip, extract_report, file_profile, publish_report,
-        publish_roundtrip, snapshot_history, read_as_of, schema_report,
+        published_tables, publish_roundtrip, snapshot_history, read_as_of, schema_report,
     )
 })
