@@ -336,6 +336,11 @@ ORACLE["published_tables"] = with_models("\nUNION ALL\n".join(
     f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {t}))::INTEGER AS column_count"
     for t in PUBLISHED
 ), True)
+ORACLE["store_counts"] = with_models("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS left_rows, count(*) AS right_rows, "
+    f"true AS matched FROM {t}"
+    for t in PUBLISHED
+), True)
 ORACLE["snapshot_history"] = with_models("""
 SELECT 'rpt_revenue_by_category' AS table_name, s.snapshot_id, s.parent_id,
        'overwrite' AS operation, n.n AS added_records, n.n AS total_records
