@@ -3,9 +3,12 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints ONE JSON line.  Each query is forced to completion with the ``noop``
-sink (every row and column computed, nothing collected); the model build
-(``build_models``) writes the mart and four reports as Parquet, as the
-pipeline does.  A warm-up query runs first and is not timed.
+sink (every row and column computed, nothing collected).  The model build
+(``build_models``) is timed once, first: it writes the mart and four reports
+as Parquet, as the pipeline does, and the analytics, check and publish
+queries read those tables.  The model queries (``orders_enriched``,
+``rpt_*``) still plan and run their whole chain from the raw tables.  A
+warm-up query runs first and is not timed.
 """
 
 from __future__ import annotations
@@ -38,10 +41,8 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from ledgerline.plans import jobs
-    from ledgerline.plans.queries import QUERIES
-    from ledgerline.session import build_session, fresh_dir
-    from ledgerline.sources import testdata
+    from ledgerline.plans.queries import QUERIES, built_models
+    from ledgerline.session import build_session
 
     spark = build_session(f"local[{cpus}]", app_name="ledgerline-bench",
                           shuffle_partitions=max(8, 2 * cpus),
@@ -63,10 +64,11 @@ def main() -> None:
         except Exception as exc:  # noqa: BLE001 - recorded, the rest still run
             errors[name] = f"{type(exc).__name__}: {exc}"[:300]
 
+    # E2 once, as the pipeline runs it: the analytics, check and publish
+    # queries below then read the written tables instead of rebuilding them.
+    timed("build_models", lambda: built_models(spark, sf_dir))
     for name in HEADLINE:
         timed(name, lambda name=name: run(QUERIES[name](spark, sf_dir)))
-    timed("build_models", lambda: jobs.build_models(
-        spark, testdata.raw_tables(spark, sf_dir), fresh_dir(spark, "bench")))
     timed("publish_report", lambda: QUERIES["publish_report"](spark, sf_dir).collect())
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
