@@ -138,3 +138,15 @@ def test_concurrent_actions_return_results_and_errors_by_name(spark):
     assert out["a"] == 1000 and out["b"] == 5
     assert isinstance(out["c"], ValueError)
     assert run_concurrently({}) == {}
+
+
+def test_publish_all_isolates_a_failing_table(spark):
+    from pyspark.sql import functions as F
+
+    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    good = spark.createDataFrame([(1,), (2,)], "id int")
+    bad = spark.range(3).select(F.lit("not a number").cast("int").alias("id"))  # fails when run
+    rep = {r.table_name: r.status for r in store.publish_all({"good": good, "bad": bad}).collect()}
+    assert rep["good"] == "ok" and rep["bad"].startswith("failed")
+    assert store.exists("good") and not store.exists("bad")
+    assert sorted(r.id for r in store.read("good").collect()) == [1, 2]
