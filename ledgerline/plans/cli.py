@@ -41,6 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--root", help="run folder (default: <spark.checkpoint.dir>/ledgerline)")
     p.add_argument("--source-dir", help="extract from Parquet files instead of JDBC")
     p.add_argument("--tables", nargs="+", help="tables to extract or publish")
+    p.add_argument("--parallel-tables", type=int, default=1,
+                   help="tables extracted at once (default 1, as a database expects)")
     p.add_argument("--chunk-size", type=int, default=100_000, help="JDBC fetch size")
     p.add_argument("--master", help="Spark master for local runs")
     p.add_argument("--raw-dir", help="read raw tables for build/test from here "
@@ -61,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
     warehouse = os.path.join(root, "warehouse")
     try:
         if args.step in ("extract", "all"):
-            report = jobs.extract(spark, _source(spark, args), parquet_dir, args.tables)
+            report = jobs.extract(spark, _source(spark, args), parquet_dir, args.tables,
+                                  args.parallel_tables)
             report.show(truncate=False)
             jobs.raise_on_extract_failure(report)
         if args.step in ("build", "test", "publish", "all"):

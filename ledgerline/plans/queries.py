@@ -216,7 +216,7 @@ def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.plans.jobs import extract
 
     report = extract(spark, ParquetDirSource(spark, sf_dir), fresh_dir(spark, "extract"),
-                     list(SOURCE_TABLES))
+                     list(SOURCE_TABLES), parallel_tables=4)
     return report.select("schema_name", "table_name", "row_count", "status")
 
 
