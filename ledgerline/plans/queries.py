@@ -294,6 +294,7 @@ QUERIES.update({
     f.__name__: f
     for f in (
         parquet_roundtrip, csv_roundtrip, extract_report, file_profile, publish_report,
-        published_tables, store_counts, publish_roundtrip, snapshot_history, read_as_of, schema_report,
+        published_tables, store_counts, publish_roundtrip, snapshot_history, read_as_of,
+        schema_report,
     )
 })
