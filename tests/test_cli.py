@@ -19,7 +19,7 @@ def test_cli_all_then_republish(spark, monkeypatch):
     root = fresh_dir(spark, "cli-run")
     # keep the shared test session alive: the CLI stops the session it built
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    assert cli.main(["all", "--source-dir", src, "--root", root]) == 0
+    assert cli.main(["all", "--source-dir", src, "--root", root, "--parallel-tables", "3"]) == 0
     assert cli.main(["publish", "--root", root, "--tables", "rpt_customer_summary"]) == 0
     store = SnapshotStore(spark, os.path.join(root, "warehouse"))
     hist = [(r.table_name, r.snapshot_id) for r in store.history().collect()]
