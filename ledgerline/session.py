@@ -67,13 +67,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     On a cluster this setting names storage every executor can reach, so
     written tables and checkpoints survive the loss of an executor.  Only
-    when it is unset (local runs, tests) is a private folder created and
-    registered as the checkpoint dir.
+    when it is unset on a ``local`` master (local runs, tests) is a private
+    folder created and registered as the checkpoint dir; a cluster session
+    without it is an error, since a machine-local folder would not survive
+    the loss of the machine (nor be visible to the other executors).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can "
+                "reach (a distributed file system or object store)")
         root = tempfile.mkdtemp(prefix="ledgerline-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

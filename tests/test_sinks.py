@@ -150,3 +150,35 @@ def test_publish_all_isolates_a_failing_table(spark):
     assert rep["good"] == "ok" and rep["bad"].startswith("failed")
     assert store.exists("good") and not store.exists("bad")
     assert sorted(r.id for r in store.read("good").collect()) == [1, 2]
+
+
+class _StubContext:
+    def __init__(self, master, checkpoint=None):
+        self.master = master
+        self._checkpoint = checkpoint
+        self.set_to = None
+
+    def getCheckpointDir(self):
+        return self._checkpoint
+
+    def setCheckpointDir(self, path):
+        self.set_to = path
+
+
+class _StubSession:
+    def __init__(self, master, conf=None, checkpoint=None):
+        self.sparkContext = _StubContext(master, checkpoint)
+        self.conf = type("Conf", (), {"get": lambda _self, k, d=None: (conf or {}).get(k, d)})()
+
+
+def test_shared_dir_uses_the_cluster_setting_and_never_a_local_folder_on_a_cluster():
+    from ledgerline.session import shared_dir
+
+    on_cluster = _StubSession("yarn", {"spark.checkpoint.dir": "hdfs://nn/shared"},
+                              checkpoint="hdfs://nn/shared/abc")
+    assert shared_dir(on_cluster, "runs") == "hdfs://nn/shared/runs"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_StubSession("spark://master:7077"))
+    local = _StubSession("local[4]")
+    root = shared_dir(local)
+    assert local.sparkContext.set_to == root and os.path.isdir(root)
