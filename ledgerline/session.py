@@ -110,18 +110,29 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
 BROADCAST_EXPANSION = 8
 
 
+# Bound used when the session turns automatic broadcasts off (-1): that
+# setting governs Spark's own choice from estimates, not a checked hint.
+DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
+
+
 def broadcast_if_small(df: DataFrame, stored_bytes: int, limit: int | None = None) -> DataFrame:
     """Hint a broadcast of ``df`` only when its size is known to be small.
 
     ``stored_bytes`` is the size of the files behind ``df`` (its upper bound
     in rows and columns); the hint is given when ``stored_bytes *
     BROADCAST_EXPANSION`` is within ``limit`` (default: the session's
-    ``spark.sql.autoBroadcastJoinThreshold``; -1 disables hints).  Otherwise
-    the frame is returned as it is and the optimizer chooses the join from
-    its statistics, falling back to a sort-merge join with skew splitting.
+    ``spark.sql.autoBroadcastJoinThreshold``, or
+    :data:`DEFAULT_BROADCAST_LIMIT` when that is off; a negative ``limit``
+    passed in disables the hint).  Otherwise the frame is returned as it is
+    and the optimizer chooses the join from its statistics, falling back to
+    a sort-merge join with skew splitting.  Keeping a tiny dimension
+    broadcast matters: joined by shuffle, a 25-value key would leave all but
+    25 partitions of the other side empty.
     """
     if limit is None:
         limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+        if limit <= 0:
+            limit = DEFAULT_BROADCAST_LIMIT
     if limit < 0 or stored_bytes * BROADCAST_EXPANSION > limit:
         return df
     return F.broadcast(df)

@@ -7,7 +7,12 @@ import os
 from conftest import SF_SMALL, plan_text
 from pyspark.sql import functions as F
 
-from ledgerline.session import BROADCAST_EXPANSION, broadcast_if_small, input_bytes
+from ledgerline.session import (
+    BROADCAST_EXPANSION,
+    DEFAULT_BROADCAST_LIMIT,
+    broadcast_if_small,
+    input_bytes,
+)
 from ledgerline.sources import testdata
 
 
@@ -60,7 +65,11 @@ def test_broadcast_hint_only_within_checked_size(spark):
         # Without any hint this join would not be broadcast (statistics-based
         # broadcast off), so a broadcast in the plan comes from the hint.
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "BroadcastHashJoin" not in join_plan(broadcast_if_small(nation, stored))
+        assert "BroadcastHashJoin" not in join_plan(nation)
+        assert "BroadcastHashJoin" not in join_plan(broadcast_if_small(nation, stored, limit=-1))
+        # Automatic broadcasts off: the checked hint still applies (default bound).
+        assert "BroadcastHashJoin" in join_plan(broadcast_if_small(nation, stored))
+        assert broadcast_if_small(nation, DEFAULT_BROADCAST_LIMIT) is nation
         hinted = broadcast_if_small(nation, stored, limit=stored * BROADCAST_EXPANSION)
         assert "BroadcastHashJoin" in join_plan(hinted)
         too_big = broadcast_if_small(nation, stored, limit=stored * BROADCAST_EXPANSION - 1)
