@@ -49,6 +49,12 @@ def main(argv: list[str] | None = None) -> int:
                                      "(default: the extracted Parquet folder)")
     p.add_argument("--format", choices=["parquet", "csv"], default="parquet",
                    help="format of the raw tables in --raw-dir")
+    p.add_argument("--id-type", default="int",
+                   help="type of the key columns (default int, the contract; bigint once keys "
+                        "pass 2^31, which also keeps the raw keys' partitioning through staging)")
+    p.add_argument("--revenue-type", default="decimal(12,2)",
+                   help="type of the revenue and spend sums (default decimal(12,2))")
+    p.add_argument("--units-type", default="int", help="type of the unit sums (default int)")
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
@@ -71,12 +77,13 @@ def main(argv: list[str] | None = None) -> int:
             size_shuffle_partitions(spark, input_bytes(spark, raw_dir))
         if args.step in ("build", "all"):
             jobs.build_models(spark, _raw(spark, raw_dir, raw_fmt), models_dir,
-                              os.path.join(root, "output", "orders_enriched.parquet"))
+                              os.path.join(root, "output", "orders_enriched.parquet"),
+                              args.id_type, args.revenue_type, args.units_type)
         if args.step in ("test", "all"):
             from ledgerline.operators.staging import stage_all
 
             raw = _raw(spark, raw_dir, raw_fmt)
-            models = {**stage_all(raw),
+            models = {**stage_all(raw, args.id_type),
                       **{t: spark.read.parquet(os.path.join(models_dir, t))
                          for t in jobs.PUBLISHED_TABLES}}
             jobs.run_data_tests(models, raw).show(100, truncate=False)

@@ -53,3 +53,24 @@ def test_build_and_test_from_csv(spark, monkeypatch):
     assert cli.main(["build", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
     assert cli.main(["test", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
     assert spark.read.parquet(os.path.join(root, "models", "rpt_customer_summary")).count() == 8
+
+
+def test_cli_builds_with_wide_keys_and_sums(spark, monkeypatch):
+    src = fresh_dir(spark, "cli-src")
+    for name, df in raw_seed(spark).items():
+        write_parquet(df, os.path.join(src, f"{name}.parquet"))
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    root = fresh_dir(spark, "cli-run")
+    wide = ["--root", root, "--raw-dir", src, "--id-type", "bigint",
+            "--revenue-type", "decimal(18,2)", "--units-type", "bigint"]
+    assert cli.main(["build", *wide]) == 0
+    assert cli.main(["test", *wide]) == 0
+    summary = spark.read.parquet(os.path.join(root, "models", "rpt_customer_summary"))
+    types = dict(summary.dtypes)
+    assert (types["customer_id"], types["total_spend"], types["total_units"]) == \
+        ("bigint", "decimal(18,2)", "bigint")
+    narrow = fresh_dir(spark, "cli-run")
+    assert cli.main(["build", "--root", narrow, "--raw-dir", src]) == 0
+    same = spark.read.parquet(os.path.join(narrow, "models", "rpt_customer_summary"))
+    assert sorted(tuple(map(str, r)) for r in summary.collect()) == \
+        sorted(tuple(map(str, r)) for r in same.collect())
