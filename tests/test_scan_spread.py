@@ -79,3 +79,13 @@ def test_broadcast_hint_only_within_checked_size(spark):
         assert broadcast_if_small(nation, 10 << 20) is nation
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_threshold_settings_parse_to_bytes():
+    from ledgerline.session import _bytes
+
+    assert _bytes("10485760") == 10 << 20
+    assert _bytes("10m") == _bytes("10MB") == _bytes(" 10mb ") == 10 << 20
+    assert _bytes("512k") == 512 << 10
+    assert _bytes("1g") == 1 << 30
+    assert _bytes("-1") == -1
