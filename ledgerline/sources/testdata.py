@@ -56,6 +56,10 @@ SPREAD_TABLES = ("lineitem", "orders", "customer", "part")
 # Below this stored size a single scan task is cheaper than an extra shuffle
 # (small tables end up broadcast anyway).
 SPREAD_MIN_BYTES = 8 * 1024 * 1024
+# Above this size a scan already has many 128 MB splits and the shuffle that
+# follows it spreads the rows; an extra round-robin shuffle would only move
+# the whole table twice.
+SPREAD_MAX_BYTES = 1024 * 1024 * 1024
 
 
 def spread(df: DataFrame, stored_bytes: int) -> DataFrame:
@@ -67,10 +71,11 @@ def spread(df: DataFrame, stored_bytes: int) -> DataFrame:
     hot key nor a large group of identical rows can fill one partition (a
     hash on any columns would send all copies of a row to the same place);
     Spark sorts each input partition first, so a retried task re-creates
-    the same partitions.  Inputs made of many files (any large deployment)
-    and small tables are returned as they are.
+    the same partitions.  Inputs made of many files (any large deployment),
+    small tables and tables above ``SPREAD_MAX_BYTES`` are returned as they
+    are, so the extra shuffle is never a large one.
     """
-    if stored_bytes < SPREAD_MIN_BYTES:
+    if not SPREAD_MIN_BYTES <= stored_bytes <= SPREAD_MAX_BYTES:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

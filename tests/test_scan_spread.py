@@ -46,6 +46,7 @@ def test_copies_of_one_row_are_dealt_evenly(spark):
 def test_small_scans_and_many_partitions_are_left_alone(spark):
     lines = spark.read.parquet(os.path.join(SF_SMALL, "lineitem.parquet"))
     assert testdata.spread(lines, testdata.SPREAD_MIN_BYTES - 1) is lines
+    assert testdata.spread(lines, testdata.SPREAD_MAX_BYTES + 1) is lines
     wide = lines.repartition(spark.sparkContext.defaultParallelism)
     assert testdata.spread(wide, testdata.SPREAD_MIN_BYTES) is wide
 
