@@ -1,10 +1,10 @@
 """Command line for the jobs.
 
-    spark-submit -m ledgerline.plans.cli extract --jdbc-env --out /shared/parquet
+    spark-submit --py-files ledgerline.zip ledgerline/plans/cli.py extract --root /shared/run1
     python -m ledgerline.plans.cli all --source-dir /data/raw --root /shared/run1
 
 ``extract`` reads a database over JDBC (connection from ``MSSQL_*``
-variables) or a folder of Parquet files (``--source-dir``); ``build``,
+variables, the default) or a folder of Parquet files (``--source-dir``); ``build``,
 ``test`` and ``publish`` work on the folders the previous step wrote.
 Exit code 1 when any table fails to extract or publish, or a data test fails.
 """
