@@ -42,3 +42,28 @@ def test_checks_scan_built_tables_not_the_joins(spark):
     plan = plan_text(QUERIES["dq_positive"](spark, SF_SMALL), "simple")
     assert "lineitem.parquet" not in plan
     assert "orders_enriched" in plan
+
+
+def test_mart_plan_at_scale_keeps_nation_broadcast_and_customer_partitioning(spark):
+    """No automatic broadcasts (as at 100 TB) and bigint keys."""
+    from ledgerline.plans.models import model_graph
+    from ledgerline.sources import testdata
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = model_graph(testdata.raw_tables(spark, SF_SMALL), id_type="bigint")["orders_enriched"]
+        plan = plan_text(df, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    broadcast_joins = [ln for ln in plan.splitlines() if "BroadcastHashJoin" in ln]
+    assert len(broadcast_joins) == 1 and "c_nationkey" in broadcast_joins[0]
+    assert plan.count("Exchange hashpartitioning") == 7
+    assert plan.count("Exchange hashpartitioning(customer_id") == 2
