@@ -1,10 +1,82 @@
-"""Training-text pipeline: quality rules and mixing (more stages follow)."""
+"""Training-text pipeline over ``documents``.
+
+quality rules -> near-duplicates -> personal data -> mixing -> packing.
+
+Each stage takes the documents its predecessor kept, whole, and returns
+documents with the same columns, the last one the packed pieces.  ``n_chars``
+follows the text where a stage changes it.
+
+Defined cases, as in the operators: null text has no words and is dropped by
+the quality rules; a null id is a document of its own; rows that repeat an id
+count as one document in the near-duplicate stage; an empty table passes
+through as an empty table; further columns are carried along.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import mixing, near_dedup, packing, pii, quality
+from ledgerline.llm.common import cut, documents
+
+
+def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs``, n_chars (if there) recounted."""
+    if "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(kind))
+    return docs.select(*columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules and whose source does."""
+    judged = quality.judge(docs, carry=tuple(docs.columns))
+    return judged.filter("q_kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id."""
+    found = near_dedup.near_duplicates(docs)
+    gone = found.filter("d_id <> d_component").select("d_id").distinct()
+    kept = docs.join(cut(gone, "gone"), docs["doc_id"] == F.col("d_id"), "left_anti")
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
+        docs.filter("doc_id is null"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by the name of its kind."""
+    found = pii.find_spans(docs, carry=tuple(docs.columns))
+    return _with_length(pii.redact(found), docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; a last, partial repetition of
+    a source ends within a document."""
+    mixed = mixing.mix(docs, carry=tuple(docs.columns))
+    return _with_length(mixing.repeat_rows(mixed), docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in the packed sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: The tokenizer and the span model are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise RuntimeError("no stages yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

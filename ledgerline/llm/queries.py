@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import licenses, mixing, quality
+from ledgerline.llm import licenses, mixing, near_dedup, packing, pii, quality
 
 QUERIES = {f.__name__: f for f in (
+    packing.op1_best_fit_packing, near_dedup.op3_near_duplicates, pii.op4_pii,
     mixing.op5_source_mixing, quality.op6_quality_rules, licenses.op9_license_scan,
 )}
 
