@@ -25,8 +25,6 @@ from ledgerline.llm.common import WHITE, WORD, cut, documents
 
 #: Bits of the seeded place of a document within its source.
 PLACE_BITS = 52
-#: Documents for which one more halving of the places is made.
-ROWS_A_BUCKET = 65_536
 
 
 def word_count(text: Column) -> Column:
@@ -105,10 +103,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3
             .withColumn("m_quota", F.round("m_target").cast("long")
                         - F.col("m_whole") * F.col("m_total")))
 
-    # Places are halved so often that a bucket of the largest source stays
-    # small; each source's quota ends in one of its buckets.
-    n = sources.agg(F.sum("m_docs")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(n / ROWS_A_BUCKET))) if n else 0
+    # About as many buckets of places as a bucket has rows: each source's quota
+    # ends in one of its buckets, and only that one is put in order.
+    n = sources.agg(F.sum("m_docs")).first()[0] or 1
+    bits = math.ceil(math.log2(n) / 2)
     sized = sized.withColumn("m_bucket", F.shiftright("m_place", PLACE_BITS - bits))
     run = Window.partitionBy("m_source").orderBy("m_bucket")
     buckets = (sized.groupBy("m_source", "m_bucket").agg(F.sum("m_size").alias("m_sum"))
