@@ -39,7 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group: the one with the smallest id."""
     found = near_dedup.near_duplicates(docs)
     gone = found.filter("d_id <> d_component").select("d_id").distinct()
-    kept = docs.join(cut(gone, "gone"), docs["doc_id"] == F.col("d_id"), "left_anti")
+    gone = cut(gone, "gone").hint("merge")  # at every size: it grows with the documents
+    kept = docs.join(gone, docs["doc_id"] == F.col("d_id"), "left_anti")
     return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
         docs.filter("doc_id is null"))
 

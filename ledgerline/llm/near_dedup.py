@@ -295,7 +295,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = cut(sketches.filter("d_n > 0 and d_id is not null").groupBy("d_k1", "d_k2").agg(
         F.min("d_id").alias("rep"), F.first("d_bands").alias("bands")), "classes")
     pairs, ids = _hub_pairs(classes)
-    texts = cut(given.join(ids, F.col("d_id") == F.col("rep"), "left_semi"), "texts")
+    # A merge join at every size: the ids grow with the documents.
+    texts = cut(given.join(ids.hint("merge"), F.col("d_id") == F.col("rep"), "left_semi"),
+                "texts")
     with_text = (pairs.join(texts.withColumnsRenamed({"d_id": "rep", "d_text": "m_text"}), "rep")
                  .join(texts.withColumnsRenamed({"d_id": "p", "d_text": "p_text"}), "p")
                  .select("p", "rep", "p_text", "m_text"))
