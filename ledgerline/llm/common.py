@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +50,15 @@ def is_remainder(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id: false."""
     crc = F.crc32(doc_id.cast("string").cast("binary"))
     return F.coalesce(crc % modulus == remainder, F.lit(False))
+
+
+def per_worker(name: str, make: Callable[[], Any]) -> Any:
+    """One object per Python worker process, made at its first use there.
+
+    Tasks that follow one another in a worker share it: for caches and tables
+    that depend on nothing but ``name``.
+    """
+    state = sys.modules.setdefault("_per_worker", types.ModuleType("_per_worker"))
+    if not hasattr(state, name):
+        setattr(state, name, make())
+    return getattr(state, name)

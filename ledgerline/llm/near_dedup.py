@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, documents, rekeyed
+from ledgerline.llm.common import cut, documents, per_worker, rekeyed
 from ledgerline.llm.components import connected_components
 
 PERMUTED = 22            # bits of the universe that the permutations act on
@@ -116,7 +116,8 @@ SKETCH = "d_id long, d_n long, d_k1 long, d_k2 long, d_bands array<long>"
 
 def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, signer = WordHashes(), Signer()
+        hashes = per_worker("word hashes", WordHashes)
+        signer = per_worker("signer", Signer)
         for batch in batches:
             n, keys, signatures = [], [], []
             for text in batch.column(1):
@@ -147,7 +148,8 @@ STAR = "g long, p long, p_n long, rep long, n long, delta array<long>"
 def _compare(size: int):
     """(p, rep, p_text, text) -> sizes and the symmetric difference of the sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, hub = WordHashes(), None, np.empty(0, np.uint64)
+        hashes = per_worker("word hashes", WordHashes)
+        last, hub = None, np.empty(0, np.uint64)
         for batch in batches:
             p, rep, p_n, n, deltas = [], [], [], [], []
             for a, b, ta, tb in zip(*(batch.column(i) for i in range(4)), strict=True):

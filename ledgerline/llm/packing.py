@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, documents
+from ledgerline.llm.common import cut, documents, per_worker
 
 CAPACITY = 4096
 END_ID = 1
@@ -39,10 +39,12 @@ PIECES = ("doc_id long, piece int, start long, length int, ids binary, "
 
 
 class WordTokens(dict):
-    """Ids of a word (bytes) as little-endian 32-bit bytes.
+    """Ids of words (bytes) as little-endian 32-bit bytes, kept for words seen
+    before.
 
     The tokenizer drops white space before it looks at anything else, so a
-    text's ids are those of its words in a row.
+    text's ids are those of its words in a row.  Unseen words are encoded
+    together, with a special token between them that marks the ends.
     """
 
     def __init__(self, path: str):
@@ -51,24 +53,47 @@ class WordTokens(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = np.array(ids, "<u4").tobytes()
-        if len(self) < WORDS_CACHED and len(word) <= 64:
-            self[word] = value
-        return value
+        marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                 if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.mark_id, self.mark = max(marks, default=(None, None))
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
+        texts = [(w, w.decode()) for w in words]
+        together = [(w, t) for w, t in texts if self.mark and self.mark not in t]
+        out = {w: self._encode(t).tobytes() for w, t in texts
+               if not self.mark or self.mark in t}
+        if together:
+            ids = self._encode(self.mark.join(t for _, t in together))
+            ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            raw, at = ids.tobytes(), 0
+            for (w, _), end in zip(together, ends, strict=True):
+                out[w] = raw[4 * at:4 * end]
+                at = end + 1
+        return out
+
+    def ids(self, text: bytes | None) -> bytes:
+        words = (text or b"").split()
+        fresh = set(words).difference(self)
+        if not fresh:
+            return b"".join(map(self.__getitem__, words))
+        new = self.encode(fresh)
+        if len(self) < WORDS_CACHED:
+            self.update((w, i) for w, i in new.items() if len(w) <= 64)
+        return b"".join([new[w] if w in new else self[w] for w in words])
 
 
 def _tokenize(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = WordTokens(path), np.array([end_id], "<u4").tobytes()
+        tokens = per_worker(f"tokens {path}", lambda: WordTokens(path))
+        end = np.array([end_id], "<u4").tobytes()
         part, seen, step = TaskContext.get().partitionId(), [0] * (capacity + 1), 4 * capacity
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = (text.as_py() or b"").split()
-                ids = b"".join([*map(tokens.__getitem__, words), end])
+                ids = tokens.ids(text.as_py()) + end
                 for i, at in enumerate(range(0, len(ids), step)):
                     piece = ids[at:at + step]
                     n = len(piece) // 4
