@@ -14,25 +14,26 @@ through as an empty table; further columns are carried along.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import mixing, near_dedup, packing, pii, quality
-from ledgerline.llm.common import cut, documents
+from ledgerline.llm.common import boxed, cut, documents
 
 
-def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs``, n_chars (if there) recounted."""
-    if "n_chars" in columns:
+def _with_text(docs: DataFrame, row: Column, text: Column) -> Column:
+    """``row`` (the columns of ``docs``) with another text, n_chars recounted."""
+    row = row.withField("text", text)
+    if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        docs = docs.withColumn("n_chars", F.char_length("text").cast(kind))
-    return docs.select(*columns)
+        row = row.withField("n_chars", F.char_length(text).cast(kind))
+    return row.alias("row")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and whose source does."""
-    judged = quality.judge(docs, carry=tuple(docs.columns))
-    return judged.filter("q_kept").select(*docs.columns)
+    judged = quality.judge(docs.select(boxed(docs), "source", "text"), carry=("row",))
+    return judged.filter("q_kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,22 +41,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = near_dedup.near_duplicates(docs)
     gone = found.filter("d_id <> d_component").select("d_id").distinct()
     gone = cut(gone, "gone").hint("merge")  # at every size: it grows with the documents
-    kept = docs.join(gone, docs["doc_id"] == F.col("d_id"), "left_anti")
+    kept = docs.join(gone, docs["doc_id"] == gone["d_id"], "left_anti")
     return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
         docs.filter("doc_id is null"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by the name of its kind."""
-    found = pii.find_spans(docs, carry=tuple(docs.columns))
-    return _with_length(pii.redact(found), docs.columns)
+    found = pii.find_spans(docs.select(boxed(docs), "text"), carry=("row",))
+    clean = found.select("row", pii.redacted(F.col("row.text"), F.col("p_spans")).alias("t"))
+    return clean.select(_with_text(docs, F.col("row"), F.col("t"))).select("row.*")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; a last, partial repetition of
     a source ends within a document."""
-    mixed = mixing.mix(docs, carry=tuple(docs.columns))
-    return _with_length(mixing.repeat_rows(mixed), docs.columns)
+    mixed = mixing.mix(docs.select(boxed(docs), "doc_id", "source", "text"), carry=("row",))
+    rows = mixing.repeat_rows(mixed, F.col("row.text"))
+    return rows.select(_with_text(docs, F.col("row"), F.col("m_text"))).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

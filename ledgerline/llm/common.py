@@ -23,6 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def boxed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one, ``row``: their names clash with none."""
+    return F.struct(*(docs[c] for c in docs.columns)).alias("row")
+
+
 def cut(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -140,18 +140,18 @@ def taken(mixed: DataFrame) -> Column:
     return F.col("m_whole") * F.col("m_size") + F.col("m_part")
 
 
-def repeat_rows(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """One row per repetition; the fractional one holds the text up to the end
-    of its last word.  Rows that the mix takes nothing of go."""
+def repeat_rows(mixed: DataFrame, text: Column) -> DataFrame:
+    """One row per repetition, with its text as ``m_text``; the fractional one
+    ends with its last word.  Rows that the mix takes nothing of go."""
     copies = (F.when(F.col("m_size") > 0, F.col("m_whole")).otherwise(F.lit(0))
               + (F.col("m_part") > 0).cast("long"))
     rows = mixed.withColumn("m_copies", copies).filter("m_copies > 0").withColumn(
         "m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies"))))
     partial = (F.col("m_copy") > F.col("m_whole")) & (F.col("m_part") < F.col("m_size"))
     white = WHITE.replace(" ", r"\x20")
-    pieces = F.split(F.col(text), f"(?<=[^{white}])(?=[{white}])")
+    pieces = F.split(text, f"(?<=[^{white}])(?=[{white}])")
     begin = F.array_join(F.slice(pieces, F.lit(1), F.col("m_part").cast("int")), "")
-    return rows.withColumn(text, F.when(partial, begin).otherwise(F.col(text))).drop(
+    return rows.withColumn("m_text", F.when(partial, begin).otherwise(text)).drop(
         "m_copies", "m_copy", "m_whole", "m_part", "m_size", "m_total", "m_target")
 
 

@@ -271,17 +271,18 @@ def _links_around_hubs(near: DataFrame, percent: int) -> DataFrame:
                 .select(F.col("x_rep").alias("u"), F.col("y_rep").alias("v")))
         found = cut(found.unionByName(more), "links")
 
-        # Many apart: the element's members get the smallest of them as hub.
+        # Many apart: the element's members get the least different of them as
+        # hub; elements of one family mostly agree on it and make one group.
         many = posts.filter(F.col("apart") > DIRECT)
         if not many.take(1):
             return found
         hub = d.select(F.col("g").alias("hg"), F.col("rep").alias("hr"),
                        F.col("n").alias("h_n"), F.col("delta").alias("h_d"))
-        inner = (many.select("g", "e", "rep", "hub").filter("rep <> hub")
+        inner = (many.select("g", "rep", "hub").filter("rep <> hub").distinct()
                  .join(d, ["g", "rep"])
                  .join(hub, (F.col("g") == F.col("hg")) & (F.col("hub") == F.col("hr"))))
         near = cut(inner.select(
-            F.xxhash64("g", "e").alias("g"), F.col("hub").alias("p"), F.col("h_n").alias("p_n"),
+            F.xxhash64("g", "hub").alias("g"), F.col("hub").alias("p"), F.col("h_n").alias("p_n"),
             "rep", "n",
             F.concat(F.array_except("delta", "h_d"),
                      F.array_except("h_d", "delta")).alias("delta")), "inner")
@@ -311,7 +312,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_class = cut(of_class.withColumnsRenamed({"d_k1": "k1", "d_k2": "k2"}), "components")
     same = (F.col("d_k1") == F.col("k1")) & (F.col("d_k2") == F.col("k2"))
     return sketches.join(of_class, same, "left").select(
-        "d_id", "d_n", F.coalesce("component", "d_id").alias("d_component"))
+        "d_id", "d_n", F.when(F.col("d_id").isNotNull(), F.coalesce("component", "d_id"))
+        .alias("d_component"))
 
 
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:

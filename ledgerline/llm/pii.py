@@ -280,8 +280,7 @@ def _mask(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(t, f) for t, f in zip(text, spans, strict=True)])
 
 
-def redact(found: DataFrame, text: str = "text") -> DataFrame:
-    """``found`` with every span of ``p_spans`` replaced by its kind's name in
-    angle brackets, ``p_spans`` dropped; texts without spans are untouched."""
-    masked = F.when(F.size("p_spans") > 0, _mask(F.col(text), F.col("p_spans")))
-    return found.withColumn(text, F.coalesce(masked, F.col(text))).drop("p_spans")
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by its kind's name in angle brackets;
+    a text without spans is untouched."""
+    return F.coalesce(F.when(F.size(spans) > 0, _mask(text, spans)), text)

@@ -1,0 +1,92 @@
+"""Small tables with every awkward case, and an empty copy of them."""
+
+from __future__ import annotations
+
+import random
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+WORDS = "the and of lorem ipsum dolor sit amet tempor quis nostrud élan über ñandú vita".split()
+
+DOCUMENTS = pa.schema([
+    ("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()),
+    ("source", pa.string()), ("n_chars", pa.int64()),
+    # Names that the operators use inside or return: carried or ignored.
+    ("size", pa.string()), ("kept", pa.int32()), ("rep", pa.int64()), ("q_host", pa.string()),
+])
+
+
+def _prose(rng: random.Random, n: int) -> str:
+    words = [rng.choice(WORDS) + str(rng.randrange(300)) for _ in range(n)]
+    return " ".join(w + ("\n" if i % 11 == 10 else "") for i, w in enumerate(words))
+
+
+def edge_rows() -> list[tuple]:
+    rng = random.Random(5)
+    base = _prose(rng, 160)
+    words = base.split(" ")
+    texts: list[str | None] = [
+        None, "", "   \n\t ", "one", "two words", "a b c", base, base, base.upper(),
+        _prose(rng, 9000), "x" * 30_000, "same line\n" * 60, "the the the " * 40,
+        "Licensed under the Apache License, Version 2.0.\n" + _prose(rng, 70),
+        "call +1 (946) 555-6520 or a.b+c@mail.example.org, 10.0.0.256, 192.168.1.1; "
+        "4337 1665 9846 4392 é 4337166598464399 +123 a@b a@b.c@d.e " + _prose(rng, 60),
+        "idiot scum " + _prose(rng, 60), "### $$$ %%% " * 30 + _prose(rng, 60),
+        "\u00a0no\u2003ascii\u0301 space " + _prose(rng, 55),
+        "<|endoftext|> x<|startoftext|>y " + _prose(rng, 52),
+    ]
+    for edits in (1, 2, 4, 8, 16, 24):   # near copies, and copies of near copies
+        changed = list(words)
+        for _ in range(edits):
+            changed[rng.randrange(len(changed))] = f"new{rng.randrange(10**6)}"
+        texts += [" ".join(changed)] * (1 + edits % 3)
+        words = changed if edits in (4, 16) else words
+    texts += [_prose(rng, rng.choice((30, 60, 90, 200))) for _ in range(40)]
+    sources = ["hot", "hot", "b", None, "é", "a"]
+    rows = [(i * 10, t, "en", sources[i % 6], len(t or ""), "z", 1, i % 3, "h")
+            for i, t in enumerate(texts)]
+    rows += [rows[6], rows[6], rows[20]]                      # repeated rows
+    rows += [(None, base, None, None, None, None, None, None, None),
+             (10**12, None, None, "b", None, None, None, None, None),
+             (-100, base + " tail", "en", "a", 3, "", 0, 0, "")]
+    return rows
+
+
+def _write(folder, rows: list[tuple]) -> str:
+    columns = list(zip(*rows, strict=True)) or [()] * len(DOCUMENTS)
+    table = pa.table([pa.array(list(c), f.type)
+                      for c, f in zip(columns, DOCUMENTS, strict=True)], schema=DOCUMENTS)
+    pq.write_table(table, folder / "documents.parquet", row_group_size=16)
+    some = bool(rows)
+    labels = [(r[0], 1, 1 if "idiot" in (r[1] or "") else 0) for r in rows][: 50 * some]
+    labels += [(None, 1, 1), (30, None, None), (30, 0, 1), (10**9, 1, 1)] * some
+    pq.write_table(pa.table({
+        "doc_id": pa.array([x[0] for x in labels], pa.int64()),
+        "quality": pa.array([x[1] for x in labels], pa.int32()),
+        "toxic": pa.array([x[2] for x in labels], pa.int32()),
+        "score": pa.array([0.5] * len(labels), pa.float64())}), folder / "labels.parquet")
+    urls = [None, "", "no-scheme/en/", "http://com/", "https://COM/x", "http://com", "x://a.com/",
+            "https://www.Example.com/en/1?q=/fr/", "https://m.example.com/en/", "ftp://example.com/EN/",
+            "https://exämple.com/en/", "http://badexample.com/en/", "https://a.b.net/es/x#y",
+            "https://net/fr/", "https://x.net/frx/", "https://x.org/casino/", "https://x.org/Casino",
+            "https://x.org/mycasino2", "http://10.0.0.1/x", "http://10.0.0.1:80", "https://x.org/a.exe",
+            "https://x.org/a.exe?b", "http://a://b.com/", "https:///path", "http://u@h.com:8/en/",
+            "https://x.org/\ncasino\n", "https://example.com/en/" + "y" * 20_000,
+            "https://m.example.com/en/", "https://x.org/Kcasino"] * some
+    pq.write_table(pa.table({
+        "page_id": pa.array([*range(len(urls))], pa.int64()), "url": pa.array(urls, pa.string()),
+        "html": pa.array([None] * len(urls), pa.string()),
+        "rule": pa.array([7] * len(urls), pa.int64())}), folder / "pages.parquet")
+    return str(folder)
+
+
+@pytest.fixture(scope="session")
+def edge_dir(tmp_path_factory) -> str:
+    return _write(tmp_path_factory.mktemp("edge"), edge_rows())
+
+
+@pytest.fixture(scope="session")
+def empty_dir(tmp_path_factory) -> str:
+    return _write(tmp_path_factory.mktemp("empty"), [])
