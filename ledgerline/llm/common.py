@@ -28,7 +28,7 @@ def boxed(docs: DataFrame) -> Column:
     return F.struct(*(docs[c] for c in docs.columns)).alias("row")
 
 
-def cut(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+def cut(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: what follows rereads files that survive a lost

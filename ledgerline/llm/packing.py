@@ -120,8 +120,7 @@ def tokenize(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
     drops white space.
     """
     given = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("binary"))
-    return cut(given.mapInArrow(_tokenize(tokenizer, capacity, end_id), PIECES), "pieces",
-               codec="zstd")
+    return cut(given.mapInArrow(_tokenize(tokenizer, capacity, end_id), PIECES), "pieces")
 
 
 @dataclass
