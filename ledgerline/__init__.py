@@ -13,7 +13,6 @@ Sub-packages
 ``operators``  staging, mart, reports, analytics, quality checks
 ``sinks``      Parquet/CSV writes and the versioned (snapshot) table store
 ``plans``      the composed jobs (extract, build, test, publish, analyse)
-``streaming``  intentionally empty: the workload is full-refresh batch
 """
 
 from ledgerline.session import build_session, shared_dir

@@ -12,10 +12,14 @@ from ledgerline.functions.exprs import (
     ratio_as_decimal,
     share_pct,
 )
+from ledgerline.functions.widths import CONTRACT, WIDE, Widths
 
 __all__ = [
+    "CONTRACT",
     "SPEND_TIER_BOUNDS",
     "SPEND_TIER_LABELS",
+    "WIDE",
+    "Widths",
     "as_int",
     "bucket",
     "day_diff",

@@ -19,7 +19,7 @@ from ledgerline.functions import (
     share_pct,
 )
 
-TOTAL_TYPE = "decimal(18,2)"
+TOTAL_TYPE = "decimal(28,2)"
 
 
 def source_profile(orders: DataFrame) -> DataFrame:

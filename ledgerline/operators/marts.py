@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import day_diff
-
-LINE_TOTAL_TYPE = "decimal(10,2)"
+from ledgerline.functions import CONTRACT, Widths, day_diff
 
+# The mart's columns, in order.
 ENRICHED_COLUMNS = (
     "order_id",
     "order_date",
@@ -43,7 +42,7 @@ def orders_enriched(
     stg_orders: DataFrame,
     stg_customers: DataFrame,
     stg_products: DataFrame,
-    line_total_type: str = LINE_TOTAL_TYPE,
+    widths: Widths = CONTRACT,
 ) -> DataFrame:
     """Orders joined to customers (J1) and products (J2) plus metrics.
 
@@ -60,27 +59,16 @@ def orders_enriched(
                              "signup_date")
     p = stg_products.select("product_id", "product_name", "category", "unit_price")
     joined = o.join(c, "customer_id", "inner").join(p, "product_id", "inner")
-    return joined.select(
-        "order_id",
-        "order_date",
-        "status",
-        "quantity",
-        "customer_id",
-        "customer_name",
-        "email",
-        "country",
-        "signup_date",
-        "product_id",
-        "product_name",
-        "category",
-        "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast(line_total_type).alias("line_total"),
-        day_diff("signup_date", "order_date").alias("days_since_signup"),
-        F.month("order_date").cast("int").alias("order_month"),
-        F.year("order_date").cast("int").alias("order_year"),
-    )
+    derived = {
+        "line_total": (F.col("quantity") * F.col("unit_price")).cast(widths.line_total),
+        "days_since_signup": day_diff("signup_date", "order_date"),
+        "order_month": F.month("order_date").cast("int"),
+        "order_year": F.year("order_date").cast("int"),
+    }
+    return joined.withColumns(derived).select(*ENRICHED_COLUMNS)
 
 
-def build_mart(staged: dict[str, DataFrame]) -> DataFrame:
+def build_mart(staged: dict[str, DataFrame], widths: Widths = CONTRACT) -> DataFrame:
     """``orders_enriched`` from the dict returned by ``staging.stage_all``."""
-    return orders_enriched(staged["stg_orders"], staged["stg_customers"], staged["stg_products"])
+    return orders_enriched(staged["stg_orders"], staged["stg_customers"],
+                           staged["stg_products"], widths)

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.schemas import REQUIRED_COLUMNS
+
 CHECK_COLUMNS = ("check_name", "table_name", "column_name", "failing_rows")
 
 # The declared model tests -- (table, column) pairs.
@@ -49,13 +51,13 @@ UNIQUE_DECLARED: tuple[tuple[str, str], ...] = (
     ("rpt_customer_summary", "customer_id"),
     ("rpt_product_performance", "product_id"),
 )
-# Primary keys of the raw files (NULL check before staging).
+# Primary keys of the raw files (NULL check before staging).
 RAW_KEYS: tuple[tuple[str, str], ...] = (
     ("customers", "customer_id"),
     ("products", "product_id"),
     ("orders", "order_id"),
 )
-# Values that must be > 0; the flag says whether NULL also fails.
+# What must be > 0; the flag says whether NULL also fails.
 POSITIVE_DECLARED: tuple[tuple[str, str, bool], ...] = (
     ("products", "unit_price", False),
     ("orders_enriched", "line_total", True),
@@ -64,7 +66,7 @@ POSITIVE_DECLARED: tuple[tuple[str, str, bool], ...] = (
     ("rpt_product_performance", "total_revenue", True),
     ("rpt_revenue_by_country", "total_revenue", True),
 )
-# Minimum row counts per model.
+# Minimum row counts per model.
 MIN_ROWS: dict[str, int] = {
     "orders_enriched": 18,
     "rpt_revenue_by_country": 1,
@@ -153,40 +155,68 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def declared_not_null(models: Mapping[str, DataFrame],
-                      raw: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """The 19 declared ``not_null`` tests (+ raw keys), one pass per table."""
-    by_table: dict[str, list[str]] = {}
-    if raw is not None:
-        for t, c in RAW_KEYS:
-            by_table.setdefault(("raw", t), []).append(c)
-    for t, c in NOT_NULL_DECLARED:
-        by_table.setdefault(("model", t), []).append(c)
+Keys = Sequence[tuple[str, str]]
+
+
+def _source(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None,
+            table: str) -> DataFrame:
+    return raw[table] if raw is not None and table in raw else models[table]
+
+
+def column_checks(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None,
+                  nulls: Keys, positives: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """NULL and positive-value counts of every table, one pass over each."""
+    tables: dict[str, list[tuple[str, str, Column]]] = {}
+    for t, c in nulls:
+        tables.setdefault(t, []).append(("not_null", c, F.col(c).isNull()))
+    for t, c, null_fails in positives:
+        bad = (F.col(c) <= 0) | F.col(c).isNull() if null_fails else F.col(c) <= 0
+        tables.setdefault(t, []).append(
+            ("positive_not_null" if null_fails else "positive", c, bad))
     frames = []
-    for (kind, t), cols in by_table.items():
-        src = raw[t] if kind == "raw" else models[t]
-        frames.append(not_null(src, t, cols))
+    for t, checks in tables.items():
+        counts = _source(models, raw, t).agg(*(
+            F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)))
+        frames.append(counts.select(F.inline(F.array(*(
+            F.struct(F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
+                     F.lit(c).alias("column_name"),
+                     F.col(f"n{i}").cast("bigint").alias("failing_rows"))
+            for i, (check, c, _) in enumerate(checks))))))
     return union_all(frames)
 
 
-def declared_unique(models: Mapping[str, DataFrame]) -> DataFrame:
-    """The 7 declared ``unique`` tests."""
-    return union_all(unique(models[t], t, c) for t, c in UNIQUE_DECLARED)
+def declared_not_null(models: Mapping[str, DataFrame],
+                      raw: Mapping[str, DataFrame] | None = None,
+                      raw_keys: Keys = RAW_KEYS) -> DataFrame:
+    """The 19 declared ``not_null`` tests (+ raw keys), one pass per table."""
+    keys = [*(raw_keys if raw is not None else ()), *NOT_NULL_DECLARED]
+    return column_checks(models, raw, keys, ())
+
+
+def declared_unique(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None,
+                    keys: Keys = UNIQUE_DECLARED) -> DataFrame:
+    """The declared ``unique`` tests."""
+    return union_all(unique(_source(models, raw, t), t, c) for t, c in keys)
 
 
 def declared_positive(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]) -> DataFrame:
     """Positive-value tests on prices, line totals, spend and revenue."""
-    frames = []
-    for t, c, null_fails in POSITIVE_DECLARED:
-        src = raw[t] if t in raw else models[t]
-        frames.append(positive(src, t, c, null_fails))
-    return union_all(frames)
+    return column_checks(models, raw, (), POSITIVE_DECLARED)
 
 
-def referential(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Orders whose customer or product is unknown, and NULL keys in the mart."""
-    o = models["stg_orders"]
+def referential(models: Mapping[str, DataFrame],
+                raw: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Orders whose customer or product is unknown, and NULL keys in the mart.
+
+    Where ``raw`` has lines and headers apart, also the lines whose header is
+    missing: the join that puts them together drops them without a word.
+    """
+    o, frames = models["stg_orders"], []
+    if raw is not None and "order_lines" in raw:
+        frames.append(orphans(raw["order_lines"], raw["order_headers"], "order_id",
+                              "order_lines", "order_headers"))
     return union_all([
+        *frames,
         orphans(o, models["stg_customers"], "customer_id", "stg_orders", "stg_customers"),
         orphans(o, models["stg_products"], "product_id", "stg_orders", "stg_products"),
         either_null(models["orders_enriched"], "orders_enriched", "customer_id", "product_id"),
@@ -239,14 +269,71 @@ def required_columns(df: DataFrame, table: str, required: Sequence[str]) -> list
     return [c for c in required if c not in have]
 
 
-def suite(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check above as one DataFrame (check, table, column, failing_rows)."""
-    return union_all([
-        declared_not_null(models, raw),
-        declared_unique(models),
-        declared_positive(models, raw),
-        referential(models),
-    ])
+def _literal_rows(spark: SparkSession, check: str, failing: Mapping[str, int]) -> DataFrame:
+    return spark.createDataFrame(
+        [(check, t, "*", int(n)) for t, n in failing.items()],
+        "check_name string, table_name string, column_name string, failing_rows bigint")
+
+
+def column_contract(spark: SparkSession, tables: Mapping[str, DataFrame],
+                    required: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Q9 as check rows: the number of required columns that a table lacks."""
+    return _literal_rows(spark, "required_columns", {
+        t: len(required_columns(tables[t], t, columns)) for t, columns in required.items()})
+
+
+def count_contract(tables: Mapping[str, DataFrame], minimum: Mapping[str, int],
+                   exact: Mapping[str, int]) -> DataFrame:
+    """Q7/Q8 as check rows: rows short of the minimum, or off the exact count."""
+    n = F.count(F.lit(1))
+    wanted = [*(("min_rows", t, F.greatest(F.lit(0), F.lit(k) - n)) for t, k in minimum.items()),
+              *(("exact_rows", t, F.abs(F.lit(k) - n)) for t, k in exact.items())]
+    return union_all(tables[t].agg(
+        F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
+        F.lit("*").alias("column_name"), off.cast("bigint").alias("failing_rows"))
+        for check, t, off in wanted)
+
+
+def store_contract(models: Mapping[str, DataFrame], store, tables: Sequence[str]) -> DataFrame:
+    """Q10/Q11 as check rows: tables that are not published, and the difference
+    between the built and the published number of rows."""
+    spark = next(iter(models.values())).sparkSession
+    there = [t for t in tables if store.exists(t)]
+    rows = [_literal_rows(spark, "table_exists", {t: t not in there for t in tables})]
+    if there:
+        counts = counts_match({t: models[t] for t in there}, {t: store.read(t) for t in there})
+        rows.append(counts.select(
+            F.lit("store_rows").alias("check_name"), "table_name",
+            F.lit("*").alias("column_name"),
+            F.abs(F.coalesce("left_rows", F.lit(0)) - F.coalesce("right_rows", F.lit(0)))
+            .alias("failing_rows")))
+    return union_all(rows)
+
+
+def suite(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
+          raw_keys: Keys = RAW_KEYS, unique_keys: Keys = UNIQUE_DECLARED,
+          required: Mapping[str, Sequence[str]] | None = None,
+          minimum: Mapping[str, int] = MIN_ROWS, exact: Mapping[str, int] | None = None,
+          store=None, published: Sequence[str] = ()) -> DataFrame:
+    """Every check above as one DataFrame (check, table, column, failing_rows).
+
+    Lost columns come first and alone: the other checks could not be planned
+    without them.  ``store``: also compare ``published`` tables with it.
+    """
+    spark = next(iter(raw.values())).sparkSession
+    columns = column_contract(spark, raw, REQUIRED_COLUMNS if required is None else required)
+    if columns.filter("failing_rows > 0").take(1):
+        return columns
+    parts = [
+        columns,
+        column_checks(models, raw, [*raw_keys, *NOT_NULL_DECLARED], POSITIVE_DECLARED),
+        declared_unique(models, raw, unique_keys),
+        referential(models, raw),
+        count_contract(models, minimum, exact or {}),
+    ]
+    if store is not None:
+        parts.append(store_contract(models, store, published))
+    return union_all(parts)
 
 
 def gate(results: DataFrame, allow: Iterable[tuple[str, str, str]] = ()) -> list[tuple]:

@@ -7,21 +7,25 @@ as raw rows.  ``count(distinct order_id)`` is planned by Catalyst as a
 two-level aggregate keyed first on ``(group, order_id)``, which spreads even
 the hottest group across all shuffle partitions.
 
-Widths follow the contract (sums decimal(12,2), unit sums int, averages
-decimal(10,2)); ``revenue_type`` and ``units_type`` let a larger deployment
-widen them instead of failing on overflow (ANSI mode raises, never wraps).
+Widths follow the contract (``Widths``: sums decimal(12,2), unit sums int,
+averages decimal(10,2)); a larger deployment passes wider ones instead of
+failing on overflow (ANSI mode raises, never wraps).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import day_diff, decimal_avg, ratio_as_decimal
-
-REVENUE_TYPE = "decimal(12,2)"
-UNITS_TYPE = "int"
-AVG_PRECISION = 10
+from ledgerline.functions import (
+    CONTRACT,
+    Widths,
+    day_diff,
+    decimal_of_double,
+    ratio_as_decimal,
+)
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.files import write_parquet
 
 
 def _sales_aggs() -> list:
@@ -33,19 +37,19 @@ def _sales_aggs() -> list:
     ]
 
 
-def _sales_cols(revenue_type: str, orders: str, units: str, revenue: str,
-                units_type: str = "int") -> list:
+def _sales_cols(widths: Widths, orders: str, units: str, revenue: str,
+                units_type: str | None = None) -> list:
     """Derived report columns from :func:`_sales_aggs`."""
     return [
         F.col("_orders").alias(orders),
-        F.col("_units").cast(units_type).alias(units),
-        F.col("_revenue").cast(revenue_type).alias(revenue),
-        ratio_as_decimal(F.col("_revenue"), F.col("_orders"), AVG_PRECISION, 2)
+        F.col("_units").cast(units_type or widths.units).alias(units),
+        F.col("_revenue").cast(widths.revenue).alias(revenue),
+        ratio_as_decimal(F.col("_revenue"), F.col("_orders"), widths.average_digits, 2)
         .alias("avg_order_value"),
     ]
 
 
-def rpt_revenue_by_country(enriched: DataFrame, revenue_type: str = REVENUE_TYPE) -> DataFrame:
+def rpt_revenue_by_country(enriched: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """A1: revenue per country, year and month.
 
     ``units_sold`` is the uncast integer sum, returned as bigint.
@@ -58,31 +62,39 @@ def rpt_revenue_by_country(enriched: DataFrame, revenue_type: str = REVENUE_TYPE
         )
         .agg(*_sales_aggs())
         .select("country", "year", "month",
-                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue", "bigint"))
+                *_sales_cols(widths, "num_orders", "units_sold", "total_revenue", "bigint"))
     )
 
 
-def rpt_revenue_by_category(enriched: DataFrame, revenue_type: str = REVENUE_TYPE,
-                            units_type: str = UNITS_TYPE) -> DataFrame:
+def rpt_revenue_by_category(enriched: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """A2: revenue per product category, with two distinct counts.
 
     ``avg_unit_price`` averages the price over fact rows (weighted by line),
-    not over products.
+    not over products.  Sums and the product count come from one aggregate
+    per (category, product); only the distinct orders need a second look at
+    the fact, a two-level count.  Two distinct counts in one aggregate would
+    multiply the fact's rows instead.
     """
+    cents = (F.col("unit_price") * 100).cast("decimal(38,0)")
+    products = enriched.groupBy("category", "product_id").agg(
+        F.sum("quantity").alias("_units"), F.sum("line_total").alias("_revenue"),
+        F.sum(cents).alias("_cents"), F.count("unit_price").alias("_priced"))
+    sums = products.groupBy("category").agg(
+        *(F.sum(c).alias(c) for c in ("_units", "_revenue", "_cents", "_priced")),
+        F.count("product_id").alias("num_products"))
+    orders = enriched.groupBy(F.col("category").alias("_category")).agg(
+        F.countDistinct("order_id").alias("_orders"))
+    # avg(decimal) is the sum of the unscaled values over count * 100, in double.
+    average = F.col("_cents").cast("double") / (F.col("_priced").cast("double") * 100.0)
     return (
-        enriched.groupBy("category")
-        .agg(*_sales_aggs(),
-             decimal_avg("unit_price", 2, AVG_PRECISION).alias("avg_unit_price"),
-             F.countDistinct("product_id").alias("num_products"))
-        .select("category",
-                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue",
-                             units_type),
-                "avg_unit_price", "num_products")
+        sums.join(orders, F.col("category").eqNullSafe(F.col("_category")))
+        .select("category", *_sales_cols(widths, "num_orders", "units_sold", "total_revenue"),
+                decimal_of_double(average, widths.average_digits, 2).alias("avg_unit_price"),
+                "num_products")
     )
 
 
-def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE,
-                         units_type: str = UNITS_TYPE) -> DataFrame:
+def rpt_customer_summary(enriched: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """A3: lifetime metrics per customer (only customers with orders)."""
     return (
         enriched.groupBy("customer_id", "customer_name", "email", "country")
@@ -90,16 +102,14 @@ def rpt_customer_summary(enriched: DataFrame, revenue_type: str = REVENUE_TYPE,
              F.min("order_date").alias("first_order_date"),
              F.max("order_date").alias("last_order_date"))
         .select("customer_id", "customer_name", "email", "country",
-                *_sales_cols(revenue_type, "total_orders", "total_units", "total_spend",
-                             units_type),
+                *_sales_cols(widths, "total_orders", "total_units", "total_spend"),
                 "first_order_date", "last_order_date",
                 day_diff("first_order_date", "last_order_date").alias("days_as_customer"))
     )
 
 
 def rpt_product_performance(
-    enriched: DataFrame, stg_products: DataFrame, revenue_type: str = REVENUE_TYPE,
-    units_type: str = UNITS_TYPE,
+    enriched: DataFrame, stg_products: DataFrame, widths: Widths = CONTRACT,
 ) -> DataFrame:
     """A4 + J4: sales per product joined back to the product's stock level.
 
@@ -110,8 +120,7 @@ def rpt_product_performance(
         enriched.groupBy("product_id", "product_name", "category", "unit_price")
         .agg(*_sales_aggs())
         .select("product_id", "product_name", "category", "unit_price",
-                *_sales_cols(revenue_type, "num_orders", "units_sold", "total_revenue",
-                             units_type))
+                *_sales_cols(widths, "num_orders", "units_sold", "total_revenue"))
     )
     stock = stg_products.select("product_id", F.col("stock_qty").alias("stock_remaining"))
     return sales.join(stock, "product_id", "inner").select(
@@ -124,12 +133,13 @@ def rpt_product_performance(
         "total_revenue",
         "avg_order_value",
         "stock_remaining",
-        (F.col("stock_remaining") + F.col("units_sold")).cast(units_type)
+        (F.col("stock_remaining") + F.col("units_sold")).cast(widths.units)
         .alias("original_stock_estimate"),
     )
 
 
-# Display orders of the mart and reports (O1-O3): (column, descending) pairs.
+# Display orders of the mart and reports (O1-O3), as (column,
+# descending) pairs, and the columns that break ties.
 REPORT_ORDER: dict[str, list[tuple[str, bool]]] = {
     "orders_enriched": [("order_id", False)],
     "rpt_revenue_by_country": [("year", False), ("month", False), ("country", False)],
@@ -137,26 +147,54 @@ REPORT_ORDER: dict[str, list[tuple[str, bool]]] = {
     "rpt_customer_summary": [("total_spend", True)],
     "rpt_product_performance": [("total_revenue", True)],
 }
+TIES: dict[str, tuple[str, ...]] = {
+    "orders_enriched": ("product_id", "quantity"),
+    "rpt_revenue_by_category": ("category",),
+    "rpt_customer_summary": ("customer_id",),
+    "rpt_product_performance": ("product_id",),
+}
 
 
 def build_reports(enriched: DataFrame, stg_products: DataFrame,
-                  revenue_type: str = REVENUE_TYPE,
-                  units_type: str = UNITS_TYPE) -> dict[str, DataFrame]:
+                  widths: Widths = CONTRACT) -> dict[str, DataFrame]:
     """All four reports from one enriched fact."""
     return {
-        "rpt_revenue_by_country": rpt_revenue_by_country(enriched, revenue_type),
-        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, revenue_type, units_type),
-        "rpt_customer_summary": rpt_customer_summary(enriched, revenue_type, units_type),
-        "rpt_product_performance": rpt_product_performance(enriched, stg_products,
-                                                           revenue_type, units_type),
+        "rpt_revenue_by_country": rpt_revenue_by_country(enriched, widths),
+        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, widths),
+        "rpt_customer_summary": rpt_customer_summary(enriched, widths),
+        "rpt_product_performance": rpt_product_performance(enriched, stg_products, widths),
     }
 
 
+def order_keys(name: str) -> list[Column]:
+    """Sort keys of a report's display order, ties broken; NULLs last."""
+    return [*(F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
+              for c, desc in REPORT_ORDER[name]),
+            *(F.col(c).asc_nulls_last() for c in TIES.get(name, ()))]
+
+
 def ordered(name: str, df: DataFrame) -> DataFrame:
-    """The report in its display order (a distributed range sort).
+    """The report in its display order (a distributed range sort)."""
+    return df.orderBy(*order_keys(name))
+
+
+def with_position(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """``df`` with ``position``, 1 for the first row in the order of ``keys``.
 
-    NULLs sort last in both directions.
+    A range-partitioned sort gives each row its place within its partition;
+    the rows of the partitions before are added to it.  No task sees more
+    than its own range, however large the table.
     """
-    keys = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
-            for c, desc in REPORT_ORDER[name]]
-    return df.orderBy(*keys)
+    spark = df.sparkSession
+    path = fresh_dir(spark, "ordered")
+    write_parquet(
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({
+            "_part": F.spark_partition_id(),
+            "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), path)
+    placed = spark.read.parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").count().select(   # one row per partition
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(offsets, "_part")
+            .withColumn("position", F.col("_place") + F.col("_before") + 1)
+            .drop("_part", "_place", "_before"))

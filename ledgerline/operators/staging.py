@@ -15,13 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions import as_int, decimal_of_double
+from ledgerline.functions import CONTRACT, Widths, as_int, decimal_of_double
 
-ID_TYPE = "int"
 PRICE_TYPE = "decimal(10,2)"
 
 
-def to_int(df: DataFrame, name: str, int_type: str = ID_TYPE) -> Column:
+def to_int(df: DataFrame, name: str, int_type: str) -> Column:
     """``name::integer``: fractional inputs round half to even first."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -38,10 +37,10 @@ def to_decimal(df: DataFrame, name: str, dtype: str = PRICE_TYPE) -> Column:
     return F.col(name).cast(dtype)
 
 
-def stg_customers(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
+def stg_customers(raw: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """Customers with lower-case email and upper-case country."""
     return raw.select(
-        to_int(raw, "customer_id", id_type).alias("customer_id"),
+        to_int(raw, "customer_id", widths.ids).alias("customer_id"),
         F.col("customer_name"),
         F.lower("email").alias("email"),
         F.upper("country").alias("country"),
@@ -49,33 +48,33 @@ def stg_customers(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
     )
 
 
-def stg_orders(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
+def stg_orders(raw: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """Order lines with integer keys, date and lower-case status."""
     return raw.select(
-        to_int(raw, "order_id", id_type).alias("order_id"),
-        to_int(raw, "customer_id", id_type).alias("customer_id"),
-        to_int(raw, "product_id", id_type).alias("product_id"),
-        to_int(raw, "quantity").alias("quantity"),
+        to_int(raw, "order_id", widths.ids).alias("order_id"),
+        to_int(raw, "customer_id", widths.ids).alias("customer_id"),
+        to_int(raw, "product_id", widths.ids).alias("product_id"),
+        to_int(raw, "quantity", widths.units).alias("quantity"),
         F.col("order_date").cast("date").alias("order_date"),
         F.lower("status").alias("status"),
     )
 
 
-def stg_products(raw: DataFrame, id_type: str = ID_TYPE) -> DataFrame:
+def stg_products(raw: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """Products with a decimal(10,2) price and integer stock."""
     return raw.select(
-        to_int(raw, "product_id", id_type).alias("product_id"),
+        to_int(raw, "product_id", widths.ids).alias("product_id"),
         F.col("product_name"),
         F.col("category"),
         to_decimal(raw, "unit_price").alias("unit_price"),
-        to_int(raw, "stock_qty").alias("stock_qty"),
+        to_int(raw, "stock_qty", widths.units).alias("stock_qty"),
     )
 
 
-def stage_all(raw: dict[str, DataFrame], id_type: str = ID_TYPE) -> dict[str, DataFrame]:
+def stage_all(raw: dict[str, DataFrame], widths: Widths = CONTRACT) -> dict[str, DataFrame]:
     """Stage the three raw tables; keys ``stg_customers`` etc."""
     return {
-        "stg_customers": stg_customers(raw["customers"], id_type),
-        "stg_orders": stg_orders(raw["orders"], id_type),
-        "stg_products": stg_products(raw["products"], id_type),
+        "stg_customers": stg_customers(raw["customers"], widths),
+        "stg_orders": stg_orders(raw["orders"], widths),
+        "stg_products": stg_products(raw["products"], widths),
     }

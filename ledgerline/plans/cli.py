@@ -15,6 +15,7 @@ import argparse
 import os
 import sys
 
+from ledgerline.functions import Widths
 from ledgerline.operators.quality import DataQualityError
 
 
@@ -25,7 +26,8 @@ def _source(spark, args):
         return ParquetDirSource(spark, args.source_dir)
     from ledgerline.sources.jdbc import JdbcSource, connection_from_env
 
-    return JdbcSource(spark, connection_from_env(), fetchsize=args.chunk_size)
+    return JdbcSource(spark, connection_from_env(), fetchsize=args.chunk_size,
+                      max_connections=args.max_connections)
 
 
 def _raw(spark, folder, fmt="parquet"):
@@ -51,16 +53,25 @@ def main(argv: list[str] | None = None) -> int:
                    help="format of the raw tables in --raw-dir")
     p.add_argument("--id-type", default="int",
                    help="type of the key columns (default int, the contract; bigint once keys "
-                        "pass 2^31, which also keeps the raw keys' partitioning through staging)")
+                        "pass 2^31)")
     p.add_argument("--revenue-type", default="decimal(12,2)",
                    help="type of the revenue and spend sums (default decimal(12,2))")
-    p.add_argument("--units-type", default="int", help="type of the unit sums (default int)")
+    p.add_argument("--units-type", default="int",
+                   help="type of quantities and unit sums (default int)")
+    p.add_argument("--line-total-type", default="decimal(10,2)",
+                   help="type of line totals (default decimal(10,2))")
+    p.add_argument("--average-digits", type=int, default=10,
+                   help="digits of the averages (default 10)")
+    p.add_argument("--max-connections", type=int,
+                   help="JDBC connections at a time (default: as many as tasks run)")
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
     from ledgerline.session import build_session, input_bytes, shared_dir, size_shuffle_partitions
     from ledgerline.sinks.lakehouse import SnapshotStore
 
+    widths = Widths(args.id_type, args.units_type, args.line_total_type, args.revenue_type,
+                    args.average_digits)
     spark = build_session(args.master)
     root = args.root or shared_dir(spark, "ledgerline")
     parquet_dir = os.path.join(root, "parquet")
@@ -78,12 +89,12 @@ def main(argv: list[str] | None = None) -> int:
         if args.step in ("build", "all"):
             jobs.build_models(spark, _raw(spark, raw_dir, raw_fmt), models_dir,
                               os.path.join(root, "output", "orders_enriched.parquet"),
-                              args.id_type, args.revenue_type, args.units_type)
+                              widths)
         if args.step in ("test", "all"):
             from ledgerline.operators.staging import stage_all
 
             raw = _raw(spark, raw_dir, raw_fmt)
-            models = {**stage_all(raw, args.id_type),
+            models = {**stage_all(raw, widths),
                       **{t: spark.read.parquet(os.path.join(models_dir, t))
                          for t in jobs.PUBLISHED_TABLES}}
             jobs.run_data_tests(models, raw).show(100, truncate=False)

@@ -26,12 +26,14 @@ from typing import Protocol
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions import CONTRACT, Widths
 from ledgerline.operators import analytics, marts, quality, reports, staging
 from ledgerline.session import run_concurrently
-from ledgerline.sinks.files import write_parquet
+from ledgerline.sinks.files import remove_path, replace_path, write_parquet
 from ledgerline.sinks.lakehouse import SnapshotStore, raise_on_failure
 from ledgerline.sources.jdbc import conform, resolve_tables
 
+# The published tables.
 PUBLISHED_TABLES = (
     "orders_enriched",
     "rpt_revenue_by_country",
@@ -73,8 +75,10 @@ def extract(spark: SparkSession, source: TableSource, out_dir: str,
     to its column's type fails its table rather than being silently nulled.
     """
     available = source.list_tables()
-    chosen = resolve_tables(available, tables) if tables else list(available)
-    names = [t for _, t in chosen]
+    chosen = list(dict.fromkeys(
+        resolve_tables(available, tables) if tables else available))
+    # A name in two schemas clashes whether or not both are asked for now.
+    names = [t for _, t in dict.fromkeys([*available, *chosen])]
     clashes = {t for t in names if names.count(t) > 1}
 
     def copy(schema: str, table: str) -> tuple:
@@ -85,13 +89,17 @@ def extract(spark: SparkSession, source: TableSource, out_dir: str,
             cast_df, lost = conform(df, types)
             obs = Observation(f"extract_{uuid.uuid4().hex}")
             observed = cast_df.observe(obs, F.coalesce(lost, F.lit(0)).alias("lost"))
-            n = write_parquet(observed.drop("_lost"), _target(out_dir, schema, table, clashes))
+            # Written aside: the last good file stays until this one is whole.
+            aside = os.path.join(out_dir, "_incoming", uuid.uuid4().hex)
+            n = write_parquet(observed.drop("_lost"), aside)
             if obs.get.get("lost", 0):
+                remove_path(spark, aside)
                 raise ValueError(f"{obs.get['lost']} value(s) do not fit their column type")
+            replace_path(spark, aside, _target(out_dir, schema, table, clashes))
             return (schema, table, n, time.perf_counter() - t0, "ok")
         except Exception as exc:  # noqa: BLE001 - reported per table
             return (schema, table, -1, time.perf_counter() - t0,
-                    f"failed: {type(exc).__name__}: {exc}"[:500])
+                    f"failed: {type(exc).__name__}: {exc}")
 
     done = run_concurrently({f"{s}.{t}": (lambda s=s, t=t: copy(s, t)) for s, t in chosen},
                             max_workers=parallel_tables)
@@ -106,35 +114,37 @@ def raise_on_extract_failure(report: DataFrame) -> None:
 
 
 def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
-                 export_path: str | None = None, id_type: str = staging.ID_TYPE,
-                 revenue_type: str = reports.REVENUE_TYPE,
-                 units_type: str = reports.UNITS_TYPE) -> dict[str, DataFrame]:
+                 export_path: str | None = None, widths: Widths = CONTRACT,
+                 write_orders: bool = False) -> dict[str, DataFrame]:
     """Staging views, the materialised mart, then the four reports.
 
     The mart is written once (K4) and re-read, so the four reports scan
     Parquet instead of re-running the three-way join; the four report
     writes are independent and are submitted together; ``export_path`` adds
-    the external Parquet copy (K5).  Returns every model, each reading its
-    written table.  The width arguments are those of ``ModelGraph``.
+    the external Parquet copy (K5).  ``write_orders`` writes the staged orders
+    too: worth it where the raw orders are themselves a join that the data
+    tests would run again.  Returns every model, each reading its written
+    table.
     """
-    staged = staging.stage_all(raw, id_type)
-    mart_path = os.path.join(out_dir, "orders_enriched")
-    write_parquet(marts.build_mart(staged), mart_path)
-    mart = spark.read.parquet(mart_path)
+    staged = staging.stage_all(raw, widths)
+
+    def written_out(name: str, df: DataFrame) -> DataFrame:
+        path = os.path.join(out_dir, name)
+        write_parquet(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    if write_orders:
+        staged["stg_orders"] = written_out("stg_orders", staged["stg_orders"])
+    mart = written_out("orders_enriched", marts.build_mart(staged, widths))
     if export_path:
         write_parquet(mart, export_path)
-    out: dict[str, DataFrame] = dict(staged)
-    out["orders_enriched"] = mart
-    built = reports.build_reports(mart, staged["stg_products"], revenue_type, units_type)
-    paths = {name: os.path.join(out_dir, name) for name in built}
-    written = run_concurrently(
-        {name: (lambda df=df, path=paths[name]: write_parquet(df, path))
-         for name, df in built.items()})
-    for name, result in written.items():
+    built = reports.build_reports(mart, staged["stg_products"], widths)
+    written = run_concurrently({name: (lambda n=name, df=df: written_out(n, df))
+                                for name, df in built.items()})
+    for result in written.values():
         if isinstance(result, BaseException):
             raise result
-        out[name] = spark.read.parquet(paths[name])
-    return out
+    return {**staged, "orders_enriched": mart, **written}
 
 
 def run_data_tests(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
@@ -194,9 +204,8 @@ def run_all(spark: SparkSession, source: TableSource, root: str,
     warehouse = os.path.join(root, "warehouse")
     published = publish(spark, models, warehouse)
     store = SnapshotStore(spark, warehouse)
+    quality.gate(quality.store_contract(models, store, PUBLISHED_TABLES), allow)
     stores = quality.counts_match({t: models[t] for t in PUBLISHED_TABLES},
                                   {t: store.read(t) for t in PUBLISHED_TABLES})
-    if stores.where(~F.col("matched")).limit(1).count():
-        raise RuntimeError("published row counts differ from the built tables")
     return {"extract_report": report, "data_tests": tests, "publish_report": published,
             "store_counts": stores, **models}

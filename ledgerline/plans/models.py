@@ -15,7 +15,9 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.functions import CONTRACT, WIDE, Widths
 from ledgerline.operators import marts, reports, staging
+from ledgerline.session import input_stamp
 from ledgerline.sources import testdata
 
 MODEL_NAMES = (
@@ -33,42 +35,29 @@ MODEL_NAMES = (
 class ModelGraph(Mapping[str, DataFrame]):
     """All models keyed by name, built on demand from the three raw tables.
 
-    ``id_type``, ``revenue_type`` and ``units_type`` default to the contract
-    (``int`` keys, ``decimal(12,2)`` sums, ``int`` unit totals).  All fail
-    loudly on overflow under ANSI mode; a deployment whose keys pass 2^31 or
-    whose group totals pass 10^10 widens them (``bigint``, ``decimal(18,2)``)
-    rather than truncating.
+    ``widths`` default to the contract (``int`` keys, ``decimal(12,2)`` sums);
+    all fail loudly on overflow under ANSI mode.  A deployment whose keys pass
+    2^31 or whose totals pass 10^10 passes ``WIDE`` rather than truncating.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
-                 revenue_type: str = reports.REVENUE_TYPE,
-                 units_type: str = reports.UNITS_TYPE):
+    def __init__(self, raw: Mapping[str, DataFrame], widths: Widths = CONTRACT):
         self.raw = raw
-        self.id_type = id_type
-        self.revenue_type = revenue_type
-        self.units_type = units_type
+        self.widths = widths
         self._built: dict[str, DataFrame] = {}
 
     def _build(self, name: str) -> DataFrame:
+        w = self.widths
         if name == "stg_customers":
-            return staging.stg_customers(self.raw["customers"], self.id_type)
+            return staging.stg_customers(self.raw["customers"], w)
         if name == "stg_orders":
-            return staging.stg_orders(self.raw["orders"], self.id_type)
+            return staging.stg_orders(self.raw["orders"], w)
         if name == "stg_products":
-            return staging.stg_products(self.raw["products"], self.id_type)
+            return staging.stg_products(self.raw["products"], w)
         if name == "orders_enriched":
             return marts.orders_enriched(self["stg_orders"], self["stg_customers"],
-                                         self["stg_products"])
-        e, rt, ut = self["orders_enriched"], self.revenue_type, self.units_type
-        if name == "rpt_revenue_by_country":
-            return reports.rpt_revenue_by_country(e, rt)
-        if name == "rpt_revenue_by_category":
-            return reports.rpt_revenue_by_category(e, rt, ut)
-        if name == "rpt_customer_summary":
-            return reports.rpt_customer_summary(e, rt, ut)
-        if name == "rpt_product_performance":
-            return reports.rpt_product_performance(e, self["stg_products"], rt, ut)
-        raise KeyError(name)
+                                         self["stg_products"], w)
+        built = reports.build_reports(self["orders_enriched"], self["stg_products"], w)
+        return built[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in MODEL_NAMES:
@@ -96,26 +85,24 @@ def register_views(models: Mapping[str, DataFrame], names=None) -> list[str]:
     return names
 
 
-def model_graph(raw: Mapping[str, DataFrame], id_type: str = staging.ID_TYPE,
-                revenue_type: str = reports.REVENUE_TYPE,
-                units_type: str = reports.UNITS_TYPE) -> ModelGraph:
+def model_graph(raw: Mapping[str, DataFrame], widths: Widths = CONTRACT) -> ModelGraph:
     """:class:`ModelGraph` over the three raw tables."""
-    return ModelGraph(raw, id_type, revenue_type, units_type)
+    return ModelGraph(raw, widths)
 
 
-_GRAPHS: dict[tuple[str, str], tuple[dict[str, DataFrame], ModelGraph]] = {}
+_GRAPHS: dict[tuple, tuple[dict[str, DataFrame], ModelGraph]] = {}
 
 
 def testdata_graph(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], ModelGraph]:
-    """Raw tables and model graph over the test tables in ``sf_dir``.
+    """Raw tables and model graph (wide types) over the test tables in ``sf_dir``.
 
-    The lazy plan objects are reused within one application (they hold no
-    data); every action still scans the full tables.
+    Reused within one application as long as the files stay the same; every
+    action still scans the full tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir))
     if key not in _GRAPHS:
         raw = testdata.raw_tables(spark, sf_dir)
-        _GRAPHS[key] = (raw, model_graph(raw))
+        _GRAPHS[key] = (raw, model_graph(raw, WIDE))
     return _GRAPHS[key]
 
 

@@ -1,245 +1,116 @@
-"""Independent SQL definitions of every registered query (DuckDB dialect).
+"""DuckDB SQL twins of the registered queries.
 
-The verification harness runs these next to the Spark queries on the same
-Parquet tables.  They restate the model SQL directly -- staging casts,
-joins, the ``::decimal`` casts on double ratios -- so the engine's own
-semantics are the reference point.  Column names match the Spark results.
+Written from the column contract of the models, not from the Spark code: the
+tables are declared column by column, the four reports share one definition
+of the sales measures, and the check lists and tier bounds are spelled out
+here, so that an entry missing from the code shows as a difference.
 """
 
 from __future__ import annotations
 
-# Raw mapping of the test tables onto customers / products / orders, then
-# the staging views and the enriched mart, as common table expressions.
-MODEL_CTES = """
-raw_customers AS (
-    SELECT c.c_custkey AS customer_id,
-           c.c_name AS customer_name,
-           c.c_name || '@Example.com' AS email,
-           n.n_name AS country,
-           f.signup_date AS signup_date
-    FROM customer c
-    LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-    LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS signup_date
-               FROM orders GROUP BY o_custkey) f ON f.o_custkey = c.c_custkey
-),
-raw_products AS (
-    SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-           p_retailprice AS unit_price, p_size AS stock_qty
-    FROM part
-),
-raw_orders AS (
-    SELECT l.l_orderkey AS order_id, o.o_custkey AS customer_id,
-           l.l_partkey AS product_id, l.l_quantity AS quantity,
-           o.o_orderdate AS order_date, o.o_orderstatus AS status
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-),
-stg_customers AS (
-    SELECT customer_id::integer AS customer_id,
-           customer_name,
-           lower(email) AS email,
-           upper(country) AS country,
-           signup_date::date AS signup_date
-    FROM raw_customers
-),
-stg_orders AS (
-    SELECT order_id::integer AS order_id,
-           customer_id::integer AS customer_id,
-           product_id::integer AS product_id,
-           quantity::integer AS quantity,
-           order_date::date AS order_date,
-           lower(status) AS status
-    FROM raw_orders
-),
-stg_products AS (
-    SELECT product_id::integer AS product_id,
-           product_name,
-           category,
-           unit_price::decimal(10,2) AS unit_price,
-           stock_qty::integer AS stock_qty
-    FROM raw_products
-),
-orders_enriched AS (
-    SELECT o.order_id, o.order_date, o.status, o.quantity,
-           c.customer_id, c.customer_name, c.email, c.country, c.signup_date,
-           p.product_id, p.product_name, p.category, p.unit_price,
-           (o.quantity * p.unit_price)::decimal(10,2) AS line_total,
-           date_diff('day', c.signup_date, o.order_date) AS days_since_signup,
-           extract('month' FROM o.order_date)::integer AS order_month,
-           extract('year' FROM o.order_date)::integer AS order_year
-    FROM stg_orders o
-    INNER JOIN stg_customers c ON o.customer_id = c.customer_id
-    INNER JOIN stg_products p ON o.product_id = p.product_id
-)"""
-
-REPORT_CTES = """
-rpt_revenue_by_country AS (
-    SELECT country,
-           order_year AS year,
-           order_month AS month,
-           count(DISTINCT order_id) AS num_orders,
-           sum(quantity)::BIGINT AS units_sold,
-           sum(line_total)::decimal(12,2) AS total_revenue,
-           (sum(line_total) / count(DISTINCT order_id))::decimal(10,2) AS avg_order_value
-    FROM orders_enriched
-    GROUP BY 1, 2, 3
-),
-rpt_revenue_by_category AS (
-    SELECT category,
-           count(DISTINCT order_id) AS num_orders,
-           sum(quantity)::integer AS units_sold,
-           sum(line_total)::decimal(12,2) AS total_revenue,
-           (sum(line_total) / count(DISTINCT order_id))::decimal(10,2) AS avg_order_value,
-           avg(unit_price)::decimal(10,2) AS avg_unit_price,
-           count(DISTINCT product_id) AS num_products
-    FROM orders_enriched
-    GROUP BY category
-),
-rpt_customer_summary AS (
-    SELECT customer_id, customer_name, email, country,
-           count(DISTINCT order_id) AS total_orders,
-           sum(quantity)::integer AS total_units,
-           sum(line_total)::decimal(12,2) AS total_spend,
-           (sum(line_total) / count(DISTINCT order_id))::decimal(10,2) AS avg_order_value,
-           min(order_date) AS first_order_date,
-           max(order_date) AS last_order_date,
-           date_diff('day', min(order_date), max(order_date)) AS days_as_customer
-    FROM orders_enriched
-    GROUP BY customer_id, customer_name, email, country
-),
-rpt_product_sales AS (
-    SELECT product_id, product_name, category, unit_price,
-           count(DISTINCT order_id) AS num_orders,
-           sum(quantity)::integer AS units_sold,
-           sum(line_total)::decimal(12,2) AS total_revenue,
-           (sum(line_total) / count(DISTINCT order_id))::decimal(10,2) AS avg_order_value
-    FROM orders_enriched
-    GROUP BY product_id, product_name, category, unit_price
-),
-rpt_product_performance AS (
-    SELECT s.product_id, s.product_name, s.category, s.unit_price,
-           s.num_orders, s.units_sold, s.total_revenue, s.avg_order_value,
-           p.stock_qty AS stock_remaining,
-           (p.stock_qty + s.units_sold)::integer AS original_stock_estimate
-    FROM rpt_product_sales s
-    INNER JOIN (SELECT product_id, stock_qty FROM stg_products) p
-            ON s.product_id = p.product_id
-)"""
-
-
-def with_models(body: str, reports: bool = False, extra: str = "") -> str:
-    """``body`` prefixed by the model CTEs (and report / extra CTEs)."""
-    ctes = MODEL_CTES + ("," + REPORT_CTES if reports else "")
-    if extra:
-        ctes += "," + extra
-    return f"WITH {ctes}\n{body}"
-
-
-def tier_case(col: str, bounds, labels) -> str:
-    """Right-closed CASE bucketing, as a SQL expression."""
-    arms = []
-    for lo, hi, label in zip(bounds[:-1], bounds[1:], labels):
-        cond = f"{col} > {int(lo)}"
-        if hi != float("inf"):
-            cond += f" AND {col} <= {int(hi)}"
-        arms.append(f"WHEN {cond} THEN '{label}'")
-    return "CASE " + " ".join(arms) + " END"
-
-
-def tier_counts_sql(bounds, labels) -> str:
-    values = ", ".join(f"({i}, '{label}')" for i, label in enumerate(labels))
-    extra = f"""
-tiers(tier_order, spend_tier) AS (VALUES {values}),
-tiered AS (SELECT {tier_case('total_spend', bounds, labels)} AS spend_tier
-           FROM rpt_customer_summary),
-tier_n AS (SELECT spend_tier, count(*) AS n FROM tiered
-           WHERE spend_tier IS NOT NULL GROUP BY spend_tier),
-tier_total AS (SELECT count(spend_tier) AS total FROM tiered)"""
-    body = """
-SELECT t.tier_order, t.spend_tier, coalesce(n.n, 0)::BIGINT AS customers,
-       CASE WHEN tt.total > 0
-            THEN coalesce(n.n, 0)::DOUBLE * 100 / tt.total::DOUBLE END AS share_pct
-FROM tiers t LEFT JOIN tier_n n ON t.spend_tier = n.spend_tier, tier_total tt"""
-    return with_models(body, True, extra)
-
-
-RAW_CTE = {"customers": "raw_customers", "products": "raw_products", "orders": "raw_orders"}
-
-
-def _src(table: str) -> str:
-    return RAW_CTE.get(table, table)
-
-
-def _check(check: str, table: str, column: str, count_sql: str) -> str:
-    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, "
-            f"'{column}' AS column_name, ({count_sql})::BIGINT AS failing_rows")
-
-
-def dq_not_null_sql() -> str:
-    from ledgerline.operators.quality import NOT_NULL_DECLARED, RAW_KEYS
-
-    parts = [
-        _check("not_null", t, c, f"SELECT count(*) FROM {_src(t)} WHERE {c} IS NULL")
-        for t, c in RAW_KEYS + NOT_NULL_DECLARED
-    ]
-    return with_models("\nUNION ALL\n".join(parts), True)
-
-
-def dq_unique_sql() -> str:
-    from ledgerline.operators.quality import UNIQUE_DECLARED
-
-    parts = [
-        _check("unique", t, c,
-               f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
-               f"GROUP BY {c} HAVING count(*) > 1)")
-        for t, c in UNIQUE_DECLARED
-    ]
-    return with_models("\nUNION ALL\n".join(parts), True)
-
-
-def dq_positive_sql() -> str:
-    from ledgerline.operators.quality import POSITIVE_DECLARED
-
-    parts = []
-    for t, c, null_fails in POSITIVE_DECLARED:
-        cond = f"{c} <= 0 OR {c} IS NULL" if null_fails else f"{c} <= 0"
-        name = "positive_not_null" if null_fails else "positive"
-        parts.append(_check(name, t, c, f"SELECT count(*) FROM {_src(t)} WHERE {cond}"))
-    return with_models("\nUNION ALL\n".join(parts), True)
-
-
-def dq_orphans_sql() -> str:
-    parts = [
-        _check(f"orphan:{dim}", "stg_orders", key,
-               f"SELECT count(*) FROM stg_orders o WHERE o.{key} IS NOT NULL AND NOT EXISTS "
-               f"(SELECT 1 FROM {dim} d WHERE d.{key} = o.{key})")
-        for dim, key in (("stg_customers", "customer_id"), ("stg_products", "product_id"))
-    ]
-    parts.append(_check("fk_not_null", "orders_enriched", "customer_id|product_id",
-                        "SELECT count(*) FROM orders_enriched "
-                        "WHERE customer_id IS NULL OR product_id IS NULL"))
-    return with_models("\nUNION ALL\n".join(parts), True)
-
-
-def dq_row_counts_sql() -> str:
-    from ledgerline.operators.quality import MIN_ROWS
-
-    parts = [
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, {n}::BIGINT AS min_rows, "
-        f"count(*) >= {n} AS passed FROM {t}"
-        for t, n in MIN_ROWS.items()
-    ]
-    return with_models("\nUNION ALL\n".join(parts), True)
-
-
-ORACLE: dict[str, str] = {
-    "stg_customers": with_models("SELECT * FROM stg_customers"),
-    "stg_orders": with_models("SELECT * FROM stg_orders"),
-    "stg_products": with_models("SELECT * FROM stg_products"),
-    "orders_enriched": with_models("SELECT * FROM orders_enriched"),
-    "rpt_revenue_by_country": with_models("SELECT * FROM rpt_revenue_by_country", True),
-    "rpt_revenue_by_category": with_models("SELECT * FROM rpt_revenue_by_category", True),
-    "rpt_customer_summary": with_models("SELECT * FROM rpt_customer_summary", True),
-    "rpt_product_performance": with_models("SELECT * FROM rpt_product_performance", True),
+# --- the models, column by column ---------------------------------------------------
+
+MONEY = "DECIMAL(28,2)"
+AVERAGE = "DECIMAL(18,2)"
+
+TABLES: dict[str, tuple[dict[str, str], str]] = {
+    "stg_customers": ({
+        "customer_id": "c_custkey::BIGINT",
+        "customer_name": "c_name",
+        "email": "lower(c_name || '@Example.com')",
+        "country": "upper(n_name)",
+        "signup_date": "first_day::DATE",
+    }, "customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN (SELECT o_custkey AS k, "
+       "min(o_orderdate) AS first_day FROM orders GROUP BY ALL) ON k = c_custkey"),
+    "stg_products": ({
+        "product_id": "p_partkey::BIGINT",
+        "product_name": "p_name",
+        "category": "p_type",
+        "unit_price": "p_retailprice::DECIMAL(10,2)",
+        "stock_qty": "p_size::BIGINT",
+    }, "part"),
+    "stg_orders": ({
+        "order_id": "l_orderkey::BIGINT",
+        "customer_id": "o_custkey::BIGINT",
+        "product_id": "l_partkey::BIGINT",
+        "quantity": "l_quantity::BIGINT",
+        "order_date": "o_orderdate::DATE",
+        "status": "lower(o_orderstatus)",
+    }, "lineitem JOIN orders ON o_orderkey = l_orderkey"),
+    "orders_enriched": ({
+        **{c: c for c in ("order_id", "order_date", "status", "quantity", "customer_id",
+                          "customer_name", "email", "country", "signup_date", "product_id",
+                          "product_name", "category", "unit_price")},
+        "line_total": f"(unit_price * quantity)::{MONEY}",
+        "days_since_signup": "order_date - signup_date",
+        "order_month": "month(order_date)::INTEGER",
+        "order_year": "year(order_date)::INTEGER",
+    }, "stg_orders JOIN stg_customers USING (customer_id) JOIN stg_products USING (product_id)"),
+}
+
+
+def sales(orders: str, units: str, revenue: str) -> dict[str, str]:
+    """The measures of every report: distinct orders, units, revenue, and revenue
+    per order, a double quotient rounded to cents."""
+    return {
+        orders: "count(DISTINCT order_id)",
+        units: "sum(quantity)::BIGINT",
+        revenue: f"sum(line_total)::{MONEY}",
+        "avg_order_value": f"(sum(line_total) / count(DISTINCT order_id))::{AVERAGE}",
+    }
+
+
+SOLD = sales("num_orders", "units_sold", "total_revenue")
+REPORTS: dict[str, tuple[dict[str, str], str]] = {
+    "rpt_revenue_by_country": (
+        {"country": "country", "year": "order_year", "month": "order_month", **SOLD},
+        "orders_enriched GROUP BY ALL"),
+    "rpt_revenue_by_category": (
+        {"category": "category", **SOLD, "avg_unit_price": f"avg(unit_price)::{AVERAGE}",
+         "num_products": "count(DISTINCT product_id)"},
+        "orders_enriched GROUP BY ALL"),
+    "rpt_customer_summary": (
+        {**{c: c for c in ("customer_id", "customer_name", "email", "country")},
+         **sales("total_orders", "total_units", "total_spend"),
+         "first_order_date": "min(order_date)", "last_order_date": "max(order_date)",
+         "days_as_customer": "max(order_date) - min(order_date)"},
+        "orders_enriched GROUP BY ALL"),
+    "product_sales": (
+        {**{c: c for c in ("product_id", "product_name", "category", "unit_price")}, **SOLD},
+        "orders_enriched GROUP BY ALL"),
+    "rpt_product_performance": (
+        {"product_id": "product_id",
+         **{c: f"product_sales.{c}" for c in ("product_name", "category", "unit_price", *SOLD)},
+         "stock_remaining": "stock_qty",
+         "original_stock_estimate": "(units_sold + stock_qty)::BIGINT"},
+        "product_sales JOIN stg_products USING (product_id)"),
+}
+
+
+def _ctes(models: dict[str, tuple[dict[str, str], str]]) -> str:
+    return ",\n".join(
+        f"{name} AS (SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {source})"
+        for name, (columns, source) in models.items())
+
+
+MODELS = _ctes({**TABLES, **REPORTS})
+
+
+def with_models(body: str, extra: str = "") -> str:
+    """``body`` after the models (unused ones cost nothing) and ``extra``."""
+    return f"WITH {MODELS}{',' + extra if extra else ''}\n{body}"
+
+
+def union(parts) -> str:
+    return with_models("\nUNION ALL\n".join(parts))
+
+
+ORACLE: dict[str, str] = {name: with_models(f"SELECT * FROM {name}") for name in (
+    *TABLES, *(r for r in REPORTS if r.startswith("rpt_")))}
+
+# --- analytics ------------------------------------------------------------------------
+
+ORACLE |= {
     "source_profile": with_models("""
 SELECT count(*) AS total_orders,
        count(DISTINCT customer_id) AS unique_customers,
@@ -247,113 +118,219 @@ SELECT count(*) AS total_orders,
        min(order_date) AS earliest_order,
        max(order_date) AS latest_order
 FROM stg_orders"""),
-    "table_counts": with_models("""
-SELECT 'customers' AS table_name, count(*) AS row_count FROM stg_customers
-UNION ALL SELECT 'products', count(*) FROM stg_products
-UNION ALL SELECT 'orders', count(*) FROM stg_orders"""),
-    "monthly_trend": with_models("""
-SELECT year, month,
-       year::VARCHAR || '-' || lpad(month::VARCHAR, 2, '0') AS period,
-       sum(num_orders)::BIGINT AS total_orders,
-       sum(total_revenue)::decimal(18,2) AS total_revenue
-FROM rpt_revenue_by_country
-GROUP BY year, month""", True),
-    "country_totals": with_models("""
-SELECT country,
-       sum(total_revenue)::decimal(18,2) AS total_revenue,
+    "table_counts": union(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}"
+                          for t in ("customers", "products", "orders")),
+    "monthly_trend": with_models(f"""
+SELECT year, month, printf('%d-%02d', year, month) AS period,
+       sum(num_orders)::BIGINT AS total_orders, sum(total_revenue)::{MONEY} AS total_revenue
+FROM rpt_revenue_by_country GROUP BY ALL"""),
+    "country_totals": with_models(f"""
+SELECT country, sum(total_revenue)::{MONEY} AS total_revenue,
        sum(num_orders)::BIGINT AS total_orders
-FROM rpt_revenue_by_country
-GROUP BY country""", True),
+FROM rpt_revenue_by_country GROUP BY ALL"""),
     "top_customers": with_models("""
-SELECT * FROM rpt_customer_summary
-ORDER BY total_spend DESC NULLS LAST, customer_id
-LIMIT 10""", True),
+SELECT * FROM rpt_customer_summary ORDER BY total_spend DESC NULLS LAST, customer_id LIMIT 10"""),
     "category_share": with_models("""
 SELECT category, total_revenue,
-       total_revenue::DOUBLE * 100
-         / (SELECT sum(total_revenue) FROM rpt_revenue_by_category)::DOUBLE
-         AS revenue_share_pct
-FROM rpt_revenue_by_category""", True),
+       total_revenue::DOUBLE * 100 / (sum(total_revenue) OVER ())::DOUBLE AS revenue_share_pct
+FROM rpt_revenue_by_category"""),
     "product_ranking": with_models("""
 SELECT product_id, product_name, units_sold, total_revenue, num_orders
-FROM rpt_product_performance
-ORDER BY total_revenue DESC, product_id""", True),
+FROM rpt_product_performance"""),
     "customers_by_spend": with_models("""
-SELECT customer_name, total_spend FROM rpt_customer_summary""", True),
+SELECT customer_name, total_spend FROM rpt_customer_summary"""),
     "orders_preview": with_models("""
 SELECT * FROM orders_enriched ORDER BY order_id, product_id, quantity LIMIT 15"""),
 }
 
-
-def _register_parametrised() -> None:
-    from ledgerline.functions import SPEND_TIER_BOUNDS, SPEND_TIER_LABELS
-    from ledgerline.plans.queries import WIDE_TIER_BOUNDS, WIDE_TIER_LABELS
-
-    ORACLE["customer_tiers"] = with_models(f"""
-SELECT customer_id, customer_name, total_orders, total_spend,
-       {tier_case('total_spend', SPEND_TIER_BOUNDS, SPEND_TIER_LABELS)} AS spend_tier
-FROM rpt_customer_summary""", True)
-    ORACLE["tier_counts"] = tier_counts_sql(SPEND_TIER_BOUNDS, SPEND_TIER_LABELS)
-    ORACLE["tier_counts_wide"] = tier_counts_sql(WIDE_TIER_BOUNDS, WIDE_TIER_LABELS)
-    ORACLE["dq_not_null"] = dq_not_null_sql()
-    ORACLE["dq_unique"] = dq_unique_sql()
-    ORACLE["dq_positive"] = dq_positive_sql()
-    ORACLE["dq_orphans"] = dq_orphans_sql()
-    ORACLE["dq_row_counts"] = dq_row_counts_sql()
-
-
-_register_parametrised()
-
-
-SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")
+# Tier bounds: (above, up to and including, label).
+TIERS = ((0, 500, "< 500"), (500, 2000, "500 - 2k"), (2000, 5000, "2k - 5k"),
+         (5000, None, "5k+"))
+WIDE_TIERS = ((0, 500_000, "< 500k"), (500_000, 1_000_000, "500k - 1M"),
+              (1_000_000, 2_000_000, "1M - 2M"), (2_000_000, None, "2M+"))
+
+
+def _tiers(bounds) -> str:
+    return "tiers(tier_order, above, upto, label) AS (VALUES " + ", ".join(
+        f"({i}, {a}, {'NULL::BIGINT' if b is None else b}, '{label}')"
+        for i, (a, b, label) in enumerate(bounds)) + ")"
+
+
+_IN_TIER = "total_spend > above AND (upto IS NULL OR total_spend <= upto)"
+ORACLE["customer_tiers"] = with_models(f"""
+SELECT customer_id, customer_name, total_orders, total_spend, label AS spend_tier
+FROM rpt_customer_summary LEFT JOIN tiers ON {_IN_TIER}""", _tiers(TIERS))
+for _name, _bounds in (("tier_counts", TIERS), ("tier_counts_wide", WIDE_TIERS)):
+    ORACLE[_name] = with_models(f"""
+SELECT tier_order, label AS spend_tier, count(total_spend) AS customers,
+       count(total_spend)::DOUBLE * 100 / nullif(sum(count(total_spend)) OVER (), 0)::DOUBLE
+         AS share_pct
+FROM tiers LEFT JOIN rpt_customer_summary ON {_IN_TIER}
+GROUP BY tier_order, label""", _tiers(_bounds))
+
+# --- display orders, as positions -------------------------------------------------------
+
+for _name, _source, _keys, _order in (
+        ("country_in_order", "rpt_revenue_by_country", "country, year, month",
+         "year, month, country"),
+        ("category_in_order", "rpt_revenue_by_category", "category, total_revenue",
+         "total_revenue DESC, category"),
+        ("customers_in_order", "rpt_customer_summary", "customer_id, total_spend",
+         "total_spend DESC, customer_id"),
+        ("products_in_order", "rpt_product_performance", "product_id, total_revenue",
+         "total_revenue DESC, product_id")):
+    ORACLE[_name] = with_models(
+        f"SELECT {_keys}, row_number() OVER (ORDER BY {_order}) AS position FROM {_source}")
+ORACLE["months_in_order"] = with_models("""
+SELECT year, month, row_number() OVER (ORDER BY year, month) AS position
+FROM rpt_revenue_by_country GROUP BY year, month""")
+ORACLE["countries_in_order"] = with_models("""
+SELECT country, row_number() OVER (ORDER BY sum(total_revenue) DESC, country) AS position
+FROM rpt_revenue_by_country GROUP BY country""")
+
+# --- data quality -----------------------------------------------------------------------
+
+# Where the raw tables come from: (source, key column) of the names in the checks.
+RAW = {"customers.customer_id": ("customer", "c_custkey"),
+       "products.product_id": ("part", "p_partkey"),
+       "order_lines.order_id": ("lineitem", "l_orderkey"),
+       "order_headers.order_id": ("orders", "o_orderkey"),
+       "products.unit_price": ("part", "p_retailprice")}
+NOT_NULL = (
+    "customers.customer_id", "products.product_id", "order_lines.order_id",
+    "order_headers.order_id", "stg_customers.customer_id", "stg_products.product_id",
+    "stg_orders.order_id", "orders_enriched.order_id", "rpt_revenue_by_country.country",
+    "rpt_revenue_by_country.year", "rpt_revenue_by_country.month",
+    "rpt_revenue_by_country.total_revenue", "rpt_revenue_by_category.category",
+    "rpt_revenue_by_category.total_revenue", "rpt_revenue_by_category.units_sold",
+    "rpt_customer_summary.customer_id", "rpt_customer_summary.customer_name",
+    "rpt_customer_summary.total_spend", "rpt_customer_summary.total_orders",
+    "rpt_product_performance.product_id", "rpt_product_performance.product_name",
+    "rpt_product_performance.total_revenue", "rpt_product_performance.stock_remaining")
+UNIQUE = ("order_headers.order_id", "stg_customers.customer_id", "stg_products.product_id",
+          "rpt_revenue_by_category.category", "rpt_customer_summary.customer_id",
+          "rpt_product_performance.product_id")
+POSITIVE = ("products.unit_price",)
+POSITIVE_NOT_NULL = (
+    "orders_enriched.line_total", "rpt_customer_summary.total_spend",
+    "rpt_revenue_by_category.total_revenue", "rpt_product_performance.total_revenue",
+    "rpt_revenue_by_country.total_revenue")
+MINIMUM = {"orders_enriched": 18, "rpt_revenue_by_country": 1, "rpt_revenue_by_category": 1,
+           "rpt_customer_summary": 8, "rpt_product_performance": 8}
+
+
+def _row(check: str, where: str, count: str) -> str:
+    table, column = where.split(".", 1)
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, "
+            f"'{column}' AS column_name, ({count})::BIGINT AS failing_rows")
+
+
+def _counted(check: str, places, condition: str) -> list[str]:
+    out = []
+    for place in places:
+        table, column = RAW.get(place, place.split("."))
+        out.append(_row(check, place, f"SELECT count(*) FROM {table} WHERE "
+                        + condition.format(c=column)))
+    return out
+
+
+def _repeated(place: str) -> str:
+    table, column = RAW.get(place, place.split("."))
+    return _row("unique", place, f"SELECT count(*) FROM (SELECT {column} FROM {table} WHERE "
+                f"{column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)")
+
+
+_NOT_NULL = _counted("not_null", NOT_NULL, "{c} IS NULL")
+_UNIQUE = [_repeated(p) for p in UNIQUE]
+_POSITIVE = (_counted("positive", POSITIVE, "{c} <= 0")
+             + _counted("positive_not_null", POSITIVE_NOT_NULL, "{c} <= 0 OR {c} IS NULL"))
+_ORPHANS = [
+    _row("orphan:order_headers", "order_lines.order_id",
+         "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN "
+         "(SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)"),
+    *(_row(f"orphan:{dim}", f"stg_orders.{key}",
+           f"SELECT count(*) FROM stg_orders ANTI JOIN {dim} USING ({key}) WHERE {key} IS NOT NULL")
+      for dim, key in (("stg_customers", "customer_id"), ("stg_products", "product_id"))),
+    _row("fk_not_null", "orders_enriched.customer_id|product_id",
+         "SELECT count(*) FROM orders_enriched WHERE customer_id IS NULL OR product_id IS NULL"),
+]
+ORACLE["dq_not_null"] = union(_NOT_NULL)
+ORACLE["dq_unique"] = union(_UNIQUE)
+ORACLE["dq_positive"] = union(_POSITIVE)
+ORACLE["dq_orphans"] = union(_ORPHANS)
+ORACLE["dq_row_counts"] = union(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, {n}::BIGINT AS min_rows, "
+    f"count(*) >= {n} AS passed FROM {t}" for t, n in MINIMUM.items())
+
+# --- files and published tables -----------------------------------------------------------
+
+EVERY_TABLE = ("benchmark", "conversations", "customer", "documents", "embeddings", "events",
+               "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 PUBLISHED = ("orders_enriched", "rpt_revenue_by_country", "rpt_revenue_by_category",
              "rpt_customer_summary", "rpt_product_performance")
-
-ORACLE["parquet_roundtrip"] = ORACLE["orders_enriched"]
-ORACLE["csv_roundtrip"] = ORACLE["stg_products"]
-ORACLE["publish_roundtrip"] = ORACLE["rpt_customer_summary"]
-ORACLE["read_as_of"] = ORACLE["rpt_revenue_by_country"]
-ORACLE["extract_report"] = "\nUNION ALL\n".join(
-    f"SELECT 'dbo' AS schema_name, '{t}' AS table_name, count(*) AS row_count, "
-    f"'ok' AS status FROM {t}"
-    for t in SOURCE_TABLES
-)
-ORACLE["file_profile"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
-    f"count(*)::INTEGER AS column_count, "
-    f"string_agg(column_name, ', ' ORDER BY column_name) AS columns "
-    f"FROM (DESCRIBE SELECT * FROM {t})"
-    for t in SOURCE_TABLES
-)
-ORACLE["publish_report"] = with_models("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, 1::BIGINT AS snapshot_id, count(*) AS written_rows, "
-    f"count(*) AS verified_rows, 'ok' AS status FROM {t}"
-    for t in PUBLISHED
-), True)
-ORACLE["published_tables"] = with_models("\nUNION ALL\n".join(
-    f"SELECT 'default' AS namespace, '{t}' AS table_name, 1::BIGINT AS snapshot_id, "
-    f"(SELECT count(*) FROM {t}) AS total_records, "
-    f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {t}))::INTEGER AS column_count"
-    for t in PUBLISHED
-), True)
-ORACLE["store_counts"] = with_models("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, count(*) AS left_rows, count(*) AS right_rows, "
-    f"true AS matched FROM {t}"
-    for t in PUBLISHED
-), True)
-ORACLE["snapshot_history"] = with_models("""
-SELECT 'rpt_revenue_by_category' AS table_name, s.snapshot_id, s.parent_id,
-       'overwrite' AS operation, n.n AS added_records, n.n AS total_records
-FROM (VALUES (1::BIGINT, NULL::BIGINT), (2::BIGINT, 1::BIGINT)) s(snapshot_id, parent_id),
-     (SELECT count(*) AS n FROM rpt_revenue_by_category) n""", True)
-ORACLE["schema_report"] = with_models("""
+# The second versions hold part of the first ones' rows.
+SECOND = {"rpt_revenue_by_country": "month <= 6", "rpt_revenue_by_category": "num_orders % 2 = 0"}
+
+
+def _newest(table: str) -> str:
+    return f"{table} WHERE {SECOND[table]}" if table in SECOND else table
+
+
+ORACLE |= {
+    "parquet_roundtrip": ORACLE["orders_enriched"],
+    "csv_roundtrip": ORACLE["stg_products"],
+    "csv_customers": ORACLE["stg_customers"],
+    "csv_orders": ORACLE["stg_orders"],
+    "publish_roundtrip": ORACLE["rpt_customer_summary"],
+    "read_as_of": ORACLE["rpt_revenue_by_country"],
+    "read_newest": with_models(f"SELECT * FROM {_newest('rpt_revenue_by_country')}"),
+    "extract_report": "\nUNION ALL\n".join(
+        f"SELECT 'dbo' AS schema_name, '{t}' AS table_name, count(*) AS row_count, "
+        f"'ok' AS status FROM {t}" for t in EVERY_TABLE),
+    "file_profile": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
+        f"count(*)::INTEGER AS column_count, "
+        f"string_agg(column_name, ', ' ORDER BY column_name) AS columns "
+        f"FROM (DESCRIBE SELECT * FROM {t})" for t in EVERY_TABLE),
+    "publish_report": union([
+        f"SELECT '{t}' AS table_name, {v}::BIGINT AS snapshot_id, count(*) AS written_rows, "
+        f"count(*) AS verified_rows, 'ok' AS status FROM {source}"
+        for v, t, source in [*((1, t, t) for t in PUBLISHED),
+                             *((2, t, _newest(t)) for t in SECOND)]]),
+    "published_tables": union(
+        f"SELECT 'default' AS namespace, '{t}' AS table_name, "
+        f"{2 if t in SECOND else 1}::BIGINT AS snapshot_id, "
+        f"(SELECT count(*) FROM {_newest(t)}) AS total_records, "
+        f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM {t}))::INTEGER AS column_count"
+        for t in PUBLISHED),
+    "store_counts": union(
+        f"SELECT '{t}' AS table_name, a AS left_rows, b AS right_rows, a = b AS matched "
+        f"FROM (SELECT count(*) AS a FROM {t}), (SELECT count(*) AS b FROM {_newest(t)})"
+        for t in PUBLISHED),
+    "snapshot_history": union(
+        f"SELECT 'rpt_revenue_by_category' AS table_name, {v}::BIGINT AS snapshot_id, "
+        f"{p}::BIGINT AS parent_id, 'overwrite' AS operation, count(*) AS added_records, "
+        f"count(*) AS total_records, {later}::BOOLEAN AS after_parent FROM {source}"
+        for v, p, later, source in (
+            (1, "NULL", "NULL", "rpt_revenue_by_category"),
+            (2, "1", "true", _newest("rpt_revenue_by_category")))),
+    "schema_report": with_models("""
 SELECT 'orders_enriched' AS table_name,
-       (row_number() OVER ())::INTEGER AS position,
-       column_name,
-       CASE WHEN column_type = 'INTEGER' THEN 'int'
-            WHEN column_type = 'BIGINT' THEN 'bigint'
-            WHEN column_type = 'VARCHAR' THEN 'string'
-            WHEN column_type = 'DATE' THEN 'date'
+       (row_number() OVER ())::INTEGER AS position, column_name,
+       CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
             ELSE lower(replace(column_type, ' ', '')) END AS data_type,
        "null" = 'YES' AS nullable
-FROM (DESCRIBE SELECT * FROM orders_enriched)""")
+FROM (DESCRIBE SELECT * FROM orders_enriched)"""),
+}
+ORACLE["dq_suite"] = union([
+    *(_row("required_columns", f"{t}.*", "SELECT 0")
+      for t in ("customers", "products", "orders")),
+    *_NOT_NULL, *_POSITIVE, *_UNIQUE, *_ORPHANS,
+    *(_row("min_rows", f"{t}.*", f"SELECT greatest(0, {n} - count(*)) FROM {t}")
+      for t, n in MINIMUM.items()),
+    _row("exact_rows", "stg_products.*", "SELECT abs((SELECT count(*) FROM part) - count(*)) "
+         "FROM stg_products"),
+    *(_row("table_exists", f"{t}.*", "SELECT 0") for t in PUBLISHED),
+    *(_row("store_rows", f"{t}.*", f"SELECT abs((SELECT count(*) FROM {t}) - count(*)) "
+           f"FROM {_newest(t)}") for t in PUBLISHED),
+])

@@ -1,21 +1,30 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` each.
 
 Each query reads the full test tables in ``sf_dir`` (through the raw mapping
-of ``sources.testdata``) and returns a lazy DataFrame whose columns match the
-SQL twin in ``plans.oracle``.
+of ``sources.testdata``, with wide types) and returns a DataFrame whose columns
+match the SQL twin in ``plans.oracle``.  The staging, mart and report queries
+are lazy but for the customer table, which is written first.  The analytics
+and check queries build the models when first called, the publish queries
+also publish them, once per application and input; the others of those then
+read the written tables.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.operators import analytics, quality
+from ledgerline.functions import WIDE
+from ledgerline.operators import analytics, quality, reports
 from ledgerline.plans.models import testdata_graph, testdata_models
-from ledgerline.session import fresh_dir
+from ledgerline.session import fresh_dir, input_stamp
 from ledgerline.sinks.files import write_csv, write_parquet
 from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sources import testdata
 from ledgerline.sources.files import ParquetDirSource, read_csv, read_parquet
 from ledgerline.sources.files import file_profile as _file_profile
 
@@ -46,22 +55,23 @@ QUERIES: dict[str, Query] = {
 }
 
 
-_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_BUILT: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """E2 once per application and input: staged views plus written tables.
+    """E2 once per application and input: every model reading a written table.
 
-    Like building the models before testing or publishing them, the mart's
-    joins run once; the checks and the publish then scan the written mart
-    and reports (under the shared folder) instead of recomputing them.
+    Like building the models before testing or publishing them, the joins run
+    once; the checks and the publish then scan the written orders, mart and
+    reports (under the shared folder) instead of recomputing them.
     """
     from ledgerline.plans.jobs import build_models
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir))
     if key not in _BUILT:
         raw, _ = testdata_graph(spark, sf_dir)
-        _BUILT[key] = build_models(spark, raw, fresh_dir(spark, "models"))
+        _BUILT[key] = build_models(spark, raw, fresh_dir(spark, "models"), widths=WIDE,
+                                   write_orders=True)
     return _BUILT[key]
 
 
@@ -143,21 +153,32 @@ def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data quality (on the built models, as a test step runs after a build) ------
 
 
+# Raw keys where they are stored: lines and headers apart, before their join.
+TEST_RAW_KEYS = (("customers", "customer_id"), ("products", "product_id"),
+                 ("order_lines", "order_id"), ("order_headers", "order_id"))
+# An order has many lines here, so its key is unique among the headers only.
+TEST_UNIQUE = (("order_headers", "order_id"),
+               *(k for k in quality.UNIQUE_DECLARED
+                 if k not in (("stg_orders", "order_id"), ("orders_enriched", "order_id"))))
+
+
 def _models_and_raw(spark: SparkSession, sf_dir: str):
     raw, _ = testdata_graph(spark, sf_dir)
-    return built_models(spark, sf_dir), raw
+    return built_models(spark, sf_dir), {
+        **raw, "order_lines": testdata.order_lines(spark, sf_dir),
+        "order_headers": testdata.order_headers(spark, sf_dir)}
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 + Q3: the declared not-null tests plus raw primary keys."""
     m, raw = _models_and_raw(spark, sf_dir)
-    return quality.declared_not_null(m, raw)
+    return quality.declared_not_null(m, raw, TEST_RAW_KEYS)
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q2: the declared unique tests."""
-    m, _ = _models_and_raw(spark, sf_dir)
-    return quality.declared_unique(m)
+    """Q2: the declared unique tests, orders by their headers."""
+    m, raw = _models_and_raw(spark, sf_dir)
+    return quality.declared_unique(m, raw, TEST_UNIQUE)
 
 
 def dq_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,9 +188,19 @@ def dq_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q6 + J5: unknown customers/products and NULL keys in the mart."""
-    m, _ = _models_and_raw(spark, sf_dir)
-    return quality.referential(m)
+    """Q6 + J5: unknown headers, customers and products, NULL keys in the mart."""
+    m, raw = _models_and_raw(spark, sf_dir)
+    return quality.referential(m, raw)
+
+
+def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole gate, Q1-Q11, with the published tables."""
+    from ledgerline.plans.jobs import PUBLISHED_TABLES
+
+    m, raw = _models_and_raw(spark, sf_dir)
+    parts = testdata.table(spark, sf_dir, "part").count()
+    return quality.suite(m, raw, TEST_RAW_KEYS, TEST_UNIQUE, exact={"stg_products": parts},
+                         store=published(spark, sf_dir)[0], published=PUBLISHED_TABLES)
 
 
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,16 +215,49 @@ QUERIES.update({
         source_profile, table_counts, monthly_trend, country_totals, top_customers,
         customer_tiers, tier_counts, tier_counts_wide, category_share, product_ranking,
         customers_by_spend, orders_preview, dq_not_null, dq_unique, dq_positive,
-        dq_orphans, dq_row_counts,
+        dq_orphans, dq_row_counts, dq_suite,
     )
 })
 
 
-# --- sinks, versioned publish, extraction ----------------------------------------
+# --- display orders (O1-O3, O7): the keys with their position --------------------
+
+
+def _in_order(report: str, *keys: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = built_models(spark, sf_dir)[report]
+        return reports.with_position(df, reports.order_keys(report)).select(*keys, "position")
+
+    run.__doc__ = f"``{report}`` in its display order."
+    return run
+
+
+def months_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months ascending."""
+    trend = monthly_trend(spark, sf_dir)
+    return reports.with_position(trend, [F.col("year"), F.col("month")]).select(
+        "year", "month", "position")
+
+
+def countries_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Countries by revenue, highest first."""
+    totals = country_totals(spark, sf_dir)
+    return reports.with_position(
+        totals, [F.col("total_revenue").desc_nulls_last(), F.col("country").asc_nulls_last()]
+    ).select("country", "position")
+
+
+QUERIES.update({
+    "country_in_order": _in_order("rpt_revenue_by_country", "country", "year", "month"),
+    "category_in_order": _in_order("rpt_revenue_by_category", "category", "total_revenue"),
+    "customers_in_order": _in_order("rpt_customer_summary", "customer_id", "total_spend"),
+    "products_in_order": _in_order("rpt_product_performance", "product_id", "total_revenue"),
+    "months_in_order": months_in_order,
+    "countries_in_order": countries_in_order,
+})
 
 
-# Test tables the extraction and profile queries copy (those the models use).
-SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")
+# --- sinks, versioned publish, extraction ----------------------------------------
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,98 +267,122 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+def _csv(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = fresh_dir(spark, "csv") + "/table.csv"
+    write_csv(df, path)
+    return read_csv(spark, path, df.schema)
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged products written as CSV, read back with the declared schema."""
-    products = testdata_models(spark, sf_dir)["stg_products"]
-    path = fresh_dir(spark, "csv") + "/products.csv"
-    write_csv(products, path)
-    return read_csv(spark, path, products.schema)
+    return _csv(spark, built_models(spark, sf_dir)["stg_products"])
+
+
+def csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for customers."""
+    return _csv(spark, built_models(spark, sf_dir)["stg_customers"])
+
+
+def csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for orders."""
+    return _csv(spark, built_models(spark, sf_dir)["stg_orders"])
 
 
 def extract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1 + K10: extract the source tables to Parquet; report without timings."""
+    """E1 + K10: extract every table found to Parquet; report without timings."""
     from ledgerline.plans.jobs import extract
 
     report = extract(spark, ParquetDirSource(spark, sf_dir), fresh_dir(spark, "extract"),
-                     list(SOURCE_TABLES), parallel_tables=4)
+                     parallel_tables=4)
     return report.select("schema_name", "table_name", "row_count", "status")
 
 
 def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row count and (sorted) column list of each source file."""
-    return _file_profile(spark, {t: f"{sf_dir}/{t}.parquet" for t in SOURCE_TABLES})
+    """Row count and (sorted) column list of every source file."""
+    found = ParquetDirSource(spark, sf_dir).list_tables()
+    return _file_profile(spark, {t: f"{sf_dir}/{t}.parquet" for _, t in found})
 
 
-def _store(spark: SparkSession) -> SnapshotStore:
-    return SnapshotStore(spark, fresh_dir(spark, "warehouse"))
+# The second versions: part of the first ones' rows, so that versions differ.
+SECOND_VERSION = {"rpt_revenue_by_country": "month <= 6",
+                  "rpt_revenue_by_category": "num_orders % 2 = 0"}
+_STORES: dict[tuple, tuple[SnapshotStore, DataFrame, dt.datetime]] = {}
 
 
-def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E2 + K6-K9: publish the five built tables; per-table verified report."""
+def published(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame, dt.datetime]:
+    """(store, publish reports, time between the versions): the five tables
+    published, then two of them again with other rows; once per application
+    and input."""
     from ledgerline.plans.jobs import PUBLISHED_TABLES
 
-    models = built_models(spark, sf_dir)
-    return _store(spark).publish_all({t: models[t] for t in PUBLISHED_TABLES})
+    key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir))
+    if key not in _STORES:
+        store = SnapshotStore(spark, fresh_dir(spark, "warehouse"))
+        models = built_models(spark, sf_dir)
+        first = store.publish_all({t: models[t] for t in PUBLISHED_TABLES})
+        between = dt.datetime.now(dt.timezone.utc)
+        time.sleep(0.01)   # commit times are kept in milliseconds
+        second = store.publish_all({t: models[t].filter(rows)
+                                    for t, rows in SECOND_VERSION.items()})
+        _STORES[key] = (store, first.unionByName(second), between)
+    return _STORES[key]
+
+
+def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 + K6-K9: both publishes; per-table verified report."""
+    return published(spark, sf_dir)[1]
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6 + S11: the customer report published, then scanned from its newest version."""
-    store = _store(spark)
-    store.publish("rpt_customer_summary", built_models(spark, sf_dir)["rpt_customer_summary"])
-    return store.read("rpt_customer_summary")
+    """K6 + S11: the customer report scanned from its newest version."""
+    return published(spark, sf_dir)[0].read("rpt_customer_summary")
 
 
-def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1: the namespace's tables after publishing the five built tables."""
-    from ledgerline.plans.jobs import PUBLISHED_TABLES
+def read_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second version of the country report."""
+    return published(spark, sf_dir)[0].read("rpt_revenue_by_country")
 
-    store = _store(spark)
-    models = built_models(spark, sf_dir)
-    store.publish_all({t: models[t] for t in PUBLISHED_TABLES})
-    return store.tables()
+
+def read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: the version of the country report that was current between the two."""
+    store, _, between = published(spark, sf_dir)
+    return store.read("rpt_revenue_by_country", as_of=between)
+
+
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the namespace's tables with their newest versions."""
+    return published(spark, sf_dir)[0].tables()
 
 
 def store_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q11: row counts of the built tables against their published versions."""
+    """Q11: row counts of the built tables against their newest versions."""
     from ledgerline.plans.jobs import PUBLISHED_TABLES
 
-    store = _store(spark)
-    models = built_models(spark, sf_dir)
-    built = {t: models[t] for t in PUBLISHED_TABLES}
-    store.publish_all(built)
-    return quality.counts_match(built, {t: store.read(t) for t in PUBLISHED_TABLES})
+    store, models = published(spark, sf_dir)[0], built_models(spark, sf_dir)
+    return quality.counts_match({t: models[t] for t in PUBLISHED_TABLES},
+                                {t: store.read(t) for t in PUBLISHED_TABLES})
 
 
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: two publishes of one table give two snapshots (times left out)."""
-    store = _store(spark)
-    df = built_models(spark, sf_dir)["rpt_revenue_by_category"]
-    store.publish("rpt_revenue_by_category", df)
-    store.publish("rpt_revenue_by_category", df)
-    return store.history("rpt_revenue_by_category").drop("committed_at")
-
-
-def read_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: after two publishes, read the version current at the first commit."""
-    store = _store(spark)
-    m = built_models(spark, sf_dir)
-    first = store.publish("rpt_revenue_by_country", m["rpt_revenue_by_country"])
-    store.publish("rpt_revenue_by_country", m["rpt_revenue_by_country"])
-    return store.read("rpt_revenue_by_country", as_of=first["committed_at"])
+    """M3: a table's two snapshots, and whether each came after its parent."""
+    history = published(spark, sf_dir)[0].history("rpt_revenue_by_category")
+    parents = history.select(F.col("snapshot_id").alias("p_id"),
+                             F.col("committed_at").alias("p_at"))
+    return (history.join(parents, F.col("parent_id") == F.col("p_id"), "left")
+            .withColumn("after_parent", F.col("committed_at") > F.col("p_at"))
+            .drop("committed_at", "p_id", "p_at"))
 
 
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: column positions, names, types and nullability of the published mart."""
-    store = _store(spark)
-    store.publish("orders_enriched", built_models(spark, sf_dir)["orders_enriched"])
-    return store.schema("orders_enriched")
+    return published(spark, sf_dir)[0].schema("orders_enriched")
 
 
 QUERIES.update({
     f.__name__: f
     for f in (
-        parquet_roundtrip, csv_roundtrip, extract_report, file_profile, publish_report,
-        published_tables, store_counts, publish_roundtrip, snapshot_history, read_as_of,
-        schema_report,
+        parquet_roundtrip, csv_roundtrip, csv_customers, csv_orders, extract_report,
+        file_profile, publish_report, published_tables, store_counts, publish_roundtrip,
+        snapshot_history, read_newest, read_as_of, schema_report,
     )
 })

@@ -1,7 +1,8 @@
 """Session construction and the shared working folder.
 
-Cluster sessions come with their own settings; :func:`build_session` only
-fills in what is missing, so a ``spark-submit --conf`` always wins.
+Cluster sessions come with their own settings: :func:`build_session` only
+fills in what is missing, so a ``spark-submit --conf`` wins, except for the
+few settings that the results depend on (:data:`FORCED`).
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark import SparkConf, SparkContext
+from pyspark.sql import SparkSession
 
 T = TypeVar("T")
 
@@ -30,10 +31,11 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+# Overflow must raise, and dates must not shift, whatever was submitted.
+FORCED = ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")
 
 
 def build_session(
@@ -44,14 +46,17 @@ def build_session(
 ) -> SparkSession:
     """Return a session with :data:`DEFAULT_CONF` applied where unset.
 
-    ``shuffle_partitions`` should follow the data: about one partition per
-    128 MB of shuffled data on a cluster (AQE coalesces the excess); the
-    number of local cores in tests.
+    ``extra`` and :data:`FORCED` apply in any case.  ``shuffle_partitions``
+    should follow the data: about one partition per 128 MB of shuffled data
+    on a cluster (AQE coalesces the excess); the number of local cores in
+    tests.
     """
+    SparkContext._ensure_initialized()   # so that SparkConf sees submitted settings
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if k in FORCED or not submitted.contains(k)}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -104,61 +109,30 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-# Parquet is compressed and columnar; a table held as a broadcast hash
-# relation takes several times its stored size.  This factor turns the
-# stored size into the bound that is checked against the threshold.
-BROADCAST_EXPANSION = 8
-
-
-# Bound used when the session turns automatic broadcasts off (-1): that
-# setting governs Spark's own choice from estimates, not a checked hint.
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
-
-
-def broadcast_if_small(df: DataFrame, stored_bytes: int, limit: int | None = None) -> DataFrame:
-    """Hint a broadcast of ``df`` only when its size is known to be small.
-
-    ``stored_bytes`` is the size of the files behind ``df`` (its upper bound
-    in rows and columns); the hint is given when ``stored_bytes *
-    BROADCAST_EXPANSION`` is within ``limit`` (default: the session's
-    ``spark.sql.autoBroadcastJoinThreshold``, or
-    :data:`DEFAULT_BROADCAST_LIMIT` when that is off; a negative ``limit``
-    passed in disables the hint).  Otherwise the frame is returned as it is
-    and the optimizer chooses the join from its statistics, falling back to
-    a sort-merge join with skew splitting.  Keeping a tiny dimension
-    broadcast matters: joined by shuffle, a 25-value key would leave all but
-    25 partitions of the other side empty.
-    """
-    if limit is None:
-        limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-        if limit <= 0:
-            limit = DEFAULT_BROADCAST_LIMIT
-    if limit < 0 or stored_bytes * BROADCAST_EXPANSION > limit:
-        return df
-    return F.broadcast(df)
-
-
-def _bytes(text: str) -> int:
-    """``10485760`` / ``10m`` / ``10MB`` -> bytes."""
-    t = text.strip().lower().removesuffix("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if t and t[-1] in scale:
-        return int(float(t[:-1]) * scale[t[-1]])
-    return int(t)
+def input_stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, newest change) under ``path``: differs once the input does."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, size, newest = 0, 0, 0
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        f = found.next()
+        files, size = files + 1, size + f.getLen()
+        newest = max(newest, f.getModificationTime())
+    return files, size, newest
 
 
 def size_shuffle_partitions(spark: SparkSession, stored_bytes: int,
-                            bytes_per_partition: int = 64 * 1024 * 1024,
-                            maximum: int = 100_000) -> int:
+                            bytes_per_partition: int = 64 * 1024 * 1024) -> int:
     """Set ``spark.sql.shuffle.partitions`` from the size of the input.
 
     About one partition per ``bytes_per_partition`` of stored (compressed)
-    input, never fewer than twice the cores and at most ``maximum``.  AQE
-    then coalesces partitions that turn out small and splits skewed ones,
+    input, and never fewer than twice the cores.  AQE then coalesces partitions that turn out small and splits skewed ones,
     so the number only has to be large enough that no partition spills.
     """
     floor = 2 * spark.sparkContext.defaultParallelism
-    n = min(maximum, max(floor, -(-stored_bytes // bytes_per_partition)))
+    n = max(floor, -(-stored_bytes // bytes_per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,7 +22,8 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
     """
     obs = Observation(f"write_{uuid.uuid4().hex}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    writer = writer.option("compression", compression)
+    # The whole target, whatever the session says of partitions.
+    writer = writer.option("partitionOverwriteMode", "static").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -35,3 +36,31 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> int:
     (df.observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("header", str(header).lower()).csv(path))
     return int(obs.get.get("rows", 0))
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it, if it is there."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Move ``new`` to ``path``; what was there stays until the move succeeds."""
+    source, fs = _file_system(spark, new)
+    target, _ = _file_system(spark, path)
+    old, _ = _file_system(spark, f"{new}.old")
+    fs.mkdirs(target.getParent())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(source, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)

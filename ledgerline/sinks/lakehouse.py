@@ -103,7 +103,9 @@ class SnapshotStore:
         """Write and verify the next version's files; returns its commit row."""
         snap = (parent or 0) + 1
         path = self.snapshot_path(table, snap)
-        written = write_parquet(df, path)
+        if self._committed(table, snap):
+            raise PublishMismatch(f"{table}: version {snap} was committed by another writer")
+        written = write_parquet(df, path)   # over what a failed publish may have left
         verified = self.spark.read.parquet(path).count()
         if verified != written:
             raise PublishMismatch(f"{table}: wrote {written} rows, read back {verified}")
@@ -119,6 +121,11 @@ class SnapshotStore:
             "schema_json": df.schema.json(),
         }
 
+    def _committed(self, table: str, snapshot_id: int) -> bool:
+        """Whether the log has this version: its files are never written again."""
+        return bool(self.log().where((F.col("table_name") == table)
+                                     & (F.col("snapshot_id") == snapshot_id)).take(1))
+
     def _commit(self, commits: list[dict]) -> dt.datetime:
         """Append the commit rows in one write: they become visible together."""
         now = dt.datetime.now(dt.timezone.utc)

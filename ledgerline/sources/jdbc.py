@@ -1,9 +1,10 @@
 """Relational sources over JDBC.
 
 Spark's JDBC reader runs on the executors: one query per partition, each
-fetching ``fetchsize`` rows per round trip.  A table with a numeric key is
-split into ``num_partitions`` key ranges so it is read in parallel; without
-one it is read by a single task (the only choice that needs no key).
+fetching ``fetchsize`` rows per round trip.  A table with a numeric one-column
+key is split into key ranges; any other key splits it into hash buckets, each
+row in exactly one; only a table without a key is read by a single task.
+Names of schemas, tables and columns are quoted wherever they enter SQL.
 
 Discovery and column-type SQL depend on the database, so they are
 parameters keyed by dialect.
@@ -41,7 +42,7 @@ COLUMNS_SQL: dict[str, str] = {
     ),
 }
 
-# Single-column primary key of one table, with its type.
+# Primary key columns of one table, with their types, in key order.
 PRIMARY_KEY_SQL: dict[str, str] = {
     "sqlserver": (
         "SELECT k.COLUMN_NAME, c.DATA_TYPE "
@@ -52,9 +53,13 @@ PRIMARY_KEY_SQL: dict[str, str] = {
         "  ON c.TABLE_SCHEMA = k.TABLE_SCHEMA AND c.TABLE_NAME = k.TABLE_NAME "
         "  AND c.COLUMN_NAME = k.COLUMN_NAME "
         "WHERE t.CONSTRAINT_TYPE = 'PRIMARY KEY' "
-        "AND t.TABLE_SCHEMA = '{schema}' AND t.TABLE_NAME = '{table}'"
+        "AND t.TABLE_SCHEMA = '{schema}' AND t.TABLE_NAME = '{table}' "
     ),
 }
+# Rows of one table, and a hash of columns that is never NULL, as SQL.
+COUNT_SQL: dict[str, str] = {"sqlserver": "SELECT COUNT_BIG(*) AS n FROM {name}"}
+HASH_SQL: dict[str, str] = {"sqlserver": "ABS(CAST(BINARY_CHECKSUM({columns}) AS BIGINT))"}
+QUOTES: dict[str, tuple[str, str]] = {"sqlserver": ("[", "]")}
 NUMERIC_KEY_TYPES = frozenset({"bigint", "int", "integer", "smallint", "tinyint",
                                "numeric", "decimal"})
 
@@ -157,9 +162,19 @@ class JdbcSource:
     dialect: str = "sqlserver"
     fetchsize: int = 100_000
     rows_per_partition: int = 1_000_000
-    max_partitions: int = 512
+    max_connections: int | None = None
     partition_columns: dict[str, str] = field(default_factory=dict)
 
+    def quoted(self, name: str) -> str:
+        """``name`` as an identifier of the dialect, whatever it contains."""
+        left, right = QUOTES.get(self.dialect, ('"', '"'))
+        return left + name.replace(right, right * 2) + right
+
+    def _about(self, sql: str, schema: str, table: str) -> str:
+        """A catalogue query for one table, its name as string literals."""
+        literal = lambda s: s.replace("'", "''")
+        return sql.format(schema=literal(schema), table=literal(table))
+
     def _reader(self):
         r = self.spark.read.format("jdbc")
         for k, v in self.options.items():
@@ -183,48 +198,63 @@ class JdbcSource:
         sql = COLUMNS_SQL.get(self.dialect)
         if sql is None:
             return {}
-        rows = self.query(sql.format(schema=schema, table=table)).collect()
+        rows = self.query(self._about(sql, schema, table)).collect()
         return {r[0]: spark_type(r[1], r[2], r[3]) for r in rows}
 
-    def partition_column(self, schema: str, table: str) -> str | None:
-        """The column to split reads on: configured, else a numeric one-column key.
-
-        Tables without one are read by a single task.
-        """
+    def key_columns(self, schema: str, table: str) -> list[tuple[str, str]]:
+        """(column, type) of the key to split reads on: configured (a numeric
+        column), else the primary key; empty if there is none."""
         key = self.partition_columns.get(f"{schema}.{table}") or self.partition_columns.get(table)
-        if key or self.dialect not in PRIMARY_KEY_SQL:
-            return key
-        rows = self.query(PRIMARY_KEY_SQL[self.dialect].format(schema=schema, table=table)).collect()
-        if len(rows) == 1 and str(rows[0][1]).lower() in NUMERIC_KEY_TYPES:
-            return rows[0][0]
-        return None
-
-    def partitions_for(self, lo: int, hi: int) -> int:
-        """Number of key ranges: about ``rows_per_partition`` keys each.
-
-        Bounded by ``max_partitions``, which is also the number of concurrent
-        connections the database sees.
+        if key:
+            return [(key, "bigint")]
+        if self.dialect not in PRIMARY_KEY_SQL:
+            return []
+        rows = self.query(self._about(PRIMARY_KEY_SQL[self.dialect], schema, table)).collect()
+        return [(r[0], str(r[1]).lower()) for r in rows]
+
+    def parts_for(self, rows: int) -> int:
+        """Number of ranges or buckets: about ``rows_per_partition`` rows each.
+
+        How many are read at a time is another matter (``max_connections``).
         """
-        span = int(hi) - int(lo) + 1
-        return max(1, min(self.max_partitions, -(-span // self.rows_per_partition)))
+        return max(1, -(-int(rows) // self.rows_per_partition))
+
+    def bucket_predicates(self, columns: Sequence[str], buckets: int) -> list[str]:
+        """One condition per bucket; every row, NULLs included, meets exactly one."""
+        hashed = HASH_SQL[self.dialect].format(columns=", ".join(map(self.quoted, columns)))
+        return [f"{hashed} % {buckets} = {i}" for i in range(buckets)]
 
     def read(self, schema: str, table: str) -> DataFrame:
-        """The whole table, range-partitioned when a key is known.
+        """The whole table, split by key ranges or key hashes.
 
-        The key's bounds come from one pushed-down ``min``/``max`` query; rows
-        outside them still land in the first/last partition, so nothing is
+        A range key's bounds come from one pushed-down ``min``/``max`` query;
+        rows outside them still land in the first or last range, so nothing is
         lost if the table grows between the two reads.
         """
-        name = f"{schema}.{table}"
-        reader = self._reader().option("dbtable", name)
-        key = self.partition_column(schema, table)
-        if key:
+        name = f"{self.quoted(schema)}.{self.quoted(table)}"
+        keys = self.key_columns(schema, table)
+        df = None
+        if len(keys) == 1 and keys[0][1] in NUMERIC_KEY_TYPES:
+            key = self.quoted(keys[0][0])
             lo, hi = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {name}").first()
             if lo is not None and hi is not None and hi > lo:
-                reader = (reader.option("partitionColumn", key)
-                          .option("lowerBound", str(lo)).option("upperBound", str(hi))
-                          .option("numPartitions", str(self.partitions_for(lo, hi))))
-        return reader.load()
+                df = (self._reader().option("dbtable", name).option("partitionColumn", key)
+                      .option("lowerBound", str(lo)).option("upperBound", str(hi))
+                      .option("numPartitions", str(self.parts_for(int(hi) - int(lo) + 1)))
+                      .load())
+        elif keys and self.dialect in HASH_SQL:
+            rows = self.query(COUNT_SQL[self.dialect].format(name=name)).first()[0]
+            properties = {k: v for k, v in self.options.items() if k != "url"}
+            df = self.spark.read.jdbc(
+                self.options["url"], name,
+                predicates=self.bucket_predicates([k for k, _ in keys], self.parts_for(rows)),
+                properties={**properties, "fetchsize": str(self.fetchsize)})
+        if df is None:
+            return self._reader().option("dbtable", name).load()
+        if self.max_connections:
+            # Fewer tasks, each reading several parts one after another.
+            df = df.coalesce(self.max_connections)
+        return df
 
 
 def conform(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, Column]:

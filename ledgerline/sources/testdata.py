@@ -15,8 +15,9 @@ customers.signup_date  the customer's first o_orderdate
 products.*             part.p_partkey, p_name, p_type, p_retailprice, p_size
 =====================  ==================================================
 
-Every function returns a lazy DataFrame; Catalyst prunes the scans to the
-columns used and pushes the join keys' not-null filters into them.
+All but :func:`raw_customers`, which writes its table, return lazy DataFrames;
+Catalyst prunes the scans to the columns used and pushes the join keys'
+not-null filters into them.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.session import broadcast_if_small, input_bytes
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.files import write_parquet
 
 # Fixed value: suffix that turns a customer name into an e-mail address.
 EMAIL_DOMAIN = "@Example.com"
@@ -48,69 +49,42 @@ TEST_SCHEMAS: dict[str, str] = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
 }
 
-# Tables whose scan is spread over all cores when it arrives in too few
-# partitions (see :func:`spread`).
-SPREAD_TABLES = ("lineitem", "orders", "customer", "part")
-
-
-# Below this stored size a single scan task is cheaper than an extra shuffle
-# (small tables end up broadcast anyway).
-SPREAD_MIN_BYTES = 8 * 1024 * 1024
-# Above this size a scan already has many 128 MB splits and the shuffle that
-# follows it spreads the rows; an extra round-robin shuffle would only move
-# the whole table twice.
-SPREAD_MAX_BYTES = 1024 * 1024 * 1024
-
-
-def spread(df: DataFrame, stored_bytes: int) -> DataFrame:
-    """Round-robin repartition a large scan that has fewer partitions than cores.
-
-    A table stored as a few large row groups is read by a few tasks, and
-    every operator up to the first shuffle would run at that parallelism.
-    Round-robin deals rows out evenly whatever their values, so neither a
-    hot key nor a large group of identical rows can fill one partition (a
-    hash on any columns would send all copies of a row to the same place);
-    Spark sorts each input partition first, so a retried task re-creates
-    the same partitions.  Inputs made of many files (any large deployment),
-    small tables and tables above ``SPREAD_MAX_BYTES`` are returned as they
-    are, so the extra shuffle is never a large one.
-    """
-    if not SPREAD_MIN_BYTES <= stored_bytes <= SPREAD_MAX_BYTES:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table by name (``<sf_dir>/<name>.parquet``)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
     reader = spark.read.schema(TEST_SCHEMAS[name]) if name in TEST_SCHEMAS else spark.read
-    df = reader.parquet(path)
-    if name not in SPREAD_TABLES:
-        return df
-    return spread(df, input_bytes(spark, path))
-
+    return reader.parquet(path)
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines: ``lineitem`` joined to its order header.
 
-    Both sides are large; the join shuffles both on the order key (sort-merge),
-    or AQE turns it into a broadcast when the header side measures small.
-    """
-    lines = table(spark, sf_dir, "lineitem").select(
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as stored, before they meet their headers."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),
     )
-    headers = table(spark, sf_dir, "orders").select(
+
+
+def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order headers: key, customer, date and status."""
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
     )
-    return lines.join(headers, "order_id", "inner").select(
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines joined to their headers.
+
+    Both sides are large; the join shuffles both on the order key (sort-merge),
+    or AQE turns it into a broadcast when the header side measures small.
+    Lines without a header drop out here; the data tests count them.
+    """
+    return order_lines(spark, sf_dir).join(
+        order_headers(spark, sf_dir), "order_id", "inner").select(
         "order_id", "customer_id", "product_id", "quantity", "order_date", "status"
     )
 
@@ -118,16 +92,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with country (nation name) and signup date (first order).
 
-    ``nation`` (25 rows by the benchmark's definition) is broadcast by hint
-    only after its stored size is checked against the broadcast threshold;
-    the first-order dates are a partial+final aggregate whose output
-    is already partitioned by customer key for the join that follows.
+    Written once to the shared folder: the fact join then reads the customers
+    through an exchange of its own, so that a hot customer's lines can be
+    split.  Straight from the first-order join, the customer side would keep
+    that join's partitioning and could not be.
     """
-    nation = broadcast_if_small(
-        table(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")),
-        input_bytes(spark, os.path.join(sf_dir, "nation.parquet")),
-    )
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
     first_order = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("customer_id"))
@@ -139,11 +110,14 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("c_name"), F.lit(EMAIL_DOMAIN)).alias("email"),
         "c_nationkey",
     )
-    return (
+    built = (
         customers.join(nation, "c_nationkey", "left")
         .join(first_order, "customer_id", "left")
         .select("customer_id", "customer_name", "email", "country", "signup_date")
     )
+    path = fresh_dir(spark, "customers")
+    write_parquet(built, path)
+    return spark.read.schema(built.schema).parquet(path)
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:

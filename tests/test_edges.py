@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from seed import CUSTOMERS, ORDERS, raw_seed
 
-from ledgerline.functions import as_int, decimal_avg, ratio_as_decimal
+from ledgerline.functions import WIDE, as_int, decimal_avg, ratio_as_decimal
 from ledgerline.operators import reports
 from ledgerline.plans.models import model_graph
 
@@ -73,11 +73,10 @@ def test_fractional_raw_quantity_rounds_like_the_contract(spark):
 
 
 def test_widths_can_be_widened(spark):
-    m = model_graph(raw_seed(spark), id_type="bigint", revenue_type="decimal(18,2)",
-                    units_type="bigint")
+    m = model_graph(raw_seed(spark), WIDE)
     types = dict(m["rpt_customer_summary"].dtypes)
     assert (types["customer_id"], types["total_spend"], types["total_units"]) == (
-        "bigint", "decimal(18,2)", "bigint")
+        "bigint", "decimal(28,2)", "bigint")
     assert dict(m["rpt_product_performance"].dtypes)["original_stock_estimate"] == "bigint"
     base = {r.customer_id: r.total_spend for r in model_graph(raw_seed(spark))
             ["rpt_customer_summary"].collect()}

@@ -10,7 +10,13 @@ from ledgerline.plans import jobs
 from ledgerline.session import fresh_dir
 from ledgerline.sinks.files import write_parquet
 from ledgerline.sources.files import ParquetDirSource
-from ledgerline.sources.jdbc import conform, connection_from_env, resolve_tables, spark_type
+from ledgerline.sources.jdbc import (
+    JdbcSource,
+    conform,
+    connection_from_env,
+    resolve_tables,
+    spark_type,
+)
 
 
 class FlakySource(ParquetDirSource):
@@ -110,15 +116,68 @@ def test_run_all_end_to_end(spark, seed_models):
     assert [r.period for r in ds["monthly_trend"].collect()] == ["2024-01", "2024-02", "2024-03"]
 
 
-def test_jdbc_partition_count_follows_key_range(spark):
-    from ledgerline.sources.jdbc import JdbcSource
+def test_a_failed_table_keeps_its_last_good_file(spark):
+    class Typed(TwoSchemaSource):
+        values = ["1", "2"]
 
-    src = JdbcSource(spark, {}, rows_per_partition=1000, max_partitions=64,
+        def list_tables(self):
+            return [("dbo", "t")]
+
+        def read(self, schema, table):
+            return self.spark.createDataFrame([(v,) for v in self.values], "a string")
+
+        def column_types(self, schema, table):
+            return {"a": "int"}
+
+    out, source = fresh_dir(spark, "out"), Typed(spark)
+    assert jobs.extract(spark, source, out).first().status == "ok"
+    source.values = ["3", "x" * 600]
+    failed = jobs.extract(spark, source, out).first()
+    assert failed.row_count == -1 and "1 value(s) do not fit" in failed.status
+    path = os.path.join(out, "t.parquet")
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 2]
+    source.values = ["7"]
+    assert jobs.extract(spark, source, out).first().status == "ok"
+    assert [r.a for r in spark.read.parquet(path).collect()] == [7]
+
+
+def test_a_table_named_twice_is_extracted_once(spark, seed_models):
+    out = fresh_dir(spark, "out")
+    rep = jobs.extract(spark, ParquetDirSource(spark, _source_dir(spark, seed_models)), out,
+                       ["orders", "dbo.orders", "orders"])
+    assert [r.table_name for r in rep.collect()] == ["orders"]
+    assert spark.read.parquet(os.path.join(out, "orders.parquet")).count() == 18
+
+
+def test_a_clash_is_known_even_if_one_of_the_tables_is_asked_for(spark):
+    out = fresh_dir(spark, "out")
+    jobs.extract(spark, TwoSchemaSource(spark), out, ["dbo.orders"])
+    jobs.extract(spark, TwoSchemaSource(spark), out, ["sales.orders"])
+    assert spark.read.parquet(os.path.join(out, "dbo", "orders.parquet")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "sales", "orders.parquet")).count() == 3
+
+
+def test_jdbc_parts_follow_the_rows(spark):
+    src = JdbcSource(spark, {}, rows_per_partition=1000,
                      partition_columns={"dbo.orders": "order_id"})
-    assert src.partition_column("dbo", "orders") == "order_id"
-    assert src.partitions_for(1, 1000) == 1
-    assert src.partitions_for(1, 10_001) == 11
-    assert src.partitions_for(0, 10**12) == 64
+    assert src.key_columns("dbo", "orders") == [("order_id", "bigint")]
+    assert [src.parts_for(n) for n in (0, 1000, 10_001, 10**12)] == [1, 1, 11, 10**9]
+
+
+def test_jdbc_quotes_names(spark):
+    src = JdbcSource(spark, {})
+    assert src.quoted("Order") == "[Order]" and src.quoted("a]b c'd") == "[a]]b c'd]"
+    assert JdbcSource(spark, {}, dialect="derby").quoted('x"y') == '"x""y"'
+    assert src._about("WHERE t = '{table}'", "dbo", "it's") == "WHERE t = 'it''s'"
+
+
+def test_jdbc_buckets_take_each_row_once(spark):
+    src = JdbcSource(spark, {})
+    predicates = src.bucket_predicates(["id", "Line No"], 3)
+    assert predicates == [
+        f"ABS(CAST(BINARY_CHECKSUM([id], [Line No]) AS BIGINT)) % 3 = {i}" for i in range(3)]
+    # The remainders 0 .. n-1 of a value that is never NULL or negative.
+    assert sorted(int(p.rsplit("= ", 1)[1]) for p in predicates) == [0, 1, 2]
 
 
 class TwoSchemaSource:

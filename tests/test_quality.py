@@ -9,6 +9,8 @@ from seed import CUSTOMERS, ORDERS, PRODUCTS, raw_seed
 
 from ledgerline.operators import quality
 from ledgerline.plans.models import model_graph
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.lakehouse import SnapshotStore
 from ledgerline.sources.schemas import REQUIRED_COLUMNS
 
 
@@ -19,7 +21,7 @@ def counts(df):
 def test_seed_passes_whole_suite(seed_models):
     m, raw = seed_models
     res = counts(quality.suite(m, raw))
-    assert len(res) == 22 + 7 + 6 + 3
+    assert len(res) == 3 + 22 + 7 + 6 + 3 + 5
     assert all(v == 0 for v in res.values()), {k: v for k, v in res.items() if v}
     quality.gate(quality.suite(m, raw))
 
@@ -49,6 +51,37 @@ def test_planted_failures(spark):
         quality.gate(quality.suite(m, raw))
 
 
+def test_lost_lines_are_counted(spark, seed_models):
+    m, raw = seed_models
+    lines = spark.createDataFrame([(1001,), (1002,), (5,), (5,), (None,)], "order_id bigint")
+    raw = {**raw, "order_lines": lines, "order_headers": raw["orders"].select("order_id")}
+    res = counts(quality.suite(m, raw, raw_keys=[("order_lines", "order_id")]))
+    assert res[("not_null", "order_lines", "order_id")] == 1
+    assert res[("orphan:order_headers", "order_lines", "order_id")] == 2
+
+
+def test_gate_raises_on_columns_counts_and_stores(spark, seed_models):
+    m, raw = seed_models
+    lost = {**raw, "orders": raw["orders"].drop("status")}
+    assert counts(quality.suite(m, lost))[("required_columns", "orders", "*")] == 1
+    few = quality.suite(m, raw, minimum={"orders_enriched": 20}, exact={"stg_products": 9})
+    res = counts(few)
+    assert res[("min_rows", "orders_enriched", "*")] == 2
+    assert res[("exact_rows", "stg_products", "*")] == 1
+
+    store = SnapshotStore(spark, fresh_dir(spark, "w"))
+    names = ("rpt_customer_summary", "rpt_revenue_by_category")
+    store.publish("rpt_customer_summary", m["rpt_customer_summary"].limit(6))
+    stored = quality.suite(m, raw, store=store, published=names)
+    res = counts(stored)
+    assert res[("table_exists", "rpt_revenue_by_category", "*")] == 1
+    assert res[("table_exists", "rpt_customer_summary", "*")] == 0
+    assert res[("store_rows", "rpt_customer_summary", "*")] == 2
+    for bad in (quality.suite(m, lost), few, stored):
+        with pytest.raises(quality.DataQualityError):
+            quality.gate(bad)
+
+
 def test_positive_null_handling(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (None,), (-2.0,)], "x double")
     assert counts(quality.positive(df, "t", "x", True))[("positive_not_null", "t", "x")] == 3

@@ -1,0 +1,72 @@
+"""Session settings, replaced targets, and large values through every query."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, SF_SMALL
+from pyspark.sql import functions as F
+
+from ledgerline.plans.queries import QUERIES
+from ledgerline.session import input_stamp
+from ledgerline.sinks.files import write_parquet
+
+CHILD = """
+from ledgerline.session import build_session
+s = build_session("local[1]")
+print("CONF", s.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"),
+      s.conf.get("spark.sql.ansi.enabled"), s.conf.get("spark.sql.session.timeZone"),
+      s.conf.get("spark.ui.enabled"))
+s.stop()
+"""
+
+
+def test_submitted_settings_win_but_for_those_the_results_need():
+    submit = ("--conf spark.sql.adaptive.advisoryPartitionSizeInBytes=64m "
+              "--conf spark.sql.ansi.enabled=false --conf spark.sql.session.timeZone=CET "
+              "pyspark-shell")
+    out = subprocess.run([sys.executable, "-c", CHILD], cwd=ROOT, capture_output=True, text=True,
+                         env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit}, timeout=120)
+    line = next(x for x in out.stdout.splitlines() if x.startswith("CONF"))
+    assert line.split()[1:] == ["64m", "true", "UTC", "false"]
+
+
+def test_a_partitioned_target_is_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_parquet(spark.range(4).withColumn("p", F.col("id") % 2), path, partition_by=["p"])
+        write_parquet(spark.range(1).withColumn("p", F.col("id") % 2), path, partition_by=["p"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_changed_input_is_noticed(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    before = input_stamp(spark, str(tmp_path))
+    assert before == input_stamp(spark, str(tmp_path))
+    spark.range(4).write.parquet(str(tmp_path / "b.parquet"))
+    assert input_stamp(spark, str(tmp_path)) != before
+
+
+def test_every_model_query_holds_a_thousand_times_the_quantities(spark, tmp_path):
+    """Sums far beyond decimal(12,2), keys beyond 2^31: nothing overflows."""
+    big = 10 ** 11
+    keys = {"lineitem": ("l_orderkey",), "orders": ("o_orderkey",)}
+    for t in ("lineitem", "orders", "customer", "part", "nation"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        for c in keys.get(t, ()):
+            df = df.withColumn(c, F.col(c) + big)
+        if t == "lineitem":
+            df = df.withColumn("l_quantity", F.col("l_quantity") * 1000.0)
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    skip = {"extract_report", "file_profile"}   # every file, whatever it holds
+    for name in sorted(set(QUERIES) - skip):
+        assert QUERIES[name](spark, str(tmp_path)).count() >= 0, name
+    top = QUERIES["rpt_revenue_by_category"](spark, str(tmp_path)).agg(
+        F.max("total_revenue")).first()[0]
+    assert top > 10 ** 8
