@@ -31,14 +31,14 @@ from ledgerline.llm.common import cut, documents, per_worker
 
 CAPACITY = 4096
 END_ID = 1
-WORDS_CACHED = 400_000   # a cache only
+WORDS_CACHED = 800_000   # a cache only: some 150 MB at most
 _RANK_BITS = 40
 
 PIECES = ("doc_id long, piece int, start long, length int, ids binary, "
           "part int, place long")
 
 
-class WordTokens(dict):
+class WordTokens:
     """Ids of words (bytes) as little-endian 32-bit bytes, kept for words seen
     before.
 
@@ -51,7 +51,7 @@ class WordTokens(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.known: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
                  if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
@@ -76,13 +76,15 @@ class WordTokens(dict):
 
     def ids(self, text: bytes | None) -> bytes:
         words = (text or b"").split()
-        fresh = set(words).difference(self)
-        if not fresh:
-            return b"".join(map(self.__getitem__, words))
-        new = self.encode(fresh)
-        if len(self) < WORDS_CACHED:
-            self.update((w, i) for w, i in new.items() if len(w) <= 64)
-        return b"".join([new[w] if w in new else self[w] for w in words])
+        known = self.known
+        fresh = set(words).difference(known)
+        full = len(known) >= WORDS_CACHED
+        known.update(self.encode(fresh))
+        ids = b"".join(map(known.__getitem__, words))
+        for word in fresh:
+            if full or len(word) > 64:   # not kept
+                del known[word]
+        return ids
 
 
 def _tokenize(path: str, capacity: int, end_id: int):
