@@ -30,7 +30,7 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50      # words in repeated 3-word windows
     max_symbols_per_100_words: int = 10
-    max_dup_lines_percent: int = 30   # of the lines that hold a word
+    max_dup_lines_percent: int = 50   # of the lines that hold a word
     min_mean_word: int = 2            # code points a word
     max_mean_word: int = 15
     host_reject_rate: float = 0.5     # shrunk failure rate of a host
@@ -183,7 +183,7 @@ WITH w AS (
   FROM w LEFT JOIN reach ON w.rid = reach.rid
 ), f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-         100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+         100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 50 * n_lines
          OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS other
   FROM m
 ), h AS (
