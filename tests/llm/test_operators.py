@@ -282,3 +282,30 @@ def test_toxicity_held_out(spark):
     got = toxicity.score(docs, toxicity.train(docs, known)).filter("held_out").collect()
     right = sum((r.score >= 0.7) == (r.doc_id % 8 == 0) for r in got)
     assert right / len(got) > 0.98
+
+
+def test_language_model_learns_rare_words(spark):
+    """12,000 words, far beyond FREQUENT, each always followed by the same one."""
+    from pyspark.sql import functions as F
+
+    texts = [" ".join(f"a{j} b{j}" for j in range(i % 200, 6000, 200)) for i in range(1600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = language_model.score_texts(docs, F.col("doc_id") % 7 == 0).filter("held_out").collect()
+    assert sum(r.score for r in got) > 0.5 * sum(r.base_score for r in got)
+
+
+def test_language_model_gains_on_held_out_texts(spark):
+    """Against the base, and against the class model without n-grams."""
+    got = QUERIES["op8_lm_score"](spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
+
+
+def test_ngram_probabilities_add_up_to_one():
+    """Over all words after a context: those seen after it and the others."""
+    rng = np.random.default_rng(3)
+    q = rng.dirichlet(np.ones(50))
+    n = rng.poisson(0.4, (language_model.KINDS, 50))
+    n[1] = 0   # a context that was not seen
+    total, distinct = (np.repeat(x.sum(axis=1)[:, None], 50, axis=1) for x in (n, n > 0))
+    p = language_model.interpolate(q, n, total, distinct, np.array([0.3, 0.5, 0.9]))
+    assert p.sum() == pytest.approx(1) and p.min() > 0
