@@ -20,10 +20,21 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import documents
 
-# Normalised licence sentences by identifier.
+# Normalised licence sentences by identifier, as sentences() cuts
+# them: at colons and semicolons, and before a line that begins with a capital
+# (so a notice whose usual wrapping does that is also there in its parts).
 SENTENCES: dict[str, str] = {
+    "agpl3-rest": "license or at your option any later version",
+    "agpl3-terms": "you can redistribute it and or modify it under the terms of the gnu affero "
+                   "general public license as published by the free software foundation either "
+                   "version 3 of the license or at your option any later version",
+    "agpl3-terms-cut": "you can redistribute it and or modify it under the terms of the gnu "
+                       "affero general public license as published by the free software "
+                       "foundation either version 3 of the",
+    "apache-header": "licensed under the apache license version 2 0 the license",
     "apache-notice": "licensed under the apache license version 2 0",
     "apache-use": "you may not use this file except in compliance with the license",
+    "boost-notice": "distributed under the boost software license version 1 0",
     "bsd-grant": "redistribution and use in source and binary forms with or without "
                  "modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice "
@@ -35,14 +46,48 @@ SENTENCES: dict[str, str] = {
                  "may be used to endorse or promote products derived from this software "
                  "without specific prior written permission",
     "cc-by-nc-notice": "licensed under cc by nc 4 0",
+    "cc-by-notice": "licensed under cc by 4 0",
+    "cc-by-sa-notice": "licensed under cc by sa 4 0",
+    "cc-by-long": "this work is licensed under a creative commons attribution 4 0 international "
+                  "license",
+    "cc-by-nc-long": "this work is licensed under a creative commons attribution noncommercial "
+                     "4 0 international license",
+    "cc-by-sa-long": "this work is licensed under a creative commons attribution sharealike 4 0 "
+                     "international license",
+    "epl2-notice": "this program and the accompanying materials are made available under the "
+                   "terms of the eclipse public license 2 0 which is available at https www "
+                   "eclipse org legal epl 2 0",
+    "free-library": "this library is free software",
+    "free-program": "this program is free software",
+    "fsf-published": "license as published by the free software foundation",
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general "
+                 "public license as published by the free software foundation",
+    "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general "
+                  "public license as published by the free software foundation either version 2 "
+                  "of the license or at your option any later version",
+    "gpl3-terms": "you can redistribute it and or modify it under the terms of the gnu general "
+                  "public license as published by the free software foundation either version 3 "
+                  "of the license or at your option any later version",
     "gpl3-notice": "this work is licensed under the gnu general public license version 3",
     "gpl3-program": "this program is free software you can redistribute it and or modify it "
                     "under the terms of the gnu general public license as published by the "
                     "free software foundation either version 3 of the license or at your "
                     "option any later version",
+    "isc-grant-and": "permission to use copy modify and distribute this software for any purpose "
+                     "with or without fee is hereby granted provided that the above copyright "
+                     "notice and this permission notice appear in all copies",
     "isc-grant": "permission to use copy modify and or distribute this software for any "
                  "purpose with or without fee is hereby granted provided that the above "
                  "copyright notice and this permission notice appear in all copies",
+    "lgpl-terms": "you can redistribute it and or modify it under the terms of the gnu lesser "
+                  "general public license as published by the free software foundation",
+    "lgpl-terms-cut": "you can redistribute it and or modify it under the terms of the gnu "
+                      "lesser general public",
+    "lgpl3-terms": "you can redistribute it and or modify it under the terms of the gnu lesser "
+                   "general public license as published by the free software foundation either "
+                   "version 3 of the license or at your option any later version",
+    "mit-licensed": "licensed under the mit license",
+    "mit-project": "this project is licensed under the mit license",
     "mit-notice": "released under the mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy "
                  "of this software and associated documentation files the software to deal "
@@ -52,22 +97,67 @@ SENTENCES: dict[str, str] = {
                  "furnished to do so subject to the following conditions",
     "mit-keep": "the above copyright notice and this permission notice shall be included in "
                 "all copies or substantial portions of the software",
+    "mpl2-copy": "if a copy of the mpl was not distributed with this file you can obtain one at "
+                 "http mozilla org mpl 2 0",
+    "mpl2-copy-s": "if a copy of the mpl was not distributed with this file you can obtain one "
+                   "at https mozilla org mpl 2 0",
+    "or-later-2": "either version 2 of the license or at your option any later version",
+    "or-later-2-1": "either version 2 1 of the license or at your option any later version",
+    "or-later-3": "either version 3 of the license or at your option any later version",
+    "rights-reserved": "all rights reserved",
+    "unlicense-notice": "this is free and unencumbered software released into the public domain",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including "
+                  "commercial applications and to alter it and redistribute it freely subject to "
+                  "the following restrictions",
 }
 # Licences and the runs of sentences that state them.
-RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+GRANTS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("AGPL-3.0-or-later", ("free-program", "agpl3-terms")),
+    ("AGPL-3.0-or-later", ("free-program", "agpl3-terms-cut", "agpl3-rest")),
+    ("Apache-2.0", ("apache-header",)),
+    ("Apache-2.0", ("apache-header", "apache-use")),
     ("Apache-2.0", ("apache-notice",)),
     ("Apache-2.0", ("apache-notice", "apache-use")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSL-1.0", ("boost-notice",)),
+    ("CC-BY-4.0", ("cc-by-long",)),
+    ("CC-BY-4.0", ("cc-by-notice",)),
+    ("CC-BY-NC-4.0", ("cc-by-nc-long",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-long",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-notice",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("GPL-2.0-or-later", ("free-program", "gpl-terms", "or-later-2")),
+    ("GPL-2.0-or-later", ("free-program", "gpl2-terms")),
     ("GPL-3.0", ("gpl3-notice",)),
+    ("GPL-3.0-or-later", ("free-program", "gpl-terms", "or-later-3")),
+    ("GPL-3.0-or-later", ("free-program", "gpl3-terms")),
     ("GPL-3.0-or-later", ("gpl3-program",)),
     ("ISC", ("isc-grant",)),
+    ("ISC", ("isc-grant-and",)),
+    ("LGPL-2.1-or-later", ("free-library", "lgpl-terms", "or-later-2-1")),
+    ("LGPL-2.1-or-later", ("free-library", "lgpl-terms-cut", "fsf-published", "or-later-2-1")),
+    ("LGPL-3.0-or-later", ("free-library", "lgpl-terms", "or-later-3")),
+    ("LGPL-3.0-or-later", ("free-library", "lgpl-terms-cut", "fsf-published", "or-later-3")),
+    ("LGPL-3.0-or-later", ("free-library", "lgpl3-terms")),
+    ("LGPL-3.0-or-later", ("free-program", "lgpl3-terms")),
+    ("MIT", ("mit-licensed",)),
+    ("MIT", ("mit-project",)),
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-grant", "mit-keep")),
+    ("MPL-2.0", ("mpl2-copy",)),
+    ("MPL-2.0", ("mpl2-copy-s",)),
+    ("Unlicense", ("unlicense-notice",)),
+    ("Zlib", ("zlib-grant",)),
 )
+# "All rights reserved" right before a grant belongs to it; alone it grants nothing.
+RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
+    *GRANTS, *((name, ("rights-reserved", *run)) for name, run in GRANTS),
+    ("All-Rights-Reserved", ("rights-reserved",)))
 #: Every known sentence holds one of these, so other texts need no cutting.
-ANCHORS = ("licensed", "license", "permission", "redistribution", "free software")
+ANCHORS = ("licensed", "license", "permission", "redistribution", "free software",
+           "redistribute", "mozilla", "rights reserved", "unencumbered")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COMMENT_MARK = r"(?m)^[ \t]*(?:#+|//+|\*+|--)[ \t]?"
