@@ -135,8 +135,9 @@ def _votes(kind: int, text: str, start: int, end: int, base: bool) -> tuple[int,
         bare = digits[-10:]
         check = -1 if len(set(bare)) <= 2 else 0
         gazetteer = -1 if bare[:1] in ("0", "1") else 1
-    return (1 if base else 0, check, gazetteer,
-            1 if before & set(CONTEXT[kind]) else 0, -1 if before & set(AGAINST) else 0)
+    context = before & set(CONTEXT[kind])
+    against = before & set(AGAINST) - ({"no"} if context else set())   # "phone no."
+    return (1 if base else 0, check, gazetteer, 1 if context else 0, -1 if against else 0)
 
 
 def _key(kind: int, text: str, start: int, end: int, base: bool) -> str:
@@ -231,9 +232,10 @@ def accepted_keys(counts: dict[str, int], threshold: float = 0.5) -> list[str]:
         shapes = np.array([[int(v) for v in p[2].split(",")] for p in parts], float)
         onehot = (votes[:, :, None] == np.array([-1, 0, 1])).reshape(len(keys), -1)
         p = span_classifier(np.hstack([onehot, shapes]), posterior, n)
-        # A candidate needs support of its own: votes for and none against.
+        # What fails its checksum or range is not of the kind, as for base spans;
+        # all other objections weigh as much as the classifier gives them.
         accepted += [k for k, v, q in zip(keys, votes, p, strict=True)
-                     if q >= threshold and v.sum() > 0 and v.min() >= 0]
+                     if q >= threshold and v[LABELERS.index("check")] >= 0]
     return accepted
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import brute
 import duckdb
@@ -181,6 +181,31 @@ def test_spans_found_by_supervision(spark):
     assert all(not got[i] for i in range(80, 100))
 
 
+def accepted(texts: list[str]) -> list[list[str]]:
+    """The texts' added spans that the classifier takes."""
+    found = [pii._find(t) for t in texts]
+    counts = Counter(s["key"] for spans in found for s in spans)
+    keys = set(pii.accepted_keys(dict(counts)))
+    return [[t[s["start"]:s["end"]] for s in spans if s["added"] and s["key"] in keys]
+            for t, spans in zip(texts, found, strict=True)]
+
+
+def test_an_unreliable_objection_is_no_veto():
+    """Phones beside 'order' and after 'Phone no.', where 'order' says little."""
+    known = [f"call +1 (946) 555-{i:04d} today" for i in range(60)]
+    known += [f"call about the order +1 (946) 555-{i:04d}" for i in range(60)]
+    national = [f"call about the order (946) 555-{i:04d} now" for i in range(20)]
+    national += [f"Phone no. (946) 555-{i:04d}" for i in range(20)]
+    got = accepted(known + national)
+    assert all(got[120 + i] == [f"(946) 555-{i % 20:04d}"] for i in range(40))
+
+
+def test_a_number_that_fails_its_checksum_is_no_card():
+    known = ["visa 4111 1111 1111 1111 now"] * 60
+    got = accepted(known + ["visa 4111.1111.1111.1111 now"] * 10 + ["visa 4111.1111.1111.1112"] * 10)
+    assert got[60:70] == [["4111.1111.1111.1111"]] * 10 and not any(got[70:])
+
+
 def test_label_model_trusts_agreement():
     votes = np.array([[1, 1, 0], [1, 1, 1], [-1, -1, 0], [0, -1, -1]])
     q = pii.label_model(votes, np.array([50.0, 30, 40, 20]))
