@@ -11,6 +11,7 @@ from ledgerline.llm import (
     packing,
     pii,
     quality,
+    token_files,
     toxicity,
     url_filter,
 )
@@ -19,6 +20,7 @@ QUERIES = {f.__name__: f for f in (
     packing.op1_best_fit_packing, url_filter.op2_url_filter, near_dedup.op3_near_duplicates,
     pii.op4_pii, mixing.op5_source_mixing, quality.op6_quality_rules, bm25.op7_bm25_top_k,
     language_model.op8_lm_score, licenses.op9_license_scan, toxicity.op10_toxicity,
+    token_files.op11_token_files,
 )}
 
 ORACLE = {
