@@ -300,7 +300,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a table of token files: doc_id, start, n_tokens and the
     crc32 of its ids (little-endian 32-bit), from the files."""
     files = manifest(spark, path).select("file", "first")
-    spread = files.repartition(F.col("file"))
+    # A task a file: rows this small would all be coalesced into one otherwise.
+    spread = files.repartition(max(1, files.count()))
     return spread.mapInArrow(_read_files, DOCUMENTS)
 
 

@@ -108,3 +108,84 @@ def pieces(rows: list[tuple], tokenizer, capacity: int = 4096) -> list[tuple]:
                  zlib.crc32(ids[at:at + capacity].tobytes()))
                 for p, at in enumerate(range(0, len(ids), capacity))]
     return out
+
+
+def token_files(rows: list[tuple], tokenizer, end_id: int = 2) -> list[tuple]:
+    """(doc_id, n_tokens, crc32 of the ids) of (doc_id, text) rows."""
+    out = []
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, end_id]
+        out.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    return out
+
+
+def whitening(rows: list[tuple], components: int = 16) -> tuple[dict, np.ndarray]:
+    """{vec_id: [(deviation, whitened by component)]} of (vec_id, x) rows by a plain
+    eigensolver, and the eigenvalues' shares."""
+    fit = np.array(sorted({tuple(x) for _, x in rows}), np.int64)
+    n, total = len(fit), fit.sum(axis=0)
+    centred = (n * fit - total) / n
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    values, directions = values[::-1], directions[:, ::-1]
+    out: dict = {}
+    for vec_id, x in rows:
+        d = n * np.array(x, np.int64) - total
+        w = (d / n) @ directions[:, :components] / np.sqrt(values[:components])
+        out.setdefault(vec_id, []).append((int((d * d).sum()), w))
+    return out, values[:components] / values.sum()
+
+
+def alignment(rows: list[tuple], path_a: str, path_b: str) -> list[tuple]:
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(path_a)
+    coder.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+    def bytes_a(i: int) -> bytes:
+        return bytes(byte[c] for c in coder.id_to_token(i))
+
+    def bytes_b(i: int) -> bytes:
+        piece = model.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else \
+            piece.replace("\u2581", " ").encode()
+
+    def spans(pieces: list[bytes]) -> list[tuple[int, int]]:
+        ends = np.cumsum([len(p) for p in pieces]).tolist()
+        return list(zip([0, *ends], ends, strict=False))
+
+    found = []
+    for doc_id, text in rows:
+        whole = (" " + (text or "")).encode()
+        a = coder.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = model.encode(text) if text else []
+        if any(b"".join(map(f, x)) != whole for f, x in ((bytes_a, a), (bytes_b, b))):
+            a, b = [], []
+        at_a, at_b = spans([bytes_a(i) for i in a]), spans([bytes_b(i) for i in b])
+        groups, begin = [], 0
+        for end in sorted({e for _, e in at_a} & {e for _, e in at_b}):
+            groups.append("|".join(",".join(str(i) for i, (s, e) in zip(ids, at, strict=True)
+                                            if begin <= s and e <= end)
+                                   for ids, at in ((a, at_a), (b, at_b))))
+            begin = end
+        links, j = [], 0
+        for i, (s, e) in zip(a, at_a, strict=True):
+            while j and at_b[j - 1][1] > s:
+                j -= 1
+            while j < len(b) and at_b[j][0] < e:
+                if at_b[j][1] > s:
+                    links.append((i, b[j]))
+                j += 1
+        sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""
+        found.append((doc_id, len(a), len(b), len(groups), links, sha))
+    counts = Counter(p for *_, links, _ in found for p in links)
+    best: dict = {}
+    for (_, b), n in counts.items():
+        best[b] = max(best.get(b, 0), n)
+    return [(d, n_a, n_b, g, len(links), sum(counts[p] == best[p[1]] for p in links),
+             sum(counts[p] for p in links), sha) for d, n_a, n_b, g, links, sha in found]

@@ -67,6 +67,17 @@ def _write(folder, rows: list[tuple]) -> str:
         "quality": pa.array([x[1] for x in labels], pa.int32()),
         "toxic": pa.array([x[2] for x in labels], pa.int32()),
         "score": pa.array([0.5] * len(labels), pa.float64())}), folder / "labels.parquet")
+    rng, inf = random.Random(12), float("inf")
+    vectors = [[rng.gauss(0, 1) * (1 + i % 3) for i in range(6)] for _ in range(60)]
+    vectors += [None, [], [1.0], [0.0] * 5 + [None], [float("nan")] + [0.0] * 5, [inf] * 6,
+                [-inf] + [1.0] * 5, [1e300] * 6, vectors[3], vectors[3], [-0.0] * 6, [0.0] * 6]
+    vectors *= some
+    pq.write_table(pa.table({
+        "vec_id": pa.array([None if i == 7 else i // 2 * 3 for i in range(len(vectors))],
+                           pa.int64()),
+        "embedding": pa.array(vectors, pa.list_(pa.float64())),
+        "x": pa.array(["clash"] * len(vectors)), "n": pa.array([1] * len(vectors), pa.int64()),
+    }), folder / "embeddings.parquet")
     urls = [None, "", "no-scheme/en/", "http://com/", "https://COM/x", "http://com", "x://a.com/",
             "https://www.Example.com/en/1?q=/fr/", "https://m.example.com/en/", "ftp://example.com/EN/",
             "https://exämple.com/en/", "http://badexample.com/en/", "https://a.b.net/es/x#y",
