@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import (
@@ -18,23 +18,32 @@ from ledgerline.functions import (
     period_label,
     share_pct,
 )
+from ledgerline.operators import keysets
 
 TOTAL_TYPE = "decimal(28,2)"
 
 
+def _distinct(df: DataFrame, key: str) -> Column:
+    """The exact number of distinct values of ``key`` as a scalar subquery."""
+    if keysets.holds_integers(df, key):
+        return keysets.size(keysets.key_set(df, key), "n").scalar()
+    return df.agg(F.countDistinct(key)).scalar()
+
+
 def source_profile(orders: DataFrame) -> DataFrame:
     """One-row profile of the orders table.
 
-    Two exact distinct counts in one global aggregate: Catalyst expands the
-    rows per distinct column and aggregates partially before any shuffle.
+    One aggregate for each key column, reading that column alone: two distinct
+    counts in one aggregate would make Spark write every row twice.  Integer
+    keys are counted as a set of bits.
     """
     return orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("product_id").alias("unique_products"),
         F.min("order_date").alias("earliest_order"),
         F.max("order_date").alias("latest_order"),
-    )
+    ).select("total_orders", _distinct(orders, "customer_id").alias("unique_customers"),
+             _distinct(orders, "product_id").alias("unique_products"),
+             "earliest_order", "latest_order")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -51,29 +60,56 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def monthly_trend(rpt_revenue_by_country: DataFrame, total_type: str = TOTAL_TYPE) -> DataFrame:
-    """A15 + P10: orders and revenue per month with a ``YYYY-MM`` period.
+ORDER_GROUPS = ("country", "order_year", "order_month")
 
-    Summing distinct-order counts across countries is exact because an order
-    has one customer and so one country.
+
+def order_keys(enriched: DataFrame) -> DataFrame:
+    """A5: the set of orders in each country, year and month.
+
+    Counts over any coarser grouping follow from it by merging sets, exactly:
+    an order that stands in two countries is one order of its month.
     """
-    return (
-        rpt_revenue_by_country.groupBy("year", "month")
-        .agg(
-            F.sum("num_orders").cast("bigint").alias("total_orders"),
-            F.sum("total_revenue").cast(total_type).alias("total_revenue"),
-        )
-        .select("year", "month", period_label("year", "month").alias("period"),
-                "total_orders", "total_revenue")
-    )
+    return keysets.key_set(enriched, "order_id", *ORDER_GROUPS)
 
 
-def country_totals(rpt_revenue_by_country: DataFrame, total_type: str = TOTAL_TYPE) -> DataFrame:
-    """Revenue and orders per country over all months."""
-    return rpt_revenue_by_country.groupBy("country").agg(
-        F.sum("total_revenue").cast(total_type).alias("total_revenue"),
+def _with_orders(totals: DataFrame, keys: DataFrame, groups: Mapping[str, str]) -> DataFrame:
+    """``totals`` with the size of each group's merged set as ``total_orders``."""
+    named = keys.select(*(F.col(k).alias(f"_{name}") for name, k in groups.items()),
+                        keysets.WORD, keysets.BITS)
+    columns = [f"_{name}" for name in groups]
+    counts = keysets.size(keysets.merged(named, *columns), "total_orders", *columns)
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in groups]
+    return totals.join(counts, same, "left").drop(*columns).withColumn(
+        "total_orders", F.coalesce("total_orders", F.lit(0).cast("bigint")))
+
+
+def monthly_trend(rpt_revenue_by_country: DataFrame, keys: DataFrame | None = None,
+                  total_type: str = TOTAL_TYPE) -> DataFrame:
+    """A15 + P10: orders and revenue per month with a ``YYYY-MM`` period.
+
+    ``keys``: from :func:`order_keys`; the orders of a month are the merged set
+    of its countries.  Without it the countries' counts are added, which is
+    exact only as long as an order has one country.
+    """
+    totals = rpt_revenue_by_country.groupBy("year", "month").agg(
         F.sum("num_orders").cast("bigint").alias("total_orders"),
-    )
+        F.sum("total_revenue").cast(total_type).alias("total_revenue"))
+    if keys is not None:
+        totals = _with_orders(totals.drop("total_orders"), keys,
+                              {"year": "order_year", "month": "order_month"})
+    return totals.select("year", "month", period_label("year", "month").alias("period"),
+                         "total_orders", "total_revenue")
+
+
+def country_totals(rpt_revenue_by_country: DataFrame, keys: DataFrame | None = None,
+                   total_type: str = TOTAL_TYPE) -> DataFrame:
+    """Revenue and orders per country over all months (``keys`` as above)."""
+    totals = rpt_revenue_by_country.groupBy("country").agg(
+        F.sum("total_revenue").cast(total_type).alias("total_revenue"),
+        F.sum("num_orders").cast("bigint").alias("total_orders"))
+    if keys is not None:
+        totals = _with_orders(totals.drop("total_orders"), keys, {"country": "country"})
+    return totals.select("country", "total_revenue", "total_orders")
 
 
 def top_customers(rpt_customer_summary: DataFrame, n: int = 10) -> DataFrame:

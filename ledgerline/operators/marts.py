@@ -6,12 +6,15 @@ them).  Join strategy is left to the optimizer: AQE broadcasts a dimension
 when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
 otherwise keeps a sort-merge join, splitting skewed fact partitions
 (``spark.sql.adaptive.skewJoin.enabled``) so one hot customer or product
-does not land in a single task.
+does not land in a single task.  Where adaptive execution is off, hot keys are
+found by a bounded sketch and joined apart (``split_join``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import CONTRACT, Widths, day_diff
@@ -38,11 +41,56 @@ ENRICHED_COLUMNS = (
 )
 
 
+#: A key is hot if it holds more rows than an even share of a shuffle partition.
+HOT_TRACKED = 4096     # keys that the sketch keeps count of
+HOT_KEYS = 256         # keys that can be joined apart
+HOT_ROWS = 100_000     # dimension rows of hot keys that every task may be sent
+
+
+def hot_keys(fact: DataFrame, key: str, parts: int | None = None) -> list:
+    """Keys on so many rows that one shuffle partition would hold too much.
+
+    One pass with a bounded sketch of frequent items, merged over the tasks:
+    a key on more than about 2 in :data:`HOT_TRACKED` rows is always in it.  ``parts``:
+    the number of shuffle partitions.
+    """
+    parts = parts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = fact.where(F.col(key).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(HOT_TRACKED))
+        .alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [r["item"] for r in found["top"] or () if r["count"] * parts > found["n"]]
+
+
+def split_join(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence) -> DataFrame:
+    """Inner join on ``key``, with the rows of ``hot`` keys joined apart.
+
+    Their few dimension rows go to every task, so these rows are not shuffled;
+    all others meet in an ordinary join.  Which keys are called hot has no
+    influence on the result.  Where a hot key stands on very many dimension
+    rows (it should stand on one) everything is joined the ordinary way.
+    """
+    if not hot:
+        return fact.join(dim, key, "inner")
+    few = dim.where(F.col(key).isin(list(hot)))
+    if few.limit(HOT_ROWS + 1).count() > HOT_ROWS:
+        return fact.join(dim, key, "inner")
+    is_hot = F.col(key).isin(list(hot))
+    return fact.where(is_hot).join(F.broadcast(few), key, "inner").unionByName(
+        fact.where(~is_hot).join(dim, key, "inner"))
+
+
+def adapts(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits skewed joins in this session."""
+    on = lambda name: spark.conf.get(name, "true").lower() == "true"
+    return on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")
+
+
 def orders_enriched(
     stg_orders: DataFrame,
     stg_customers: DataFrame,
     stg_products: DataFrame,
     widths: Widths = CONTRACT,
+    split_hot: bool | None = None,
 ) -> DataFrame:
     """Orders joined to customers (J1) and products (J2) plus metrics.
 
@@ -50,6 +98,9 @@ def orders_enriched(
     * ``days_since_signup = order_date - signup_date`` in days (P5)
     * ``order_month``, ``order_year`` of the order date (P6)
 
+    ``split_hot``: find the hot keys first and join them apart; by default where
+    adaptive execution would not split a skewed join.
+
     No final sort: a table has no order, and sorting the fact would cost a
     full range shuffle of the largest dataset.  Sort at display time.
     """
@@ -58,7 +109,12 @@ def orders_enriched(
     c = stg_customers.select("customer_id", "customer_name", "email", "country",
                              "signup_date")
     p = stg_products.select("product_id", "product_name", "category", "unit_price")
-    joined = o.join(c, "customer_id", "inner").join(p, "product_id", "inner")
+    if split_hot is None:
+        split_hot = not adapts(stg_orders.sparkSession)
+    hot = {key: hot_keys(o.select(key), key) if split_hot else []
+           for key in ("customer_id", "product_id")}
+    joined = split_join(split_join(o, c, "customer_id", hot["customer_id"]),
+                        p, "product_id", hot["product_id"])
     derived = {
         "line_total": (F.col("quantity") * F.col("unit_price")).cast(widths.line_total),
         "days_since_signup": day_diff("signup_date", "order_date"),

@@ -5,7 +5,8 @@ Each check returns a small DataFrame with the columns
 ``unionByName`` and :func:`gate` raises when any count is above zero.
 
 All checks are distributed aggregates: a whole table's NULL counts come from
-one pass, uniqueness and orphan checks aggregate per key before they shuffle,
+one pass, or were taken while the table was written; uniqueness checks
+aggregate per key before they shuffle, orphans are looked up in a set of bits,
 and only the per-check counts (one row per declared check) reach the driver.
 """
 
@@ -16,6 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators import keysets
 from ledgerline.sources.schemas import REQUIRED_COLUMNS
 
 CHECK_COLUMNS = ("check_name", "table_name", "column_name", "failing_rows")
@@ -94,12 +96,6 @@ def _rows(check: str, table: str, counts: DataFrame, columns: Sequence[str]) ->
     return counts.select(F.inline(rows))
 
 
-def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q1/Q3: NULL count of every listed column, in one pass over ``df``."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _rows("not_null", table, counts, columns)
-
-
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """Q2: number of non-NULL values that occur more than once.
 
@@ -116,28 +112,22 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
     return _rows("unique", table, dups, [column])
 
 
-def positive(df: DataFrame, table: str, column: str, null_fails: bool = True) -> DataFrame:
-    """Q4 (``<= 0 OR IS NULL``) or Q5 (``<= 0``, NULL ignored)."""
-    c = F.col(column)
-    bad = (c <= 0) | c.isNull() if null_fails else c <= 0
-    counts = df.agg(F.count_if(bad).alias(column))
-    return _rows("positive_not_null" if null_fails else "positive", table, counts, [column])
-
-
 def orphans(fact: DataFrame, dim: DataFrame, key: str, fact_table: str, dim_table: str) -> DataFrame:
     """Fact rows whose non-NULL ``key`` is missing from ``dim``.
 
-    The fact is first reduced to one row per key with its row count (partial
-    aggregation, skew-proof), so the anti join shuffles distinct keys rather
-    than fact rows.
+    Integer keys are looked up in the dimension's key set, a bit for each key:
+    the fact is not shuffled where the set is small, and only by bits where it
+    is not (``keysets.missing``).  Other keys are reduced to one row per key
+    with its row count, and the anti join moves those.
     """
-    per_key = (
-        fact.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    missing = per_key.join(dim.select(key), key, "left_anti")
-    counts = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(key))
+    if keysets.holds_integers(fact, key) and keysets.holds_integers(dim, key):
+        lost = keysets.missing(fact.select(key), key, keysets.key_set(dim, key))
+        counts = lost.agg(F.count(F.lit(1)).alias(key))
+    else:
+        per_key = (fact.where(F.col(key).isNotNull()).groupBy(key)
+                   .agg(F.count(F.lit(1)).alias("n")))
+        lost = per_key.join(dim.select(key), key, "left_anti")
+        counts = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(key))
     return _rows(f"orphan:{dim_table}", fact_table, counts, [key])
 
 
@@ -163,34 +153,72 @@ def _source(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None
     return raw[table] if raw is not None and table in raw else models[table]
 
 
-def column_checks(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None,
-                  nulls: Keys, positives: Sequence[tuple[str, str, bool]]) -> DataFrame:
-    """NULL and positive-value counts of every table, one pass over each."""
-    tables: dict[str, list[tuple[str, str, Column]]] = {}
+def _checks_of(nulls: Keys, positives: Sequence[tuple[str, str, bool]]
+               ) -> dict[str, dict[tuple[str, str], Column]]:
+    """For each table: (check, column) -> the condition of a failing row."""
+    tables: dict[str, dict[tuple[str, str], Column]] = {}
     for t, c in nulls:
-        tables.setdefault(t, []).append(("not_null", c, F.col(c).isNull()))
+        tables.setdefault(t, {})["not_null", c] = F.col(c).isNull()
     for t, c, null_fails in positives:
         bad = (F.col(c) <= 0) | F.col(c).isNull() if null_fails else F.col(c) <= 0
-        tables.setdefault(t, []).append(
-            ("positive_not_null" if null_fails else "positive", c, bad))
+        tables.setdefault(t, {})["positive_not_null" if null_fails else "positive", c] = bad
+    return tables
+
+
+def metrics_of(table: str) -> dict[str, Column]:
+    """The declared NULL and positive-value counts of ``table`` as aggregates by
+    ``check:column``, to be taken while the table is written."""
+    checks = _checks_of(NOT_NULL_DECLARED, POSITIVE_DECLARED).get(table, {})
+    return {f"{check}:{column}": F.count_if(bad) for (check, column), bad in checks.items()}
+
+
+#: Counts taken while tables were written, see :func:`observed_checks`.
+OBSERVED = "table_name string, check_name string, column_name string, failing_rows bigint"
+
+
+def observed_checks(spark: SparkSession, taken: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """``{table: {"rows": n, "check:column": failing rows}}`` as check rows; the
+    number of rows is the check ``rows`` of column ``*``."""
+    rows = [(t, *(("rows", "*") if k == "rows" else k.split(":", 1)), n)
+            for t, counts in taken.items() for k, n in counts.items()]
+    return spark.createDataFrame(rows, OBSERVED)
+
+
+def column_checks(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None,
+                  nulls: Keys, positives: Sequence[tuple[str, str, bool]],
+                  observed: DataFrame | None = None) -> DataFrame:
+    """NULL and positive-value counts of every table, one pass over each.
+
+    Tables of which ``observed`` holds all the asked counts are not read again.
+    """
+    taken = {(r["table_name"], r["check_name"], r["column_name"])
+             for r in observed.collect()} if observed is not None else set()
     frames = []
-    for t, checks in tables.items():
+    for t, checks in _checks_of(nulls, positives).items():
+        asked = {(t, *key) for key in checks}
+        if asked <= taken:
+            names = [f"{check}:{column}" for check, column in checks]
+            frames.append(observed.where(
+                (F.col("table_name") == t)
+                & F.concat_ws(":", "check_name", "column_name").isin(names))
+                .select(*CHECK_COLUMNS))
+            continue
         counts = _source(models, raw, t).agg(*(
-            F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(checks)))
+            F.count_if(bad).alias(f"n{i}") for i, bad in enumerate(checks.values())))
         frames.append(counts.select(F.inline(F.array(*(
             F.struct(F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
                      F.lit(c).alias("column_name"),
                      F.col(f"n{i}").cast("bigint").alias("failing_rows"))
-            for i, (check, c, _) in enumerate(checks))))))
+            for i, (check, c) in enumerate(checks))))))
     return union_all(frames)
 
 
 def declared_not_null(models: Mapping[str, DataFrame],
                       raw: Mapping[str, DataFrame] | None = None,
-                      raw_keys: Keys = RAW_KEYS) -> DataFrame:
+                      raw_keys: Keys = RAW_KEYS, observed: DataFrame | None = None) -> DataFrame:
     """The 19 declared ``not_null`` tests (+ raw keys), one pass per table."""
     keys = [*(raw_keys if raw is not None else ()), *NOT_NULL_DECLARED]
-    return column_checks(models, raw, keys, ())
+    return column_checks(models, raw, keys, (), observed)
 
 
 def declared_unique(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None,
@@ -199,9 +227,10 @@ def declared_unique(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame
     return union_all(unique(_source(models, raw, t), t, c) for t, c in keys)
 
 
-def declared_positive(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]) -> DataFrame:
+def declared_positive(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
+                      observed: DataFrame | None = None) -> DataFrame:
     """Positive-value tests on prices, line totals, spend and revenue."""
-    return column_checks(models, raw, (), POSITIVE_DECLARED)
+    return column_checks(models, raw, (), POSITIVE_DECLARED, observed)
 
 
 def referential(models: Mapping[str, DataFrame],
@@ -223,24 +252,30 @@ def referential(models: Mapping[str, DataFrame],
     ])
 
 
+def counted_rows(table: str, df: DataFrame, observed: DataFrame | None) -> DataFrame:
+    """``row_count`` of one table: as counted while it was written, else now."""
+    if observed is not None:
+        found = observed.where((F.col("table_name") == table) & (F.col("check_name") == "rows"))
+        if found.take(1):
+            return found.select(F.col("failing_rows").alias("row_count"))
+    return df.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def row_counts(models: Mapping[str, DataFrame], min_rows: Mapping[str, int] = MIN_ROWS,
-               exact: Mapping[str, int] | None = None) -> DataFrame:
+               exact: Mapping[str, int] | None = None,
+               observed: DataFrame | None = None) -> DataFrame:
     """Q7/Q8: row count per table against a minimum (and optional exact) count."""
     exact = exact or {}
     parts = []
     names = list(min_rows) + [t for t in exact if t not in min_rows]
     for name in names:
-        n = F.count(F.lit(1))
-        lo = int(min_rows.get(name, 0))
+        n, lo = F.col("row_count"), int(min_rows.get(name, 0))
         ok = n >= F.lit(lo)
         if name in exact:
             ok = ok & (n == F.lit(int(exact[name])))
-        parts.append(models[name].agg(
-            F.lit(name).alias("table_name"),
-            n.alias("row_count"),
-            F.lit(lo).cast("bigint").alias("min_rows"),
-            ok.alias("passed"),
-        ))
+        parts.append(counted_rows(name, models[name], observed).select(
+            F.lit(name).alias("table_name"), n,
+            F.lit(lo).cast("bigint").alias("min_rows"), ok.alias("passed")))
     return union_all(parts)
 
 
@@ -283,12 +318,12 @@ def column_contract(spark: SparkSession, tables: Mapping[str, DataFrame],
 
 
 def count_contract(tables: Mapping[str, DataFrame], minimum: Mapping[str, int],
-                   exact: Mapping[str, int]) -> DataFrame:
+                   exact: Mapping[str, int], observed: DataFrame | None = None) -> DataFrame:
     """Q7/Q8 as check rows: rows short of the minimum, or off the exact count."""
-    n = F.count(F.lit(1))
+    n = F.col("row_count")
     wanted = [*(("min_rows", t, F.greatest(F.lit(0), F.lit(k) - n)) for t, k in minimum.items()),
               *(("exact_rows", t, F.abs(F.lit(k) - n)) for t, k in exact.items())]
-    return union_all(tables[t].agg(
+    return union_all(counted_rows(t, tables[t], observed).select(
         F.lit(check).alias("check_name"), F.lit(t).alias("table_name"),
         F.lit("*").alias("column_name"), off.cast("bigint").alias("failing_rows"))
         for check, t, off in wanted)
@@ -314,11 +349,13 @@ def suite(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
           raw_keys: Keys = RAW_KEYS, unique_keys: Keys = UNIQUE_DECLARED,
           required: Mapping[str, Sequence[str]] | None = None,
           minimum: Mapping[str, int] = MIN_ROWS, exact: Mapping[str, int] | None = None,
-          store=None, published: Sequence[str] = ()) -> DataFrame:
+          store=None, published: Sequence[str] = (),
+          observed: DataFrame | None = None) -> DataFrame:
     """Every check above as one DataFrame (check, table, column, failing_rows).
 
     Lost columns come first and alone: the other checks could not be planned
     without them.  ``store``: also compare ``published`` tables with it.
+    ``observed``: counts taken when the tables were written, in place of a pass.
     """
     spark = next(iter(raw.values())).sparkSession
     columns = column_contract(spark, raw, REQUIRED_COLUMNS if required is None else required)
@@ -326,10 +363,10 @@ def suite(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
         return columns
     parts = [
         columns,
-        column_checks(models, raw, [*raw_keys, *NOT_NULL_DECLARED], POSITIVE_DECLARED),
+        column_checks(models, raw, [*raw_keys, *NOT_NULL_DECLARED], POSITIVE_DECLARED, observed),
         declared_unique(models, raw, unique_keys),
         referential(models, raw),
-        count_contract(models, minimum, exact or {}),
+        count_contract(models, minimum, exact or {}, observed),
     ]
     if store is not None:
         parts.append(store_contract(models, store, published))

@@ -66,6 +66,17 @@ def rpt_revenue_by_country(enriched: DataFrame, widths: Widths = CONTRACT) -> Da
     )
 
 
+def for_months(enriched: DataFrame, months: DataFrame) -> DataFrame:
+    """The mart's rows of the months in ``months`` (order_year, order_month).
+
+    Where the mart lies in folders by year, Spark first looks at ``months`` and
+    then reads the folders of their years alone (dynamic partition pruning).
+    A month stands in ``months`` once, at most a few thousand rows.
+    """
+    chosen = F.broadcast(months.select("order_year", "order_month").distinct())
+    return enriched.join(chosen, ["order_year", "order_month"], "left_semi")
+
+
 def rpt_revenue_by_category(enriched: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
     """A2: revenue per product category, with two distinct counts.
 

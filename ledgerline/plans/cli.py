@@ -62,13 +62,17 @@ def main(argv: list[str] | None = None) -> int:
                    help="type of line totals (default decimal(10,2))")
     p.add_argument("--average-digits", type=int, default=10,
                    help="digits of the averages (default 10)")
+    p.add_argument("--database", default="default",
+                   help="database of the built tables (default: default)")
+    p.add_argument("--buckets", type=int,
+                   help="buckets of the mart (default: as many as shuffle partitions)")
     p.add_argument("--max-connections", type=int,
                    help="JDBC connections at a time (default: as many as tasks run)")
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
     from ledgerline.session import build_session, input_bytes, shared_dir, size_shuffle_partitions
-    from ledgerline.sinks.lakehouse import SnapshotStore
+    from ledgerline.sinks.lakehouse import PublishedTables
 
     widths = Widths(args.id_type, args.units_type, args.line_total_type, args.revenue_type,
                     args.average_digits)
@@ -79,30 +83,34 @@ def main(argv: list[str] | None = None) -> int:
     models_dir = os.path.join(root, "models")
     warehouse = os.path.join(root, "warehouse")
     try:
-        if args.step in ("extract", "all"):
+        if args.step == "all":
+            done = jobs.run_all(spark, _source(spark, args), root, _raw, widths=widths,
+                                tables=args.tables, parallel_tables=args.parallel_tables,
+                                buckets=args.buckets, database=args.database)
+            for report in ("extract_report", "data_tests", "publish_report", "store_counts"):
+                done[report].show(100, truncate=False)
+            return 0
+        if args.step == "extract":
             report = jobs.extract(spark, _source(spark, args), parquet_dir, args.tables,
                                   args.parallel_tables)
             report.show(truncate=False)
             jobs.raise_on_extract_failure(report)
-        if args.step in ("build", "test", "publish", "all"):
-            size_shuffle_partitions(spark, input_bytes(spark, raw_dir))
-        if args.step in ("build", "all"):
-            jobs.build_models(spark, _raw(spark, raw_dir, raw_fmt), models_dir,
+            return 0
+        size_shuffle_partitions(spark, input_bytes(spark, raw_dir))
+        raw = _raw(spark, raw_dir, raw_fmt)
+        if args.step == "build":
+            jobs.build_models(spark, raw, models_dir,
                               os.path.join(root, "output", "orders_enriched.parquet"),
-                              widths)
-        if args.step in ("test", "all"):
-            from ledgerline.operators.staging import stage_all
-
-            raw = _raw(spark, raw_dir, raw_fmt)
-            models = {**stage_all(raw, widths),
-                      **{t: spark.read.parquet(os.path.join(models_dir, t))
-                         for t in jobs.PUBLISHED_TABLES}}
+                              widths, database=args.database, buckets=args.buckets)
+            return 0
+        models = jobs.attach_models(spark, raw, models_dir, widths, args.database)
+        if args.step == "test":
             jobs.run_data_tests(models, raw).show(100, truncate=False)
-        if args.step in ("publish", "all"):
-            tables = args.tables if args.step == "publish" and args.tables else jobs.PUBLISHED_TABLES
-            models = {t: spark.read.parquet(os.path.join(models_dir, t)) for t in tables}
+        else:
+            tables = args.tables or jobs.PUBLISHED_TABLES
             jobs.publish(spark, models, warehouse, tables).show(truncate=False)
-            SnapshotStore(spark, warehouse).tables().show(truncate=False)
+            jobs.store_gate(spark, models, warehouse, tables).show(truncate=False)
+            PublishedTables(spark, warehouse).tables().show(truncate=False)
     except (jobs.ExtractionFailed, DataQualityError, RuntimeError) as exc:
         print(f"error: {exc}", file=sys.stderr)
         return 1

@@ -9,10 +9,10 @@ E5     ``analytics``: the notebook datasets from the published tables
 E6     ``run_all``: E1 -> E2 -> E3 -> E4, then Q11 (built vs published counts)
 =====  =========================================================================
 
-Each job is a function over DataFrames; tables are written to paths under
-the cluster's shared folder, which also cuts lineage between stages: the
-mart is written once and the reports re-read it, so a lost executor costs
-at most the stage it was in.
+Each job is a function over DataFrames; tables are written under the cluster's
+shared folder and known by name in the session catalogue, which also cuts
+lineage between stages: the mart is written once and the reports re-read it,
+so a lost executor costs at most the stage it was in.
 """
 
 from __future__ import annotations
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import CONTRACT, Widths
 from ledgerline.operators import analytics, marts, quality, reports, staging
-from ledgerline.session import run_concurrently
+from ledgerline.session import input_bytes, run_concurrently, size_shuffle_partitions
+from ledgerline.sinks.catalogue import PLAIN, Catalogue, Layout
 from ledgerline.sinks.files import remove_path, replace_path, write_parquet
-from ledgerline.sinks.lakehouse import SnapshotStore, raise_on_failure
-from ledgerline.sources.jdbc import conform, resolve_tables
+from ledgerline.sinks.lakehouse import PublishedTables, raise_on_failure
+from ledgerline.sources.jdbc import conform, resolve_tables, unconvertible
 
 # The published tables.
 PUBLISHED_TABLES = (
@@ -72,7 +73,8 @@ def extract(spark: SparkSession, source: TableSource, out_dir: str,
     ``parallel_tables`` > 1 submits that many at once, which keeps a cluster
     busy when a source has many small tables.  A failing table is reported
     with row count -1 and the rest still run.  A value that cannot be cast
-    to its column's type fails its table rather than being silently nulled.
+    to its column's type fails its table rather than being silently nulled;
+    the report says in which columns, and how many values.
     """
     available = source.list_tables()
     chosen = list(dict.fromkeys(
@@ -86,15 +88,19 @@ def extract(spark: SparkSession, source: TableSource, out_dir: str,
         try:
             df = source.read(schema, table)
             types = getattr(source, "column_types", lambda s, t: {})(schema, table)
-            cast_df, lost = conform(df, types)
+            counted = unconvertible(df, types)
             obs = Observation(f"extract_{uuid.uuid4().hex}")
-            observed = cast_df.observe(obs, F.coalesce(lost, F.lit(0)).alias("lost"))
+            observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                  *(c.alias(f"lost:{k}") for k, c in counted.items()))
             # Written aside: the last good file stays until this one is whole.
             aside = os.path.join(out_dir, "_incoming", uuid.uuid4().hex)
-            n = write_parquet(observed.drop("_lost"), aside)
-            if obs.get.get("lost", 0):
+            n = write_parquet(conform(observed, types)[0].drop("_lost"), aside)
+            lost = {k: obs.get.get(f"lost:{k}", 0) for k in counted}
+            if any(lost.values()):
                 remove_path(spark, aside)
-                raise ValueError(f"{obs.get['lost']} value(s) do not fit their column type")
+                where = ", ".join(f"{k} ({types[k]}): {v}" for k, v in lost.items() if v)
+                raise ValueError(f"{sum(lost.values())} value(s) do not fit their column type: "
+                                 + where)
             replace_path(spark, aside, _target(out_dir, schema, table, clashes))
             return (schema, table, n, time.perf_counter() - t0, "ok")
         except Exception as exc:  # noqa: BLE001 - reported per table
@@ -113,44 +119,100 @@ def raise_on_extract_failure(report: DataFrame) -> None:
         raise ExtractionFailed("failed tables: " + ", ".join(f"[{s}].[{t}]" for s, t in bad))
 
 
+def mart_layout(spark: SparkSession, buckets: int | None = None) -> Layout:
+    """The mart's files: clustered by order, a folder a year, rows by month.
+
+    Reports count orders within a bucket; a month's report skips other years'
+    folders and, by the row groups' ranges, most of its own year.  ``buckets``:
+    by default as many as the session's shuffle partitions, which
+    ``size_shuffle_partitions`` takes from the size of the input.
+    """
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return Layout(("order_year",), ("order_id",), n, ("order_month", "order_id"))
+
+
+class Built(dict):
+    """Models by name, each read from its table; the ``catalogue`` that has them
+    by name; ``observed``, the checks counted while they were written; the sets
+    of ``order_keys``."""
+
+    catalogue: Catalogue
+    observed: DataFrame
+    order_keys: DataFrame
+
+
 def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
                  export_path: str | None = None, widths: Widths = CONTRACT,
-                 write_orders: bool = False) -> dict[str, DataFrame]:
+                 write_orders: bool = False, database: str = "default",
+                 buckets: int | None = None, view_sources: Mapping[str, str] | None = None
+                 ) -> Built:
     """Staging views, the materialised mart, then the four reports.
 
-    The mart is written once (K4) and re-read, so the four reports scan
-    Parquet instead of re-running the three-way join; the four report
-    writes are independent and are submitted together; ``export_path`` adds
-    the external Parquet copy (K5).  ``write_orders`` writes the staged orders
-    too: worth it where the raw orders are themselves a join that the data
-    tests would run again.  Returns every model, each reading its written
-    table.
+    All are tables of ``database`` afterwards, replaced together with their
+    content only when it is whole (``spark.table("default.orders_enriched")``);
+    their files lie under ``out_dir``.  The mart is written once (K4), clustered
+    by order, so that no report shuffles it to count orders; the report writes
+    are independent and are submitted together.  NULLs, non-positive values and
+    rows are counted while each table is written.
+
+    ``export_path`` adds the external Parquet copy (K5).  ``write_orders``
+    writes the staged orders too: worth it where the raw orders are themselves
+    a join that the data tests would run again.  ``buckets``: see
+    :func:`mart_layout`.  ``view_sources``: names of the raw tables in the
+    catalogue; the staging models then become views there (K3).
     """
     staged = staging.stage_all(raw, widths)
+    catalogue = Catalogue(spark, out_dir, database)
+    for model, source in (view_sources or {}).items():
+        catalogue.save_view(model, staging.view_sql(model, raw[staging.STAGED[model]], source,
+                                                    widths))
+    taken: dict[str, dict[str, int]] = {}
 
-    def written_out(name: str, df: DataFrame) -> DataFrame:
-        path = os.path.join(out_dir, name)
-        write_parquet(df, path)
-        return spark.read.schema(df.schema).parquet(path)
+    def written_out(name: str, df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
+        taken[name] = catalogue.save(name, df, layout, quality.metrics_of(name))
+        return catalogue.table(name)
 
     if write_orders:
         staged["stg_orders"] = written_out("stg_orders", staged["stg_orders"])
-    mart = written_out("orders_enriched", marts.build_mart(staged, widths))
+    mart = written_out("orders_enriched", marts.build_mart(staged, widths),
+                       mart_layout(spark, buckets))
     if export_path:
         write_parquet(mart, export_path)
-    built = reports.build_reports(mart, staged["stg_products"], widths)
+    built = {**reports.build_reports(mart, staged["stg_products"], widths),
+             "order_keys": analytics.order_keys(mart)}
     written = run_concurrently({name: (lambda n=name, df=df: written_out(n, df))
-                                for name, df in built.items()})
+                                for name, df in built.items()}, max_workers=len(built))
     for result in written.values():
         if isinstance(result, BaseException):
             raise result
-    return {**staged, "orders_enriched": mart, **written}
+    catalogue.save("observed_checks", quality.observed_checks(spark, taken))
+    return _built(catalogue, {**staged, **written, "orders_enriched": mart})
+
+
+def _built(catalogue: Catalogue, models: Mapping[str, DataFrame]) -> Built:
+    out = Built({k: v for k, v in models.items() if k != "order_keys"})
+    out.catalogue = catalogue
+    out.order_keys = models["order_keys"]
+    out.observed = catalogue.attach("observed_checks")
+    return out
+
+
+def attach_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
+                  widths: Widths = CONTRACT, database: str = "default") -> Built:
+    """The models that an earlier session built under ``out_dir``."""
+    catalogue = Catalogue(spark, out_dir, database)
+    return _built(catalogue, {
+        **staging.stage_all(raw, widths),
+        **{t: catalogue.attach(t) for t in (*PUBLISHED_TABLES, "order_keys")}})
 
 
 def run_data_tests(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
                    allow: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
-    """The quality suite; raises ``DataQualityError`` on any failure."""
-    results = quality.suite(models, raw)
+    """The quality suite; raises ``DataQualityError`` on any failure.
+
+    What was counted while the models were written is not counted again.
+    """
+    results = quality.suite(models, raw, observed=getattr(models, "observed", None))
     quality.gate(results, allow)
     return results
 
@@ -158,22 +220,36 @@ def run_data_tests(models: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]
 def publish(spark: SparkSession, models: Mapping[str, DataFrame], warehouse: str,
             tables: Sequence[str] = PUBLISHED_TABLES, namespace: str = "default") -> DataFrame:
     """Publish the chosen tables as new versions; raise if any failed."""
-    store = SnapshotStore(spark, warehouse, namespace)
+    store = PublishedTables(spark, warehouse, namespace)
     report = store.publish_all({t: models[t] for t in tables})
     raise_on_failure(report)
     return report
 
 
-def analytics_datasets(store: SnapshotStore) -> dict[str, DataFrame]:
+def store_gate(spark: SparkSession, models: Mapping[str, DataFrame], warehouse: str,
+               tables: Sequence[str] = PUBLISHED_TABLES, namespace: str = "default",
+               allow: Sequence[tuple[str, str, str]] = ()) -> DataFrame:
+    """Q10 + Q11: every table is published with as many rows as were built; raises
+    ``DataQualityError`` otherwise.  Returns both counts of every table."""
+    store = PublishedTables(spark, warehouse, namespace)
+    quality.gate(quality.store_contract(models, store, tables), allow)
+    return quality.counts_match({t: models[t] for t in tables},
+                                {t: store.read(t) for t in tables})
+
+
+def analytics_datasets(store: PublishedTables) -> dict[str, DataFrame]:
     """E5: the notebook's datasets, read from the newest published versions."""
+    mart = store.read("orders_enriched")
     country = store.read("rpt_revenue_by_country")
     customers = store.read("rpt_customer_summary")
     products = store.read("rpt_product_performance")
     category = store.read("rpt_revenue_by_category")
+    keys = analytics.order_keys(mart)
     return {
-        "orders_preview": analytics.preview(store.read("orders_enriched")),
-        "monthly_trend": analytics.monthly_trend_sorted(analytics.monthly_trend(country)),
-        "country_totals": analytics.country_totals_sorted(analytics.country_totals(country)),
+        "orders_preview": analytics.preview(mart),
+        "monthly_trend": analytics.monthly_trend_sorted(analytics.monthly_trend(country, keys)),
+        "country_totals": analytics.country_totals_sorted(
+            analytics.country_totals(country, keys)),
         "top_customers": analytics.top_customers(customers),
         "customer_tiers": analytics.customer_tiers(customers),
         "tier_counts": analytics.tier_counts(customers),
@@ -184,28 +260,32 @@ def analytics_datasets(store: SnapshotStore) -> dict[str, DataFrame]:
 
 
 def run_all(spark: SparkSession, source: TableSource, root: str,
-            raw_reader=None, allow: Sequence[tuple[str, str, str]] = ()) -> dict[str, DataFrame]:
-    """Extract -> build -> test -> publish under ``root``.
+            raw_reader=None, allow: Sequence[tuple[str, str, str]] = (),
+            widths: Widths = CONTRACT, tables: Sequence[str] | None = None,
+            parallel_tables: int = 1, buckets: int | None = None, database: str = "default",
+            namespace: str = "default") -> dict[str, DataFrame]:
+    """Extract -> build -> test -> publish -> compare the stores, under ``root``.
 
     ``raw_reader(spark, parquet_dir)`` turns the extracted files into the
     three raw tables (default: ``customers``/``products``/``orders`` files).
+    ``widths``: wider types for large keys and sums; ``tables``: the source
+    tables to extract.  The shuffle is sized from the extracted files.
     """
     parquet_dir = os.path.join(root, "parquet")
-    report = extract(spark, source, parquet_dir)
+    report = extract(spark, source, parquet_dir, tables, parallel_tables)
     raise_on_extract_failure(report)
+    size_shuffle_partitions(spark, input_bytes(spark, parquet_dir))
     if raw_reader is None:
         raw = {t: spark.read.parquet(os.path.join(parquet_dir, f"{t}.parquet"))
                for t in ("customers", "products", "orders")}
     else:
         raw = raw_reader(spark, parquet_dir)
     models = build_models(spark, raw, os.path.join(root, "models"),
-                          os.path.join(root, "output", "orders_enriched.parquet"))
+                          os.path.join(root, "output", "orders_enriched.parquet"),
+                          widths, database=database, buckets=buckets)
     tests = run_data_tests(models, raw, allow)
     warehouse = os.path.join(root, "warehouse")
-    published = publish(spark, models, warehouse)
-    store = SnapshotStore(spark, warehouse)
-    quality.gate(quality.store_contract(models, store, PUBLISHED_TABLES), allow)
-    stores = quality.counts_match({t: models[t] for t in PUBLISHED_TABLES},
-                                  {t: store.read(t) for t in PUBLISHED_TABLES})
+    published = publish(spark, models, warehouse, namespace=namespace)
+    stores = store_gate(spark, models, warehouse, namespace=namespace, allow=allow)
     return {"extract_report": report, "data_tests": tests, "publish_report": published,
             "store_counts": stores, **models}

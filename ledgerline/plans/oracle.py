@@ -128,6 +128,9 @@ FROM rpt_revenue_by_country GROUP BY ALL"""),
 SELECT country, sum(total_revenue)::{MONEY} AS total_revenue,
        sum(num_orders)::BIGINT AS total_orders
 FROM rpt_revenue_by_country GROUP BY ALL"""),
+    "newest_month": with_models("""
+SELECT * FROM rpt_revenue_by_country
+WHERE year * 100 + month = (SELECT max(order_year * 100 + order_month) FROM orders_enriched)"""),
     "top_customers": with_models("""
 SELECT * FROM rpt_customer_summary ORDER BY total_spend DESC NULLS LAST, customer_id LIMIT 10"""),
     "category_share": with_models("""
@@ -181,6 +184,10 @@ for _name, _source, _keys, _order in (
          "total_revenue DESC, product_id")):
     ORACLE[_name] = with_models(
         f"SELECT {_keys}, row_number() OVER (ORDER BY {_order}) AS position FROM {_source}")
+ORACLE["mart_in_order"] = with_models("""
+SELECT order_id, product_id, quantity,
+       row_number() OVER (ORDER BY order_id, product_id, quantity) AS position
+FROM orders_enriched""")
 ORACLE["months_in_order"] = with_models("""
 SELECT year, month, row_number() OVER (ORDER BY year, month) AS position
 FROM rpt_revenue_by_country GROUP BY year, month""")
@@ -314,13 +321,17 @@ ORACLE |= {
         for v, p, later, source in (
             (1, "NULL", "NULL", "rpt_revenue_by_category"),
             (2, "1", "true", _newest("rpt_revenue_by_category")))),
-    "schema_report": with_models("""
+    "schema_report": with_models(f"""
 SELECT 'orders_enriched' AS table_name,
-       (row_number() OVER ())::INTEGER AS position, column_name,
+       list_position({list(TABLES["orders_enriched"][0])}, column_name)::INTEGER AS position,
+       column_name,
        CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
             ELSE lower(replace(column_type, ' ', '')) END AS data_type,
-       "null" = 'YES' AS nullable
-FROM (DESCRIBE SELECT * FROM orders_enriched)"""),
+       "null" = 'YES' AS nullable, null_rows
+FROM (DESCRIBE SELECT * FROM orders_enriched) JOIN lacking USING (column_name)""",
+                                 "lacking AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM orders_enriched"
+        for c in TABLES["orders_enriched"][0]) + ")"),
 }
 ORACLE["dq_suite"] = union([
     *(_row("required_columns", f"{t}.*", "SELECT 0")

@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import WIDE
 from ledgerline.operators import analytics, quality, reports
+from ledgerline.plans.jobs import Built, build_models
 from ledgerline.plans.models import testdata_graph, testdata_models
 from ledgerline.session import fresh_dir, input_stamp
 from ledgerline.sinks.files import write_csv, write_parquet
-from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sinks.lakehouse import PublishedTables
 from ledgerline.sources import testdata
 from ledgerline.sources.files import ParquetDirSource, read_csv, read_parquet
 from ledgerline.sources.files import file_profile as _file_profile
@@ -55,23 +56,22 @@ QUERIES: dict[str, Query] = {
 }
 
 
-_BUILT: dict[tuple, dict[str, DataFrame]] = {}
+_BUILT: dict[tuple, Built] = {}
 
 
-def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """E2 once per application and input: every model reading a written table.
+def built_models(spark: SparkSession, sf_dir: str) -> Built:
+    """E2 once per application and input: every model reading its table by name.
 
     Like building the models before testing or publishing them, the joins run
     once; the checks and the publish then scan the written orders, mart and
     reports (under the shared folder) instead of recomputing them.
     """
-    from ledgerline.plans.jobs import build_models
-
     key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir))
     if key not in _BUILT:
         raw, _ = testdata_graph(spark, sf_dir)
-        _BUILT[key] = build_models(spark, raw, fresh_dir(spark, "models"), widths=WIDE,
-                                   write_orders=True)
+        root = fresh_dir(spark, "models")
+        _BUILT[key] = build_models(spark, raw, root, widths=WIDE, write_orders=True,
+                                   database="b_" + root[-12:])
     return _BUILT[key]
 
 
@@ -80,7 +80,7 @@ def built_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-row profile of the staged orders."""
-    return analytics.source_profile(testdata_models(spark, sf_dir)["stg_orders"])
+    return analytics.source_profile(built_models(spark, sf_dir)["stg_orders"])
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,13 +94,24 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A15 + P10 over the country report."""
-    return analytics.monthly_trend(built_models(spark, sf_dir)["rpt_revenue_by_country"])
+    """A15 + P10 over the country report and the sets of its orders."""
+    m = built_models(spark, sf_dir)
+    return analytics.monthly_trend(m["rpt_revenue_by_country"], m.order_keys)
 
 
 def country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A16 over the country report."""
-    return analytics.country_totals(built_models(spark, sf_dir)["rpt_revenue_by_country"])
+    """A16 over the country report and the sets of its orders."""
+    m = built_models(spark, sf_dir)
+    return analytics.country_totals(m["rpt_revenue_by_country"], m.order_keys)
+
+
+def newest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 for the newest month alone, from the mart's folder of that year."""
+    m = built_models(spark, sf_dir)
+    report, month = m["rpt_revenue_by_country"], F.col("year") * 100 + F.col("month")
+    newest = report.where(month == report.agg(F.max(month)).scalar()).select(
+        F.col("year").alias("order_year"), F.col("month").alias("order_month"))
+    return reports.rpt_revenue_by_country(reports.for_months(m["orders_enriched"], newest), WIDE)
 
 
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +183,7 @@ def _models_and_raw(spark: SparkSession, sf_dir: str):
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 + Q3: the declared not-null tests plus raw primary keys."""
     m, raw = _models_and_raw(spark, sf_dir)
-    return quality.declared_not_null(m, raw, TEST_RAW_KEYS)
+    return quality.declared_not_null(m, raw, TEST_RAW_KEYS, m.observed)
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +195,7 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4 + Q5: positive prices, line totals, spend and revenue."""
     m, raw = _models_and_raw(spark, sf_dir)
-    return quality.declared_positive(m, raw)
+    return quality.declared_positive(m, raw, m.observed)
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,19 +211,20 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, raw = _models_and_raw(spark, sf_dir)
     parts = testdata.table(spark, sf_dir, "part").count()
     return quality.suite(m, raw, TEST_RAW_KEYS, TEST_UNIQUE, exact={"stg_products": parts},
-                         store=published(spark, sf_dir)[0], published=PUBLISHED_TABLES)
+                         store=published(spark, sf_dir)[0], published=PUBLISHED_TABLES,
+                         observed=m.observed)
 
 
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q8: model row counts against the declared minimums."""
     m, _ = _models_and_raw(spark, sf_dir)
-    return quality.row_counts(m)
+    return quality.row_counts(m, observed=m.observed)
 
 
 QUERIES.update({
     f.__name__: f
     for f in (
-        source_profile, table_counts, monthly_trend, country_totals, top_customers,
+        source_profile, table_counts, monthly_trend, country_totals, newest_month, top_customers,
         customer_tiers, tier_counts, tier_counts_wide, category_share, product_ranking,
         customers_by_spend, orders_preview, dq_not_null, dq_unique, dq_positive,
         dq_orphans, dq_row_counts, dq_suite,
@@ -247,7 +259,15 @@ def countries_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("country", "position")
 
 
+def mart_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the mart by order; rows of one order by product, quantity and the rest."""
+    mart = built_models(spark, sf_dir)["orders_enriched"]
+    placed = reports.with_position(mart, reports.order_keys("orders_enriched"))
+    return placed.select("order_id", "product_id", "quantity", "position")
+
+
 QUERIES.update({
+    "mart_in_order": mart_in_order,
     "country_in_order": _in_order("rpt_revenue_by_country", "country", "year", "month"),
     "category_in_order": _in_order("rpt_revenue_by_category", "category", "total_revenue"),
     "customers_in_order": _in_order("rpt_customer_summary", "customer_id", "total_spend"),
@@ -306,10 +326,10 @@ def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The second versions: part of the first ones' rows, so that versions differ.
 SECOND_VERSION = {"rpt_revenue_by_country": "month <= 6",
                   "rpt_revenue_by_category": "num_orders % 2 = 0"}
-_STORES: dict[tuple, tuple[SnapshotStore, DataFrame, dt.datetime]] = {}
+_STORES: dict[tuple, tuple[PublishedTables, DataFrame, dt.datetime]] = {}
 
 
-def published(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFrame, dt.datetime]:
+def published(spark: SparkSession, sf_dir: str) -> tuple[PublishedTables, DataFrame, dt.datetime]:
     """(store, publish reports, time between the versions): the five tables
     published, then two of them again with other rows; once per application
     and input."""
@@ -317,7 +337,8 @@ def published(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, DataFram
 
     key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir))
     if key not in _STORES:
-        store = SnapshotStore(spark, fresh_dir(spark, "warehouse"))
+        root = fresh_dir(spark, "warehouse")
+        store = PublishedTables(spark, root, database="p_" + root[-12:])
         models = built_models(spark, sf_dir)
         first = store.publish_all({t: models[t] for t in PUBLISHED_TABLES})
         between = dt.datetime.now(dt.timezone.utc)
@@ -374,7 +395,7 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: column positions, names, types and nullability of the published mart."""
+    """M2: the published mart's columns: position, name, type, rows without a value."""
     return published(spark, sf_dir)[0].schema("orders_enriched")
 
 

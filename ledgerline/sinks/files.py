@@ -43,6 +43,12 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in folder ``path``; none where there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete ``path`` and what is below it, if it is there."""
     p, fs = _file_system(spark, path)
@@ -50,10 +56,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
 
 
 def replace_path(spark: SparkSession, new: str, path: str) -> None:
-    """Move ``new`` to ``path``; what was there stays until the move succeeds."""
+    """Move ``new`` to ``path``.
+
+    What was there is moved aside first and back if the move fails.  A driver
+    lost between the two moves leaves nothing at ``path`` and the old file
+    under ``<path>.old``, which the next call, or :func:`restore_path`, moves
+    back before anything else.
+    """
+    restore_path(spark, path)
     source, fs = _file_system(spark, new)
     target, _ = _file_system(spark, path)
-    old, _ = _file_system(spark, f"{new}.old")
+    old, _ = _file_system(spark, f"{path}.old")
     fs.mkdirs(target.getParent())
     had = fs.exists(target)
     if had and not fs.rename(target, old):
@@ -64,3 +77,21 @@ def replace_path(spark: SparkSession, new: str, path: str) -> None:
         raise OSError(f"cannot move {new} to {path}")
     if had:
         fs.delete(old, True)
+
+
+def restore_path(spark: SparkSession, path: str) -> bool:
+    """Put back what an interrupted :func:`replace_path` left aside; whether it did.
+
+    Where ``path`` is there, the replacement was complete but for the removal
+    of the old file, which is made up for.
+    """
+    target, fs = _file_system(spark, path)
+    old, _ = _file_system(spark, f"{path}.old")
+    if not fs.exists(old):
+        return False
+    if fs.exists(target):
+        fs.delete(old, True)
+        return False
+    if not fs.rename(old, target):
+        raise OSError(f"cannot move {path}.old back")
+    return True

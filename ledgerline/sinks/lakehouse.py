@@ -1,52 +1,37 @@
-"""Versioned tables on plain Parquet (K6-K9, M1-M4).
-
-Layout under ``root``::
-
-    <namespace>/<table>/snapshot_id=<n>/part-*.parquet   one folder per version
-    <namespace>/_snapshots/part-*.parquet                the commit log
-
-A publish writes the new version's folder with Spark's ordinary Parquet
-writer, re-reads it to verify the row count, and only then appends its row to
-the commit log (one append for all tables of a multi-table publish, so they
-become visible together).  The log row *is* the commit: readers resolve versions through
-the log, so a write that failed half-way is never visible, and earlier
-versions stay readable (time travel) because nothing is ever deleted.
-
-Assumes one writer per table at a time (documented; no locking).
+"""Published tables: ordinary Parquet tables, partitioned by version (K6-K9, M1-M4).
+
+Publishing adds a table's rows as the next ``snapshot_id`` and the time, two
+partition columns; earlier versions stay.  Spark writes them aside, they are
+counted again, and one move of the folder makes them a partition of the table.
+What is known of versions - which there are, their rows, their times, the
+newest before a moment - are listings of partitions and aggregates over the
+table.
+
+The tables are in the session catalogue, in a database of their own; where the
+catalogue lives as long as a session, the next one registers them from their
+folders.  One writer for each table at a time is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import os
+import time
+import uuid
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.session import run_concurrently
-from ledgerline.sinks.files import write_parquet
+from ledgerline.sinks.files import child_names, remove_path, replace_path, write_parquet
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("snapshot_id", T.LongType(), False),
-    T.StructField("parent_id", T.LongType(), True),
-    T.StructField("timestamp_ms", T.LongType(), False),
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("added_records", T.LongType(), False),
-    T.StructField("total_records", T.LongType(), False),
-    T.StructField("column_count", T.IntegerType(), False),
-    T.StructField("schema_json", T.StringType(), False),
-])
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+VERSION, TIME = "snapshot_id", "published_ms"
+HISTORY = ("table_name string, snapshot_id bigint, parent_id bigint, committed_at timestamp, "
+           "operation string, added_records bigint, total_records bigint")
+TABLES = ("namespace string, table_name string, snapshot_id bigint, total_records bigint, "
+          "column_count int")
 
 
 def _millis(t: dt.datetime) -> int:
@@ -60,176 +45,190 @@ class PublishMismatch(RuntimeError):
     """The re-read row count differs from the rows written."""
 
 
-class SnapshotStore:
-    """A namespace of versioned tables under ``root``."""
+class PublishedTables:
+    """K7: a namespace of versioned tables under ``root``, created if absent."""
 
-    def __init__(self, spark: SparkSession, root: str, namespace: str = "default"):
-        self.spark = spark
-        self.root = root
-        self.namespace = namespace
+    def __init__(self, spark: SparkSession, root: str, namespace: str = "default",
+                 database: str | None = None):
+        self.spark, self.root, self.namespace = spark, root, namespace
+        self.database = database or f"{namespace}_published"
+        # A folder of its own, since dropping a database deletes its folder.
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
+                  f"LOCATION '{os.path.join(root, namespace, '_database')}'")
 
-    # -- paths -----------------------------------------------------------------
-    @property
-    def log_path(self) -> str:
-        return os.path.join(self.root, self.namespace, "_snapshots")
+    def name(self, table: str) -> str:
+        """The table's name in SQL; it holds every version."""
+        return f"`{self.database}`.`{table}`"
 
-    def table_path(self, table: str) -> str:
+    def path(self, table: str) -> str:
         return os.path.join(self.root, self.namespace, table)
 
-    def snapshot_path(self, table: str, snapshot_id: int) -> str:
-        return os.path.join(self.table_path(table), f"snapshot_id={snapshot_id}")
-
-    # -- log -------------------------------------------------------------------
-    def log(self) -> DataFrame:
-        """The commit log (empty with its schema when nothing is published)."""
-        if not path_exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-
-    def _latest_all(self) -> dict[str, tuple[int, int]]:
-        """Newest (snapshot_id, total_records) of every table: one small job."""
-        log = self.log()
-        newest = log.groupBy("table_name").agg(F.max("snapshot_id").alias("snapshot_id"))
-        rows = log.join(newest, ["table_name", "snapshot_id"]).select(
-            "table_name", "snapshot_id", "total_records").collect()
-        return {r[0]: (r[1], r[2]) for r in rows}
-
-    def _latest(self, table: str) -> tuple[int, int] | None:
-        """(snapshot_id, total_records) of the newest version, if any."""
-        return self._latest_all().get(table)
-
-    # -- write (K6-K9) -------------------------------------------------------------
-    def _write_version(self, table: str, df: DataFrame, parent: int | None) -> dict:
-        """Write and verify the next version's files; returns its commit row."""
-        snap = (parent or 0) + 1
-        path = self.snapshot_path(table, snap)
-        if self._committed(table, snap):
-            raise PublishMismatch(f"{table}: version {snap} was committed by another writer")
-        written = write_parquet(df, path)   # over what a failed publish may have left
-        verified = self.spark.read.parquet(path).count()
+    # -- registration --------------------------------------------------------------
+    def _location(self, table: str) -> str | None:
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return None
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
+        return about.where("col_name = 'Location'").first()["data_type"]
+
+    def registered(self, table: str) -> bool:
+        """Whether the table is there; it is registered from its folder if need be."""
+        plain = self.path(table).removeprefix("file:").lstrip("/")
+        where = self._location(table)
+        if where is not None:
+            if where.removeprefix("file:").lstrip("/") == plain:
+                return True
+            self.spark.sql(f"DROP TABLE {self.name(table)}")   # another root's; its files stay
+        if not any(n.startswith(f"{VERSION}=") for n in child_names(self.spark, self.path(table))):
+            return False
+        found = self.spark.read.parquet(self.path(table))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema
+                            if f.name not in (VERSION, TIME))
+        self.spark.sql(f"CREATE TABLE {self.name(table)} ({columns}, {VERSION} BIGINT, "
+                       f"{TIME} BIGINT) USING parquet PARTITIONED BY ({VERSION}, {TIME}) "
+                       f"LOCATION '{self.path(table)}'")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+        return True
+
+    def table_names(self) -> list[str]:
+        """Tables of the namespace, from its folders."""
+        folder = os.path.join(self.root, self.namespace)
+        return sorted(n for n in child_names(self.spark, folder)
+                      if not n.startswith((".", "_")) and self.registered(n))
+
+    def versions(self, table: str) -> list[tuple[int, int]]:
+        """(version, time) of every version, oldest first: the table's partitions."""
+        if not self.registered(table):
+            return []
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+        return sorted(tuple(int(p.split("=")[1]) for p in r[0].split("/")) for r in rows)
+
+    # -- write (K6-K9) ----------------------------------------------------------------
+    def _write(self, table: str, df: DataFrame) -> dict:
+        """Write the next version, verify it and move it in; returns what was done."""
+        clash = {VERSION, TIME} & {c.lower() for c in df.columns}
+        if clash:
+            raise ValueError(f"{table}: columns named as the versions': {sorted(clash)}")
+        before = self.versions(table)
+        version, now = (before[-1][0] if before else 0) + 1, int(time.time() * 1000)
+        if before:
+            known = [d for d in self.spark.table(self.name(table)).dtypes
+                     if d[0] not in (VERSION, TIME)]
+            if known != df.dtypes:
+                raise ValueError(f"{table}: columns {df.dtypes} differ from the versions "
+                                 f"before, {known}")
+        aside = os.path.join(self.root, self.namespace, "_incoming", uuid.uuid4().hex)
+        written = write_parquet(df, aside)
+        verified = self.spark.read.schema(df.schema).parquet(aside).count()
         if verified != written:
+            remove_path(self.spark, aside)
             raise PublishMismatch(f"{table}: wrote {written} rows, read back {verified}")
-        return {
-            "table_name": table,
-            "snapshot_id": snap,
-            "parent_id": parent,
-            "timestamp_ms": 0,
-            "operation": "overwrite",
-            "added_records": written,
-            "total_records": verified,
-            "column_count": len(df.columns),
-            "schema_json": df.schema.json(),
-        }
-
-    def _committed(self, table: str, snapshot_id: int) -> bool:
-        """Whether the log has this version: its files are never written again."""
-        return bool(self.log().where((F.col("table_name") == table)
-                                     & (F.col("snapshot_id") == snapshot_id)).take(1))
-
-    def _commit(self, commits: list[dict]) -> dt.datetime:
-        """Append the commit rows in one write: they become visible together."""
-        now = dt.datetime.now(dt.timezone.utc)
-        ms = int(now.timestamp() * 1000)
-        rows = [{**c, "timestamp_ms": ms} for c in commits]
-        (self.spark.createDataFrame(rows, LOG_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(self.log_path))
-        return now
+        # One move makes the whole version visible.
+        place = f"{VERSION}={version}/{TIME}={now}"
+        replace_path(self.spark, aside, os.path.join(self.path(table), place))
+        if before:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS "
+                           f"PARTITION ({place.replace('/', ', ')})")
+        else:
+            self.registered(table)
+        return {"table_name": table, VERSION: version, "written_rows": written,
+                "verified_rows": verified,
+                "committed_at": dt.datetime.fromtimestamp(now / 1000, dt.timezone.utc)}
+
+    def _rows(self, table: str, version: int) -> DataFrame:
+        return self.spark.table(self.name(table)).where(F.col(VERSION) == version)
 
     def publish(self, table: str, df: DataFrame) -> dict:
-        """Write ``df`` as the next version of ``table`` and commit it.
+        """K6 + K8: ``df`` as the next version of ``table``, counted again.
 
-        Every version replaces the table's content (operation ``overwrite``);
-        older versions stay readable.  Returns the commit row as a dict;
-        raises :class:`PublishMismatch` if the re-read count differs from the
-        rows written (nothing is committed then).
+        A version replaces the content as a whole (operation ``overwrite``);
+        earlier ones stay readable.  Raises :class:`PublishMismatch` if the
+        re-read count differs; nothing has changed then.
         """
-        latest = self._latest(table)
-        commit = self._write_version(table, df, latest[0] if latest else None)
-        now = self._commit([commit])
-        return {**commit, "timestamp_ms": int(now.timestamp() * 1000), "committed_at": now}
+        return self._write(table, df)
 
     def publish_all(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """K9: publish several tables; one report row per table.
 
-        Every table is written and verified (the writes go to different
-        folders and are submitted together), then all that succeeded are
-        committed together by one log append.  A table that fails is reported
-        with status ``failed`` and the others still run;
+        The writes go to different folders and are submitted together.  A table
+        that fails is reported with status ``failed`` and the others still run;
         :func:`raise_on_failure` turns the report into an error.
         """
-        latest = self._latest_all()
-        results = run_concurrently({
-            name: (lambda name=name, df=df: self._write_version(
-                name, df, latest[name][0] if name in latest else None))
-            for name, df in tables.items()})
-        commits, rows = [], []
-        for name, c in results.items():
-            if isinstance(c, BaseException):
-                rows.append((name, None, None, None, f"failed: {type(c).__name__}"))
-                continue
-            commits.append(c)
-            rows.append((name, c["snapshot_id"], c["added_records"], c["total_records"], "ok"))
-        if commits:
-            self._commit(commits)
+        results = run_concurrently({name: (lambda name=name, df=df: self.publish(name, df))
+                                    for name, df in tables.items()})
+        rows = [(name, None, None, None, f"failed: {type(done).__name__}")
+                if isinstance(done, BaseException) else
+                (name, done[VERSION], done["written_rows"], done["verified_rows"], "ok")
+                for name, done in results.items()]
         return self.spark.createDataFrame(
             rows, "table_name string, snapshot_id bigint, written_rows bigint, "
                   "verified_rows bigint, status string")
 
-    # -- read (S11, M4) --------------------------------------------------------------
+    # -- read (S11, M4) -----------------------------------------------------------------
     def resolve(self, table: str, snapshot_id: int | None = None,
                 as_of: dt.datetime | None = None) -> int:
-        """Snapshot id to read: a given id, the newest at ``as_of``, or the newest."""
-        log = self.log().where(F.col("table_name") == table)
-        if snapshot_id is not None:
-            log = log.where(F.col("snapshot_id") == snapshot_id)
-        if as_of is not None:
-            log = log.where(F.col("timestamp_ms") <= F.lit(_millis(as_of)))
-        row = log.agg(F.max("snapshot_id")).collect()[0][0]
-        if row is None:
+        """The version to read: a given one, the newest at ``as_of``, or the newest."""
+        found = [v for v, at in self.versions(table)
+                 if (snapshot_id is None or v == snapshot_id)
+                 and (as_of is None or at <= _millis(as_of))]
+        if not found:
             raise LookupError(f"no snapshot of {self.namespace}.{table} matches")
-        return int(row)
+        return max(found)
 
     def read(self, table: str, snapshot_id: int | None = None,
              as_of: dt.datetime | None = None) -> DataFrame:
-        """A committed version of ``table`` (default: the newest)."""
-        snap = self.resolve(table, snapshot_id, as_of)
-        return self.spark.read.parquet(self.snapshot_path(table, snap))
+        """S11 + M4: one version of ``table`` (default: the newest); the others'
+        folders are skipped."""
+        version = self.resolve(table, snapshot_id, as_of)
+        return self._rows(table, version).drop(VERSION, TIME)
+
+    # -- metadata (M1-M3, Q10) -------------------------------------------------------------
+    def _counts(self, table: str) -> DataFrame:
+        """Rows of every version; versions without any count 0."""
+        versions = self.spark.createDataFrame(self.versions(table), "v bigint, at bigint")
+        counted = self.spark.table(self.name(table)).groupBy(VERSION).agg(
+            F.count(F.lit(1)).alias("n"))
+        return versions.join(counted, F.col("v") == F.col(VERSION), "left").select(
+            F.lit(table).alias("table_name"), F.col("v").alias(VERSION), F.col("at").alias(TIME),
+            F.coalesce("n", F.lit(0).cast("bigint")).alias("total_records"))
+
+    def _union(self, parts: list[DataFrame], schema: str) -> DataFrame:
+        empty = self.spark.createDataFrame([], schema)
+        return reduce(DataFrame.unionByName, parts) if parts else empty
 
-    # -- metadata (M1-M3, Q10) ------------------------------------------------------------
     def tables(self) -> DataFrame:
-        """M1: every table with its newest snapshot, row and column counts."""
-        log = self.log()
-        newest = log.groupBy("table_name").agg(F.max("snapshot_id").alias("snapshot_id"))
-        return log.join(newest, ["table_name", "snapshot_id"]).select(
-            F.lit(self.namespace).alias("namespace"), "table_name", "snapshot_id",
-            "total_records", "column_count")
+        """M1: every table with its newest version, its rows and columns."""
+        return self._union([
+            self._counts(t).where(F.col(VERSION) == self.resolve(t)).select(
+                F.lit(self.namespace).alias("namespace"), "table_name", VERSION, "total_records",
+                F.lit(len(self.spark.table(self.name(t)).columns) - 2).alias("column_count"))
+            for t in self.table_names()], TABLES)
 
     def exists(self, table: str) -> bool:
-        """Q10: whether ``table`` has a committed version."""
-        return self._latest(table) is not None
+        """Q10: whether ``table`` has a version."""
+        return bool(self.versions(table))
 
     def history(self, table: str | None = None) -> DataFrame:
-        """M3: the snapshots of one table (or all), oldest first."""
-        log = self.log()
-        if table is not None:
-            log = log.where(F.col("table_name") == table)
-        return log.select(
-            "table_name", "snapshot_id", "parent_id",
-            F.timestamp_millis("timestamp_ms").alias("committed_at"),
-            "operation", "added_records", "total_records",
-        ).orderBy("table_name", "snapshot_id")
+        """M3: the versions of one table (or all), oldest first, with their rows."""
+        names = self.table_names() if table is None else [table] if self.exists(table) else []
+        return self._union([self._counts(t).select(
+            "table_name", VERSION,
+            F.when(F.col(VERSION) > 1, F.col(VERSION) - 1).alias("parent_id"),
+            F.timestamp_millis(TIME).alias("committed_at"),
+            F.lit("overwrite").alias("operation"),
+            F.col("total_records").alias("added_records"), "total_records")
+            for t in names], HISTORY).orderBy("table_name", VERSION)
 
     def schema(self, table: str, snapshot_id: int | None = None) -> DataFrame:
-        """M2: (position, name, type, nullable) of a committed version."""
-        snap = self.resolve(table, snapshot_id)
-        row = (self.log().where((F.col("table_name") == table) & (F.col("snapshot_id") == snap))
-               .select("schema_json").collect()[0][0])
-        fields = T.StructType.fromJson(json.loads(row)).fields
-        return self.spark.createDataFrame(
-            [(table, i + 1, f.name, f.dataType.simpleString(), f.nullable)
-             for i, f in enumerate(fields)],
-            "table_name string, position int, column_name string, data_type string, "
-            "nullable boolean")
+        """M2: (position, name, type, nullable) of a version's columns, with the
+        number of rows that have no value there, counted in one pass."""
+        rows = self.read(table, snapshot_id)
+        counts = rows.agg(*(F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}")
+                            for i, f in enumerate(rows.schema)))
+        return counts.select(F.inline(F.array(*(F.struct(
+            F.lit(table).alias("table_name"), F.lit(i + 1).alias("position"),
+            F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.nullable).alias("nullable"), F.col(f"n{i}").alias("null_rows"))
+            for i, f in enumerate(rows.schema)))))
 
 
 def raise_on_failure(report: DataFrame) -> None:

@@ -1,10 +1,13 @@
 """Relational sources over JDBC.
 
 Spark's JDBC reader runs on the executors: one query per partition, each
-fetching ``fetchsize`` rows per round trip.  A table with a numeric one-column
-key is split into key ranges; any other key splits it into hash buckets, each
-row in exactly one; only a table without a key is read by a single task.
-Names of schemas, tables and columns are quoted wherever they enter SQL.
+fetching ``fetchsize`` rows per round trip.  A table with a key of any type,
+of one column or several, is split into key ranges of about equally many rows:
+the split points are quantiles of the keys that the database itself samples in
+key order, and a range is a comparison of whole keys, so each task seeks to its
+part of the key's index and reads it once.  Only a table without a key is read
+by a single task.  Names of schemas, tables and columns are quoted wherever
+they enter SQL.
 
 Discovery and column-type SQL depend on the database, so they are
 parameters keyed by dialect.
@@ -12,9 +15,11 @@ parameters keyed by dialect.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,12 +61,13 @@ PRIMARY_KEY_SQL: dict[str, str] = {
         "AND t.TABLE_SCHEMA = '{schema}' AND t.TABLE_NAME = '{table}' "
     ),
 }
-# Rows of one table, and a hash of columns that is never NULL, as SQL.
+# Rows of one table.
 COUNT_SQL: dict[str, str] = {"sqlserver": "SELECT COUNT_BIG(*) AS n FROM {name}"}
-HASH_SQL: dict[str, str] = {"sqlserver": "ABS(CAST(BINARY_CHECKSUM({columns}) AS BIGINT))"}
+# A sample of whole pages, appended to a table's name; {percent} of them.
+SAMPLE_SQL: dict[str, str] = {"sqlserver": "TABLESAMPLE SYSTEM ({percent} PERCENT)"}
 QUOTES: dict[str, tuple[str, str]] = {"sqlserver": ("[", "]")}
-NUMERIC_KEY_TYPES = frozenset({"bigint", "int", "integer", "smallint", "tinyint",
-                               "numeric", "decimal"})
+# Rows that the sample should have for each part: the larger, the evener.
+SAMPLED_PER_PART = 1000
 
 # Source column type -> Spark type.  Exact decimals stay decimal
 # (money keeps four places); time-of-day becomes a string because Parquet
@@ -153,6 +159,70 @@ def resolve_tables(available: Sequence[tuple[str, str]], specs: Sequence[str],
     return out
 
 
+def literal(value) -> str:
+    """``value`` as an SQL literal (dates and times as ISO text, bytes in hex)."""
+    if isinstance(value, bool):
+        return str(int(value))
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        return repr(value)
+    if isinstance(value, (bytes, bytearray)):
+        return "0x" + bytes(value).hex()
+    text = value.isoformat(sep="T") if isinstance(value, dt.datetime) else str(value)
+    return ("N" if not text.isascii() else "") + "'" + text.replace("'", "''") + "'"
+
+
+def _equal(column: str, value) -> str:
+    return f"{column} IS NULL" if value is None else f"{column} = {literal(value)}"
+
+
+def _above(column: str, value) -> str:
+    """``column`` after ``value``, where NULL comes before every value."""
+    return f"{column} IS NOT NULL" if value is None else f"{column} > {literal(value)}"
+
+
+def _below(column: str, value) -> str | None:
+    """``column`` before ``value``; nothing comes before NULL."""
+    return None if value is None else f"({column} < {literal(value)} OR {column} IS NULL)"
+
+
+def key_after(columns: Sequence[str], split: Sequence) -> str:
+    """Keys after ``split``, compared column by column as an index orders them."""
+    ways = [" AND ".join([*(_equal(c, v) for c, v in zip(columns[:i], split[:i], strict=True)),
+                          _above(columns[i], split[i])]) for i in range(len(columns))]
+    rest = "(" + " OR ".join(f"({w})" for w in ways) + ")"
+    if len(columns) > 1 and split[0] is not None:   # lets the database seek to the start
+        return f"({columns[0]} >= {literal(split[0])} AND {rest})"
+    return rest
+
+
+def key_up_to(columns: Sequence[str], split: Sequence) -> str:
+    """Keys up to and including ``split``: exactly those not after it, NULLs too.
+
+    Spelled out, because NOT of a comparison with NULL is not true.
+    """
+    ways = []
+    for i, column in enumerate(columns):
+        below = _below(column, split[i])
+        if below:
+            ways.append(" AND ".join(
+                [*(_equal(c, v) for c, v in zip(columns[:i], split[:i], strict=True)), below]))
+    ways.append(" AND ".join(_equal(c, v) for c, v in zip(columns, split, strict=True)))
+    return "(" + " OR ".join(f"({w})" for w in ways) + ")"
+
+
+def range_predicates(columns: Sequence[str], splits: Sequence[Sequence]) -> list[str]:
+    """One condition for each range between ``splits`` (rising, distinct): every
+    key, NULL in any of its columns included, meets exactly one."""
+    if not splits:
+        return ["1 = 1"]
+    return [key_up_to(columns, splits[0]),
+            *(f"{key_after(columns, lo)} AND {key_up_to(columns, hi)}"
+              for lo, hi in zip(splits, splits[1:], strict=False)),
+            key_after(columns, splits[-1])]
+
+
 @dataclass
 class JdbcSource:
     """One database reached through Spark's JDBC data source."""
@@ -163,7 +233,7 @@ class JdbcSource:
     fetchsize: int = 100_000
     rows_per_partition: int = 1_000_000
     max_connections: int | None = None
-    partition_columns: dict[str, str] = field(default_factory=dict)
+    partition_columns: dict[str, str | Sequence[str]] = field(default_factory=dict)
 
     def quoted(self, name: str) -> str:
         """``name`` as an identifier of the dialect, whatever it contains."""
@@ -201,62 +271,84 @@ class JdbcSource:
         rows = self.query(self._about(sql, schema, table)).collect()
         return {r[0]: spark_type(r[1], r[2], r[3]) for r in rows}
 
-    def key_columns(self, schema: str, table: str) -> list[tuple[str, str]]:
-        """(column, type) of the key to split reads on: configured (a numeric
-        column), else the primary key; empty if there is none."""
+    def key_columns(self, schema: str, table: str) -> list[str]:
+        """Columns of the key to split reads on: configured (a column or several),
+        else the primary key; empty if there is none."""
         key = self.partition_columns.get(f"{schema}.{table}") or self.partition_columns.get(table)
         if key:
-            return [(key, "bigint")]
+            return [key] if isinstance(key, str) else list(key)
         if self.dialect not in PRIMARY_KEY_SQL:
             return []
         rows = self.query(self._about(PRIMARY_KEY_SQL[self.dialect], schema, table)).collect()
-        return [(r[0], str(r[1]).lower()) for r in rows]
+        return [r[0] for r in rows]
 
     def parts_for(self, rows: int) -> int:
-        """Number of ranges or buckets: about ``rows_per_partition`` rows each.
+        """Number of ranges: about ``rows_per_partition`` rows each.
 
         How many are read at a time is another matter (``max_connections``).
         """
         return max(1, -(-int(rows) // self.rows_per_partition))
 
-    def bucket_predicates(self, columns: Sequence[str], buckets: int) -> list[str]:
-        """One condition per bucket; every row, NULLs included, meets exactly one."""
-        hashed = HASH_SQL[self.dialect].format(columns=", ".join(map(self.quoted, columns)))
-        return [f"{hashed} % {buckets} = {i}" for i in range(buckets)]
+    def split_query(self, name: str, columns: Sequence[str], rows: int, parts: int) -> str:
+        """SQL for the ``parts`` - 1 keys that cut the table into equal parts.
+
+        The database numbers a sample's keys in key order and returns every
+        so-many-th; a table with few rows for each part is numbered whole, which
+        reads its key's index once, in order.
+        """
+        keys = ", ".join(columns)
+        wanted = parts * SAMPLED_PER_PART
+        percent = 100 * wanted / max(rows, 1)
+        source = name
+        if percent < 50 and self.dialect in SAMPLE_SQL:
+            source = f"{name} {SAMPLE_SQL[self.dialect].format(percent=f'{percent:.6f}')}"
+        numbered = (f"SELECT {keys}, ROW_NUMBER() OVER (ORDER BY {keys}) AS place_, "
+                    f"COUNT(*) OVER () AS rows_ FROM {source}")
+        # A row is a quantile where the part that it lies in changes after it.
+        return (f"SELECT {keys}, MIN(place_) AS place_ FROM ({numbered}) s WHERE place_ < rows_ "
+                f"AND FLOOR(place_ * {parts}.0 / rows_) <> "
+                f"FLOOR((place_ - 1) * {parts}.0 / rows_) GROUP BY {keys}")
+
+    def split_points(self, name: str, columns: Sequence[str], rows: int) -> list[tuple]:
+        """Quantiles of the key in the database's own order, at most one a part."""
+        parts = self.parts_for(rows)
+        if parts < 2:
+            return []
+        found = self.query(self.split_query(name, columns, rows, parts)).orderBy("place_")
+        return [tuple(r)[:-1] for r in found.collect()]
 
     def read(self, schema: str, table: str) -> DataFrame:
-        """The whole table, split by key ranges or key hashes.
+        """The whole table, split by ranges of its key.
 
-        A range key's bounds come from one pushed-down ``min``/``max`` query;
-        rows outside them still land in the first or last range, so nothing is
-        lost if the table grows between the two reads.
+        A row whose key lies beyond the sampled ones still lands in the first or
+        last range, so nothing is lost if the table grows between the two reads.
         """
         name = f"{self.quoted(schema)}.{self.quoted(table)}"
-        keys = self.key_columns(schema, table)
-        df = None
-        if len(keys) == 1 and keys[0][1] in NUMERIC_KEY_TYPES:
-            key = self.quoted(keys[0][0])
-            lo, hi = self.query(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {name}").first()
-            if lo is not None and hi is not None and hi > lo:
-                df = (self._reader().option("dbtable", name).option("partitionColumn", key)
-                      .option("lowerBound", str(lo)).option("upperBound", str(hi))
-                      .option("numPartitions", str(self.parts_for(int(hi) - int(lo) + 1)))
-                      .load())
-        elif keys and self.dialect in HASH_SQL:
+        columns = [self.quoted(k) for k in self.key_columns(schema, table)]
+        splits = []
+        if columns and self.dialect in COUNT_SQL:
             rows = self.query(COUNT_SQL[self.dialect].format(name=name)).first()[0]
-            properties = {k: v for k, v in self.options.items() if k != "url"}
-            df = self.spark.read.jdbc(
-                self.options["url"], name,
-                predicates=self.bucket_predicates([k for k, _ in keys], self.parts_for(rows)),
-                properties={**properties, "fetchsize": str(self.fetchsize)})
-        if df is None:
+            splits = self.split_points(name, columns, rows)
+        if not splits:
             return self._reader().option("dbtable", name).load()
+        properties = {k: v for k, v in self.options.items() if k != "url"}
+        df = self.spark.read.jdbc(self.options["url"], name,
+                                  predicates=range_predicates(columns, splits),
+                                  properties={**properties, "fetchsize": str(self.fetchsize)})
         if self.max_connections:
             # Fewer tasks, each reading several parts one after another.
             df = df.coalesce(self.max_connections)
         return df
 
 
+def unconvertible(df: DataFrame, types: Mapping[str, str]) -> dict[str, Column]:
+    """For each column with a mapped type, an aggregate that counts the values
+    that do not convert to it."""
+    return {name: F.count_if(F.col(f"`{name}`").isNotNull()
+                             & F.col(f"`{name}`").try_cast(types[name]).isNull())
+            for name in df.columns if name in types}
+
+
 def conform(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, Column]:
     """Cast columns to their mapped types without failing the scan.
 

@@ -1,0 +1,214 @@
+"""Built tables by name: clustered and pruned reads, safe replacement, other sessions."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import SF_SMALL, plan_text
+from pyspark.sql import functions as F
+
+from ledgerline.functions import WIDE
+from ledgerline.operators import analytics, quality, reports
+from ledgerline.plans import jobs
+from ledgerline.plans import models as graphs
+from ledgerline.plans.queries import QUERIES, built_models
+from ledgerline.session import fresh_dir
+from ledgerline.sinks.catalogue import Catalogue, Layout
+
+BY_ORDER = ("rpt_revenue_by_country", "rpt_customer_summary", "rpt_product_performance")
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    return built_models(spark, SF_SMALL)
+
+
+def fact_exchanges(plan: str) -> list[str]:
+    return [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "order_id" in ln]
+
+
+def test_reports_of_the_clustered_mart_do_not_shuffle_its_orders(spark, built):
+    """One exchange fewer than over the same mart read without its buckets."""
+    mart, products = built["orders_enriched"], built["stg_products"]
+    for name in BY_ORDER:
+        clustered = reports.build_reports(mart, products, WIDE)[name]
+        plan, rows = plan_text(clustered, "simple"), sorted(map(str, clustered.collect()))
+        spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+        try:
+            other = reports.build_reports(mart, products, WIDE)[name]
+            before, want = plan_text(other, "simple"), sorted(map(str, other.collect()))
+        finally:
+            spark.conf.set("spark.sql.sources.bucketing.enabled", "true")
+        assert "Bucketed: true" in plan and "Bucketed: true" not in before
+        assert not fact_exchanges(plan) and len(fact_exchanges(before)) == 1
+        assert plan.count("Exchange hash") == before.count("Exchange hash") - 1
+        assert rows == want
+
+
+def test_buckets_are_a_parameter(spark, seed_models):
+    _, raw = seed_models
+    out = jobs.build_models(spark, raw, fresh_dir(spark, "m"), database="five", buckets=5)
+    plan = plan_text(out["rpt_customer_summary"].sparkSession.table("five.orders_enriched")
+                     .groupBy("order_id").count(), "simple")
+    assert "SelectedBucketsCount: 5 out of 5" in plan
+    assert sorted(map(str, out["rpt_customer_summary"].collect())) == sorted(
+        map(str, seed_models[0]["rpt_customer_summary"].collect()))
+
+
+def test_tables_answer_by_name_and_a_second_build_replaces_them(spark, seed_models):
+    from seed import ORDERS, raw_seed
+
+    root = fresh_dir(spark, "m")
+    jobs.build_models(spark, raw_seed(spark), root)
+    mart = spark.table("default.orders_enriched")
+    assert mart.count() == 18 and mart.columns[0] == "order_id"
+    assert spark.sql("SELECT count(*) FROM default.rpt_customer_summary").first()[0] == 8
+    open_before = spark.table("default.orders_enriched")
+    jobs.build_models(spark, raw_seed(spark, orders=ORDERS[:10]), root)
+    assert spark.table("default.orders_enriched").count() == 10
+    assert open_before.count() == 18          # the one before stays for its readers
+    jobs.build_models(spark, raw_seed(spark, orders=ORDERS[:9]), root)
+    jobs.build_models(spark, raw_seed(spark, orders=ORDERS[:8]), root)
+    catalogue = Catalogue(spark, root)
+    assert len(catalogue._builds("orders_enriched")) == 2
+    folder = os.path.join(root, "default", "orders_enriched")
+    assert len([n for n in os.listdir(folder) if not n.startswith(("_", "."))]) == 2
+
+
+def test_a_failed_build_leaves_the_table(spark):
+    catalogue = Catalogue(spark, fresh_dir(spark, "c"), "kept")
+    catalogue.save("t", spark.range(3))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        catalogue.save("t", spark.range(9).select(F.lit("x").cast("int").alias("id")))
+    assert catalogue.table("t").count() == 3
+
+
+def test_another_session_attaches_the_tables(spark, seed_models):
+    _, raw = seed_models
+    root = fresh_dir(spark, "m")
+    first = jobs.build_models(spark, raw, root, database="made")
+    rows = sorted(map(str, first["orders_enriched"].collect()))
+    # What a new session's catalogue knows: nothing.
+    for t in spark.catalog.listTables("made"):
+        spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} made.{t.name}")
+    spark.sql("DROP DATABASE made")
+    again = jobs.attach_models(spark, raw, root, database="made")
+    assert sorted(map(str, spark.table("made.orders_enriched").collect())) == rows
+    plan = plan_text(reports.rpt_customer_summary(again["orders_enriched"]), "simple")
+    assert "Bucketed: true" in plan and not fact_exchanges(plan)
+    assert again["orders_enriched"].columns == first["orders_enriched"].columns
+    assert again.observed.count() > 0
+    with pytest.raises(LookupError):
+        Catalogue(spark, root, "made").attach("nothing")
+
+
+def test_staging_views_stay_in_the_catalogue(spark, seed_models):
+    models, raw = seed_models
+    source = Catalogue(spark, fresh_dir(spark, "raw"), "raw_seed")
+    for name, df in raw.items():
+        source.save(name, df)
+    jobs.build_models(spark, raw, fresh_dir(spark, "m"), database="staged", view_sources={
+        m: f"raw_seed.{t}" for m, t in (("stg_customers", "customers"),
+                                        ("stg_products", "products"), ("stg_orders", "orders"))})
+    for m in ("stg_customers", "stg_products", "stg_orders"):
+        view = spark.table(f"staged.{m}")
+        assert view.schema == models[m].schema or view.dtypes == models[m].dtypes
+        assert sorted(map(str, view.collect())) == sorted(map(str, models[m].collect()))
+    found = {t.name: t.tableType for t in spark.catalog.listTables("staged")}
+    assert found["stg_orders"] == "VIEW" and not any(
+        t.isTemporary for t in spark.catalog.listTables("staged") if t.name == "stg_orders")
+
+
+def test_staging_sql_of_fractions(spark):
+    """The view's SQL and the DataFrame round alike: half to even for integers."""
+    from ledgerline.operators import staging
+
+    df = spark.createDataFrame([(1.5, 2.5, 3.0, 0.5, "2024-01-02", "A")],
+                               "order_id double, customer_id double, product_id double, "
+                               "quantity double, order_date string, status string")
+    df.createOrReplaceTempView("fractions")
+    sql = staging.view_sql("stg_orders", df, "fractions")
+    assert spark.sql(sql).collect() == staging.stg_orders(df).collect()
+    assert tuple(spark.sql(sql).first())[:4] == (2, 2, 3, 0)
+
+
+# --- a month's report ---------------------------------------------------------------
+
+
+def test_a_month_reads_its_year(spark, built):
+    mart = built["orders_enriched"]
+    one = mart.where("order_year = 1995 AND order_month = 3")
+    plan = plan_text(reports.rpt_revenue_by_country(one, WIDE))
+    assert "PartitionFilters: [isnotnull(order_year" in plan and "(order_year#" in plan
+    assert "EqualTo(order_month,3)" in plan
+    chosen = plan_text(QUERIES["newest_month"](spark, SF_SMALL), "simple")
+    assert "dynamicpruning" in chosen.split("PartitionFilters")[1]
+
+
+def test_for_months_equals_the_report(spark, built):
+    report = built["rpt_revenue_by_country"]
+    months = report.where("year = 1996 AND month <= 2").select(
+        F.col("year").alias("order_year"), F.col("month").alias("order_month"))
+    got = reports.rpt_revenue_by_country(reports.for_months(built["orders_enriched"], months), WIDE)
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, report.where("year = 1996 AND month <= 2").collect()))
+
+
+# --- counts that merge, checks taken while writing ------------------------------------
+
+
+def test_an_order_in_two_countries_is_one_order_of_its_month(spark):
+    rows = [(1, "A", 2024, 1), (1, "B", 2024, 1), (2, "A", 2024, 1), (2, "A", 2024, 2),
+            (None, "A", 2024, 1), (-7, "B", 2024, 2)]
+    mart = spark.createDataFrame(rows, "order_id int, country string, order_year int, "
+                                       "order_month int").withColumns(
+        {"quantity": F.lit(1), "line_total": F.lit("1.00").cast("decimal(10,2)")})
+    report, keys = reports.rpt_revenue_by_country(mart), analytics.order_keys(mart)
+    months = {(r.year, r.month): r.total_orders
+              for r in analytics.monthly_trend(report, keys).collect()}
+    assert months == {(2024, 1): 2, (2024, 2): 2}
+    countries = {r.country: r.total_orders
+                 for r in analytics.country_totals(report, keys).collect()}
+    assert countries == {"A": 2, "B": 2}
+    added = {(r.year, r.month): r.total_orders for r in analytics.monthly_trend(report).collect()}
+    assert added[2024, 1] == 3         # what adding the countries' counts would give
+
+
+def test_profile_counts_without_multiplying_rows(spark):
+    plan = plan_text(QUERIES["source_profile"](spark, SF_SMALL), "simple")
+    assert "Expand" not in plan and "count(distinct" not in plan
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (1, None)], "customer_id int, product_id string")
+    got = analytics.source_profile(df.withColumn("order_date", F.lit("2024-01-01").cast("date")))
+    assert tuple(got.first())[:3] == (3, 1, 2)
+
+
+@pytest.mark.parametrize("name", ["dq_not_null", "dq_positive", "dq_row_counts"])
+def test_checks_taken_while_writing_do_not_scan_the_mart(spark, name):
+    plan = plan_text(QUERIES[name](spark, SF_SMALL), "formatted")
+    for table in jobs.PUBLISHED_TABLES:
+        assert f".{table}__" not in plan
+
+
+def test_observed_checks_equal_a_scan(spark, seed_models):
+    from seed import raw_seed
+
+    raw = raw_seed(spark)
+    raw["orders"] = raw["orders"].withColumn(
+        "quantity", F.when(F.col("order_id") % 5 == 0, 0).otherwise(F.col("quantity")))
+    m = jobs.build_models(spark, raw, fresh_dir(spark, "m"), database="observed")
+    assert {r.failing_rows for r in m.observed.where(
+        "table_name = 'orders_enriched' AND check_name = 'positive_not_null'").collect()} != {0}
+    for checks in (quality.declared_not_null, quality.declared_positive):
+        taken, scanned = checks(m, raw, observed=m.observed), checks(m, raw)
+        assert sorted(map(str, taken.collect())) == sorted(map(str, scanned.collect()))
+    assert sorted(map(str, quality.row_counts(m, observed=m.observed).collect())) == sorted(
+        map(str, quality.row_counts(m).collect()))
+
+
+def test_models_match_the_lazy_graph(spark, built):
+    raw, _ = graphs.testdata_graph(spark, SF_SMALL)
+    lazy = graphs.model_graph(raw, WIDE)
+    for name in ("orders_enriched", *BY_ORDER):
+        assert built[name].columns == lazy[name].columns
+        assert sorted(map(str, built[name].collect())) == sorted(map(str, lazy[name].collect()))

@@ -9,7 +9,7 @@ from seed import raw_seed
 from ledgerline.plans import cli
 from ledgerline.session import fresh_dir
 from ledgerline.sinks.files import write_parquet
-from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sinks.lakehouse import PublishedTables
 
 
 def test_cli_all_then_republish(spark, monkeypatch):
@@ -21,7 +21,7 @@ def test_cli_all_then_republish(spark, monkeypatch):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     assert cli.main(["all", "--source-dir", src, "--root", root, "--parallel-tables", "3"]) == 0
     assert cli.main(["publish", "--root", root, "--tables", "rpt_customer_summary"]) == 0
-    store = SnapshotStore(spark, os.path.join(root, "warehouse"))
+    store = PublishedTables(spark, os.path.join(root, "warehouse"))
     hist = [(r.table_name, r.snapshot_id) for r in store.history().collect()]
     assert ("rpt_customer_summary", 2) in hist and ("orders_enriched", 1) in hist
     assert store.read("rpt_customer_summary").count() == 8
@@ -52,7 +52,7 @@ def test_build_and_test_from_csv(spark, monkeypatch):
     root = fresh_dir(spark, "cli-run")
     assert cli.main(["build", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
     assert cli.main(["test", "--root", root, "--raw-dir", src, "--format", "csv"]) == 0
-    assert spark.read.parquet(os.path.join(root, "models", "rpt_customer_summary")).count() == 8
+    assert spark.table("default.rpt_customer_summary").count() == 8
 
 
 def test_cli_builds_with_wide_keys_and_sums(spark, monkeypatch):
@@ -61,16 +61,16 @@ def test_cli_builds_with_wide_keys_and_sums(spark, monkeypatch):
         write_parquet(df, os.path.join(src, f"{name}.parquet"))
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     root = fresh_dir(spark, "cli-run")
-    wide = ["--root", root, "--raw-dir", src, "--id-type", "bigint",
+    wide = ["--root", root, "--raw-dir", src, "--database", "wide_run", "--id-type", "bigint",
             "--revenue-type", "decimal(18,2)", "--units-type", "bigint"]
     assert cli.main(["build", *wide]) == 0
     assert cli.main(["test", *wide]) == 0
-    summary = spark.read.parquet(os.path.join(root, "models", "rpt_customer_summary"))
+    summary = spark.table("wide_run.rpt_customer_summary")
     types = dict(summary.dtypes)
     assert (types["customer_id"], types["total_spend"], types["total_units"]) == \
         ("bigint", "decimal(18,2)", "bigint")
     narrow = fresh_dir(spark, "cli-run")
     assert cli.main(["build", "--root", narrow, "--raw-dir", src]) == 0
-    same = spark.read.parquet(os.path.join(narrow, "models", "rpt_customer_summary"))
+    same = spark.table("default.rpt_customer_summary")
     assert sorted(tuple(map(str, r)) for r in summary.collect()) == \
         sorted(tuple(map(str, r)) for r in same.collect())

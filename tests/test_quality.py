@@ -10,7 +10,7 @@ from seed import CUSTOMERS, ORDERS, PRODUCTS, raw_seed
 from ledgerline.operators import quality
 from ledgerline.plans.models import model_graph
 from ledgerline.session import fresh_dir
-from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sinks.lakehouse import PublishedTables
 from ledgerline.sources.schemas import REQUIRED_COLUMNS
 
 
@@ -69,7 +69,7 @@ def test_gate_raises_on_columns_counts_and_stores(spark, seed_models):
     assert res[("min_rows", "orders_enriched", "*")] == 2
     assert res[("exact_rows", "stg_products", "*")] == 1
 
-    store = SnapshotStore(spark, fresh_dir(spark, "w"))
+    store = PublishedTables(spark, fresh_dir(spark, "w"))
     names = ("rpt_customer_summary", "rpt_revenue_by_category")
     store.publish("rpt_customer_summary", m["rpt_customer_summary"].limit(6))
     stored = quality.suite(m, raw, store=store, published=names)
@@ -84,8 +84,16 @@ def test_gate_raises_on_columns_counts_and_stores(spark, seed_models):
 
 def test_positive_null_handling(spark):
     df = spark.createDataFrame([(1.0,), (0.0,), (None,), (-2.0,)], "x double")
-    assert counts(quality.positive(df, "t", "x", True))[("positive_not_null", "t", "x")] == 3
-    assert counts(quality.positive(df, "t", "x", False))[("positive", "t", "x")] == 2
+    got = counts(quality.column_checks({"t": df}, None, [("t", "x")],
+                                       [("t", "x", True), ("t", "x", False)]))
+    assert got == {("positive_not_null", "t", "x"): 3, ("positive", "t", "x"): 2,
+                   ("not_null", "t", "x"): 1}
+
+
+def test_orphans_of_keys_that_are_no_integers(spark):
+    fact = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    dim = spark.createDataFrame([("a",), ("c",)], "k string")
+    assert counts(quality.orphans(fact, dim, "k", "f", "d"))[("orphan:d", "f", "k")] == 2
 
 
 def test_orphans_count_rows_not_keys(spark):

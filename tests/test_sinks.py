@@ -9,7 +9,7 @@ import pytest
 
 from ledgerline.session import fresh_dir
 from ledgerline.sinks.files import write_csv, write_parquet
-from ledgerline.sinks.lakehouse import SnapshotStore
+from ledgerline.sinks.lakehouse import PublishedTables
 from ledgerline.sources.files import file_profile, read_csv, read_parquet
 from ledgerline.sources.schemas import RAW_PRODUCTS
 
@@ -52,13 +52,13 @@ def test_file_profile(spark, seed_models):
 
 
 def test_snapshots_history_and_time_travel(spark):
-    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    store = PublishedTables(spark, fresh_dir(spark, "wh"))
     assert not store.exists("t")
     v1 = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     v2 = spark.createDataFrame([(3, "c")], "id int, v string")
     c1 = store.publish("t", v1)
     c2 = store.publish("t", v2)
-    assert (c1["snapshot_id"], c2["snapshot_id"], c2["parent_id"]) == (1, 2, 1)
+    assert (c1["snapshot_id"], c2["snapshot_id"]) == (1, 2)
     assert store.exists("t")
     assert sorted(store.read("t").collect()) == sorted(v2.collect())
     assert sorted(store.read("t", snapshot_id=1).collect()) == sorted(v1.collect())
@@ -68,26 +68,84 @@ def test_snapshots_history_and_time_travel(spark):
     hist = [(r.snapshot_id, r.added_records, r.total_records, r.operation)
             for r in store.history("t").collect()]
     assert hist == [(1, 2, 2, "overwrite"), (2, 1, 1, "overwrite")]
+    assert [r.parent_id for r in store.history("t").collect()] == [None, 1]
     tables = {r.table_name: (r.snapshot_id, r.total_records, r.column_count)
               for r in store.tables().collect()}
     assert tables == {"t": (2, 1, 2)}
-    sch = [(r.position, r.column_name, r.data_type) for r in store.schema("t").collect()]
-    assert sch == [(1, "id", "int"), (2, "v", "string")]
+    sch = [(r.position, r.column_name, r.data_type, r.null_rows)
+           for r in store.schema("t").collect()]
+    assert sch == [(1, "id", "int", 0), (2, "v", "string", 0)]
 
 
 def test_uncommitted_write_is_invisible(spark):
-    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    root = fresh_dir(spark, "wh")
+    store = PublishedTables(spark, root)
     store.publish("t", spark.createDataFrame([(1,)], "id int"))
-    # A crashed writer leaves a folder for snapshot 2 but no log row.
-    write_parquet(spark.createDataFrame([(9,), (9,)], "id int"), store.snapshot_path("t", 2))
+    # A crashed writer leaves what it wrote aside.
+    write_parquet(spark.createDataFrame([(9,), (9,)], "id int"),
+                  os.path.join(root, "default", "_incoming", "lost"))
     assert [r.id for r in store.read("t").collect()] == [1]
-    store.publish("t", spark.createDataFrame([(5,)], "id int"))  # overwrites the debris
+    assert store.table_names() == ["t"]
+    store.publish("t", spark.createDataFrame([(5,)], "id int"))
     assert [r.id for r in store.read("t").collect()] == [5]
+    assert store.versions("t")[-1][0] == 2
+
+
+def test_versions_are_found_again_without_a_catalogue(spark):
+    """Another session knows the folders only; an empty version counts as one."""
+    root = fresh_dir(spark, "wh")
+    store = PublishedTables(spark, root, database="first_session")
+    store.publish("t", spark.createDataFrame([], "id int, v string"))
+    store.publish("t", spark.createDataFrame([(1, None)], "id int, v string"))
+    store.publish("t", spark.createDataFrame([], "id int, v string"))
+    other = PublishedTables(spark, root, database="second_session")
+    assert other.table_names() == ["t"] and not other.exists("u")
+    assert [r.total_records for r in other.history("t").collect()] == [0, 1, 0]
+    assert other.read("t").count() == 0 and other.read("t", snapshot_id=2).first().id == 1
+    assert [r.null_rows for r in other.schema("t", 2).collect()] == [0, 1]
+    assert other.tables().first().total_records == 0
+    with pytest.raises(ValueError, match="differ"):
+        other.publish("t", spark.createDataFrame([(1,)], "id int"))
+    with pytest.raises(ValueError, match="named as"):
+        other.publish("u", spark.createDataFrame([(1,)], "snapshot_id int"))
+
+
+def test_a_version_reads_its_folder_only(spark):
+    from conftest import plan_text
+
+    store = PublishedTables(spark, fresh_dir(spark, "wh"))
+    for i in range(3):
+        store.publish("t", spark.range(i + 1))
+    plan = plan_text(store.read("t", snapshot_id=2))
+    assert "PartitionFilters: [isnotnull(snapshot_id" in plan
+    assert store.read("t", snapshot_id=2).count() == 2
+
+
+def test_two_roots_do_not_mix(spark):
+    a, b = (PublishedTables(spark, fresh_dir(spark, "wh")) for _ in "ab")
+    a.publish("t", spark.range(1))
+    b.publish("t", spark.range(2))
+    assert a.read("t").count() == 1 and b.read("t").count() == 2
+    a.publish("t", spark.range(3))
+    assert (a.versions("t")[-1][0], b.versions("t")[-1][0]) == (2, 1)
+
+
+def test_replace_restores_what_an_interrupted_one_left(spark):
+    from ledgerline.sinks.files import replace_path, restore_path
+
+    d = fresh_dir(spark, "swap")
+    write_parquet(spark.range(1), f"{d}/t")
+    os.rename(f"{d}/t", f"{d}/t.old")            # a driver lost between the two moves
+    assert restore_path(spark, f"{d}/t") and spark.read.parquet(f"{d}/t").count() == 1
+    os.rename(f"{d}/t", f"{d}/t.old")
+    write_parquet(spark.range(2), f"{d}/new")
+    replace_path(spark, f"{d}/new", f"{d}/t")
+    assert spark.read.parquet(f"{d}/t").count() == 2 and os.listdir(d) == ["t"]
 
 
 def test_publish_all_reports_each_table(spark, seed_models):
     m, _ = seed_models
-    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    store = PublishedTables(spark, fresh_dir(spark, "wh"))
     rep = {r.table_name: (r.written_rows, r.verified_rows, r.status)
            for r in store.publish_all({"orders_enriched": m["orders_enriched"],
                                        "rpt_customer_summary": m["rpt_customer_summary"]}).collect()}
@@ -95,7 +153,7 @@ def test_publish_all_reports_each_table(spark, seed_models):
 
 
 def test_history_times_come_from_epoch_millis(spark):
-    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    store = PublishedTables(spark, fresh_dir(spark, "wh"))
     c = store.publish("t", spark.createDataFrame([(1,)], "id int"))
     row = store.history("t").collect()[0]
     assert dict(store.history("t").dtypes)["committed_at"] == "timestamp"
@@ -143,7 +201,7 @@ def test_concurrent_actions_return_results_and_errors_by_name(spark):
 def test_publish_all_isolates_a_failing_table(spark):
     from pyspark.sql import functions as F
 
-    store = SnapshotStore(spark, fresh_dir(spark, "wh"))
+    store = PublishedTables(spark, fresh_dir(spark, "wh"))
     good = spark.createDataFrame([(1,), (2,)], "id int")
     bad = spark.range(3).select(F.lit("not a number").cast("int").alias("id"))  # fails when run
     rep = {r.table_name: r.status for r in store.publish_all({"good": good, "bad": bad}).collect()}

@@ -68,6 +68,44 @@ def test_hot_customer_results_match_and_join_is_split(spark, skew_conf, widths):
     assert split, final
 
 
+def test_hot_customer_is_joined_apart_without_adaptive_execution(spark, skew_conf):
+    """The hot customer's lines meet a broadcast of its one row; all others are merged."""
+    from ledgerline.operators import marts
+
+    raw = skewed_raw(spark)
+    lazy = model_graph(raw, CONTRACT)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert marts.hot_keys(lazy["stg_orders"], "customer_id", 8) == [HOT]
+        mart = model_graph(raw, CONTRACT)["orders_enriched"]
+        plan = plan_text(mart, "simple")
+        assert "Union" in plan and "BroadcastHashJoin [customer_id" in plan
+        assert "SortMergeJoin [customer_id" in plan
+        got = sorted(map(str, mart.collect()))
+        whole = marts.orders_enriched(lazy["stg_orders"], lazy["stg_customers"],
+                                      lazy["stg_products"], split_hot=False)
+        assert "Union" not in plan_text(whole, "simple")
+        assert got == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_split_join_equals_a_join(spark, monkeypatch):
+    from ledgerline.operators import marts
+
+    fact = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 0), (None, 1), (9, 2)],
+                                 "k int, v int")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, w string")
+    want = sorted(map(str, fact.join(dim, "k").collect()))
+    for hot in ([], [1], [1, 2], [77]):
+        assert sorted(map(str, marts.split_join(fact, dim, "k", hot).collect())) == want
+    monkeypatch.setattr(marts, "HOT_ROWS", 1)     # a hot key on many dimension rows
+    plain = marts.split_join(fact, dim, "k", [1])
+    assert "Union" not in plan_text(plain, "simple")
+    assert sorted(map(str, plain.collect())) == want
+    assert marts.hot_keys(fact.limit(0), "k", 8) == []
+
+
 def test_shuffle_partitions_follow_input_size(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
