@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sinks.files import child_names, remove_path
+from ledgerline.sinks.files import child_names, read_text, remove_path, write_text
 
 KEPT = 2   # tables of a name that stay: the current one and the one before
 
@@ -114,9 +114,9 @@ class Catalogue:
             raise ValueError("sort_by needs buckets")
         writer.saveAsTable(self.name(build))
         counted = {k: int(v or 0) for k, v in {"rows": 0, **obs.get}.items()}
-        definition = self.spark.sql(f"SHOW CREATE TABLE {self.name(build)}").select(
-            F.concat(F.lit(json.dumps(df.columns) + "\n"), "createtab_stmt"))
-        definition.coalesce(1).write.text(self._folder(name, "_definitions", build))
+        definition = self.spark.sql(f"SHOW CREATE TABLE {self.name(build)}").first()[0]
+        write_text(self.spark, self._folder(name, "_definitions", build),
+                   json.dumps(df.columns) + "\n" + definition)
         self._point(name, build, df.columns)
         for old in self._builds(name)[:-KEPT]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(old)}")
@@ -143,10 +143,9 @@ class Catalogue:
             if not written:
                 raise LookupError(f"no table {self.database}.{name} under {self.root}")
             build = written[-1]
-            text = self.spark.read.text(os.path.join(definitions, build), wholetext=True)
-            columns, sql = text.first()[0].split("\n", 1)
+            text = read_text(self.spark, os.path.join(definitions, build))
+            columns, sql = text.split("\n", 1)
             if not self.exists(build):
-                sql = sql.strip()
                 # Registered under this catalogue's database, whatever it was called.
                 sql = re.sub(r"^CREATE TABLE \S+", f"CREATE TABLE {self.name(build)}", sql)
                 self.spark.sql(sql)

@@ -49,6 +49,26 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written by the driver: no job for a few hundred bytes."""
+    p, fs = _file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small text file."""
+    p, fs = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete ``path`` and what is below it, if it is there."""
     p, fs = _file_system(spark, path)
