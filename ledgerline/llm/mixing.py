@@ -5,12 +5,14 @@ until it holds ``max_epochs`` times its own size; what a clamped source can
 not take is shared out again by weight, until no source is above its cap.  A
 source's target is then taken in whole repetitions of all its documents and
 one fractional repetition: documents in seeded order up to the target, the
-last of them in part.
+last of them in part where words are counted (``taken``), whole or not at all
+where rows are repeated (``repeat_rows``).
 
 Defined cases: null text has size 0 and takes nothing; the null source comes
 last in the order of sources; rows that repeat an id are rows of their own
 (among equal rows it does not matter which comes first); an empty table, or
-one without words, takes nothing.
+one without words, takes nothing; a very long text is one document, counted
+and repeated whole.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WHITE, WORD, cut, documents
+from ledgerline.llm.common import WORD, cut, documents
 
 #: Bits of the seeded place of a document within its source.
 PLACE_BITS = 52
@@ -140,19 +142,18 @@ def taken(mixed: DataFrame) -> Column:
     return F.col("m_whole") * F.col("m_size") + F.col("m_part")
 
 
-def repeat_rows(mixed: DataFrame, text: Column) -> DataFrame:
-    """One row per repetition, with its text as ``m_text``; the fractional one
-    ends with its last word.  Rows that the mix takes nothing of go."""
-    copies = (F.when(F.col("m_size") > 0, F.col("m_whole")).otherwise(F.lit(0))
-              + (F.col("m_part") > 0).cast("long"))
-    rows = mixed.withColumn("m_copies", copies).filter("m_copies > 0").withColumn(
-        "m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies"))))
-    partial = (F.col("m_copy") > F.col("m_whole")) & (F.col("m_part") < F.col("m_size"))
-    white = WHITE.replace(" ", r"\x20")
-    pieces = F.split(text, f"(?<=[^{white}])(?=[{white}])")
-    begin = F.array_join(F.slice(pieces, F.lit(1), F.col("m_part").cast("int")), "")
-    return rows.withColumn("m_text", F.when(partial, begin).otherwise(text)).drop(
-        "m_copies", "m_copy", "m_whole", "m_part", "m_size", "m_total", "m_target")
+def repeat_rows(mixed: DataFrame) -> DataFrame:
+    """One row per repetition, whole texts only.
+
+    The document in which a source's fractional repetition ends is taken whole
+    or not at all, whichever comes nearer to the target; rows that the mix takes
+    nothing of go.
+    """
+    copies = F.col("m_whole") + (2 * F.col("m_part") > F.col("m_size")).cast("long")
+    copies = F.when(F.col("m_size") > 0, copies).otherwise(F.lit(0))
+    return (mixed.withColumn("m_copies", copies).filter("m_copies > 0")
+            .withColumn("m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_copies"))))
+            .drop("m_copies", "m_copy", "m_whole", "m_part", "m_size", "m_total", "m_target"))
 
 
 def op5_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@
    set, and a circulant MinHash signature: one permutation places a shingle,
    the second, shifted by k, gives coordinate k, so all coordinates of a
    shingle are one slice of a table.  Four coordinates make a band.
-2. Texts with equal sets are one class; its smallest id represents it.
-3. Representatives that share a band form a bucket.  No bucket is expanded
+2. Texts with equal sets are one class, a node of its own with a number; the
+   links are between classes, so one id may stand on several texts.
+3. Classes that share a band form a bucket.  No bucket is expanded
    into pairs: every member is compared with one hub, the member that sits in
    the largest buckets.  The comparison is exact, on whole shingle sets, and
    leaves the member's difference to the hub.
@@ -17,12 +18,15 @@
 5. Connected components over the confirmed links.
 
 What can be missed is a pair that shares none of the bands: at a similarity
-of 0.85 one in 140,000 (64 coordinates, 16 bands of 4).
+of 0.85 one in 140,000 (64 coordinates, 16 bands of 4), at 0.8 one in 300,000
+with 24 bands.
 
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; fewer words than a shingle count as one shingle; a null id is linked
-with nothing; rows that repeat an id are judged row by row (and equal rows
-alike); an empty table gives an empty result; other columns are not read.
+with nothing; rows that repeat an id are judged row by row, each by its own
+text (and equal rows alike); an empty table gives an empty result; other
+columns are not read; a very long text is shingled whole, its signature in
+chunks, and two such texts are compared as sorted sets.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, documents, per_worker, rekeyed
+from ledgerline.llm.common import WORD, boxed, cut, documents, per_worker, rekeyed
 from ledgerline.llm.components import connected_components
 
 PERMUTED = 22            # bits of the universe that the permutations act on
@@ -89,9 +93,10 @@ def shingle_set(text: bytes | None, hashes: WordHashes, size: int = 3) -> np.nda
 class Signer:
     """Circulant MinHash signatures, as one 64-bit key per band."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, n_bands: int = BANDS, seed: int = 7):
         rng = np.random.default_rng(seed)
-        universe, k = 1 << PERMUTED, BANDS * ROWS
+        universe, k = 1 << PERMUTED, n_bands * ROWS
+        self.n_bands = n_bands
         self.place = rng.permutation(universe).astype(np.uint32)
         shifted = rng.permutation(universe).astype(np.uint32)
         table = np.concatenate((shifted, shifted[:k]))
@@ -102,25 +107,24 @@ class Signer:
         parts = [self.windows[at[i:i + CHUNK]].min(axis=0) for i in range(0, len(at), CHUNK)]
         return parts[0] if len(parts) == 1 else np.minimum.reduce(parts)
 
-    @staticmethod
-    def bands(signatures: np.ndarray) -> np.ndarray:
-        rows = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
+    def bands(self, signatures: np.ndarray) -> np.ndarray:
+        rows = signatures.reshape(-1, self.n_bands, ROWS).astype(np.uint64)
+        key = np.broadcast_to(np.arange(1, self.n_bands + 1, dtype=np.uint64), rows.shape[:2])
         for r in range(ROWS):
             key = mixed(key * _M[0] + rows[:, :, r] * _M[1] + _M[2])
         return key
 
 
-SKETCH = "d_id long, d_n long, d_k1 long, d_k2 long, d_bands array<long>"
+SKETCH = "d_id long, d_h long, d_n long, d_k1 long, d_k2 long, d_bands array<long>"
 
 
-def _sketch(size: int):
+def _sketch(size: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = per_worker("word hashes", WordHashes)
-        signer = per_worker("signer", Signer)
+        signer = per_worker(f"signer {bands}", lambda: Signer(bands))
         for batch in batches:
             n, keys, signatures = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = shingle_set(text.as_py(), hashes, size)
                 n.append(len(s))
                 if len(s):
@@ -133,12 +137,12 @@ def _sketch(size: int):
             if keys:
                 k[full] = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
                 values = signer.bands(np.stack(signatures)).reshape(-1).view(np.int64)
-            offsets = np.concatenate(([0], np.cumsum(full * BANDS))).astype(np.int32)
+            offsets = np.concatenate(([0], np.cumsum(full * bands))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(k[:, 0], mask=~full),
+                [batch.column(0), batch.column(1), pa.array(n), pa.array(k[:, 0], mask=~full),
                  pa.array(k[:, 1], mask=~full),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                names=["d_id", "d_n", "d_k1", "d_k2", "d_bands"])
+                names=["d_id", "d_h", "d_n", "d_k1", "d_k2", "d_bands"])
     return run
 
 
@@ -180,7 +184,7 @@ def linked(difference, total, percent: int):
 
 
 def _hub_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((p, rep) pairs of a hub and a member, the ids that occur in them)."""
+    """((p, rep) pairs of a hub and a member, the classes that occur in them)."""
     rows = classes.select("rep", F.explode("bands").alias("bucket"))
     many = (rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
             .select(rekeyed("bucket").alias("kb"), F.col("bucket").alias("b"), "m"))
@@ -289,31 +293,84 @@ def _links_around_hubs(near: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    percent: int = 85, shingle: int = 3) -> DataFrame:
+                    percent: int = 85, shingle: int = 3, bands: int = BANDS) -> DataFrame:
     """One row per row of ``docs``: d_id, d_n (shingles) and d_component (the
     smallest id that is reachable over links; null for a null id)."""
+    return _grouped(docs, doc_id, text, percent, shingle, bands).select(
+        "d_id", "d_n", "d_component")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, percent: int, shingle: int,
+             bands: int) -> DataFrame:
+    """:func:`near_duplicates` with d_h, the text's xxhash64, and d_group, a number
+    of the component (null without an id or words)."""
     given = docs.select(F.col(doc_id).cast("long").alias("d_id"),
+                        F.xxhash64(F.col(text)).alias("d_h"),
                         F.col(text).cast("binary").alias("d_text"))
-    sketches = cut(given.mapInArrow(_sketch(shingle), SKETCH), "sketches")
+    sketches = cut(given.mapInArrow(_sketch(shingle, bands), SKETCH), "sketches")
+    # A class is known by a number; its text is that of its smallest (id, text) row.
     classes = cut(sketches.filter("d_n > 0 and d_id is not null").groupBy("d_k1", "d_k2").agg(
-        F.min("d_id").alias("rep"), F.first("d_bands").alias("bands")), "classes")
-    pairs, ids = _hub_pairs(classes)
-    # A merge join at every size: the ids grow with the documents.
-    texts = cut(given.join(ids.hint("merge"), F.col("d_id") == F.col("rep"), "left_semi"),
-                "texts")
-    with_text = (pairs.join(texts.withColumnsRenamed({"d_id": "rep", "d_text": "m_text"}), "rep")
-                 .join(texts.withColumnsRenamed({"d_id": "p", "d_text": "p_text"}), "p")
+        F.min(F.struct("d_id", "d_h")).alias("row"), F.first("d_bands").alias("bands"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    pairs, nodes = _hub_pairs(classes)
+    wanted = classes.join(nodes, "rep", "left_semi").select(
+        "rep", F.col("row.d_id").alias("w_id"), F.col("row.d_h").alias("w_h"))
+    # Rows that repeat an id and a text collapse before they move.  A merge join
+    # at every size: the classes grow with the documents.
+    single = given.filter("d_id is not null").groupBy("d_id", "d_h").agg(
+        F.first("d_text").alias("d_text"))
+    texts = cut(single.join(wanted.hint("merge"), (F.col("d_id") == F.col("w_id"))
+                            & (F.col("d_h") == F.col("w_h"))).select("rep", "d_text"), "texts")
+    with_text = (pairs.join(texts.withColumnsRenamed({"d_text": "m_text"}), "rep")
+                 .join(texts.withColumnsRenamed({"rep": "p", "d_text": "p_text"}), "p")
                  .select("p", "rep", "p_text", "m_text"))
     near = cut(with_text.mapInArrow(_compare(shingle), STAR), "near")
     links = _links_around_hubs(near, percent)
-    components = connected_components(links)
-    of_class = classes.join(components, classes["rep"] == components["node"], "left").select(
-        "d_k1", "d_k2", F.coalesce("component", "rep").alias("component"))
-    of_class = cut(of_class.withColumnsRenamed({"d_k1": "k1", "d_k2": "k2"}), "components")
+    components = cut(connected_components(links), "nodes")
+    found = classes.join(components, classes["rep"] == components["node"], "left").select(
+        "d_k1", "d_k2", F.col("row.d_id").alias("least"),
+        F.coalesce("component", "rep").alias("group"))
+    # The smallest id of a component's classes; most classes stand alone.
+    smallest = found.groupBy("group").agg(F.min("least").alias("component")).withColumnRenamed(
+        "group", "g")
+    of_class = cut(found.withColumn("kg", rekeyed("group")).join(
+        smallest.withColumn("kg", rekeyed("g")), "kg").filter("group = g").select(
+        F.col("d_k1").alias("k1"), F.col("d_k2").alias("k2"), "group", "component"), "components")
     same = (F.col("d_k1") == F.col("k1")) & (F.col("d_k2") == F.col("k2"))
+    known = F.col("d_id").isNotNull()
     return sketches.join(of_class, same, "left").select(
-        "d_id", "d_n", F.when(F.col("d_id").isNotNull(), F.coalesce("component", "d_id"))
-        .alias("d_component"))
+        "d_id", "d_h", "d_n",
+        F.when(known, F.coalesce("component", "d_id")).alias("d_component"),
+        F.when(known, F.col("group")).alias("d_group"))
+
+
+#: Stands for a null id where rows without one take part.
+NO_ID = (1 << 63) - 1
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80,
+                shingle: int = 5, bands: int = 24) -> DataFrame:
+    """``docs`` with one row of each component, and every row without words.
+
+    The row with the smallest id stays (null last), of several with that id the
+    one with the smallest hash of its text, of rows that agree in both the
+    smallest in the order of their columns.  Which texts stay depends on the
+    texts alone: an id that stands on several is no link between them.
+    """
+    rows = docs.select(
+        boxed(docs), F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("i_"),
+        docs[text].alias("t_"), F.coalesce(docs[text].rlike(WORD), F.lit(False)).alias("w_"))
+    found = _grouped(rows.select("i_", "t_"), "i_", "t_", percent, shingle, bands)
+    keys = cut(found.filter("d_group is not null").groupBy("d_group").agg(
+        F.min(F.struct("d_id", "d_h")).alias("k")).select(
+        F.col("k.d_id").alias("k_id"), F.col("k.d_h").alias("k_h")), "kept")
+    # Equal rows collapse before they move.  A merge join at every size: the
+    # components grow with the documents.
+    single = rows.filter("w_").groupBy("i_", F.xxhash64("t_").alias("h_")).agg(
+        F.min("row").alias("row"))
+    kept = single.join(keys.hint("merge"), (F.col("i_") == F.col("k_id"))
+                       & (F.col("h_") == F.col("k_h")), "left_semi")
+    return kept.select("row.*").unionByName(rows.filter("not w_").select("row.*"))
 
 
 def op3_near_duplicates(spark, sf_dir: str) -> DataFrame:

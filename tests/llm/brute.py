@@ -22,6 +22,31 @@ def shingles(text: str | None, size: int = 3) -> frozenset:
     return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1)))
 
 
+def one_of_each(rows: list[tuple], percent: int = 80, size: int = 5) -> set[int]:
+    """Positions of the rows that stay: in every component of (doc_id, text) rows
+    the smallest id (null last), of equal rows any one."""
+    sets = [shingles(t, size) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(
+                    sets[a] | sets[b]):
+                group[max(find(a), find(b))] = min(find(a), find(b))
+    best: dict = {}
+    for i, (doc_id, _) in enumerate(rows):
+        key = (doc_id is None, doc_id or 0)
+        root = find(i)
+        if root not in best or key < best[root][0]:
+            best[root] = (key, i)
+    return {i for _, i in best.values()}
+
+
 def components(rows: list[tuple], percent: int = 85) -> list[tuple]:
     """(doc_id, set size, smallest reachable id) of (doc_id, text) rows."""
     sets = [shingles(t) for _, t in rows]
