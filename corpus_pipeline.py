@@ -7,9 +7,10 @@ documents with the same columns, the last one the packed pieces.  ``n_chars``
 follows the text where a stage changes it.
 
 Defined cases, as in the operators: null text has no words and is dropped by
-the quality rules; a null id is a document of its own; rows that repeat an id
-count as one document in the near-duplicate stage; an empty table passes
-through as an empty table; further columns are carried along.
+the quality rules; rows that repeat an id, or have none, are judged by their
+texts, so that of equal or nearly equal texts one stays and every other text
+does; no text is cut but by the packing; an empty table passes through as an
+empty table; further columns are carried along.
 """
 
 from __future__ import annotations
@@ -37,13 +38,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id."""
-    found = near_dedup.near_duplicates(docs)
-    gone = found.filter("d_id <> d_component").select("d_id").distinct()
-    gone = cut(gone, "gone").hint("merge")  # at every size: it grows with the documents
-    kept = docs.join(gone, docs["doc_id"] == gone["d_id"], "left_anti")
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(
-        docs.filter("doc_id is null"))
+    """One document of each group, by five-word shingles and a similarity of 0.8."""
+    return near_dedup.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +50,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; a last, partial repetition of
-    a source ends within a document."""
+    """Documents, whole, as often as the mix takes them."""
     mixed = mixing.mix(docs.select(boxed(docs), "doc_id", "source", "text"), carry=("row",))
-    rows = mixing.repeat_rows(mixed, F.col("row.text"))
-    return rows.select(_with_text(docs, F.col("row"), F.col("m_text"))).select("row.*")
+    return mixing.repeat_rows(mixed).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
