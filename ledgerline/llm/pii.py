@@ -2,21 +2,23 @@
 
 Base spans (e-mail, ip, card, phone) follow fixed patterns and always stay.
 Looser candidates (spelled-out addresses, national phone numbers, IPv6,
-other card separators) are judged by labelers that vote or abstain: a shape
-check, a checksum or range check, a gazetteer, and words in the context for
-and against.  Expectation-maximisation over the votes of all candidates of
-the corpus, base spans included, estimates each labeler's reliability per
-kind (a Dawid-Skene model); its posteriors then train a logistic span
-classifier over votes and shape, and candidates it accepts become spans.
+other card separators) are judged by labelers that vote or abstain: a checksum
+or range check, a gazetteer, and words in the context for and against.
+Expectation-maximisation over the votes of all candidates of the corpus
+estimates each labeler's reliability per kind (a Dawid-Skene model); the base
+spans are its anchors, known to be true.  Its posteriors then train a logistic
+span classifier over votes and shape, and candidates that it accepts, and that
+at least one labeler votes for, become spans.
 
 Votes and shapes are categories, so what the models need of the corpus is
-one count per combination: at most ``kinds * 3 ** labelers * shapes`` rows,
+one count per combination: at most ``2 * kinds * 3 ** labelers * shapes`` rows,
 however many documents there are.
 
 Offsets are code points, ends exclusive.  Defined cases: null text is empty;
 rows are judged row by row, so repeated rows get equal spans; without
 candidates, or in an empty table, no span is added; other columns are not
-read; every pattern runs in time linear in the text.
+read; every pattern, and the search for spans apart from others, runs in time
+linear in the text, however long.
 """
 
 from __future__ import annotations
@@ -101,51 +103,87 @@ _LOOSE = (
 )
 # Words that speak for a kind just before a span, and against.
 CONTEXT = (
-    ("email", "e-mail", "mail", "contact", "write", "courriel", "correo"),
-    ("ip", "host", "address", "server", "client", "from", "adresse"),
-    ("card", "visa", "mastercard", "credit", "payment", "karte", "carte", "tarjeta"),
-    ("phone", "tel", "telephone", "call", "mobile", "cell", "fax", "telefon"),
+    ("adresse", "at", "contact", "contacto", "correo", "courriel", "email", "e-mail", "from",
+     "inbox", "kontakt", "mail", "mailto", "message", "reach", "reply", "send", "to", "write"),
+    ("address", "adresse", "client", "direccion", "dns", "from", "gateway", "host", "hostname",
+     "ip", "ipv", "login", "peer", "port", "proxy", "remote", "router", "server", "serveur",
+     "servidor", "subnet"),
+    ("amex", "bank", "billing", "card", "carta", "carte", "charge", "charged", "credit", "debit",
+     "discover", "karte", "kreditkarte", "mastercard", "paid", "pay", "payment", "tarjeta",
+     "visa"),
+    ("anruf", "appelez", "call", "called", "cell", "contact", "dial", "fax", "handy", "hotline",
+     "llama", "mobile", "movil", "phone", "portable", "reach", "ring", "sms", "tel", "telefon",
+     "telefono", "telephone", "text", "whatsapp"),
 )
-AGAINST = ("version", "isbn", "issn", "order", "invoice", "serial", "ticket", "build",
-           "section", "id", "no", "ref")
-# Top-level domains, and first digits of card issuers.
-DOMAINS = frozenset("com org net edu gov info biz io de fr es uk eu us".split())
-ISSUERS = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65", "35")
+AGAINST = ("article", "batch", "build", "case", "catalog", "chapter", "doi", "figure", "id",
+           "invoice", "isbn", "issn", "item", "lot", "model", "no", "order", "page", "part",
+           "patent", "ref", "reference", "release", "rev", "revision", "rfc", "section",
+           "serial", "sku", "table", "ticket", "tracking", "version", "volume")
+# Generic top-level domains; every two letters are a country's.
+DOMAINS = frozenset(
+    "academy agency app art asia bank biz blog care cat center cloud club codes com community "
+    "company coop design dev digital edu email events expert fund gov group health help host "
+    "info int jobs law life live ltd media mil mobi museum name net network news one online org "
+    "page pro school science services shop site social software solutions space store studio "
+    "systems team tech tel today tools top travel university video website wiki work world xyz "
+    "zone".split())
+# First and last prefix of the ranges that card issuers use.
+ISSUERS = (("2221", "2720"), ("300", "305"), ("34", "34"), ("3528", "3589"), ("36", "39"),
+           ("37", "37"), ("4", "4"), ("50", "59"), ("60", "65"), ("67", "67"))
 _WORD_BEFORE = re.compile(r"[A-Za-z-]+")
 NEAR = 40  # code points before a span that count as its context
 
 #: Labelers in the order of their votes.
-LABELERS = ("shape", "check", "gazetteer", "context", "against")
+LABELERS = ("check", "gazetteer", "context", "against")
 
 
-def _votes(kind: int, text: str, start: int, end: int, base: bool) -> tuple[int, ...]:
+def _issued(digits: str) -> bool:
+    return any(lo <= digits[:len(lo)] <= hi for lo, hi in ISSUERS)
+
+
+def _votes(kind: int, text: str, start: int, end: int) -> tuple[int, ...]:
     span = text[start:end]
     digits = _NOT_DIGITS.sub("", span)
     before = {w.lower() for w in _WORD_BEFORE.findall(text, max(0, start - NEAR), start)}
     if kind == 0:
         check = 0
-        gazetteer = 1 if re.split(r"[^A-Za-z]+", span.rstrip(")]"))[-1].lower() in DOMAINS else 0
+        top = re.split(r"[^A-Za-z]+", span.rstrip(")]"))[-1].lower()
+        gazetteer = 1 if len(top) == 2 or top in DOMAINS else 0
     elif kind == 1:
-        check = (1 if _octets(span) else -1) if ":" not in span else 0
-        gazetteer = -1 if span.startswith(("0.", "127.", "255.")) else 0
+        # Eight groups of at most four hexadecimal digits are in range as they stand.
+        check = 1 if ":" in span or _octets(span) else -1
+        gazetteer = (-1 if span.startswith(("0.", "127.", "255.", "0:0:0:0:0:0:0:")) else
+                     1 if re.match(r"(?:2[0-9a-fA-F]{3}|f[cdCD][0-9a-fA-F]{2}|fe80):", span) else 0)
     elif kind == 2:
         check = 1 if luhn(digits) else -1
-        gazetteer = 1 if digits.startswith(ISSUERS) else -1
+        gazetteer = 1 if _issued(digits) else -1
     else:
         bare = digits[-10:]
         check = -1 if len(set(bare)) <= 2 else 0
-        gazetteer = -1 if bare[:1] in ("0", "1") else 1
+        # An area code and an exchange begin with 2 to 9; N11 is a service.
+        gazetteer = 1 if re.match(r"[2-9](?!11)[0-8][0-9][2-9](?!11)[0-9]{2}", bare) else -1
     context = before & set(CONTEXT[kind])
     against = before & set(AGAINST) - ({"no"} if context else set())   # "phone no."
-    return (1 if base else 0, check, gazetteer, 1 if context else 0, -1 if against else 0)
+    return (check, gazetteer, 1 if context else 0, -1 if against else 0)
 
 
 def _key(kind: int, text: str, start: int, end: int, base: bool) -> str:
-    """Kind, votes and shape: digits (in four classes) and separators."""
+    """Kind, votes, shape (digits in four classes, separators), whether a base span."""
     digits = sum(c.isdigit() for c in text[start:end])
     shape = (min(digits // 5, 3), int(" " in text[start:end]), int("(" in text[start:end]))
-    return "|".join((KINDS[kind], ",".join(map(str, _votes(kind, text, start, end, base))),
-                     ",".join(map(str, shape))))
+    return "|".join((KINDS[kind], ",".join(map(str, _votes(kind, text, start, end))),
+                     ",".join(map(str, shape)), "base" if base else "loose"))
+
+
+def _free(found: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of ``found`` that overlap none of ``taken``; both rising and disjoint."""
+    out, i = [], 0
+    for s, e in found:
+        while i < len(taken) and taken[i][1] <= s:
+            i += 1
+        if i == len(taken) or taken[i][0] >= e:
+            out.append((s, e))
+    return out
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str]]:
@@ -153,13 +191,17 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     each other."""
     if "(" not in text and "[" not in text and not _DIGIT.search(text):
         return []
-    taken, out = [(s, e) for s, _, e in base], []
+    taken: list[tuple[int, int]] = []
+    for s, _, e in base:      # base spans of different kinds may overlap: their union
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
+    out = []
     for kind, pattern in _LOOSE:
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            if not any(s < b and a < e for a, b in taken):
-                taken.append((s, e))
-                out.append((s, kind, e, _key(kind, text, s, e, False)))
+        fresh = _free([m.span() for m in pattern.finditer(text)], taken)
+        out += [(s, kind, e, _key(kind, text, s, e, False)) for s, e in fresh]
+        taken = sorted(taken + fresh)      # two rising runs: a merge
     return sorted(out)
 
 
@@ -189,21 +231,27 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- the label model and the span classifier --------------------------------------
 
 
-def label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
+def label_model(votes: np.ndarray, counts: np.ndarray, anchors: np.ndarray | None = None,
+                rounds: int = 50) -> np.ndarray:
     """Posterior that each vote pattern is of true spans, by EM.
 
     ``votes``: patterns by labelers, -1, 0 or 1; ``counts``: how often each
-    pattern occurs.  Starts from the share of votes for.
+    pattern occurs; ``anchors``: patterns of base spans, which are true and stay
+    so: from them the model learns how often a labeler errs or objects.
+    Starts from the share of votes for; no vote at all starts as untrue.
     """
-    q = np.clip(0.5 + 0.2 * votes.sum(axis=1), 0.05, 0.95)
+    anchors = np.zeros(len(votes), bool) if anchors is None else anchors
+    q = np.where(anchors, 1.0, np.clip(0.35 + 0.3 * votes.sum(axis=1), 0.05, 0.95))
     onehot = votes[:, :, None] == np.array([-1, 0, 1])
     for _ in range(rounds):
         log = np.zeros((len(q), 2))
         for z, weight in enumerate((counts * (1 - q), counts * q)):
             seen = 1.0 + (onehot * weight[:, None, None]).sum(axis=0)
             p = np.log(seen / seen.sum(axis=1, keepdims=True))
-            log[:, z] = np.log(1.0 + weight.sum()) + (onehot * p).sum(axis=(1, 2))
-        q = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50)))
+            # The share of true spans among those that are not known to be.
+            log[:, z] = (np.log(1.0 + weight[~anchors].sum()) + (onehot * p).sum(axis=(1, 2)))
+        q = np.where(anchors, 1.0,
+                     1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50))))
     return q
 
 
@@ -228,14 +276,16 @@ def accepted_keys(counts: dict[str, int], threshold: float = 0.5) -> list[str]:
         parts = [k.split("|") for k in keys]
         votes = np.array([[int(v) for v in p[1].split(",")] for p in parts])
         n = np.array([counts[k] for k in keys], float)
-        posterior = label_model(votes, n)
+        anchors = np.array([p[3] == "base" for p in parts])
+        posterior = label_model(votes, n, anchors)
         shapes = np.array([[int(v) for v in p[2].split(",")] for p in parts], float)
         onehot = (votes[:, :, None] == np.array([-1, 0, 1])).reshape(len(keys), -1)
         p = span_classifier(np.hstack([onehot, shapes]), posterior, n)
-        # What fails its checksum or range is not of the kind, as for base spans;
-        # all other objections weigh as much as the classifier gives them.
+        # Two rules besides: a span that no labeler speaks for is none, and what
+        # fails its checksum or range is not of the kind, as for base spans.  All
+        # other objections weigh as much as the classifier gives them.
         accepted += [k for k, v, q in zip(keys, votes, p, strict=True)
-                     if q >= threshold and v[LABELERS.index("check")] >= 0]
+                     if q >= threshold and v.max() > 0 and v[LABELERS.index("check")] >= 0]
     return accepted
 
 
