@@ -102,3 +102,50 @@ def test_known_sentences_are_cut_as_texts_are(spark):
     cut = docs.select(licenses.sentences(docs["text"]).alias("s")).collect()
     assert sorted(r.s[0] for r in cut) == sorted(known) and all(len(r.s) == 1 for r in cut)
     assert len(set(known)) == len(known)
+
+
+COMPANY = BSD3.replace("the copyright holder", "Example Incorporated")
+PROBES = [
+    (BSD + "\n\nOther code below.\n\n" + BSD3, "BSD-2-Clause,BSD-3-Clause"),
+    ("All rights reserved.\nfoo.\nLicensed under the MIT License.", "All-Rights-Reserved,MIT"),
+    ("All rights reserved.\nLicensed under the MIT License.", "MIT"),
+    ("A text. All rights reserved. More.\nAll rights reserved.\nLicensed under the MIT License.",
+     "All-Rights-Reserved,MIT"),
+    ("// SPDX-License-Identifier: MIT", "MIT"),
+    ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */",
+     "BSD-3-Clause,GPL-2.0-only"),
+    ("<!-- SPDX-License-Identifier: Apache-2.0 -->", "Apache-2.0"),
+    ("This file is licensed under the MIT license.", "MIT"),
+    ("Licensed under the MIT License (see LICENSE).", "MIT"),
+    ("You may use it under the terms of the Apache License, Version 2.0 only.", "Apache-2.0"),
+    ("Dual use: released under the GNU General Public License version 3 or later.", "GPL-3.0"),
+    (COMPANY, "BSD-3-Clause"),
+    ("The hermit licenses under-the-table deals.", ""),
+    ("It went under the bridge.", ""),
+]
+
+
+def test_positions_names_and_spdx(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PROBES)],
+                                 "doc_id long, text string")
+    got = {r.doc_id: ",".join(r.l_licenses) for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(PROBES))] == [name for _, name in PROBES]
+
+
+def test_probes_match_sql(spark, tmp_path):
+    """The SQL twin on notices and probes, not on the test tables alone."""
+    import duckdb
+
+    texts = [t for t, _ in (*NOTICES, *PROBES)] + ["", None, "x\n" * 50]
+    folder = str(tmp_path)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    want = sorted(con.sql(licenses.OP9_SQL).fetchall())
+    assert sorted(map(tuple, licenses.op9_license_scan(spark, folder).collect())) == want
+
+
+def test_overlapping_rules_are_refused():
+    with pytest.raises(ValueError, match="begins"):
+        licenses.runs_by_length([("A", ("x", "y")), ("B", ("y", "z"))])
