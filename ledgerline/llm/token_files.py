@@ -89,7 +89,7 @@ def unpack_bits(packed: bytes, n: int, width: int) -> np.ndarray:
     return ids.reshape(-1)[:n]
 
 
-def _located(path: str):
+def located(path: str):
     """(file system, path there) of a folder or file in the shared folder."""
     from pyarrow import fs
 
@@ -152,7 +152,7 @@ class Reader:
     """Random access to one file: the tables are read at once, blocks when asked for."""
 
     def __init__(self, path: str):
-        files, there = _located(path)
+        files, there = located(path)
         self.file = files.open_input_file(there)
         size, last = self.file.size(), struct.calcsize(FOOTER)
         magic, self.width, self.block, docs, self.ids, offsets, doc_ids, ends = struct.unpack(
@@ -216,7 +216,7 @@ def _write_files(tokenizer: str, folder: str, end_id: int, width: int):
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if writer is None:
-                    files, there = _located(name)
+                    files, there = located(name)
                     files.create_dir(there.rsplit("/", 1)[0], recursive=True)
                     writer = Writer(files.open_output_stream(there), width)
                 writer.add(doc_id, np.frombuffer(tokens.ids(text.as_py()) + end, "<u4"))

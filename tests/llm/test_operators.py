@@ -401,3 +401,26 @@ def test_planted_spans():
     got = [bool(found) for found in accepted(texts)]
     hits = sum(g and p for g, p in zip(got, planted, strict=True))
     assert hits / sum(got) > 0.95 and hits / sum(planted) > 0.9
+
+
+def test_shards_are_bounded_by_documents(spark):
+    """Documents without terms, or with one, fill shards too; ties go to the smaller id."""
+    docs = spark.range(40_000, numPartitions=1).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 4 = 0 THEN 'same words' WHEN id % 4 = 1 THEN '' "
+                        "WHEN id % 4 = 2 THEN 'other' END AS text")
+    index = bm25.build_index(docs)
+    assert [r.docs for r in index.orderBy("shard").collect()] == [16384, 16384, 7232]
+    found = bm25.search(index, docs.filter("doc_id = 39996 or doc_id = 1"), k=5).collect()
+    assert sorted((r["rank"], r.q_id, r.d_id) for r in found) == [
+        (i + 1, 39996, 4 * i) for i in range(5)]
+
+
+def test_a_very_long_query(spark):
+    """One query of 60,000 terms, beside documents that share a few of them."""
+    long = " ".join(f"t{i}" for i in range(60_000))
+    data = [(0, long)] + [(i, f"t{i} t{i + 1} x{i}") for i in range(1, 300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = bm25.search(bm25.build_index(docs), docs.filter("doc_id = 0"), k=4).collect()
+    want = brute.bm25(data, long, 4)
+    assert [r.score for r in sorted(found, key=lambda r: r["rank"])] == pytest.approx(
+        [s for s, _ in want])
