@@ -63,7 +63,7 @@ def decimal_avg(c: Column | str, scale: int = 2, precision: int = 10) -> Column:
     """
     c = _col(c)
     factor = float(10**scale)
-    unscaled = (c * F.lit(int(10**scale))).cast("bigint")
+    unscaled = (c * F.lit(int(10**scale))).cast("decimal(38,0)")
     avg = F.sum(unscaled).cast("double") / (F.count(c).cast("double") * F.lit(factor))
     return decimal_of_double(avg, precision, scale)
 

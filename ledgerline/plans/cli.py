@@ -71,7 +71,13 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     from ledgerline.plans import jobs
-    from ledgerline.session import build_session, input_bytes, shared_dir, size_shuffle_partitions
+    from ledgerline.session import (
+        build_session,
+        end_runs,
+        input_bytes,
+        shared_dir,
+        size_shuffle_partitions,
+    )
     from ledgerline.sinks.lakehouse import PublishedTables
 
     widths = Widths(args.id_type, args.units_type, args.line_total_type, args.revenue_type,
@@ -115,6 +121,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"error: {exc}", file=sys.stderr)
         return 1
     finally:
+        end_runs(spark)
         spark.stop()
     return 0
 

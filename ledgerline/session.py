@@ -92,8 +92,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under :func:`shared_dir` for one run."""
-    return shared_dir(spark, "runs", f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder under :func:`shared_dir`, among this application's."""
+    return shared_dir(spark, "runs", spark.sparkContext.applicationId,
+                      f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def end_runs(spark: SparkSession) -> None:
+    """Delete what this application wrote under :func:`fresh_dir`.
+
+    For the end of an application: tables that were read from there are gone.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(
+        shared_dir(spark, "runs", spark.sparkContext.applicationId))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:

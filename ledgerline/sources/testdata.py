@@ -50,6 +50,10 @@ TEST_SCHEMAS: dict[str, str] = {
 }
 
 
+#: The test tables that the three raw tables come from.
+SOURCE_TABLES = ("customer", "lineitem", "nation", "orders", "part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table by name (``<sf_dir>/<name>.parquet``)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
@@ -131,6 +135,13 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def products_sql(sf_dir: str) -> str:
+    """The same as a query over the file, for a view that stays."""
+    path = os.path.join(sf_dir, "part.parquet")
+    return ("SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, "
+            f"p_retailprice AS unit_price, p_size AS stock_qty FROM parquet.`{path}`")
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three raw tables keyed ``customers``, ``products``, ``orders``."""
     return {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from seed import raw_seed
 
 from ledgerline.plans import cli
@@ -12,6 +13,12 @@ from ledgerline.sinks.files import write_parquet
 from ledgerline.sinks.lakehouse import PublishedTables
 
 
+@pytest.fixture(autouse=True)
+def keep_runs(monkeypatch):
+    """The command line clears its application's folder: here it is all tests'."""
+    monkeypatch.setattr("ledgerline.session.end_runs", lambda spark: None)
+
+
 def test_cli_all_then_republish(spark, monkeypatch):
     src = fresh_dir(spark, "cli-src")
     for name, df in raw_seed(spark).items():

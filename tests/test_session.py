@@ -70,3 +70,27 @@ def test_every_model_query_holds_a_thousand_times_the_quantities(spark, tmp_path
     top = QUERIES["rpt_revenue_by_category"](spark, str(tmp_path)).agg(
         F.max("total_revenue")).first()[0]
     assert top > 10 ** 8
+
+
+def test_an_application_clears_what_it_wrote(spark, monkeypatch):
+    from ledgerline import session
+
+    kept = session.fresh_dir(spark, "kept")
+    spark.range(1).write.parquet(kept)
+
+    class Other:
+        """The same session under another application's id."""
+
+        conf = spark.conf
+
+        class sparkContext:  # noqa: N801
+            applicationId = "another-application"
+            master = "local[1]"
+            _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+            getCheckpointDir = staticmethod(spark.sparkContext.getCheckpointDir)
+
+    theirs = session.fresh_dir(Other, "theirs")
+    assert "another-application" in theirs and os.path.dirname(theirs) != os.path.dirname(kept)
+    spark.range(1).write.parquet(theirs)
+    session.end_runs(Other)
+    assert os.path.isdir(kept) and not os.path.exists(theirs)
