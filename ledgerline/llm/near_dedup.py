@@ -309,9 +309,12 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, percent: int, shingle: int
                         F.col(text).cast("binary").alias("d_text"))
     sketches = cut(given.mapInArrow(_sketch(shingle, bands), SKETCH), "sketches")
     # A class is known by a number; its text is that of its smallest (id, text) row.
-    classes = cut(sketches.filter("d_n > 0 and d_id is not null").groupBy("d_k1", "d_k2").agg(
+    # Numbers rise with these rows: among equals the hub is the one with the
+    # smallest id, which in a family of near copies is often their original.
+    collapsed = sketches.filter("d_n > 0 and d_id is not null").groupBy("d_k1", "d_k2").agg(
         F.min(F.struct("d_id", "d_h")).alias("row"), F.first("d_bands").alias("bands"))
-        .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    classes = cut(collapsed.repartitionByRange("row").sortWithinPartitions("row").withColumn(
+        "rep", F.monotonically_increasing_id()), "classes")
     pairs, nodes = _hub_pairs(classes)
     wanted = classes.join(nodes, "rep", "left_semi").select(
         "rep", F.col("row.d_id").alias("w_id"), F.col("row.d_h").alias("w_h"))
