@@ -8,7 +8,9 @@ host is not one that fails throughout.
 
 Defined cases: null text counts as no words (and fails); a null host is a
 host of its own; repeated rows are judged row by row; an empty table gives an
-empty result; other columns of the input are carried or ignored, never read.
+empty result; other columns of the input are carried or ignored, never read;
+a very long text is counted whole within its row, which its windows of words
+multiply some threefold in memory.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ the positives.  Every document is then scored, whole.
 Defined cases: null and empty texts, and texts without a known feature, get
 the base score; without positives or labels all documents get the prior;
 rows that repeat an id are scored row by row; several labels of an id: toxic
-if any is; an empty table gives an empty result; other columns are not read.
+if any is; an empty table gives an empty result; other columns are not read;
+of a very long text its distinct features are held, and for the sampled
+documents they reach the driver.
 """
 
 from __future__ import annotations

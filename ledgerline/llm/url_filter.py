@@ -12,7 +12,7 @@ general pattern fits it, or if it has no host, else allowed.
 Defined cases: null URLs and URLs without ``://`` have an empty host and path
 and are blocked without a rule; rows are judged one by one, so repeated rows
 get equal verdicts; an empty table gives an empty result; other columns are
-not read.  The rules are a parameter held by the driver program, and go to
+not read; a very long URL is read whole.  The rules are a parameter held by the driver program, and go to
 the executors whole; what is read of the corpus is one count per rule token.
 """
 
