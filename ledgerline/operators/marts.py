@@ -47,18 +47,19 @@ HOT_KEYS = 256         # keys that can be joined apart
 HOT_ROWS = 100_000     # dimension rows of hot keys that every task may be sent
 
 
-def hot_keys(fact: DataFrame, key: str, parts: int | None = None) -> list:
+def hot_keys(fact: DataFrame, key: str, parts: int | None = None, least: int = 0) -> list:
     """Keys on so many rows that one shuffle partition would hold too much.
 
     One pass with a bounded sketch of frequent items, merged over the tasks:
     a key on more than about 2 in :data:`HOT_TRACKED` rows is always in it.  ``parts``:
-    the number of shuffle partitions.
+    the number of shuffle partitions; ``least``: rows that are few for a task.
     """
     parts = parts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = fact.where(F.col(key).isNotNull()).agg(
         F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(HOT_TRACKED))
         .alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return [r["item"] for r in found["top"] or () if r["count"] * parts > found["n"]]
+    return [r["item"] for r in found["top"] or ()
+            if r["count"] * parts > found["n"] and r["count"] >= least]
 
 
 def split_join(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence) -> DataFrame:

@@ -119,15 +119,26 @@ def raise_on_extract_failure(report: DataFrame) -> None:
         raise ExtractionFailed("failed tables: " + ", ".join(f"[{s}].[{t}]" for s, t in bad))
 
 
-def mart_layout(spark: SparkSession, buckets: int | None = None) -> Layout:
+HOT_ORDER_ROWS = 5_000_000   # lines of one order that make its bucket too long
+
+
+def mart_layout(orders: DataFrame, buckets: int | None = None,
+                hot_order_rows: int = HOT_ORDER_ROWS) -> Layout:
     """The mart's files: clustered by order, a folder a year, rows by month.
 
     Reports count orders within a bucket; a month's report skips other years'
     folders and, by the row groups' ranges, most of its own year.  ``buckets``:
     by default as many as the session's shuffle partitions, which
     ``size_shuffle_partitions`` takes from the size of the input.
+
+    One task writes and reads a bucket.  So where an order has very many lines
+    (one narrow pass over ``orders`` with a bounded sketch tells) the mart is
+    not clustered, and the reports shuffle what is left after their partial
+    aggregates, which collapse that order's lines.
     """
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if marts.hot_keys(orders.select("order_id"), "order_id", n, hot_order_rows):
+        return Layout(("order_year",))
     return Layout(("order_year",), ("order_id",), n, ("order_month", "order_id"))
 
 
@@ -144,8 +155,8 @@ class Built(dict):
 def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str,
                  export_path: str | None = None, widths: Widths = CONTRACT,
                  write_orders: bool = False, database: str = "default",
-                 buckets: int | None = None, view_sources: Mapping[str, str] | None = None
-                 ) -> Built:
+                 buckets: int | None = None, view_sources: Mapping[str, str] | None = None,
+                 hot_order_rows: int = HOT_ORDER_ROWS) -> Built:
     """Staging views, the materialised mart, then the four reports.
 
     All are tables of ``database`` afterwards, replaced together with their
@@ -157,8 +168,8 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
 
     ``export_path`` adds the external Parquet copy (K5).  ``write_orders``
     writes the staged orders too: worth it where the raw orders are themselves
-    a join that the data tests would run again.  ``buckets``: see
-    :func:`mart_layout`.  ``view_sources``: names of the raw tables in the
+    a join that the data tests would run again.  ``buckets`` and
+    ``hot_order_rows``: see :func:`mart_layout`.  ``view_sources``: names of the raw tables in the
     catalogue; the staging models then become views there (K3).
     """
     staged = staging.stage_all(raw, widths)
@@ -175,7 +186,7 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
     if write_orders:
         staged["stg_orders"] = written_out("stg_orders", staged["stg_orders"])
     mart = written_out("orders_enriched", marts.build_mart(staged, widths),
-                       mart_layout(spark, buckets))
+                       mart_layout(staged["stg_orders"], buckets, hot_order_rows))
     if export_path:
         write_parquet(mart, export_path)
     built = {**reports.build_reports(mart, staged["stg_products"], widths),

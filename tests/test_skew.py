@@ -151,3 +151,21 @@ def test_hot_order_in_the_line_join_is_split(spark, skew_conf, tmp_path):
     final = plan_text(df, "simple").split("== Initial Plan ==")[0]
     split = [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "order_id" in ln]
     assert split and all("skew=true" in ln for ln in split), split
+
+
+def test_a_hot_order_keeps_the_mart_from_being_clustered(spark):
+    """Its bucket would be one long task: rows equal, no bucket, no folder of it alone."""
+    from ledgerline.plans import jobs
+    from ledgerline.session import fresh_dir
+
+    raw = testdata.raw_tables(spark, SF_SMALL)
+    hot = raw["orders"].withColumn("order_id", F.when(
+        F.abs(F.hash("order_id", "product_id")) % 3 == 0, F.lit(1)).otherwise(F.col("order_id")))
+    raw = {**raw, "orders": hot}
+    split = jobs.build_models(spark, raw, fresh_dir(spark, "m"), widths=WIDE, database="hot_order",
+                              hot_order_rows=500)
+    whole = jobs.build_models(spark, raw, fresh_dir(spark, "m"), widths=WIDE, database="long_bucket")
+    plan = lambda m: plan_text(m["orders_enriched"].groupBy("order_id").count(), "simple")
+    assert "Bucketed: true" not in plan(split) and "Bucketed: true" in plan(whole)
+    for name in ("orders_enriched", "rpt_revenue_by_country", "rpt_customer_summary"):
+        assert sorted(map(str, split[name].collect())) == sorted(map(str, whole[name].collect()))
