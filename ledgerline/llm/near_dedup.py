@@ -329,16 +329,16 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, percent: int, shingle: int
                  .select("p", "rep", "p_text", "m_text"))
     near = cut(with_text.mapInArrow(_compare(shingle), STAR), "near")
     links = _links_around_hubs(near, percent)
-    components = cut(connected_components(links), "nodes")
-    found = classes.join(components, classes["rep"] == components["node"], "left").select(
-        "d_k1", "d_k2", F.col("row.d_id").alias("least"),
-        F.coalesce("component", "rep").alias("group"))
-    # The smallest id of a component's classes; most classes stand alone.
-    smallest = found.groupBy("group").agg(F.min("least").alias("component")).withColumnRenamed(
-        "group", "g")
-    of_class = cut(found.withColumn("kg", rekeyed("group")).join(
-        smallest.withColumn("kg", rekeyed("g")), "kg").filter("group = g").select(
-        F.col("d_k1").alias("k1"), F.col("d_k2").alias("k2"), "group", "component"), "components")
+    # Numbers rise with the ids, so a component's smallest class has its smallest
+    # id.  Most classes stand alone.
+    numbered = classes.select("rep", F.col("row.d_id").alias("least"))
+    linked_to = connected_components(links).join(
+        numbered.withColumnsRenamed({"rep": "c_rep", "least": "c_least"}),
+        F.col("component") == F.col("c_rep")).select("node", "component", "c_least")
+    of_class = cut(classes.join(linked_to, F.col("rep") == F.col("node"), "left").select(
+        F.col("d_k1").alias("k1"), F.col("d_k2").alias("k2"),
+        F.coalesce("component", "rep").alias("group"),
+        F.coalesce("c_least", "row.d_id").alias("component")), "components")
     same = (F.col("d_k1") == F.col("k1")) & (F.col("d_k2") == F.col("k2"))
     known = F.col("d_id").isNotNull()
     return sketches.join(of_class, same, "left").select(
