@@ -318,12 +318,11 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, percent: int, shingle: int
     pairs, nodes = _hub_pairs(classes)
     wanted = classes.join(nodes, "rep", "left_semi").select(
         "rep", F.col("row.d_id").alias("w_id"), F.col("row.d_h").alias("w_h"))
-    # Rows that repeat an id and a text collapse before they move.  A merge join
-    # at every size: the classes grow with the documents.
-    single = given.filter("d_id is not null").groupBy("d_id", "d_h").agg(
-        F.first("d_text").alias("d_text"))
-    texts = cut(single.join(wanted.hint("merge"), (F.col("d_id") == F.col("w_id"))
-                            & (F.col("d_h") == F.col("w_h"))).select("rep", "d_text"), "texts")
+    # A merge join at every size: the classes grow with the documents.
+    texts = cut(given.join(wanted.hint("merge"), (F.col("d_id") == F.col("w_id"))
+                           & (F.col("d_h") == F.col("w_h"))).select("rep", "d_text"), "texts")
+    if texts.groupBy("rep").count().filter("count > 1").take(1):   # repeated rows
+        texts = cut(texts.groupBy("rep").agg(F.first("d_text").alias("d_text")), "single")
     with_text = (pairs.join(texts.withColumnsRenamed({"d_text": "m_text"}), "rep")
                  .join(texts.withColumnsRenamed({"rep": "p", "d_text": "p_text"}), "p")
                  .select("p", "rep", "p_text", "m_text"))
@@ -363,14 +362,16 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     rows = docs.select(
         boxed(docs), F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID)).alias("i_"),
         docs[text].alias("t_"), F.coalesce(docs[text].rlike(WORD), F.lit(False)).alias("w_"))
-    found = _grouped(rows.select("i_", "t_"), "i_", "t_", percent, shingle, bands)
+    found = cut(_grouped(rows.select("i_", "t_"), "i_", "t_", percent, shingle, bands), "found")
     keys = cut(found.filter("d_group is not null").groupBy("d_group").agg(
         F.min(F.struct("d_id", "d_h")).alias("k")).select(
         F.col("k.d_id").alias("k_id"), F.col("k.d_h").alias("k_h")), "kept")
-    # Equal rows collapse before they move.  A merge join at every size: the
-    # components grow with the documents.
-    single = rows.filter("w_").groupBy("i_", F.xxhash64("t_").alias("h_")).agg(
-        F.min("row").alias("row"))
+    single = rows.filter("w_").select("row", "i_", F.xxhash64("t_").alias("h_"))
+    if found.filter("d_group is not null").groupBy("d_id", "d_h").count().filter(
+            "count > 1").take(1):
+        # Rows that repeat an id and a text collapse before they move.
+        single = single.groupBy("i_", "h_").agg(F.min("row").alias("row"))
+    # A merge join at every size: the components grow with the documents.
     kept = single.join(keys.hint("merge"), (F.col("i_") == F.col("k_id"))
                        & (F.col("h_") == F.col("k_h")), "left_semi")
     return kept.select("row.*").unionByName(rows.filter("not w_").select("row.*"))
