@@ -86,6 +86,22 @@ def adapts(spark: SparkSession) -> bool:
     return on("spark.sql.adaptive.enabled") and on("spark.sql.adaptive.skewJoin.enabled")
 
 
+#: Estimated bytes of a dimension, up to which it goes to every task.
+SMALL_BYTES = 1 << 27
+
+
+def is_small(dim: DataFrame) -> bool:
+    """Whether ``dim`` is small enough to be sent to every task, by its rows and
+    the length of their strings (one narrow aggregate); never where the session
+    broadcasts nothing."""
+    limit = dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    if limit.startswith("-") or limit == "0":
+        return False
+    strings = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in dim.dtypes if t == "string"]
+    row = F.lit(40 + 8 * len(dim.columns)).cast("bigint")
+    return (dim.agg(F.sum(sum(strings, row))).first()[0] or 0) <= SMALL_BYTES
+
+
 def orders_enriched(
     stg_orders: DataFrame,
     stg_customers: DataFrame,
@@ -125,7 +141,24 @@ def orders_enriched(
     return joined.withColumns(derived).select(*ENRICHED_COLUMNS)
 
 
-def build_mart(staged: dict[str, DataFrame], widths: Widths = CONTRACT) -> DataFrame:
+def build_mart(staged: dict[str, DataFrame], widths: Widths = CONTRACT,
+               split_hot: bool | None = None) -> DataFrame:
     """``orders_enriched`` from the dict returned by ``staging.stage_all``."""
     return orders_enriched(staged["stg_orders"], staged["stg_customers"],
-                           staged["stg_products"], widths)
+                           staged["stg_products"], widths, split_hot)
+
+
+def clustered_mart(staged: dict[str, DataFrame], widths: Widths, buckets: int,
+                   *keys: str) -> DataFrame | None:
+    """:func:`build_mart` in ``buckets`` partitions by hash of ``keys``; None where
+    a dimension is too large for every task.
+
+    The narrow order lines are exchanged, and the joins that widen them then
+    leave every row where it is.
+    """
+    dims = {t: staged[t] for t in ("stg_customers", "stg_products")}
+    if not all(is_small(d) for d in dims.values()):
+        return None
+    placed = {"stg_orders": staged["stg_orders"].repartition(buckets, *keys),
+              **{t: F.broadcast(d) for t, d in dims.items()}}
+    return build_mart(placed, widths, split_hot=False)

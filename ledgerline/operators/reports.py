@@ -77,22 +77,40 @@ def for_months(enriched: DataFrame, months: DataFrame) -> DataFrame:
     return enriched.join(chosen, ["order_year", "order_month"], "left_semi")
 
 
-def rpt_revenue_by_category(enriched: DataFrame, widths: Widths = CONTRACT) -> DataFrame:
+def product_sales(enriched: DataFrame) -> DataFrame:
+    """Base aggregates and lines of each product: the product report needs them as
+    they are, the category report adds them up."""
+    return enriched.groupBy("product_id", "product_name", "category", "unit_price").agg(
+        *_sales_aggs(), F.count(F.lit(1)).alias("_lines"))
+
+
+def rpt_revenue_by_category(enriched: DataFrame, widths: Widths = CONTRACT,
+                            sales: DataFrame | None = None) -> DataFrame:
     """A2: revenue per product category, with two distinct counts.
 
     ``avg_unit_price`` averages the price over fact rows (weighted by line),
     not over products.  Sums and the product count come from one aggregate
     per (category, product); only the distinct orders need a second look at
     the fact, a two-level count.  Two distinct counts in one aggregate would
-    multiply the fact's rows instead.
+    multiply the fact's rows instead.  ``sales``: the written
+    :func:`product_sales`, in place of that aggregate.
     """
     cents = (F.col("unit_price") * 100).cast("decimal(38,0)")
-    products = enriched.groupBy("category", "product_id").agg(
-        F.sum("quantity").alias("_units"), F.sum("line_total").alias("_revenue"),
-        F.sum(cents).alias("_cents"), F.count("unit_price").alias("_priced"))
+    if sales is None:
+        products = enriched.groupBy("category", "product_id").agg(
+            F.sum("quantity").alias("_units"), F.sum("line_total").alias("_revenue"),
+            F.sum(cents).alias("_cents"), F.count("unit_price").alias("_priced"))
+        number = F.count("product_id")
+    else:
+        lines = F.col("_lines").cast("decimal(19,0)")
+        products = sales.select(
+            "category", "product_id", "_units", "_revenue",
+            ((F.col("unit_price") * 100).cast("decimal(18,0)") * lines).alias("_cents"),
+            F.when(F.col("unit_price").isNull(), 0).otherwise(F.col("_lines")).alias("_priced"))
+        number = F.countDistinct("product_id")
     sums = products.groupBy("category").agg(
         *(F.sum(c).alias(c) for c in ("_units", "_revenue", "_cents", "_priced")),
-        F.count("product_id").alias("num_products"))
+        number.alias("num_products"))
     orders = enriched.groupBy(F.col("category").alias("_category")).agg(
         F.countDistinct("order_id").alias("_orders"))
     # avg(decimal) is the sum of the unscaled values over count * 100, in double.
@@ -121,18 +139,17 @@ def rpt_customer_summary(enriched: DataFrame, widths: Widths = CONTRACT) -> Data
 
 def rpt_product_performance(
     enriched: DataFrame, stg_products: DataFrame, widths: Widths = CONTRACT,
+    sales: DataFrame | None = None,
 ) -> DataFrame:
     """A4 + J4: sales per product joined back to the product's stock level.
 
     The aggregate runs first, so the join sees one row per sold product
-    rather than one per order line.
+    rather than one per order line.  ``sales``: the written
+    :func:`product_sales`, in place of that aggregate.
     """
-    sales = (
-        enriched.groupBy("product_id", "product_name", "category", "unit_price")
-        .agg(*_sales_aggs())
-        .select("product_id", "product_name", "category", "unit_price",
-                *_sales_cols(widths, "num_orders", "units_sold", "total_revenue"))
-    )
+    sales = (product_sales(enriched) if sales is None else sales).select(
+        "product_id", "product_name", "category", "unit_price",
+        *_sales_cols(widths, "num_orders", "units_sold", "total_revenue"))
     stock = stg_products.select("product_id", F.col("stock_qty").alias("stock_remaining"))
     return sales.join(stock, "product_id", "inner").select(
         "product_id",
@@ -166,14 +183,14 @@ TIES: dict[str, tuple[str, ...]] = {
 }
 
 
-def build_reports(enriched: DataFrame, stg_products: DataFrame,
-                  widths: Widths = CONTRACT) -> dict[str, DataFrame]:
-    """All four reports from one enriched fact."""
+def build_reports(enriched: DataFrame, stg_products: DataFrame, widths: Widths = CONTRACT,
+                  sales: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All four reports from one enriched fact (``sales``: see the last two)."""
     return {
         "rpt_revenue_by_country": rpt_revenue_by_country(enriched, widths),
-        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, widths),
+        "rpt_revenue_by_category": rpt_revenue_by_category(enriched, widths, sales),
         "rpt_customer_summary": rpt_customer_summary(enriched, widths),
-        "rpt_product_performance": rpt_product_performance(enriched, stg_products, widths),
+        "rpt_product_performance": rpt_product_performance(enriched, stg_products, widths, sales),
     }
 
 

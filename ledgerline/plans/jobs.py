@@ -142,6 +142,11 @@ def mart_layout(orders: DataFrame, buckets: int | None = None,
     return Layout(("order_year",), ("order_id",), n, ("order_month", "order_id"))
 
 
+#: Stored input for each shuffle partition of a whole run, and so for each bucket
+#: of the mart: a task then sorts and counts about a million order lines.
+BUILD_BYTES = 16 * 1024 * 1024
+
+
 class Built(dict):
     """Models by name, each read from its table; the ``catalogue`` that has them
     by name; ``observed``, the checks counted while they were written; the sets
@@ -179,23 +184,44 @@ def build_models(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str
                                                     widths))
     taken: dict[str, dict[str, int]] = {}
 
-    def written_out(name: str, df: DataFrame, layout: Layout = PLAIN) -> DataFrame:
-        taken[name] = catalogue.save(name, df, layout, quality.metrics_of(name))
+    def written_out(name: str, df: DataFrame, layout: Layout = PLAIN,
+                    placed: bool = False) -> DataFrame:
+        taken[name] = catalogue.save(name, df, layout, quality.metrics_of(name), placed)
         return catalogue.table(name)
 
+    def all_of(tasks: dict) -> dict:
+        done = run_concurrently(tasks, max_workers=len(tasks))
+        for result in done.values():
+            if isinstance(result, BaseException):
+                raise result
+        return done
+
     if write_orders:
         staged["stg_orders"] = written_out("stg_orders", staged["stg_orders"])
-    mart = written_out("orders_enriched", marts.build_mart(staged, widths),
-                       mart_layout(staged["stg_orders"], buckets, hot_order_rows))
+    layout = mart_layout(staged["stg_orders"], buckets, hot_order_rows)
+    joined = (marts.clustered_mart(staged, widths, layout.buckets, *layout.cluster_by)
+              if layout.buckets else None)
+    mart = written_out("orders_enriched", marts.build_mart(staged, widths) if joined is None
+                       else joined, layout, joined is not None)
     if export_path:
         write_parquet(mart, export_path)
-    built = {**reports.build_reports(mart, staged["stg_products"], widths),
+    # Two reports need the sales of each product: they are added up once, aside.
+    later = ("rpt_revenue_by_category", "rpt_product_performance")
+    step = os.path.join(out_dir, f"_product_sales_{uuid.uuid4().hex}")
+    sales = reports.product_sales(mart)
+
+    def tasks(built: Mapping[str, DataFrame]) -> dict:
+        return {name: (lambda n=name, df=df: written_out(n, df)) for name, df in built.items()}
+
+    first = {**reports.build_reports(mart, staged["stg_products"], widths),
              "order_keys": analytics.order_keys(mart)}
-    written = run_concurrently({name: (lambda n=name, df=df: written_out(n, df))
-                                for name, df in built.items()}, max_workers=len(built))
-    for result in written.values():
-        if isinstance(result, BaseException):
-            raise result
+    written = all_of({"product_sales": lambda: write_parquet(sales, step),
+                      **tasks({k: df for k, df in first.items() if k not in later})})
+    del written["product_sales"]
+    second = reports.build_reports(mart, staged["stg_products"], widths,
+                                   spark.read.schema(sales.schema).parquet(step))
+    written.update(all_of(tasks({k: second[k] for k in later})))
+    remove_path(spark, step)
     catalogue.save("observed_checks", quality.observed_checks(spark, taken))
     return _built(catalogue, {**staged, **written, "orders_enriched": mart})
 
@@ -285,7 +311,7 @@ def run_all(spark: SparkSession, source: TableSource, root: str,
     parquet_dir = os.path.join(root, "parquet")
     report = extract(spark, source, parquet_dir, tables, parallel_tables)
     raise_on_extract_failure(report)
-    size_shuffle_partitions(spark, input_bytes(spark, parquet_dir))
+    size_shuffle_partitions(spark, input_bytes(spark, parquet_dir), BUILD_BYTES)
     if raw_reader is None:
         raw = {t: spark.read.parquet(os.path.join(parquet_dir, f"{t}.parquet"))
                for t in ("customers", "products", "orders")}

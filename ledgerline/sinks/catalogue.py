@@ -88,9 +88,12 @@ class Catalogue:
             re.escape(name.lower()) + r"__\d{13}_[0-9a-f]{6}", t.name.lower()))
 
     def save(self, name: str, df: DataFrame, layout: Layout = PLAIN,
-             metrics: Mapping[str, Column] | None = None) -> dict[str, int]:
+             metrics: Mapping[str, Column] | None = None,
+             placed: bool = False) -> dict[str, int]:
         """K4: write ``df`` as the new content of ``name``.
 
+        ``placed``: the partitions of ``df`` are the layout's buckets already.
+
         ``metrics``: aggregates taken from the rows while they are written;
         returned with ``rows``, their number.
         """
@@ -98,7 +101,8 @@ class Catalogue:
         build = f"{name}__{int(time.time() * 1000):013d}_{uuid.uuid4().hex[:6]}"
         path = self._folder(name, build)
         # The exchange that the reports then do without.
-        rows = df.repartition(layout.buckets, *layout.cluster_by) if layout.buckets else df
+        rows = (df.repartition(layout.buckets, *layout.cluster_by)
+                if layout.buckets and not placed else df)
         # Observed beneath the write itself: a task that is run again counts once.
         obs = Observation(f"save_{uuid.uuid4().hex}")
         rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"),
