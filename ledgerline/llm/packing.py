@@ -58,7 +58,9 @@ class WordTokens:
         self.mark_id, self.mark = max(marks, default=(None, None))
 
     def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # The fast call gives the same ids and keeps no offsets.
+        return np.array(self.tokenizer.encode_batch_fast(
+            [text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
         texts = [(w, w.decode()) for w in words]
