@@ -49,6 +49,33 @@ def test_a_score_does_not_depend_on_what_else_is_scored():
     assert together.tolist() == alone
 
 
+def test_queries_are_scored_together_and_exactly(monkeypatch):
+    """In one product over all documents, and block by block, as each by itself."""
+    rng = np.random.default_rng(9)
+    hashes = WordHashes()
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 60)) % 500).encode()
+             for _ in range(700)]
+    docs = [(i, *bm25._terms(t, hashes)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(bm25, "DENSE", 40)
+    shard = bm25.Shard(bm25._shard(0, docs).to_pylist()[0], 30.0)
+    unknown = np.array([3, 5], np.uint64)
+    asked = [(d[1], rng.random(len(d[1])) + 0.1) for d in docs[::20]] + [
+        (unknown, np.ones(2)), (unknown[:0], np.ones(0))]
+    want = []
+    for terms, idf in asked:
+        numbers, here = shard.find(terms)
+        scores = shard.exact(numbers, idf[here], np.arange(shard.n))
+        best = np.lexsort((shard.ids, -scores))[:10]
+        best = best[scores[best] > 0]
+        want.append((shard.ids[best].tolist(), scores[best].tolist()))
+    least = [s[-1] if len(s) == 10 else 0.0 for _, s in want]
+    for few in (1, 8, 1 << 20):
+        monkeypatch.setattr(bm25, "FEW", few)
+        for bounds in (least, [0.0] * len(asked)):
+            got = [(i.tolist(), s.tolist()) for i, s in shard.top(asked, 10, bounds)]
+            assert got == want
+
+
 def test_members_that_share_many_elements_meet_once(spark):
     members = [("a", False), ("b", False), ("c", True)]
     few = spark.createDataFrame(
