@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from ledgerline.llm import bm25, near_dedup, packing
+from ledgerline.llm import bm25, common, near_dedup, packing
 from ledgerline.llm.near_dedup import WordHashes
 
 
@@ -97,3 +97,31 @@ def test_words_are_encoded_without_offsets():
 
     tokens.tokenizer = Fast()
     assert [tokens._encode(t).tolist() for t in texts] == want
+
+
+def test_a_worker_drops_what_only_earlier_stages_used(monkeypatch):
+    class Task:
+        stage = 1
+
+        def stageId(self):  # noqa: N802
+            return self.stage
+
+    task, made = Task(), []
+    monkeypatch.setattr(common.TaskContext, "get", lambda: task)
+    monkeypatch.setattr(common, "IDLE_S", -1.0)
+
+    def get(name: str):
+        return common.per_worker(name, lambda: made.append(name) or object())
+
+    a, b = get("test a"), get("test b")
+    assert get("test a") is a and get("test b") is b   # a stage keeps all it uses
+    task.stage = 2
+    assert get("test a") is a
+    get("test c")
+    assert get("test a") is a
+    get("test b")
+    assert made == ["test a", "test b", "test c", "test b"]
+    monkeypatch.setattr(common, "IDLE_S", 60.0)
+    task.stage = 3
+    get("test c")
+    assert get("test b") and made.count("test b") == 2   # used a moment ago by another stage
