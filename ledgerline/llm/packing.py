@@ -17,8 +17,10 @@ not read; a word of any length is tokenised whole.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator, Mapping
+import re
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +36,19 @@ END_ID = 1
 WORDS_CACHED = 800_000   # a cache only: some 150 MB at most
 _RANK_BITS = 40
 
+#: A pre-tokenizer's first step that parts letters from signs, and the normalizers before it.
+SPLIT = {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+    "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}}
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Texts that these leave as they are, and Latin, Greek and Cyrillic letters that they turn
+#: into letters alone.  Others may not be: dotted capital I ends in a combining mark, which
+#: the pattern takes together with a sign behind it.
+NORMALIZED = re.compile("[a-z \u00df-\u00f6\u00f8-\u00ff]*")
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+                     "\u0388-\u038a\u038e-\u03a1\u03a3-\u03ce\u0400-\u0481]+")
+#: ASCII signs without the apostrophe, which the pattern may take with letters.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 PIECES = ("doc_id long, piece int, start long, length int, ids binary, "
           "part int, place long")
 
@@ -45,6 +60,12 @@ class WordTokens:
     The tokenizer drops white space before it looks at anything else, so a
     text's ids are those of its words in a row.  Unseen words are encoded
     together, with a special token between them that marks the ends.
+
+    Where the tokenizer's own pattern parts letters from signs (:data:`SPLIT`),
+    a word of letters with signs around it is the signs, the letters and the
+    signs in a row.  Letters, in lower case, are then encoded once, with spaces
+    between them: each is one run of the pattern, whose last token alone has
+    the suffix that ends a run.
     """
 
     def __init__(self, path: str):
@@ -53,16 +74,37 @@ class WordTokens:
 
         self.known: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        marks = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
+        added = self.tokenizer.get_added_tokens_decoder()
+        marks = [(i, t.content) for i, t in added.items()
                  if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.mark_id, self.mark = max(marks, default=(None, None))
-
-    def _encode(self, text: str) -> np.ndarray:
+        # Without normalizers, for texts that these leave as they are.
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = self.tokenizer.pre_tokenizer
+        self.added = [t.content.encode() for t in added.values()]
+        self.has_added = re.compile(b"|".join(map(re.escape, self.added)) or b"(?!)").search
+        self.ends = self._run_ends(path)
+
+    def _run_ends(self, path: str) -> np.ndarray | None:
+        """For each id, whether it ends a run; None if words are not to be parted."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        suffix = spec["model"].get("end_of_word_suffix")
+        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        steps = (spec.get("normalizer") or {}).get("normalizers", [])
+        if (not suffix or split != SPLIT or [s["type"] for s in steps] != NORMALIZERS
+                or any(t.decode().isalpha() for t in self.added)):
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
+        return ends
+
+    def _encode(self, text: str, normalized: bool = False) -> np.ndarray:
         # The fast call gives the same ids and keeps no offsets.
-        return np.array(self.tokenizer.encode_batch_fast(
+        return np.array((self.bare if normalized else self.tokenizer).encode_batch_fast(
             [text], add_special_tokens=False)[0].ids, "<u4")
 
-    def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def _marked(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         texts = [(w, w.decode()) for w in words]
         together = [(w, t) for w, t in texts if self.mark and self.mark not in t]
         out = {w: self._encode(t).tobytes() for w, t in texts
@@ -76,17 +118,58 @@ class WordTokens:
                 at = end + 1
         return out
 
+    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        text = b" ".join(words).decode()
+        ids = self._encode(text, NORMALIZED.fullmatch(text) is not None)
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        # Every word has at least one run, so as many ends as words: one each.
+        if len(ends) != len(words):
+            return self._marked(words)
+        raw, stops = ids.tobytes(), ends.tolist()
+        return {w: raw[at:to] for w, at, to in zip(words, [0, *stops], stops, strict=False)}
+
+    def encode(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of ``words``, and of the letters and signs they were parted into."""
+        if self.ends is None:
+            return self._marked(words)
+        known, parted, rest, letters = self.known, [], set(), set()
+        for w in words:
+            stem = w.strip(SIGNS)
+            if not (stem.isalpha() or stem.decode().isalpha()):
+                rest.add(w)
+            elif len(stem) == len(w):
+                low = w.lower()
+                letters.add(low)
+                if low != w:
+                    parted.append((w, b"", low, b""))
+            elif self.has_added(w) or not (stem.isalpha() or LETTERS.fullmatch(stem.decode())):
+                rest.add(w)
+            else:
+                low, at = stem.lower(), w.index(stem)
+                parted.append((w, w[:at], low, w[at + len(stem):]))
+                letters.add(low)
+                rest.update((w[:at], w[at + len(stem):]))
+        rest.discard(b"")
+        out = self._marked(rest.difference(known))
+        if letters := letters.difference(known):
+            out.update(self._letters(list(letters)))
+        out[b""] = b""
+        for w, *parts in parted:
+            out[w] = b"".join([out[p] if p in out else known[p] for p in parts])
+        del out[b""]
+        return out
+
     def ids(self, text: bytes | None) -> bytes:
-        words = (text or b"").split()
-        known = self.known
-        fresh = set(words).difference(known)
-        full = len(known) >= WORDS_CACHED
-        known.update(self.encode(fresh))
-        ids = b"".join(map(known.__getitem__, words))
-        for word in fresh:
-            if full or len(word) > 64:   # not kept
-                del known[word]
-        return ids
+        words, known = (text or b"").split(), self.known
+        ids = list(map(known.get, words))
+        unseen = [i for i, found in enumerate(ids) if found is None]
+        if unseen:
+            fresh = self.encode({words[i] for i in unseen})
+            for i in unseen:
+                ids[i] = fresh[words[i]]
+            if len(known) < WORDS_CACHED:
+                known.update((w, t) for w, t in fresh.items() if len(w) <= 64)
+        return b"".join(ids)
 
 
 def _tokenize(path: str, capacity: int, end_id: int):

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import random
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -125,3 +129,41 @@ def test_a_worker_drops_what_only_earlier_stages_used(monkeypatch):
     task.stage = 3
     get("test c")
     assert get("test b") and made.count("test b") == 2   # used a moment ago by another stage
+
+
+ODD_WORDS = ("Thhéory,", "(other)", "İ.", "x'İ)", "don't", "it's,", "'s", "(İstanbul)", "क़,",
+             "Ça!", "ÉTÉ;", "Σοφίας:", "слово...", "<|endoftext|>", "(<|startoftext|>)", "12,",
+             "a<|endoftext|>.", "</w>", "a1.", "é!", "\u0301,x", "ﬁ.", "각,", "ᄀ", "ᅡ!", "",
+             "\u2003x,", "\U00016f40.", "º;", "__a__")
+
+
+def test_words_parted_into_letters_and_signs_have_the_ids_of_the_text():
+    rng = random.Random(5)
+    tokens = packing.WordTokens(packing.default_tokenizer())
+    for _ in range(300):
+        text = " ".join(rng.choice(ODD_WORDS) + rng.choice(("", "", ".", "x", "É"))
+                        for _ in range(20))
+        want = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == want
+
+
+def test_letters_are_encoded_once_whatever_signs_and_case_they_come_with():
+    tokens = packing.WordTokens(packing.default_tokenizer())
+    given, encode = [], tokens._encode
+    tokens._encode = lambda text, *rest: given.append(text) or encode(text, *rest)
+    for text in (b"Stone river", b"(stone), river... RIVER", b"\"Stone\" river,"):
+        tokens.ids(text)
+    assert sorted(w for text in given for w in text.split() if w.isalpha()) == ["river", "stone"]
+
+
+def test_a_tokenizer_that_parts_words_otherwise_encodes_them_whole(tmp_path):
+    spec = json.loads(Path(packing.default_tokenizer()).read_text(encoding="utf-8"))
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[^\s]+"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    tokens = packing.WordTokens(str(path))
+    text = "The (stone), river... Ça!"
+    want = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == want
+    assert want != packing.WordTokens(packing.default_tokenizer()).tokenizer.encode(
+        text, add_special_tokens=False).ids
