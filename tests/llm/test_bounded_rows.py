@@ -9,8 +9,9 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
-from ledgerline.llm import bm25, common, near_dedup, packing
+from ledgerline.llm import bm25, common, near_dedup, packing, token_files
 from ledgerline.llm.near_dedup import WordHashes
 
 
@@ -147,8 +148,9 @@ def test_words_parted_into_letters_and_signs_have_the_ids_of_the_text():
         assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == want
 
 
-def test_letters_are_encoded_once_whatever_signs_and_case_they_come_with():
-    tokens = packing.WordTokens(packing.default_tokenizer())
+@pytest.mark.parametrize("kind", [packing.WordTokens, token_files.Tokens])
+def test_letters_are_encoded_once_whatever_signs_and_case_they_come_with(kind):
+    tokens = kind(packing.default_tokenizer())
     given, encode = [], tokens._encode
     tokens._encode = lambda text, *rest: given.append(text) or encode(text, *rest)
     for text in (b"Stone river", b"(stone), river... RIVER", b"\"Stone\" river,"):
@@ -167,3 +169,15 @@ def test_a_tokenizer_that_parts_words_otherwise_encodes_them_whole(tmp_path):
     assert np.frombuffer(tokens.ids(text.encode()), "<u4").tolist() == want
     assert want != packing.WordTokens(packing.default_tokenizer()).tokenizer.encode(
         text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("width", [1, 5, 8, 15, 16, 17, 31, 32])
+def test_bits_lie_least_significant_first_whatever_the_width(width):
+    rng = random.Random(width)
+    for n in (0, 1, 63, 64, 65, 300):
+        ids = [rng.randrange(1 << width) for _ in range(n)]
+        packed = token_files.pack_bits(np.array(ids, "<u4"), width)
+        whole = sum(i << width * k for k, i in enumerate(ids))
+        assert packed == whole.to_bytes(-(-n * width // 8), "little")
+        assert token_files.unpack_bits(packed, n, width).tolist() == ids
+        assert token_files.unpack_bits(packed, n, width).dtype == np.dtype("<u4")
