@@ -325,6 +325,79 @@ def test_language_model_gains_on_held_out_texts(spark):
     assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
 
 
+@pytest.fixture(scope="module")
+def random_texts(spark):
+    """Some 150,000 tokens of 20,000 words, few n-grams of them found twice."""
+    rng = np.random.default_rng(5)
+    return spark.createDataFrame(
+        [(i, " ".join(f"w{w}" for w in (rng.random(300) ** 3 * 20_000).astype(int)))
+         for i in range(500)], "doc_id long, text string").coalesce(1).cache()
+
+
+def test_language_model_scores_do_not_depend_on_blocks(spark, random_texts):
+    """One block and bucket, or many, with n-grams of frequent words over all buckets."""
+    from pyspark.sql import functions as F
+
+    docs = random_texts.limit(60).unionByName(spark.createDataFrame(
+        [(None, "w1 w2 w1"), (7, None), (7, "unseen words here"), (14, "the " * 900)],
+        random_texts.schema))
+    held_out = F.coalesce(F.col("doc_id") % 7 == 0, F.lit(False))
+    got = [sorted(map(tuple, language_model.score_texts(
+        docs, held_out, rounds=2, **size).collect()), key=key)
+        for size in ({}, {"block": 2000, "bucket": 1000})]
+    assert len(got[0]) == 64
+    for one, other in zip(*got, strict=True):
+        assert one[:5] == other[:5] and one[5:] == pytest.approx(other[5:])
+
+
+def test_language_model_writes_little_for_a_token(spark, random_texts):
+    """All tables it stores, with n-grams that seldom repeat (48.6 bytes a token before)."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.session import input_bytes, shared_dir
+
+    folder = shared_dir(spark, "runs", spark.sparkContext.applicationId)
+    before = input_bytes(spark, folder)
+    scored = language_model.score_texts(random_texts, F.col("doc_id") % 7 == 0, rounds=1)
+    tokens = scored.agg(F.sum("n_tokens")).first()[0]
+    written = input_bytes(spark, folder) - before
+    assert tokens > 150_000 and written < 15 * tokens
+
+
+def test_ngrams_of_a_block_are_asked_for_once(monkeypatch):
+    """With sort keys too long for one number, too; words that training lacks are left out."""
+    lm = language_model
+    texts = [b"a b a b c", b"a b x", b"b a b c c a"]
+    words = sorted({w for t in texts for w in t.split()} | {lm.END})
+    block = lm.Block({
+        "doc_id": [1, 2, 3], "held_out": [False, True, False],
+        "size": [len(t.split()) + 1 for t in texts], "words": lm.pack_words(words),
+        "tokens": lm.pack(np.array([words.index(w) for t in texts for w in [*t.split(), lm.END]]))})
+    number = np.array([lm.UNSEEN if w == b"x" else 1 + i for i, w in enumerate(words)])
+    want = {}
+    for t, train in zip(texts, (1, 0, 1), strict=True):
+        ids = [0, 0] + [int(number[words.index(w)]) for w in [*t.split(), lm.END]]
+        for at in range(2, len(ids)):
+            gram = (ids[at - 1] << 32 | ids[at - 2], ids[at])
+            if lm.UNSEEN not in ids[at - 2:at]:
+                want[gram] = want.get(gram, 0) + train
+    for short in (lm.SHORT, 10):
+        monkeypatch.setattr(lm, "SHORT", short)
+        asked, placed = (lm.Grams(2, number, block, 3, 2, places=p) for p in (False, True))
+        grams = list(zip(asked.context[asked.order].tolist(), asked.word[asked.order].tolist(),
+                         strict=True))
+        assert dict(zip(grams, asked.counts[asked.order].tolist(), strict=True)) == want
+        assert len(grams) == len(want) == asked.bounds[-1]
+        assert placed.keys.tolist() == asked.keys.tolist()
+
+
+def test_packed_lists_come_back():
+    for x in ([], [0], [255, 256, 0], [2 ** 63, 1, 2 ** 40]):
+        assert language_model.unpack(language_model.pack(np.array(x, np.uint64))).tolist() == x
+    for words in ([b""], [b"a", b"", b"bc"]):
+        assert language_model.unpack_words(language_model.pack_words(words)) == words
+
+
 def test_ngram_probabilities_add_up_to_one():
     """Over all words after a context: those seen after it and the others."""
     rng = np.random.default_rng(3)
