@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, rekeyed
+from ledgerline.llm.common import any_row, cut, discard, rekeyed
 
 
 def _with_minimum(edges: DataFrame) -> DataFrame:
@@ -34,11 +34,11 @@ def _settled(edges: DataFrame) -> bool:
     """Whether the edges are stars around their smallest nodes: every ``x`` has
     one ``y``, and no ``y`` is an ``x``.  Cheaper than a round that changes nothing."""
     tails = edges.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    if tails.filter("n > 1").take(1):
+    if any_row(tails.filter("n > 1")):
         return False
     inner = edges.select("y").join(tails.select(F.col("x").alias("t")),
                                    F.col("y") == F.col("t"), "left_semi")
-    return not inner.take(1)
+    return not any_row(inner)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -53,6 +53,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = cut(links.filter("u <> v").select(
         F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y")).distinct(), "edges")
     while not _settled(edges):
-        edges = cut(_round(edges), "edges")
+        before, edges = edges, cut(_round(edges), "edges")
+        discard(before)
     return edges.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(
         edges.select(F.col("y").alias("node"), F.col("y").alias("component")).distinct())
