@@ -139,3 +139,16 @@ def test_blocks_meet_each_other_and_no_member_itself():
              | found([i for i in sets if block[i] == 1], block, 1, 1)
              | found(list(sets), block, 0, 1))
     assert want and parts == want == found(list(sets), dict.fromkeys(sets, 0), 0, 0)
+
+
+def test_the_pipelines_stage_keeps_one_of_each_and_few_tables(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    rng = random.Random(8)
+    data = list(enumerate(_family(rng, 40, (1, 3, 6, 10)) + _family(rng, 15, (0, 2))))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    tables = _tables(spark)
+    got = near_dedup.one_of_each(docs)
+    left = {t.rpartition("-")[0] for t in _tables(spark) - tables}
+    assert not left & {"buckets", "hubs", "pairs", "classes", "texts", "near", "links"}
+    assert sorted(r.doc_id for r in got.collect()) == sorted(
+        data[i][0] for i in brute.one_of_each(data))
